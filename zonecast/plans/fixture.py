@@ -56,3 +56,24 @@ def features(spark: SparkSession, sf_dir: str, include_current: bool = True) ->
     zh = zone_hour(spark, sf_dir).drop("dataset")
     return build_features(zh, RANGE_START, RANGE_END, calendar(spark),
                           include_current=include_current)
+
+
+def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature panel with the naive forecast, residuals and the period label."""
+    from zonecast.operators.forecast import naive_forecast
+    from zonecast.operators.grid import with_split_period
+    from zonecast.operators.metrics import with_residuals
+    f = features(spark, sf_dir)
+    return with_split_period(with_residuals(naive_forecast(f)), CUT)
+
+
+def test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panel(spark, sf_dir).where(F.col("period") == "test")
+
+
+def busiest_zones(spark: SparkSession, sf_dir: str, n: int = 5) -> DataFrame:
+    """The ``n`` zones with the most trips in the panel (ties: lower id) --
+    the zone list of the per-zone reports, derived from the data."""
+    f = features(spark, sf_dir)
+    return (f.groupBy("PULocationID").agg(F.sum("trip_count").alias("total"))
+             .orderBy(F.col("total").desc(), "PULocationID").limit(n).select("PULocationID"))

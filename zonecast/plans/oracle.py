@@ -231,3 +231,385 @@ SELECT PULocationID, pickup_datetime, trip_count,
   round(avg(trip_count) OVER (w ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING), 6) AS rolling_mean_24h,
   round(avg(trip_count) OVER (w ROWS BETWEEN 168 PRECEDING AND 1 PRECEDING), 6) AS rolling_mean_168h
 FROM panel WINDOW w AS (PARTITION BY PULocationID ORDER BY pickup_datetime)""")
+
+
+# ---- shared CTEs for the evaluation side --------------------------------------
+CTES += [
+    ("pred0", """
+SELECT f.*, coalesce(avg(trip_count) OVER (PARTITION BY PULocationID ORDER BY pickup_datetime
+                                           ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 0.0) AS y_pred
+FROM feat f"""),
+    ("pred", f"""
+SELECT *, trip_count - y_pred AS error, abs(trip_count - y_pred) AS abs_error,
+       CASE WHEN pickup_datetime < {CUT} THEN 'train' ELSE 'test' END AS period
+FROM pred0"""),
+    ("test", "SELECT * FROM pred WHERE period = 'test'"),
+    ("busy", """
+SELECT PULocationID FROM panel GROUP BY PULocationID
+ORDER BY sum(trip_count) DESC, PULocationID LIMIT 5"""),
+    ("zones_dim", """
+SELECT s.s_suppkey AS LocationID, n.n_name AS Borough, s.s_name AS Zone, r.r_name AS service_zone
+FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"""),
+    ("targets", """
+SELECT z.PULocationID, s.step, TIMESTAMP '2024-01-29 00:00:00' + to_hours(s.step) AS ts
+FROM (SELECT DISTINCT PULocationID FROM panel) z,
+     (SELECT CAST(unnest(generate_series(0, 23)) AS BIGINT) AS step) s"""),
+    ("hist", """
+SELECT PULocationID, pickup_datetime, trip_count FROM panel
+WHERE pickup_datetime >= (SELECT max(pickup_datetime) FROM panel) - INTERVAL 14 DAY"""),
+    ("lagx", """
+SELECT t.PULocationID, t.ts, k.k, t.ts - to_hours(k.k) AS lt
+FROM targets t, (SELECT unnest([1, 2, 3, 24, 168]) AS k) k"""),
+    ("lagv", """
+SELECT x.PULocationID, x.ts, x.k,
+       coalesce((SELECT CAST(min(h.trip_count) AS DOUBLE) FROM hist h
+                 WHERE h.PULocationID = x.PULocationID AND h.pickup_datetime = x.lt),
+                (SELECT avg(h.trip_count) FROM hist h
+                 WHERE h.PULocationID = x.PULocationID AND hour(h.pickup_datetime) = hour(x.lt)),
+                0.0) AS v
+FROM lagx x"""),
+    ("lags", """
+SELECT PULocationID, ts,
+       max(CASE WHEN k = 1 THEN v END) AS lag_1h, max(CASE WHEN k = 2 THEN v END) AS lag_2h,
+       max(CASE WHEN k = 3 THEN v END) AS lag_3h, max(CASE WHEN k = 24 THEN v END) AS lag_24h,
+       max(CASE WHEN k = 168 THEN v END) AS lag_168h
+FROM lagv GROUP BY PULocationID, ts"""),
+    ("future", """
+SELECT t.PULocationID, t.step, t.ts,
+  hour(t.ts) AS hour, isodow(t.ts) - 1 AS day_of_week, day(t.ts) AS day_of_month, month(t.ts) AS month,
+  CAST(isodow(t.ts) >= 6 AS BIGINT) AS is_weekend, (isodow(t.ts) - 1) * 24 + hour(t.ts) AS hour_of_week,
+  CAST(CAST(t.ts AS DATE) IN (SELECT holiday_date FROM cal) AS BIGINT) AS is_holiday,
+  CAST(CAST(t.ts AS DATE) + 1 IN (SELECT holiday_date FROM cal) AS BIGINT) AS is_holiday_eve,
+  l.lag_1h, l.lag_2h, l.lag_3h, l.lag_24h, l.lag_168h,
+  coalesce(zm.m, 0.0) AS rolling_mean_3h, coalesce(zm.m, 0.0) AS rolling_mean_12h,
+  coalesce(zm.m, 0.0) AS rolling_mean_24h, coalesce(zm.m, 0.0) AS rolling_mean_168h,
+  CAST(zm.m IS NOT NULL AS BIGINT) AS has_history,
+  (l.lag_1h + l.lag_2h + l.lag_3h) / 3.0 AS prediction
+FROM targets t LEFT JOIN lags l USING (PULocationID, ts)
+LEFT JOIN (SELECT PULocationID, avg(trip_count) AS m FROM hist GROUP BY 1) zm USING (PULocationID)"""),
+]
+
+ERR = "(trip_count - y_pred)"
+MAE = f"avg(abs{ERR})"
+RMSE = f"sqrt(avg(pow({ERR}, 2)))"
+MAPE = f"coalesce(100.0 * avg(CASE WHEN trip_count <> 0 THEN abs({ERR} / trip_count) END), 0.0)"
+R2 = (f"CASE WHEN count(*) * var_pop(trip_count) > 0 THEN 1 - sum(pow({ERR}, 2)) / (count(*) * var_pop(trip_count)) "
+      f"WHEN sum(pow({ERR}, 2)) = 0 THEN 1.0 ELSE 0.0 END")
+
+
+def _metrics_sql(extra_keys: str = "", r2: bool = True, mean_demand: bool = False, src: str = "pred") -> str:
+    cols = [f"round({MAE}, 6) AS mae", f"round({RMSE}, 6) AS rmse", f"round({MAPE}, 6) AS mape"]
+    if r2:
+        cols.append(f"round({R2}, 6) AS r2")
+    cols.append("count(*) AS n_samples")
+    if mean_demand:
+        cols.append("round(avg(trip_count), 6) AS mean_demand")
+    keys = "period" + (", " + extra_keys if extra_keys else "")
+    return f"SELECT {keys}, {', '.join(cols)} FROM {src} GROUP BY {keys}"
+
+
+# ---- profiles -------------------------------------------------------------------
+ORACLE["demand_profile"] = q("""
+SELECT count(*) AS n_rows, min(pickup_datetime) AS first_ts, max(pickup_datetime) AS last_ts,
+       count(DISTINCT PULocationID) AS n_zones FROM zh""")
+
+ORACLE["demand_stats"] = q_norm("""
+, comb AS (SELECT pickup_datetime, PULocationID, CAST(sum(trip_count) AS BIGINT) AS trip_count
+          FROM src_tot GROUP BY 1, 2)
+SELECT count(*) AS n_rows, CAST(sum(trip_count) AS BIGINT) AS total_trips, round(avg(trip_count), 6) AS mean_trips,
+       max(trip_count) AS max_trips, round(quantile_cont(trip_count, 0.5), 6) AS median_trips FROM comb""")
+
+ORACLE["zone_stats"] = q("""
+SELECT PULocationID, round(avg(trip_count), 6) AS mean_demand, max(trip_count) AS max_demand,
+       min(trip_count) AS min_demand, count(*) AS n_records FROM panel GROUP BY 1""")
+
+ORACLE["describe_numeric"] = q(" UNION ALL ".join(f"""
+SELECT '{c}' AS column, count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
+       round(min({c}), 6) AS min, round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50,
+       round(quantile_cont({c}, 0.75), 6) AS p75, round(max({c}), 6) AS max FROM clean"""
+    for c in ["fare", "distance", "passengers", "trip_duration_min"]))
+
+ORACLE["top_zones"] = q("""
+SELECT pu_zone, count(*) AS count FROM trips GROUP BY 1 ORDER BY count DESC, pu_zone NULLS FIRST LIMIT 10""")
+
+ORACLE["passenger_counts"] = q("""
+SELECT round(passengers, 6) AS passengers, count(*) AS count FROM trips GROUP BY passengers""")
+
+ORACLE["weekday_counts"] = q("""
+SELECT d.dow, d.day_name, c.trips
+FROM (SELECT * FROM (VALUES (0, 'Monday'), (1, 'Tuesday'), (2, 'Wednesday'), (3, 'Thursday'),
+                            (4, 'Friday'), (5, 'Saturday'), (6, 'Sunday')) v(dow, day_name)) d
+LEFT JOIN (SELECT isodow(pickup_ts) - 1 AS dow, count(*) AS trips FROM trips GROUP BY 1) c USING (dow)""")
+
+ORACLE["daily_counts"] = q("""
+SELECT strftime(CAST(pickup_ts AS DATE), '%Y-%m-%d') AS date, count(*) AS trips,
+       dayname(CAST(pickup_ts AS DATE)) AS day_name FROM trips GROUP BY CAST(pickup_ts AS DATE)""")
+
+ORACLE["daily_summary"] = q("""
+SELECT count(*) AS n_days, round(avg(trips), 6) AS mean_daily, min(trips) AS min_daily, max(trips) AS max_daily
+FROM (SELECT CAST(pickup_ts AS DATE) AS d, count(*) AS trips FROM trips GROUP BY 1)""")
+
+ORACLE["hourly_counts"] = q("SELECT hour(pickup_ts) AS hour, count(*) AS trips FROM trips GROUP BY 1")
+
+
+def _hist_sql(col: str, lo: float, hi: float, bins: int) -> str:
+    w = (hi - lo) / bins
+    x = f"least(greatest(CAST({col} AS DOUBLE), {lo}), {hi})"
+    b = f"CAST(least(floor(({x} - {lo}) / {w}), {bins - 1}) AS BIGINT)"
+    return q(f"""
+SELECT {b} AS bin, count(*) AS count, round({lo} + {b} * {w}, 6) AS bin_lo, round({lo} + ({b} + 1) * {w}, 6) AS bin_hi
+FROM clean WHERE {col} IS NOT NULL AND NOT isnan({col}) GROUP BY {b}""")
+
+
+ORACLE["histogram_fare"] = _hist_sql("fare", 0.0, 100.0, 50)
+ORACLE["histogram_duration"] = _hist_sql("trip_duration_min", 0.0, 120.0, 50)
+
+_TRIP_COLS = [("trip_id", False), ("pu_zone", False), ("do_zone", False), ("pickup_ts", False),
+              ("dropoff_ts", False), ("fare", True), ("distance", True), ("passengers", True),
+              ("vendor_id", False), ("dataset", False), ("year_month", False)]
+ORACLE["null_report"] = q(" UNION ALL ".join(
+    f"SELECT '{c}' AS column, CAST(count_if({c} IS NULL{' OR isnan(' + c + ')' if fl else ''}) AS BIGINT) AS n_missing, "
+    f"round(100.0 * count_if({c} IS NULL{' OR isnan(' + c + ')' if fl else ''}) / count(*), 6) AS pct_missing FROM trips"
+    for c, fl in _TRIP_COLS))
+
+_DUR = "date_diff('microsecond', pickup_ts, dropoff_ts) / 60000000.0"
+ORACLE["anomaly_report"] = q(f"""
+SELECT count(*) AS n_rows, CAST(count_if({_DUR} < 1) AS BIGINT) AS short_trips,
+       round(100.0 * count_if({_DUR} < 1) / count(*), 6) AS short_trips_pct,
+       CAST(count_if({_DUR} > 1440) AS BIGINT) AS long_trips, CAST(count_if(fare <= 0) AS BIGINT) AS nonpositive_fare,
+       CAST(count_if(distance = 0) AS BIGINT) AS zero_distance,
+       CAST(count_if(passengers = 0) AS BIGINT) AS zero_passengers FROM trips""")
+
+# ---- labels ---------------------------------------------------------------------
+ORACLE["period_labels"] = q(f"""
+SELECT h AS pickup_datetime,
+       CASE WHEN h < {T0} THEN 'before_data' WHEN h < {CUT} THEN 'train'
+            WHEN h < TIMESTAMP '2024-01-30 01:00:00' THEN 'test' ELSE 'future' END AS period
+FROM (SELECT DISTINCT date_trunc('hour', pickup_ts) AS h FROM trips)""")
+
+ORACLE["historical_flag"] = q("""
+SELECT PULocationID, step, ts,
+       CAST(ts <= (SELECT date_trunc('day', max(pickup_datetime)) FROM panel) AS BIGINT) AS is_historical
+FROM targets""")
+
+ORACLE["zone_labels"] = q("""
+SELECT LocationID, format('{:3d} - {} ({})', LocationID, Zone, Borough) AS label FROM zones_dim""")
+
+ORACLE["distinct_zones"] = q("SELECT DISTINCT pu_zone AS PULocationID FROM clean")
+
+ORACLE["zone_names"] = q("""
+SELECT z.PULocationID, coalesce(d.Zone, 'Zone ' || CAST(z.PULocationID AS VARCHAR)) AS Zone
+FROM (SELECT DISTINCT pu_zone AS PULocationID FROM clean) z LEFT JOIN zones_dim d ON z.PULocationID = d.LocationID""")
+
+ORACLE["zone_attributes"] = q("""
+SELECT s.*, d.Borough, d.Zone, d.service_zone
+FROM (SELECT PULocationID, round(avg(trip_count), 6) AS mean_demand, max(trip_count) AS max_demand,
+             min(trip_count) AS min_demand, count(*) AS n_records FROM panel GROUP BY 1) s
+JOIN zones_dim d ON s.PULocationID = d.LocationID""")
+
+ORACLE["forecast_band"] = q("""
+SELECT PULocationID, step, ts, round(prediction, 6) AS prediction, round(prediction * 0.8, 6) AS lower,
+       round(prediction * 1.2, 6) AS upper FROM future""")
+
+ORACLE["error_severity"] = q(f"""
+SELECT PULocationID, pickup_datetime, trip_count, round(y_pred, 6) AS y_pred,
+       round(abs{ERR} / (trip_count + 0.001) * 100.0, 6) AS error_pct,
+       CASE WHEN abs{ERR} / (trip_count + 0.001) * 100.0 > 10 THEN 'high'
+            WHEN abs{ERR} / (trip_count + 0.001) * 100.0 > 5 THEN 'medium' ELSE 'low' END AS severity
+FROM test""")
+
+# ---- metrics ---------------------------------------------------------------------
+ORACLE["residuals"] = q("""
+SELECT PULocationID, pickup_datetime, period, trip_count, round(y_pred, 6) AS y_pred,
+       round(error, 6) AS error, round(abs_error, 6) AS abs_error FROM pred""")
+
+ORACLE["metrics_by_period"] = q(_metrics_sql())
+ORACLE["metrics_by_zone"] = q(_metrics_sql("PULocationID", r2=False, mean_demand=True)
+                              .replace("SELECT period, PULocationID,", "SELECT period, PULocationID AS zone,"))
+ORACLE["metrics_by_hour"] = q(_metrics_sql("hour", r2=False, mean_demand=True))
+
+_MBP = f"""
+, mbp AS (SELECT period, {MAE} AS mae, {RMSE} AS rmse, {MAPE} AS mape, {R2} AS r2 FROM pred GROUP BY period),
+w AS (SELECT max(CASE WHEN period = 'train' THEN mae END) AS mae_train, max(CASE WHEN period = 'test' THEN mae END) AS mae_test,
+             max(CASE WHEN period = 'train' THEN rmse END) AS rmse_train, max(CASE WHEN period = 'test' THEN rmse END) AS rmse_test,
+             max(CASE WHEN period = 'train' THEN mape END) AS mape_train, max(CASE WHEN period = 'test' THEN mape END) AS mape_test,
+             max(CASE WHEN period = 'train' THEN r2 END) AS r2_train, max(CASE WHEN period = 'test' THEN r2 END) AS r2_test
+      FROM mbp)
+"""
+_with_mbp = _with().rstrip("\n") + _MBP
+ORACLE["metrics_degradation"] = _with_mbp + """
+SELECT round(mae_train, 6) AS mae_train, round(mae_test, 6) AS mae_test, round(rmse_train, 6) AS rmse_train,
+       round(rmse_test, 6) AS rmse_test, round(mape_train, 6) AS mape_train, round(mape_test, 6) AS mape_test,
+       round(r2_train, 6) AS r2_train, round(r2_test, 6) AS r2_test,
+       round(100.0 * (mae_test - mae_train) / mae_train, 6) AS mae_degradation_pct,
+       round(100.0 * (rmse_test - rmse_train) / rmse_train, 6) AS rmse_degradation_pct,
+       round(mape_test - mape_train, 6) AS mape_change_pp FROM w"""
+
+ORACLE["mape_variants"] = q(f"""
+SELECT period, round({MAPE}, 6) AS mape_nonzero, round(100.0 * avg(abs{ERR} / (trip_count + 1)), 6) AS mape_plus1,
+       round(avg(abs{ERR} / (trip_count + 0.001) * 100.0), 6) AS mean_pct_error_eps FROM pred GROUP BY period""")
+
+ORACLE["metrics_pivot"] = q(f"""
+SELECT hour, round(max(CASE WHEN period = 'train' THEN m END), 6) AS train,
+       round(max(CASE WHEN period = 'test' THEN m END), 6) AS test
+FROM (SELECT period, hour, {MAPE} AS m FROM pred GROUP BY 1, 2) GROUP BY hour""")
+
+ORACLE["period_change_by_hour"] = q(f"""
+SELECT a.hour, round(a.m, 6) AS mape_train, round(b.m, 6) AS mape_test, round(b.m - a.m, 6) AS change
+FROM (SELECT hour, {MAPE} AS m FROM pred WHERE period = 'train' GROUP BY 1) a
+JOIN (SELECT hour, {MAPE} AS m FROM pred WHERE period = 'test' GROUP BY 1) b USING (hour)""")
+
+# ---- diagnostics -------------------------------------------------------------------
+_ZT = f"(SELECT PULocationID AS zone, {MAPE} AS mape, avg(trip_count) AS mean_demand, count(*) AS n_samples FROM test GROUP BY 1)"
+ORACLE["worst_zones"] = q(f"""
+SELECT zone, round(mape, 6) AS mape, round(mean_demand, 6) AS mean_demand, n_samples FROM {_ZT}
+ORDER BY mape DESC, zone LIMIT 10""")
+ORACLE["best_zones"] = q(f"""
+SELECT zone, round(mape, 6) AS mape, round(mean_demand, 6) AS mean_demand, n_samples FROM {_ZT}
+ORDER BY mape ASC, zone LIMIT 10""")
+
+ORACLE["worst_predictions"] = q("""
+SELECT PULocationID, pickup_datetime, trip_count, round(y_pred, 6) AS y_pred, round(abs_error, 6) AS abs_error
+FROM test ORDER BY abs_error DESC, PULocationID, pickup_datetime LIMIT 5""")
+
+ORACLE["sample_predictions"] = q("""
+SELECT PULocationID, pickup_datetime, trip_count, round(y_pred, 6) AS y_pred, round(error, 6) AS error FROM test
+ORDER BY md5(concat_ws('|', CAST(PULocationID AS VARCHAR), CAST(pickup_datetime AS VARCHAR), '42')),
+         PULocationID, pickup_datetime LIMIT 5000""")
+
+ORACLE["error_distribution"] = q("""
+SELECT round(avg(abs_error), 6) AS mean, round(quantile_cont(abs_error, 0.5), 6) AS median,
+       round(stddev_pop(abs_error), 6) AS std, round(min(abs_error), 6) AS min, round(max(abs_error), 6) AS max,
+       round(quantile_cont(abs_error, 0.25), 6) AS p25, round(quantile_cont(abs_error, 0.75), 6) AS p75 FROM test""")
+
+ORACLE["error_percentiles"] = q(" UNION ALL ".join(f"""
+SELECT CAST({p} AS BIGINT) AS percentile, round(th, 6) AS abs_error,
+       round(100.0 * (SELECT count(*) FROM test WHERE abs_error <= th) / (SELECT count(*) FROM test), 6) AS pct_within
+FROM (SELECT quantile_cont(abs_error, {p / 100}) AS th FROM test)""" for p in (50, 75, 90, 95, 99)))
+
+ORACLE["calibration"] = q("""
+SELECT round(ma, 6) AS mean_actual, round(mp, 6) AS mean_pred, round(ma - mp, 6) AS bias,
+       round(100.0 * (ma - mp) / ma, 6) AS bias_pct, CAST(abs(ma - mp) < ma * 0.05 AS BIGINT) AS calibrated
+FROM (SELECT avg(trip_count) AS ma, avg(y_pred) AS mp FROM test)""")
+
+ORACLE["metrics_by_decile"] = q(f"""
+SELECT decile, min(trip_count) AS min_demand, max(trip_count) AS max_demand, round({MAE}, 6) AS mae,
+       round({MAPE}, 6) AS mape, count(*) AS n_samples
+FROM (SELECT t.*, CAST(greatest(len(list_filter(e.e, lambda x: x < t.trip_count)) - 1, 0) AS BIGINT) AS decile
+      FROM test t,
+           (SELECT list_sort(list_distinct(quantile_cont(trip_count, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS e
+            FROM test) e)
+GROUP BY decile""")
+
+ORACLE["weekly_mae"] = q(f"""
+SELECT isoyear(pickup_datetime) AS iso_year, week(pickup_datetime) AS week, round({MAE}, 6) AS mae,
+       count(*) AS n_rows FROM test GROUP BY 1, 2""")
+
+ORACLE["weekend_mae"] = q("""
+SELECT round(wd, 6) AS weekday_mae, nwd AS weekday_rows, round(we, 6) AS weekend_mae, nwe AS weekend_rows,
+       round(abs(we - wd), 6) AS difference, round(100.0 * abs(we - wd) / wd, 6) AS difference_pct
+FROM (SELECT avg(CASE WHEN isodow(pickup_datetime) < 6 THEN abs_error END) AS wd,
+             CAST(count_if(isodow(pickup_datetime) < 6) AS BIGINT) AS nwd,
+             avg(CASE WHEN isodow(pickup_datetime) >= 6 THEN abs_error END) AS we,
+             CAST(count_if(isodow(pickup_datetime) >= 6) AS BIGINT) AS nwe FROM test)""")
+
+ORACLE["negative_predictions"] = q("""
+SELECT CAST(count_if(y_pred < 0) AS BIGINT) AS n_negative, count(*) AS n_rows,
+       round(100.0 * count_if(y_pred < 0) / count(*), 6) AS pct_negative,
+       CAST(count_if(y_pred < 0) = 0 AS BIGINT) AS passed FROM test""")
+
+ORACLE["residual_autocorr"] = q("""
+SELECT 1 AS lag, round(corr(e, e1), 6) AS autocorr FROM
+  (SELECT error AS e, lag(error, 1) OVER (PARTITION BY PULocationID ORDER BY pickup_datetime) AS e1 FROM test)
+UNION ALL
+SELECT 24, round(corr(e, e24), 6) FROM
+  (SELECT error AS e, lag(error, 24) OVER (PARTITION BY PULocationID ORDER BY pickup_datetime) AS e24 FROM test)""")
+
+ORACLE["residual_normality"] = q("""
+SELECT n, round(s, 6) AS skewness, round(k, 6) AS kurtosis, round(n / 6.0 * (s * s + k * k / 4.0), 6) AS jb,
+       round(exp(-(n / 6.0 * (s * s + k * k / 4.0)) / 2.0), 6) AS p_value,
+       CAST(exp(-(n / 6.0 * (s * s + k * k / 4.0)) / 2.0) > 0.05 AS BIGINT) AS normal
+FROM (SELECT count(*) AS n, avg(pow(error - mu, 3)) / pow(avg(pow(error - mu, 2)), 1.5) AS s,
+             avg(pow(error - mu, 4)) / pow(avg(pow(error - mu, 2)), 2) - 3 AS k
+      FROM test, (SELECT avg(error) AS mu FROM test))""")
+
+ORACLE["prediction_stability"] = q("""
+SELECT round(max(abs(a.y_pred - b.y_pred)), 6) AS max_abs_diff, count(*) AS n_rows,
+       CAST(coalesce(max(abs(a.y_pred - b.y_pred)), 0.0) < 1e-10 AS BIGINT) AS stable
+FROM test a JOIN test b USING (PULocationID, pickup_datetime)""")
+
+# ---- forecast views -------------------------------------------------------------------
+ORACLE["recent_history"] = q("SELECT * FROM hist")
+
+ORACLE["max_timestamp"] = q("""
+SELECT PULocationID, pickup_datetime, (SELECT max(pickup_datetime) FROM panel) AS max_ts FROM panel""")
+
+ORACLE["lag_lookup"] = q(f"""
+SELECT t.PULocationID, t.step, t.ts, {r6('l.lag_1h', 'l.lag_2h', 'l.lag_3h', 'l.lag_24h', 'l.lag_168h')
+    .replace('AS l.', 'AS ')}
+FROM targets t LEFT JOIN lags l USING (PULocationID, ts)""")
+
+_FUT = ["hour", "day_of_week", "day_of_month", "month", "is_weekend", "hour_of_week", "is_holiday",
+        "is_holiday_eve"]
+_FUTD = ["lag_1h", "lag_2h", "lag_3h", "lag_24h", "lag_168h", "rolling_mean_3h", "rolling_mean_12h",
+         "rolling_mean_24h", "rolling_mean_168h", "prediction"]
+ORACLE["future_features"] = q(f"""
+SELECT PULocationID, step, ts, {', '.join(_FUT)}, {r6(*_FUTD)}, has_history FROM future""")
+
+ORACLE["compare_forecast"] = q("""
+SELECT f.PULocationID, f.step, f.ts, round(f.prediction, 6) AS prediction, coalesce(p.trip_count, 0) AS trip_count
+FROM future f LEFT JOIN panel p ON f.PULocationID = p.PULocationID AND f.ts = p.pickup_datetime""")
+
+ORACLE["forecast_summary"] = q("""
+SELECT PULocationID, round(max(prediction), 6) AS max_pred, round(min(prediction), 6) AS min_pred,
+       round(avg(prediction), 6) AS mean_pred, round(sum(prediction), 6) AS total_pred FROM future GROUP BY 1""")
+
+_RD = """(SELECT PULocationID, CAST(pickup_datetime AS DATE) AS d, CAST(sum(trip_count) AS BIGINT) AS daily_total
+ FROM panel WHERE pickup_datetime >= TIMESTAMP '2024-01-29 00:00:00' - INTERVAL 7 DAY GROUP BY 1, 2)"""
+ORACLE["recent_daily"] = q(f"SELECT PULocationID, strftime(d, '%Y-%m-%d') AS date, daily_total FROM {_RD}")
+
+ORACLE["history_and_forecast"] = q(f"""
+SELECT PULocationID, strftime(d, '%Y-%m-%d') AS date, round(CAST(daily_total AS DOUBLE), 6) AS trips, 'actual' AS kind
+FROM {_RD}
+UNION ALL
+SELECT PULocationID, '2024-01-29', round(sum(prediction), 6), 'forecast' FROM future GROUP BY 1""")
+
+ORACLE["daily_totals"] = q("""
+SELECT PULocationID, strftime(CAST(pickup_datetime AS DATE), '%Y-%m-%d') AS date,
+       CAST(sum(trip_count) AS BIGINT) AS daily_total FROM panel GROUP BY 1, CAST(pickup_datetime AS DATE)""")
+
+ORACLE["daily_forecast_error"] = q("""
+SELECT d.PULocationID, strftime(d.dt, '%Y-%m-%d') AS date, round(d.actual, 6) AS actual,
+       round(d.predicted, 6) AS predicted, round(d.predicted - d.actual, 6) AS error,
+       round(s.daily_mae, 6) AS daily_mae, round(s.daily_mape, 6) AS daily_mape
+FROM (SELECT PULocationID, CAST(pickup_datetime AS DATE) AS dt, CAST(sum(trip_count) AS DOUBLE) AS actual,
+             sum(y_pred) AS predicted FROM test GROUP BY 1, 2) d
+JOIN (SELECT PULocationID, avg(abs(predicted - actual)) AS daily_mae,
+             100.0 * avg(abs(actual - predicted) / (actual + 1)) AS daily_mape
+      FROM (SELECT PULocationID, CAST(pickup_datetime AS DATE) AS dt, CAST(sum(trip_count) AS DOUBLE) AS actual,
+                   sum(y_pred) AS predicted FROM test GROUP BY 1, 2) GROUP BY 1) s USING (PULocationID)""")
+
+ORACLE["hourly_profile"] = q("""
+SELECT PULocationID, hour(pickup_datetime) AS hour, round(avg(trip_count), 6) AS mean_actual,
+       round(avg(y_pred), 6) AS mean_pred FROM test GROUP BY 1, 2""")
+
+ORACLE["first_per_hour"] = q("""
+SELECT PULocationID, strftime(CAST(pickup_datetime AS DATE), '%Y-%m-%d') AS date, hour(pickup_datetime) AS hour,
+       arg_min(trip_count, (pickup_datetime, dataset)) AS trip_count
+FROM zh_src GROUP BY PULocationID, CAST(pickup_datetime AS DATE), hour(pickup_datetime)""")
+
+ORACLE["actual_lookup"] = q("""
+SELECT t.PULocationID, t.ts AS pickup_datetime, p.trip_count
+FROM targets t LEFT JOIN panel p ON t.PULocationID = p.PULocationID AND t.ts = p.pickup_datetime""")
+
+ORACLE["zone_report"] = q(f"""
+SELECT m.PULocationID, coalesce(d.Zone, 'Zone ' || CAST(m.PULocationID AS VARCHAR)) AS Zone,
+       round(m.mae, 6) AS mae, round(m.rmse, 6) AS rmse, round(m.mean_actual, 6) AS mean_actual
+FROM (SELECT PULocationID, {MAE} AS mae, {RMSE} AS rmse, avg(trip_count) AS mean_actual
+      FROM test WHERE PULocationID IN (SELECT PULocationID FROM busy) GROUP BY 1) m
+LEFT JOIN zones_dim d ON m.PULocationID = d.LocationID""")
+
+ORACLE["series_slice"] = q(f"""
+SELECT PULocationID, pickup_datetime, trip_count, round(y_pred, 6) AS y_pred FROM pred
+WHERE PULocationID IN (SELECT PULocationID FROM busy) AND pickup_datetime BETWEEN {CUT} AND {T1}""")

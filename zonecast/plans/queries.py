@@ -120,3 +120,351 @@ def rolling_features(spark, sf_dir):
 @register
 def rolling_features_leakfree(spark, sf_dir):
     return with_rolling_means(_panel(spark, sf_dir), include_current=False)
+
+
+# ---- profiles ---------------------------------------------------------------
+from zonecast.operators import profile, labels, metrics as mt, diagnostics as dg, forecast as fcst  # noqa: E402
+from zonecast.operators.cleaning import with_duration  # noqa: E402
+
+
+@register
+def demand_profile(spark, sf_dir):
+    return zonehour.profile_zone_hour(_consolidated(spark, sf_dir))
+
+
+@register
+def demand_stats(spark, sf_dir):
+    return profile.demand_stats(combined_demand(spark, sf_dir))
+
+
+@register
+def zone_stats(spark, sf_dir):
+    return zonehour.zone_stats(_panel(spark, sf_dir))
+
+
+@register
+def describe_numeric(spark, sf_dir):
+    return profile.describe_numeric(fx.clean(spark, sf_dir), ["fare", "distance", "passengers", "trip_duration_min"])
+
+
+@register
+def top_zones(spark, sf_dir):
+    return profile.value_counts(fx.trips(spark, sf_dir), "pu_zone", 10)
+
+
+@register
+def passenger_counts(spark, sf_dir):
+    return profile.value_counts(fx.trips(spark, sf_dir), "passengers", order="key")
+
+
+@register
+def weekday_counts(spark, sf_dir):
+    return profile.counts_by_weekday(fx.trips(spark, sf_dir), "pickup_ts")
+
+
+@register
+def daily_counts(spark, sf_dir):
+    return profile.daily_counts(fx.trips(spark, sf_dir), "pickup_ts")
+
+
+@register
+def daily_summary(spark, sf_dir):
+    return profile.daily_summary(fx.trips(spark, sf_dir), "pickup_ts")
+
+
+@register
+def hourly_counts(spark, sf_dir):
+    return profile.hourly_counts(fx.trips(spark, sf_dir), "pickup_ts")
+
+
+@register
+def histogram_fare(spark, sf_dir):
+    return profile.histogram(fx.clean(spark, sf_dir), "fare", 0.0, 100.0, 50)
+
+
+@register
+def histogram_duration(spark, sf_dir):
+    return profile.histogram(fx.clean(spark, sf_dir), "trip_duration_min", 0.0, 120.0, 50)
+
+
+@register
+def null_report(spark, sf_dir):
+    return profile.null_report(fx.trips(spark, sf_dir))
+
+
+@register
+def anomaly_report(spark, sf_dir):
+    t = with_duration(fx.trips(spark, sf_dir), FIXTURE_TRIPS)
+    return profile.anomaly_report(t, "trip_duration_min", "fare", "distance", "passengers")
+
+
+# ---- labels and zone dimension ---------------------------------------------
+
+def _zones(spark, sf_dir):
+    r = spark.read.parquet
+    return labels.zone_dimension(r(f"{sf_dir}/supplier.parquet"), r(f"{sf_dir}/nation.parquet"),
+                                 r(f"{sf_dir}/region.parquet"))
+
+
+@register
+def period_labels(spark, sf_dir):
+    from zonecast.functions.time import floor_to
+    hours = fx.trips(spark, sf_dir).select(floor_to("pickup_ts").alias("pickup_datetime")).distinct()
+    return labels.with_period(hours, fx.RANGE_START, fx.CUT, "2024-01-30 01:00:00")
+
+
+def _targets(spark, sf_dir):
+    return fcst.forecast_targets(_panel(spark, sf_dir), fx.FORECAST_START, 24)
+
+
+@register
+def historical_flag(spark, sf_dir):
+    return labels.with_is_historical(_targets(spark, sf_dir), _panel(spark, sf_dir))
+
+
+@register
+def zone_labels(spark, sf_dir):
+    return labels.zone_labels(_zones(spark, sf_dir))
+
+
+@register
+def zone_names(spark, sf_dir):
+    z = distinct_zones_df(spark, sf_dir)
+    return labels.with_zone_name(z, _zones(spark, sf_dir)).select("PULocationID", "Zone")
+
+
+@register
+def zone_attributes(spark, sf_dir):
+    return labels.with_zone_name(zonehour.zone_stats(_panel(spark, sf_dir)), _zones(spark, sf_dir), how="inner")
+
+
+def distinct_zones_df(spark, sf_dir):
+    return zonehour.distinct_zones(fx.clean(spark, sf_dir).withColumnRenamed("pu_zone", "PULocationID"))
+
+
+@register
+def distinct_zones(spark, sf_dir):
+    return distinct_zones_df(spark, sf_dir)
+
+
+def _future(spark, sf_dir):
+    hist = fcst.recent_history(_panel(spark, sf_dir), fx.HISTORY_DAYS)
+    ff = fcst.future_features(_targets(spark, sf_dir), hist, fx.calendar(spark))
+    return fcst.naive_from_features(ff)
+
+
+@register
+def forecast_band(spark, sf_dir):
+    return labels.with_band(_future(spark, sf_dir).select("PULocationID", "step", "ts", "prediction"))
+
+
+@register
+def error_severity(spark, sf_dir):
+    p = fx.test_rows(spark, sf_dir).select("PULocationID", "pickup_datetime", "trip_count", "y_pred")
+    return labels.with_severity(p)
+
+
+# ---- metrics -----------------------------------------------------------------
+
+@register
+def residuals(spark, sf_dir):
+    return fx.panel(spark, sf_dir).select("PULocationID", "pickup_datetime", "period", "trip_count",
+                                          "y_pred", "error", "abs_error")
+
+
+@register
+def metrics_by_period(spark, sf_dir):
+    return mt.metrics(fx.panel(spark, sf_dir))
+
+
+@register
+def metrics_by_zone(spark, sf_dir):
+    return mt.metrics_by_zone(fx.panel(spark, sf_dir))
+
+
+@register
+def metrics_by_hour(spark, sf_dir):
+    return mt.metrics_by_hour(fx.panel(spark, sf_dir))
+
+
+@register
+def metrics_degradation(spark, sf_dir):
+    return mt.degradation(mt.metrics(fx.panel(spark, sf_dir)))
+
+
+@register
+def mape_variants(spark, sf_dir):
+    return mt.mape_variants(fx.panel(spark, sf_dir))
+
+
+@register
+def metrics_pivot(spark, sf_dir):
+    return mt.pivot_metric(mt.metrics_by_hour(fx.panel(spark, sf_dir)))
+
+
+@register
+def period_change_by_hour(spark, sf_dir):
+    return mt.compare_periods(mt.metrics_by_hour(fx.panel(spark, sf_dir)))
+
+
+# ---- diagnostics (test period) -------------------------------------------------
+
+@register
+def worst_zones(spark, sf_dir):
+    z = mt.metrics_by_zone(fx.test_rows(spark, sf_dir))
+    return dg.worst_zones(z, 10).select("zone", "mape", "mean_demand", "n_samples")
+
+
+@register
+def best_zones(spark, sf_dir):
+    z = mt.metrics_by_zone(fx.test_rows(spark, sf_dir))
+    return dg.worst_zones(z, 10, ascending=True).select("zone", "mape", "mean_demand", "n_samples")
+
+
+@register
+def worst_predictions(spark, sf_dir):
+    return dg.worst_predictions(fx.test_rows(spark, sf_dir), 5)
+
+
+@register
+def sample_predictions(spark, sf_dir):
+    t = fx.test_rows(spark, sf_dir).select("PULocationID", "pickup_datetime", "trip_count", "y_pred", "error")
+    return dg.sample_n(t, 5000, ["PULocationID", "pickup_datetime"], seed=42)
+
+
+@register
+def error_distribution(spark, sf_dir):
+    return dg.error_distribution(fx.test_rows(spark, sf_dir))
+
+
+@register
+def error_percentiles(spark, sf_dir):
+    return dg.error_percentiles(fx.test_rows(spark, sf_dir))
+
+
+@register
+def calibration(spark, sf_dir):
+    return dg.calibration(fx.test_rows(spark, sf_dir))
+
+
+@register
+def metrics_by_decile(spark, sf_dir):
+    return dg.metrics_by_decile(fx.test_rows(spark, sf_dir))
+
+
+@register
+def weekly_mae(spark, sf_dir):
+    return dg.weekly_mae(fx.test_rows(spark, sf_dir))
+
+
+@register
+def weekend_mae(spark, sf_dir):
+    return dg.weekend_mae(fx.test_rows(spark, sf_dir))
+
+
+@register
+def negative_predictions(spark, sf_dir):
+    return dg.negative_predictions(fx.test_rows(spark, sf_dir))
+
+
+@register
+def residual_autocorr(spark, sf_dir):
+    return dg.residual_autocorr(fx.test_rows(spark, sf_dir))
+
+
+@register
+def residual_normality(spark, sf_dir):
+    return dg.residual_normality(fx.test_rows(spark, sf_dir))
+
+
+@register
+def prediction_stability(spark, sf_dir):
+    return dg.prediction_stability(fx.test_rows(spark, sf_dir), fx.test_rows(spark, sf_dir),
+                                   ["PULocationID", "pickup_datetime"])
+
+
+# ---- forecast views ----------------------------------------------------------
+
+@register
+def recent_history(spark, sf_dir):
+    return fcst.recent_history(_panel(spark, sf_dir), fx.HISTORY_DAYS)
+
+
+@register
+def max_timestamp(spark, sf_dir):
+    return fcst.with_max_ts(_panel(spark, sf_dir)).select("PULocationID", "pickup_datetime", "max_ts")
+
+
+@register
+def lag_lookup(spark, sf_dir):
+    hist = fcst.recent_history(_panel(spark, sf_dir), fx.HISTORY_DAYS)
+    return fcst.lookup_lags(_targets(spark, sf_dir), hist)
+
+
+@register
+def future_features(spark, sf_dir):
+    return _future(spark, sf_dir)
+
+
+@register
+def compare_forecast(spark, sf_dir):
+    fc = _future(spark, sf_dir).select("PULocationID", "step", "ts", "prediction")
+    return fcst.compare_forecast(fc, _panel(spark, sf_dir))
+
+
+@register
+def forecast_summary(spark, sf_dir):
+    return fcst.forecast_summary(_future(spark, sf_dir))
+
+
+@register
+def history_and_forecast(spark, sf_dir):
+    return fcst.history_and_forecast(_panel(spark, sf_dir), _future(spark, sf_dir), fx.FORECAST_START)
+
+
+@register
+def recent_daily(spark, sf_dir):
+    return fcst.recent_daily(_panel(spark, sf_dir), fx.FORECAST_START, 7)
+
+
+@register
+def daily_totals(spark, sf_dir):
+    return zonehour.daily_totals(_panel(spark, sf_dir))
+
+
+@register
+def daily_forecast_error(spark, sf_dir):
+    return fcst.daily_forecast_error(fx.test_rows(spark, sf_dir))
+
+
+@register
+def hourly_profile(spark, sf_dir):
+    return fcst.hourly_profile(fx.test_rows(spark, sf_dir))
+
+
+@register
+def first_per_hour(spark, sf_dir):
+    zh = fx.zone_hour(spark, sf_dir)
+    return fcst.first_per_hour(zh, ["PULocationID"], order=["dataset"])
+
+
+@register
+def actual_lookup(spark, sf_dir):
+    keys = _targets(spark, sf_dir).select("PULocationID", F.col("ts").alias("pickup_datetime"))
+    return fcst.lookup_actual(_panel(spark, sf_dir), keys)
+
+
+@register
+def zone_report(spark, sf_dir):
+    t = fcst.filter_zones(fx.test_rows(spark, sf_dir), fx.busiest_zones(spark, sf_dir))
+    m = t.groupBy("PULocationID").agg(
+        F.avg(F.abs(F.col("trip_count") - F.col("y_pred"))).alias("mae"),
+        F.sqrt(F.avg(F.pow(F.col("trip_count") - F.col("y_pred"), 2))).alias("rmse"),
+        F.avg(F.col("trip_count").cast("double")).alias("mean_actual"))
+    return labels.with_zone_name(m, _zones(spark, sf_dir)).select("PULocationID", "Zone", "mae", "rmse", "mean_actual")
+
+
+@register
+def series_slice(spark, sf_dir):
+    return fcst.series_slice(fx.panel(spark, sf_dir), fx.busiest_zones(spark, sf_dir), fx.CUT, fx.RANGE_END) \
+        .select("PULocationID", "pickup_datetime", "trip_count", "y_pred")
