@@ -613,3 +613,37 @@ LEFT JOIN zones_dim d ON m.PULocationID = d.LocationID""")
 ORACLE["series_slice"] = q(f"""
 SELECT PULocationID, pickup_datetime, trip_count, round(y_pred, 6) AS y_pred FROM pred
 WHERE PULocationID IN (SELECT PULocationID FROM busy) AND pickup_datetime BETWEEN {CUT} AND {T1}""")
+
+
+# ---- months, ordering, scalar functions ------------------------------------------
+ORACLE["month_selection"] = q("""
+SELECT DISTINCT year_month FROM (
+  SELECT year_month FROM trips
+  UNION ALL
+  SELECT format('{:04d}-{:02d}', y, m) FROM (SELECT DISTINCT year(pickup_ts) AS y FROM trips),
+                                              (SELECT unnest(range(1, 13)) AS m))
+WHERE year_month IS NOT NULL""")
+
+ORACLE["head_rows"] = q("SELECT * FROM panel ORDER BY PULocationID, pickup_datetime LIMIT 10")
+
+ORACLE["range_and_split"] = q(f"""
+SELECT CASE WHEN pickup_datetime < {CUT} THEN 'train' ELSE 'test' END AS part, count(*) AS n_rows,
+       CAST(sum(trip_count) AS BIGINT) AS trips, min(pickup_datetime) AS first_ts, max(pickup_datetime) AS last_ts
+FROM zh_src WHERE pickup_datetime BETWEEN {T0} AND {T1} GROUP BY 1""")
+
+ORACLE["scalar_calendar"] = q("""
+SELECT trip_id, date_trunc('hour', pickup_ts) AS hour_start, hour(pickup_ts) AS hour, day(pickup_ts) AS day,
+       month(pickup_ts) AS month, isodow(pickup_ts) - 1 AS weekday, CAST(isodow(pickup_ts) >= 6 AS BIGINT) AS is_weekend,
+       (isodow(pickup_ts) - 1) * 24 + hour(pickup_ts) AS hour_of_week,
+       strftime(CAST(pickup_ts AS DATE), '%Y-%m-%d') AS date, dayname(pickup_ts) AS day_name,
+       week(pickup_ts) AS iso_week, pickup_ts + INTERVAL 1 DAY AS next_day, pickup_ts - INTERVAL 3 HOUR AS minus_3h,
+       round(date_diff('microsecond', pickup_ts, dropoff_ts) / 1000000.0, 6) AS seconds,
+       round(round_even(fare / 3.0, 2), 6) AS fare_third_r2, round(abs(fare), 6) AS abs_fare,
+       round(sqrt(abs(fare)), 6) AS sqrt_abs_fare, year_month,
+       regexp_extract('yellow_tripdata_' || year_month || '.parquet', '(\\d{4}-\\d{2})\\.parquet$', 1) AS month_from_file
+FROM trips""")
+
+ORACLE["ols_single_feature"] = q(f"""
+SELECT round(regr_slope(trip_count, coalesce(lag_1h, 0.0)), 6) AS slope,
+       round(regr_intercept(trip_count, coalesce(lag_1h, 0.0)), 6) AS intercept, count(*) AS n_rows
+FROM feat WHERE pickup_datetime < {CUT}""")

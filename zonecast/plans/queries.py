@@ -468,3 +468,193 @@ def zone_report(spark, sf_dir):
 def series_slice(spark, sf_dir):
     return fcst.series_slice(fx.panel(spark, sf_dir), fx.busiest_zones(spark, sf_dir), fx.CUT, fx.RANGE_END) \
         .select("PULocationID", "pickup_datetime", "trip_count", "y_pred")
+
+
+# ---- months, ordering, scalar functions ---------------------------------------
+from zonecast.functions import time as tf  # noqa: E402
+from zonecast.functions.numeric import round_half_even  # noqa: E402
+from zonecast.operators import models as md  # noqa: E402
+from zonecast.sources import sinks, trips as src  # noqa: E402
+
+
+@register
+def month_selection(spark, sf_dir):
+    return src.month_table(fx.trips(spark, sf_dir), "pickup_ts")
+
+
+@register
+def head_rows(spark, sf_dir):
+    return dg.head_rows(_panel(spark, sf_dir), 10, ["PULocationID", "pickup_datetime"])
+
+
+@register
+def range_and_split(spark, sf_dir):
+    """F4 + F5: the range-filtered zone-hour table cut at the split date."""
+    zh = grid.filter_range(fx.zone_hour(spark, sf_dir), fx.RANGE_START, fx.RANGE_END)
+    tr, te = grid.split_by_time(zh, fx.CUT)
+    both = tr.withColumn("part", F.lit("train")).unionByName(te.withColumn("part", F.lit("test")))
+    return both.groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("trip_count").alias("trips"),
+                                    F.min("pickup_datetime").alias("first_ts"),
+                                    F.max("pickup_datetime").alias("last_ts"))
+
+
+@register
+def scalar_calendar(spark, sf_dir):
+    """X1-X12 over every trip."""
+    t = fx.trips(spark, sf_dir)
+    ts = F.col("pickup_ts")
+    fname = F.format_string("yellow_tripdata_%s.parquet", tf.year_month(ts))
+    return t.select(
+        "trip_id", tf.floor_to(ts).alias("hour_start"), F.hour(ts).alias("hour"),
+        F.dayofmonth(ts).alias("day"), F.month(ts).alias("month"), tf.weekday0(ts).alias("weekday"),
+        tf.is_weekend(ts).alias("is_weekend"), tf.hour_of_week(ts).alias("hour_of_week"),
+        F.to_date(ts).alias("date"), tf.day_name(ts).alias("day_name"), tf.iso_week(ts).alias("iso_week"),
+        tf.add_days(ts, 1).alias("next_day"), tf.add_hours(ts, -3).alias("minus_3h"),
+        tf.seconds_between("pickup_ts", "dropoff_ts").alias("seconds"),
+        round_half_even(F.col("fare") / 3.0, 2).alias("fare_third_r2"),
+        F.abs(F.col("fare")).alias("abs_fare"), F.sqrt(F.abs(F.col("fare"))).alias("sqrt_abs_fare"),
+        tf.year_month(ts).alias("year_month"), tf.month_from_path(fname).alias("month_from_file"))
+
+
+# ---- models (rows-only checks except the one-feature fit) ----------------------
+
+def _split_assembled(spark, sf_dir):
+    f = fx.features(spark, sf_dir)
+    tr, te = grid.split_by_time(f, fx.CUT)
+    return md.assemble(tr), md.assemble(te)
+
+
+@register
+def model_matrix(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+    a = md.assemble(fx.features(spark, sf_dir))
+    return a.select("PULocationID", "pickup_datetime", "trip_count", vector_to_array("features").alias("x"))
+
+
+@register
+def ols_single_feature(spark, sf_dir):
+    """M2 with one feature: slope and intercept of trip_count on lag_1h."""
+    f = fx.features(spark, sf_dir).where(F.col("pickup_datetime") < tf.ntz(fx.CUT))
+    a = md.assemble(f, ["lag_1h"])
+    m = md._lr(regParam=0.0, solver="normal").fit(a)
+    n = a.count()
+    return spark.range(1).select(F.lit(float(m.coefficients[0])).alias("slope"),
+                                 F.lit(float(m.intercept)).alias("intercept"), F.lit(n).alias("n_rows"))
+
+
+@register
+def linear_scores(spark, sf_dir):
+    tr, te = _split_assembled(spark, sf_dir)
+    return md.score(md.fit_linear(tr), te).select("PULocationID", "pickup_datetime", "trip_count", "y_pred")
+
+
+@register
+def gbt_scores(spark, sf_dir):
+    tr, te = _split_assembled(spark, sf_dir)
+    return md.score(md.fit_gbt(tr), te).select("PULocationID", "pickup_datetime", "trip_count", "y_pred")
+
+
+@register
+def feature_importance(spark, sf_dir):
+    tr, _ = _split_assembled(spark, sf_dir)
+    return md.feature_importance(spark, md.fit_gbt(tr))
+
+
+def _tuning(spark, sf_dir, which):
+    from zonecast.session import materialize
+    tr, te = _split_assembled(spark, sf_dir)
+    tr, te = materialize(tr), materialize(te)
+    return tr, te, which(tr, te)
+
+
+@register
+def ridge_tuning(spark, sf_dir):
+    return md.leaderboard(spark, _tuning(spark, sf_dir, md.tune_ridge)[2])
+
+
+@register
+def lasso_tuning(spark, sf_dir):
+    return md.leaderboard(spark, _tuning(spark, sf_dir, md.tune_lasso)[2])
+
+
+@register
+def elastic_net_tuning(spark, sf_dir):
+    return md.leaderboard(spark, _tuning(spark, sf_dir, md.tune_elastic_net)[2])
+
+
+@register
+def model_leaderboard(spark, sf_dir):
+    """M4-M8: base OLS, scaled OLS and every penalised variant, by MAE."""
+    tr, te, ridge = _tuning(spark, sf_dir, md.tune_ridge)
+    res = [{"model": "linear", "alpha": None, "l1_ratio": None, **md.evaluate(md.fit_linear(tr), te)},
+           {"model": "linear_scaled", "alpha": None, "l1_ratio": None,
+            **md.evaluate(md.fit_linear(tr, scaled=True), te)}]
+    res += ridge + md.tune_lasso(tr, te) + md.tune_elastic_net(tr, te)
+    return md.leaderboard(spark, res)
+
+
+def _forecast(spark, sf_dir):
+    p = _panel(spark, sf_dir)
+    model = md.fit_final(fx.features(spark, sf_dir))
+    hist = fcst.recent_history(p, fx.HISTORY_DAYS)
+    ff = fcst.future_features(_targets(spark, sf_dir), hist, fx.calendar(spark))
+    scored = md.score(model, md.assemble(ff), clamp=True)
+    return scored.select("PULocationID", "step", "ts", F.col("y_pred").alias("prediction"), "has_history")
+
+
+@register
+def forecast_24h(spark, sf_dir):
+    """24 hourly forecasts for every zone from the forecast start."""
+    return _forecast(spark, sf_dir)
+
+
+@register
+def forecast_vs_actual(spark, sf_dir):
+    """P5: the forecast joined to the actuals by clock time."""
+    return fcst.compare_forecast(_forecast(spark, sf_dir), _panel(spark, sf_dir))
+
+
+@register
+def model_history_and_forecast(spark, sf_dir):
+    """P6 with the fitted model's forecast."""
+    return fcst.history_and_forecast(_panel(spark, sf_dir), _forecast(spark, sf_dir), fx.FORECAST_START)
+
+
+# ---- sources and sinks by round trip in the shared checkpoint folder -----------
+
+def _scratch(spark, name):
+    import uuid
+    from zonecast.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/zonecast-{name}-{uuid.uuid4().hex[:8]}"
+
+
+@register
+def source_roundtrip(spark, sf_dir):
+    """K1 then S1/S3/S5: monthly files per dataset written and scanned back,
+    one requested month absent."""
+    base = _scratch(spark, "trips")
+    t = fx.trips(spark, sf_dir)
+    for ds in ("yellow", "fhvhv"):
+        for (ym,) in t.select("year_month").distinct().collect():
+            sinks.write_table(t.where((F.col("dataset") == ds) & (F.col("year_month") == ym)).drop("year_month"),
+                              f"{base}/{ds}_tripdata_{ym}.parquet")
+    y = src.scan_trips(spark, base, "yellow", ["2023-12", "2024-01"], columns=["pickup_ts", "pu_zone", "fare"])
+    h = src.scan_trips(spark, base, "fhvhv", ["2024-01"], columns=["pickup_ts", "pu_zone"])
+    return y.unionByName(h, allowMissingColumns=True)
+
+
+@register
+def report_roundtrip(spark, sf_dir):
+    """K2 then S9/S10: a metrics report written as CSV and read back."""
+    path = _scratch(spark, "report")
+    sinks.write_report(mt.metrics_by_zone(fx.panel(spark, sf_dir)), path)
+    return spark.read.csv(path, header=True, inferSchema=False)
+
+
+@register
+def model_roundtrip(spark, sf_dir):
+    """K3: a fitted model saved, loaded and used for scoring."""
+    tr, te = _split_assembled(spark, sf_dir)
+    path = _scratch(spark, "model")
+    sinks.save_model(md.fit_linear(tr), path)
+    return md.score(sinks.load_model(path), te).select("PULocationID", "pickup_datetime", "y_pred")
