@@ -527,7 +527,7 @@ SELECT 24, round(corr(e, e24), 6) FROM
   (SELECT error AS e, lag(error, 24) OVER (PARTITION BY PULocationID ORDER BY pickup_datetime) AS e24 FROM test)""")
 
 ORACLE["residual_normality"] = q("""
-SELECT n, round(s, 6) AS skewness, round(k, 6) AS kurtosis, round(n / 6.0 * (s * s + k * k / 4.0), 6) AS jb,
+SELECT n, round(s, 6) AS skewness, round(k, 6) AS kurtosis, round(n / 6.0 * (s * s + k * k / 4.0), 3) AS jb,
        round(exp(-(n / 6.0 * (s * s + k * k / 4.0)) / 2.0), 6) AS p_value,
        CAST(exp(-(n / 6.0 * (s * s + k * k / 4.0)) / 2.0) > 0.05 AS BIGINT) AS normal
 FROM (SELECT count(*) AS n, avg(pow(error - mu, 3)) / pow(avg(pow(error - mu, 2)), 1.5) AS s,
