@@ -6,13 +6,20 @@ from zonecast.plans.explain import plan_text
 from conftest import SF001
 
 
+def test_zone_hour_stage_pushes_range_to_scan(spark):
+    p = plan_text(fx.zone_hour(spark, SF001))
+    assert "PushedFilters" in p and "GreaterThanOrEqual(ts" in p and "LessThan(ts" in p
+    assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
 def test_flagship_plan(spark):
     p = plan_text(fx.features(spark, SF001))
+    head = p.split("\n\n")[0]
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
-    assert "PushedFilters" in p and "GreaterThanOrEqual(ts" in p
-    assert "BroadcastHashJoin" in p
+    assert "Scan parquet" not in head            # raw trips read once, by the checkpoint
+    assert "BroadcastHashJoin" in head            # holiday flags
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
-    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double,props:string>" in p
+    assert head.count("Sort (") == 1              # lags and rolling means share one sort
 
 
 def test_scan_prunes_columns(spark):

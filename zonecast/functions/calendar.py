@@ -49,28 +49,31 @@ def _rule_date(year: Column, month: int, rule: str) -> Column:
 def holidays_for_years(years: DataFrame, observed: bool = True, year_col: str = "year") -> DataFrame:
     """US federal holidays of the years in ``years`` (one row per year):
     ``holiday_date, name``. Observed days are extra rows named
-    ``"<name> (observed)"``; a holiday whose date already appears is not
-    duplicated by the flag joins, which use distinct dates.
+    ``"<name> (observed)"``.
+
+    Each year row is expanded by generators -- one row per rule, then the
+    observed day where the rule moves it -- so the calendar is one narrow
+    stage with no join or union.
     """
-    years = years.select(F.col(year_col).cast("int").alias("year"))
-    parts = []
-    for name, month, rule, since in US_FEDERAL_RULES:
-        d = _rule_date(F.col("year"), month, rule)
-        parts.append(years.where(F.col("year") >= since).select(
-            d.alias("holiday_date"), F.lit(name).alias("name"), F.lit(rule).alias("rule")))
-    cal = parts[0]
-    for p in parts[1:]:
-        cal = cal.unionByName(p)
-    if observed:
-        fixed = cal.where(F.col("rule").startswith("day:"))
-        wd = F.weekday("holiday_date")
-        moved = (fixed.where(wd >= 5)
-                 .select(F.when(wd == 5, F.date_sub("holiday_date", 1))
-                          .otherwise(F.date_add("holiday_date", 1)).alias("holiday_date"),
-                         F.concat(F.col("name"), F.lit(" (observed)")).alias("name"),
-                         F.col("rule")))
-        cal = cal.unionByName(moved)
-    return cal.select("holiday_date", "name")
+    rules = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(m).alias("m"), F.lit(r).alias("rule"),
+                               F.lit(since).alias("since"))
+                      for n, m, r, since in US_FEDERAL_RULES])
+    y = years.select(F.col(year_col).cast("int").alias("year")).select("year", F.inline(rules))
+    y = y.where(F.col("year") >= F.col("since"))
+    d = None
+    for _, month, rule, _ in US_FEDERAL_RULES:
+        expr = _rule_date(F.col("year"), month, rule)
+        cond = (F.col("m") == month) & (F.col("rule") == rule)
+        d = F.when(cond, expr) if d is None else d.when(cond, expr)
+    cal = y.select(d.alias("holiday_date"), "name", "rule")
+    if not observed:
+        return cal.select("holiday_date", "name")
+    wd = F.weekday("holiday_date")
+    moved = F.when(wd == 5, F.date_sub("holiday_date", 1)).otherwise(F.date_add("holiday_date", 1))
+    obs = F.struct(moved.alias("holiday_date"), F.concat(F.col("name"), F.lit(" (observed)")).alias("name"))
+    own = F.struct(F.col("holiday_date"), F.col("name"))
+    both = F.when(F.col("rule").startswith("day:") & (wd >= 5), F.array(own, obs)).otherwise(F.array(own))
+    return cal.select(F.inline(both))
 
 
 def holiday_calendar(spark: SparkSession, first_year: int, last_year: int,
@@ -81,7 +84,7 @@ def holiday_calendar(spark: SparkSession, first_year: int, last_year: int,
     (trap T20): the observed New Year's Day of year Y+1 can fall on
     31 December of year Y, and the eve of 31 December needs year Y+1.
     """
-    years = spark.range(first_year, last_year + 1).withColumnRenamed("id", "year")
+    years = spark.range(first_year, last_year + 1, numPartitions=1).withColumnRenamed("id", "year")
     return holidays_for_years(years, observed)
 
 
@@ -107,18 +110,21 @@ def temporal_features(df: DataFrame, time_col: str = "pickup_datetime") -> DataF
     )
 
 
-def with_holidays(df: DataFrame, calendar: DataFrame, time_col: str = "pickup_datetime") -> DataFrame:
-    """Add ``is_holiday`` and ``is_holiday_eve`` (next day is a holiday).
+def holiday_flags(calendar: DataFrame) -> DataFrame:
+    """Per date: ``is_holiday`` and ``is_holiday_eve`` (the next day is a
+    holiday), one row per date -- a few dozen rows per year."""
+    h = calendar.select(F.col("holiday_date").alias("flag_date"), F.lit(1).alias("h"), F.lit(0).alias("e"))
+    e = calendar.select(F.date_sub("holiday_date", 1).alias("flag_date"), F.lit(0).alias("h"), F.lit(1).alias("e"))
+    return (h.unionByName(e).groupBy("flag_date")
+             .agg(F.max("h").alias("is_holiday"), F.max("e").alias("is_holiday_eve")))
 
-    The calendar is reduced to distinct dates and broadcast: it holds about a
-    dozen rows per year, a bound that does not grow with the data.
-    """
-    days = F.broadcast(calendar.select(F.col("holiday_date")).distinct())
-    d = F.to_date(col_(time_col))
-    out = (df.withColumn("__d", d)
-             .join(days.withColumnRenamed("holiday_date", "__h"), F.col("__d") == F.col("__h"), "left")
-             .join(days.withColumnRenamed("holiday_date", "__e"),
-                   F.date_add(F.col("__d"), 1) == F.col("__e"), "left"))
-    return (out.withColumn("is_holiday", F.col("__h").isNotNull().cast("int"))
-               .withColumn("is_holiday_eve", F.col("__e").isNotNull().cast("int"))
-               .drop("__d", "__h", "__e"))
+
+def with_holidays(df: DataFrame, calendar: DataFrame, time_col: str = "pickup_datetime") -> DataFrame:
+    """Add ``is_holiday`` and ``is_holiday_eve`` (J6) with one broadcast
+    hash join on the date. The flag table is bounded by the calendar's year
+    range (about two dozen rows per year), not by the data."""
+    flags = F.broadcast(holiday_flags(calendar))
+    out = df.join(flags, F.to_date(col_(time_col)) == F.col("flag_date"), "left")
+    return (out.withColumn("is_holiday", F.coalesce("is_holiday", F.lit(0)))
+               .withColumn("is_holiday_eve", F.coalesce("is_holiday_eve", F.lit(0)))
+               .drop("flag_date"))

@@ -23,6 +23,7 @@ from bisect import bisect_right
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,52 +33,94 @@ def exact_percentiles(df: DataFrame, col, probs: Sequence[float], buckets: int =
 
     Returns one float per entry of ``probs`` (``None`` for an empty column).
     """
-    c = F.col(col) if isinstance(col, str) else col
-    base = df.select(c.cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    return exact_percentiles_multi(df, [col], probs, buckets)[0]
+
+
+def exact_percentiles_multi(df: DataFrame, cols: Sequence, probs: Sequence[float],
+                            buckets: int = 1000) -> list[list]:
+    """:func:`exact_percentiles` of several columns with shared passes."""
+    vals = []
+    for i, c in enumerate(cols):
+        x = (F.col(c) if isinstance(c, str) else c).cast("double")
+        vals.append(F.when(x.isNull() | F.isnan(x), F.lit(float("nan"))).otherwise(x).alias(f"c{i}"))
+    # The columns are read by three passes: keep them (memory, spilling to
+    # disk) rather than recompute the upstream plan three times. Lost blocks
+    # are recomputed from lineage.
+    base = df.select(*vals).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _exact(base, len(cols), probs, buckets)
+    finally:
+        base.unpersist()
+
+
+def _exact(base: DataFrame, k: int, probs: Sequence[float], buckets: int) -> list[list]:
     grid = [i / buckets for i in range(1, buckets)]
-    edges = base.agg(F.percentile_approx("v", grid, 10 * buckets).alias("e")).first()["e"]
-    if edges is None:
-        return [None for _ in probs]
-    splits = [-math.inf] + sorted(set(float(e) for e in edges)) + [math.inf]
-    bz = Bucketizer(splits=splits, inputCol="v", outputCol="b")
-    bucketed = bz.transform(base)
-    counts = {int(r["b"]): r["n"] for r in bucketed.groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()}
-    order = sorted(counts)
-    starts, acc = [], 0
-    for b in order:
-        starts.append(acc)
-        acc += counts[b]
-    n = acc
-    wanted = {}
-    for p in probs:
-        pos = float(p) * (n - 1)
-        lo = int(math.floor(pos))
-        hi = min(lo + 1, n - 1)
-        wanted[p] = (lo, hi, pos - lo)
-    ranks = sorted({r for lo, hi, _ in wanted.values() for r in (lo, hi)})
-    bucket_of = {r: order[bisect_right(starts, r) - 1] for r in ranks}
-    need = sorted(set(bucket_of.values()))
-    offset = F.create_map(*[x for b in need for x in (F.lit(float(b)), F.lit(starts[order.index(b)]))])
-    w = Window.partitionBy("b").orderBy("v")
-    ranked = (bucketed.where(F.col("b").isin([float(b) for b in need]))
-              .groupBy("b", "v").agg(F.count(F.lit(1)).alias("k"))
-              .withColumn("end", F.sum("k").over(w.rowsBetween(Window.unboundedPreceding, 0))
-                          + offset[F.col("b")]))
+    clean = [F.when(~F.isnan(f"c{i}"), F.col(f"c{i}")) for i in range(k)]
+    first = base.agg(*[F.percentile_approx(clean[i], grid, 10 * buckets).alias(f"e{i}") for i in range(k)]).first()
+    # An empty column has no edges; Bucketizer needs three splits at least.
+    splits = [[-math.inf] + (sorted(set(float(e) for e in (first[f"e{i}"] or []))) or [0.0]) + [math.inf]
+              for i in range(k)]
+    if k == 1:
+        bz = Bucketizer(splits=splits[0], inputCol="c0", outputCol="b0", handleInvalid="keep")
+    else:
+        bz = Bucketizer(splitsArray=splits, inputCols=[f"c{i}" for i in range(k)],
+                        outputCols=[f"b{i}" for i in range(k)], handleInvalid="keep")
+    long = (bz.transform(base)
+            .select(F.inline(F.array(*[F.struct(F.lit(i).alias("k"), F.col(f"c{i}").alias("v"),
+                                                F.col(f"b{i}").cast("int").alias("b")) for i in range(k)])))
+            .where(~F.isnan("v")))
+    counts: dict = {}
+    for r in long.groupBy("k", "b").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts.setdefault(r["k"], {})[r["b"]] = r["n"]
+    plan, offsets, need = {}, {}, set()
+    for i in range(k):
+        cnt = counts.get(i)
+        if not cnt:
+            continue
+        order = sorted(cnt)
+        starts, acc = [], 0
+        for b in order:
+            starts.append(acc)
+            offsets[(i, b)] = acc
+            acc += cnt[b]
+        n = acc
+        for p in probs:
+            pos = float(p) * (n - 1)
+            lo = int(math.floor(pos))
+            hi = min(lo + 1, n - 1)
+            plan[(i, p)] = (lo, hi, pos - lo)
+            for r in (lo, hi):
+                need.add((i, order[bisect_right(starts, r) - 1], r))
+    if not need:
+        return [[None for _ in probs] for _ in range(k)]
+    pairs = sorted({(i, b) for i, b, _ in need})
+    key = F.col("k") * F.lit(1 << 20) + F.col("b")
+    off = F.create_map(*[x for i, b in pairs for x in (F.lit(i * (1 << 20) + b), F.lit(offsets[(i, b)]))])
+    w = Window.partitionBy("k", "b").orderBy("v")
+    ranked = (long.where(key.isin([i * (1 << 20) + b for i, b in pairs]))
+              .groupBy("k", "b", "v").agg(F.count(F.lit(1)).alias("c"))
+              .withColumn("end", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)) + off[key]))
     hit = F.lit(False)
-    for r in ranks:
-        hit = hit | ((F.col("end") - F.col("k") <= r) & (F.col("end") > r))
-    rows = ranked.where(hit).select("v", "k", "end").collect()
+    for i, b, r in need:
+        hit = hit | ((F.col("k") == i) & (F.col("end") - F.col("c") <= r) & (F.col("end") > r))
+    rows = ranked.where(hit).select("k", "v", "c", "end").collect()
     value = {}
-    for r in ranks:
+    for i, _, r in need:
         for row in rows:
-            if row["end"] - row["k"] <= r < row["end"]:
-                value[r] = row["v"]
+            if row["k"] == i and row["end"] - row["c"] <= r < row["end"]:
+                value[(i, r)] = row["v"]
                 break
     out = []
-    for p in probs:
-        lo, hi, frac = wanted[p]
-        a, b = value[lo], value[hi]
-        out.append(a + (b - a) * frac)
+    for i in range(k):
+        res = []
+        for p in probs:
+            if (i, p) not in plan:
+                res.append(None)
+                continue
+            lo, hi, frac = plan[(i, p)]
+            a, b = value[(i, lo)], value[(i, hi)]
+            res.append(a + (b - a) * frac)
+        out.append(res)
     return out
 
 

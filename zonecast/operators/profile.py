@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.functions.quantiles import exact_percentiles
+from zonecast.functions.quantiles import exact_percentiles, exact_percentiles_multi
 from zonecast.functions.time import day_name, weekday0
 
 
@@ -72,7 +72,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
     one = df.agg(*aggs)
-    qs = {c: exact_percentiles(df, c, [0.25, 0.5, 0.75]) for c in cols}
+    qs = dict(zip(cols, exact_percentiles_multi(df, list(cols), [0.25, 0.5, 0.75])))
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}__count").alias("count"),
                               F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
                               F.col(f"{c}__min").alias("min"),

@@ -520,7 +520,8 @@ def scalar_calendar(spark, sf_dir):
 # ---- models (rows-only checks except the one-feature fit) ----------------------
 
 def _split_assembled(spark, sf_dir):
-    f = fx.features(spark, sf_dir)
+    from zonecast.session import materialize
+    f = materialize(fx.features(spark, sf_dir))
     tr, te = grid.split_by_time(f, fx.CUT)
     return md.assemble(tr), md.assemble(te)
 
@@ -562,9 +563,7 @@ def feature_importance(spark, sf_dir):
 
 
 def _tuning(spark, sf_dir, which):
-    from zonecast.session import materialize
     tr, te = _split_assembled(spark, sf_dir)
-    tr, te = materialize(tr), materialize(te)
     return tr, te, which(tr, te)
 
 
