@@ -44,9 +44,11 @@ def zone_dimension(supplier: DataFrame, nation: DataFrame, region: DataFrame) ->
     supplier/nation/region star: the driver tables stand in for the zone CSV."""
     n = nation.select("n_nationkey", "n_name", "n_regionkey")
     r = region.select("r_regionkey", "r_name")
+    # No broadcast hint: AQE broadcasts a side whose measured size is under
+    # spark.sql.autoBroadcastJoinThreshold and shuffles otherwise.
     return (supplier.select("s_suppkey", "s_name", "s_nationkey")
-            .join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"), "left")
-            .join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+            .join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+            .join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left")
             .select(F.col("s_suppkey").cast("bigint").alias("LocationID"), F.col("n_name").alias("Borough"),
                     F.col("s_name").alias("Zone"), F.col("r_name").alias("service_zone")))
 

@@ -196,6 +196,8 @@ SELECT pickup_datetime, PULocationID, CAST(sum(trip_count) AS BIGINT) AS trip_co
        round(sum(total_passengers), 6) AS total_passengers
 FROM src_tot GROUP BY 1, 2""")
 
+ORACLE["streaming_combined_demand"] = ORACLE["combined_demand"]
+
 ORACLE["consolidated_demand"] = q(f"""
 SELECT PULocationID, pickup_datetime, CAST(sum(trip_count) AS BIGINT) AS trip_count,
        round(avg(avg_fare), 6) AS avg_fare, round(avg(avg_trip_distance), 6) AS avg_trip_distance,

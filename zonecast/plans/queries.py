@@ -73,10 +73,14 @@ def consolidated_demand(spark, sf_dir):
     return zonehour.consolidate(zh, mean_cols=["avg_fare", "avg_trip_distance", "avg_passenger_count"])
 
 
-def _consolidated(spark, sf_dir):
+def _consolidated(spark, sf_dir, checkpoint=False):
     zh = fx.zone_hour(spark, sf_dir).drop("dataset")
     zh = grid.filter_range(zh, fx.RANGE_START, fx.RANGE_END)
-    return zonehour.consolidate(zh)
+    out = zonehour.consolidate(zh)
+    if checkpoint:
+        from zonecast.session import materialize
+        out = materialize(out)
+    return out
 
 
 @register
@@ -86,7 +90,7 @@ def zone_hour_grid(spark, sf_dir):
 
 
 def _panel(spark, sf_dir):
-    return grid.complete_grid(_consolidated(spark, sf_dir), fx.RANGE_START, fx.RANGE_END) \
+    return grid.complete_grid(_consolidated(spark, sf_dir, checkpoint=True), fx.RANGE_START, fx.RANGE_END) \
         .select("PULocationID", "pickup_datetime", "trip_count")
 
 
@@ -658,3 +662,21 @@ def model_roundtrip(spark, sf_dir):
     path = _scratch(spark, "model")
     sinks.save_model(md.fit_linear(tr), path)
     return md.score(sinks.load_model(path), te).select("PULocationID", "pickup_datetime", "y_pred")
+
+
+@register
+def streaming_combined_demand(spark, sf_dir):
+    """A3 through the streaming ingest: fixture trips written as monthly
+    files per dataset, streamed with availableNow, totals re-summed."""
+    from zonecast.streaming.ingest import ingest_trip_files, read_ingested
+    base = _scratch(spark, "stream")
+    t = fx.trips(spark, sf_dir)
+    for ds in ("yellow", "fhvhv"):
+        for (ym,) in t.select("year_month").distinct().collect():
+            sinks.write_table(t.where((F.col("dataset") == ds) & (F.col("year_month") == ym)),
+                              f"{base}/in/{ds}/{ds}_tripdata_{ym}")
+    for ds in ("yellow", "fhvhv"):
+        q = ingest_trip_files(spark, f"{base}/in/{ds}/*", ds, t.schema, f"{base}/out",
+                              f"{base}/ckpt/{ds}", FIXTURE_TRIPS)
+        q.awaitTermination()
+    return read_ingested(spark, f"{base}/out")
