@@ -626,6 +626,8 @@ SELECT DISTINCT year_month FROM (
                                               (SELECT unnest(range(1, 13)) AS m))
 WHERE year_month IS NOT NULL""")
 
+ORACLE["panel_write_order"] = q("SELECT * FROM panel")
+
 ORACLE["head_rows"] = q("SELECT * FROM panel ORDER BY PULocationID, pickup_datetime LIMIT 10")
 
 ORACLE["range_and_split"] = q(f"""

@@ -680,3 +680,27 @@ def streaming_combined_demand(spark, sf_dir):
                               f"{base}/ckpt/{ds}", FIXTURE_TRIPS)
         q.awaitTermination()
     return read_ingested(spark, f"{base}/out")
+
+
+@register
+def panel_write_order(spark, sf_dir):
+    """O1 + K1: the panel written clustered by zone and sorted by time, read back."""
+    path = _scratch(spark, "panel")
+    sinks.write_table(_panel(spark, sf_dir), path, cluster_by=["PULocationID"],
+                      sort_by=["PULocationID", "pickup_datetime"])
+    return src.read_table(spark, path)
+
+
+@register
+def model_comparison(spark, sf_dir):
+    """M8: OLS against boosted trees on the test period, with the relative
+    improvement of the trees."""
+    tr, te = _split_assembled(spark, sf_dir)
+    lin = md.evaluate(md.fit_linear(tr), te)
+    gbt = md.evaluate(md.fit_gbt(tr), te)
+    imp = md.improvement(lin, gbt)
+    rows = [("linear", lin["mae"], lin["rmse"], lin["r2"], None, None, None),
+            ("gbt", gbt["mae"], gbt["rmse"], gbt["r2"], imp["mae_pct"], imp["rmse_pct"], imp["r2_pct"])]
+    return spark.createDataFrame(rows, "model string, mae double, rmse double, r2 double, "
+                                       "mae_improvement_pct double, rmse_improvement_pct double, "
+                                       "r2_improvement_pct double")
