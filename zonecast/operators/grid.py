@@ -45,16 +45,28 @@ def with_split_period(df: DataFrame, cut, time: str = "pickup_datetime",
 
 
 def zone_hour_grid(zones: DataFrame, start, end, zone: str = "PULocationID",
-                   time: str = "pickup_datetime", end_inclusive: str = "instant") -> DataFrame:
+                   time: str = "pickup_datetime", end_inclusive: str = "instant",
+                   partitions: int | None = None) -> DataFrame:
     """Every zone paired with every hour of the closed range.
 
     Each zone row is expanded by ``explode(sequence(start, end, 1 hour))`` --
     a narrow generator on the zone list, no join and no broadcast; the output
     size is zones x hours, the size of the panel itself.
+
+    The zone list is tiny, so adaptive execution would coalesce its
+    exchange into one partition and the whole panel would then be generated,
+    joined and windowed by one task. The zone column is therefore
+    hash-partitioned by zone into ``partitions`` (default
+    ``spark.sql.shuffle.partitions``) before the distinct: a repartition with
+    an explicit count is neither coalesced nor dropped as redundant, the
+    distinct needs no further exchange, and the grid join and the per-zone
+    windows reuse this partitioning. Its input is the zone-hour table, at most
+    zones x hours rows.
     """
     if end_inclusive == "day":
         end = add_days(ntz(end), 1) - F.expr("INTERVAL 1 HOUR")
-    z = zones.select(zone).where(F.col(zone).isNotNull()).distinct()
+    n = partitions or int(zones.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    z = zones.select(zone).where(F.col(zone).isNotNull()).repartition(n, zone).distinct()
     return z.select(zone, F.explode(hour_range(start, end)).alias(time))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: naive timestamps are compared in UTC, AQE
@@ -79,4 +80,12 @@ def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
     whole plan from the raw scan.
     """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    if not eager:
+        return df.checkpoint(eager=False)
+    # Writing a reliable checkpoint is a second job over the same plan; keep
+    # the first job's output so the write reads it instead of recomputing.
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()

@@ -33,4 +33,5 @@ def events_to_trips(events: DataFrame) -> DataFrame:
 
 
 def read_fixture_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_to_trips(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    from zonecast.sources.trips import spread
+    return events_to_trips(spread(spark.read.parquet(f"{sf_dir}/events.parquet")))

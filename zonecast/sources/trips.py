@@ -89,6 +89,16 @@ def scan_trips(spark: SparkSession, base: str, dataset: str, months: Sequence[st
               .drop("_metadata"))
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has
+    cores (a single row group or an unsplittable file); otherwise return it
+    unchanged. A large input already has one split per block, so the rule
+    adds no shuffle there; the partition count comes from planning, not a job.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A processed parquet table."""
     return spark.read.parquet(path)
