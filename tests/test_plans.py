@@ -26,3 +26,9 @@ def test_scan_prunes_columns(spark):
     from zonecast.operators.profile import hourly_counts
     p = plan_text(hourly_counts(fx.trips(spark, SF001), "pickup_ts"))
     assert "ReadSchema: struct<ts:timestamp_ntz>" in p
+
+
+def test_panel_is_spread_over_partitions(spark):
+    from pyspark.sql import functions as F
+    parts = fx.features(spark, SF001).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > 1

@@ -154,3 +154,11 @@ def test_t21_t22_weekly_rows_and_std(spark):
     assert w == {(2025, 13): 1, (2025, 14): 1}
     d = diagnostics.error_distribution(df).first()
     assert math.isclose(d.std, 1.0)  # population std of [1, 3]
+
+
+def test_join_lags_equal_window_lags(spark):
+    rows = [(z, D(2024, 1, 1) + dt.timedelta(hours=h), (h * 7 + z) % 11) for z in (1, 2) for h in range(60)]
+    df = spark.createDataFrame(rows, "PULocationID bigint, pickup_datetime timestamp_ntz, trip_count bigint")
+    a = with_lags(df, [1, 24]).orderBy("PULocationID", "pickup_datetime").collect()
+    b = with_lags(df, [1, 24], method="join").orderBy("PULocationID", "pickup_datetime").collect()
+    assert [(r.lag_1h, r.lag_24h) for r in a] == [(r.lag_1h, r.lag_24h) for r in b]

@@ -20,13 +20,28 @@ def _zone_window(zone: str, time: str):
 
 
 def with_lags(df: DataFrame, lags: Sequence[int] = LAGS, zone: str = "PULocationID",
-              time: str = "pickup_datetime", y: str = "trip_count", prefix: str = "lag_") -> DataFrame:
+              time: str = "pickup_datetime", y: str = "trip_count", prefix: str = "lag_",
+              method: str = "window") -> DataFrame:
     """``lag_{k}h`` = the value k rows earlier in the zone.
 
     On a complete grid a row is an hour, so k rows is k hours. Values are
     doubles with NULL for the first k rows of a zone. All lags share one
     window spec and therefore one shuffle by zone and one sort.
+
+    ``method="join"`` takes the value at ``t - k hours`` by one equi-join on
+    (zone, hour) instead -- for series too long, or zones too hot, for one
+    window task per zone: the join keys are unique, so no task holds more
+    than a hash share of the rows. On a complete grid both give the same
+    table.
     """
+    if method == "join":
+        src = df.select(F.col(zone).alias("__z"), F.col(time).alias("__t"), F.col(y).cast("double").alias("__y"))
+        x = df.select(zone, time, F.explode(F.array(*[F.lit(k) for k in lags])).alias("__k")) \
+            .withColumn("__lt", F.timestamp_add("HOUR", -F.col("__k"), F.col(time)))
+        j = x.join(src, (F.col(zone) == F.col("__z")) & (F.col("__lt") == F.col("__t")), "left")
+        folded = j.groupBy(zone, time).agg(*[F.max(F.when(F.col("__k") == k, F.col("__y"))).alias(f"{prefix}{k}h")
+                                             for k in lags])
+        return df.join(folded, [zone, time], "left")
     w = _zone_window(zone, time)
     return df.select("*", *[F.lag(F.col(y).cast("double"), k).over(w).alias(f"{prefix}{k}h") for k in lags])
 

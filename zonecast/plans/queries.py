@@ -12,6 +12,12 @@ from zonecast.operators.features import with_lags, with_rolling_means
 from zonecast.plans import fixture as fx
 from zonecast.plans.present import present
 from zonecast.schema import FIXTURE_TRIPS
+from zonecast.operators import profile, labels, metrics as mt, diagnostics as dg, forecast as fcst
+from zonecast.operators.cleaning import with_duration
+from zonecast.functions import time as tf
+from zonecast.functions.numeric import round_half_even
+from zonecast.operators import models as md
+from zonecast.sources import sinks, trips as src
 
 REGISTRY: dict = {}
 
@@ -127,8 +133,6 @@ def rolling_features_leakfree(spark, sf_dir):
 
 
 # ---- profiles ---------------------------------------------------------------
-from zonecast.operators import profile, labels, metrics as mt, diagnostics as dg, forecast as fcst  # noqa: E402
-from zonecast.operators.cleaning import with_duration  # noqa: E402
 
 
 @register
@@ -476,10 +480,6 @@ def series_slice(spark, sf_dir):
 
 
 # ---- months, ordering, scalar functions ---------------------------------------
-from zonecast.functions import time as tf  # noqa: E402
-from zonecast.functions.numeric import round_half_even  # noqa: E402
-from zonecast.operators import models as md  # noqa: E402
-from zonecast.sources import sinks, trips as src  # noqa: E402
 
 
 @register
