@@ -651,3 +651,26 @@ ORACLE["ols_single_feature"] = q(f"""
 SELECT round(regr_slope(trip_count, coalesce(lag_1h, 0.0)), 6) AS slope,
        round(regr_intercept(trip_count, coalesce(lag_1h, 0.0)), 6) AS intercept, count(*) AS n_rows
 FROM feat WHERE pickup_datetime < {CUT}""")
+
+
+# ---- combined path feature table (A5) ---------------------------------------------
+_FEAT_BODY = dict(CTES)["feat"].replace("FROM panel_full p", "FROM panelc p")
+ORACLE["combined_features"] = q_norm(f"""
+, comb AS (SELECT pickup_datetime, PULocationID, CAST(sum(trip_count) AS BIGINT) AS trip_count,
+                  sum(total_distance) AS total_distance, sum(total_passengers) AS total_passengers
+           FROM src_tot GROUP BY 1, 2),
+zhc AS (SELECT PULocationID, pickup_datetime, CAST(sum(trip_count) AS BIGINT) AS trip_count,
+               avg(total_distance) AS total_distance, avg(total_passengers) AS total_passengers
+        FROM comb WHERE pickup_datetime BETWEEN {T0} AND {T1} GROUP BY 1, 2),
+panelc AS (SELECT z.PULocationID, h.pickup_datetime,
+                  CASE WHEN c.PULocationID IS NULL THEN 0 ELSE c.trip_count END AS trip_count,
+                  CASE WHEN c.PULocationID IS NULL THEN 0.0 ELSE c.total_distance END AS total_distance,
+                  CASE WHEN c.PULocationID IS NULL THEN 0.0 ELSE c.total_passengers END AS total_passengers
+           FROM (SELECT DISTINCT PULocationID FROM zhc) z CROSS JOIN hours h
+           LEFT JOIN zhc c ON c.PULocationID = z.PULocationID AND c.pickup_datetime = h.pickup_datetime),
+featc AS ({_FEAT_BODY})
+SELECT PULocationID, pickup_datetime, trip_count, {r6('total_distance', 'total_passengers')},
+  hour, day_of_week, day_of_month, month, is_weekend, hour_of_week, is_holiday, is_holiday_eve,
+  {r6('lag_1h', 'lag_2h', 'lag_3h', 'lag_24h', 'lag_168h',
+      'rolling_mean_3h', 'rolling_mean_12h', 'rolling_mean_24h', 'rolling_mean_168h')}
+FROM featc""")

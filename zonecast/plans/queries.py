@@ -704,3 +704,13 @@ def model_comparison(spark, sf_dir):
     return spark.createDataFrame(rows, "model string, mae double, rmse double, r2 double, "
                                        "mae_improvement_pct double, rmse_improvement_pct double, "
                                        "r2_improvement_pct double")
+
+
+@register
+def combined_features(spark, sf_dir):
+    """Combined path end to end: S6/S7 -> A2 -> A3 -> F4 -> A5 (mean of the
+    total columns, T9) -> J2/J3 -> C2 -> J6 -> W1/W2."""
+    from zonecast.operators.features import build_features
+    y, h = _normalized(spark, sf_dir)
+    comb = zonehour.combine_sources([zonehour.totals_zone_hour(y), zonehour.totals_zone_hour(h)])
+    return build_features(comb, fx.RANGE_START, fx.RANGE_END, fx.calendar(spark))
