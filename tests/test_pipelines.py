@@ -41,3 +41,15 @@ def test_evaluate_and_save(spark, tmp_path):
     det = pl.detailed_tests(pred, pl.predictions(panel, model, fx.CUT))
     assert det["stability"].first().stable
     assert spark.read.parquet(str(tmp_path / "history")).count() > 0
+
+
+def test_forecast_all_zones(spark, tmp_path):
+    from zonecast.operators.forecast import recent_history
+    _raw(spark, tmp_path)
+    zh = pl.yellow_zone_hour(spark, str(tmp_path), ["2024-01"])
+    panel = pl.feature_table(zh, fx.RANGE_START, fx.RANGE_END)
+    model = pl.save_final(panel, str(tmp_path / "m"), str(tmp_path / "h"))
+    fc = pl.forecast(model, panel, fx.FORECAST_START, recent_history(panel), fx.calendar(spark), 6)
+    n_zones = panel.select("PULocationID").distinct().count()
+    assert fc.count() == 6 * n_zones
+    assert fc.agg(F.min("prediction")).first()[0] >= 0.0

@@ -162,3 +162,10 @@ def test_join_lags_equal_window_lags(spark):
     a = with_lags(df, [1, 24]).orderBy("PULocationID", "pickup_datetime").collect()
     b = with_lags(df, [1, 24], method="join").orderBy("PULocationID", "pickup_datetime").collect()
     assert [(r.lag_1h, r.lag_24h) for r in a] == [(r.lag_1h, r.lag_24h) for r in b]
+
+
+def test_thirty_minute_buckets(spark):
+    rows = [trip(start=D(2024, 1, 1, 8, 10)), trip(start=D(2024, 1, 1, 8, 40)), trip(start=D(2024, 1, 1, 8, 29))]
+    df = spark.createDataFrame(rows, TRIP_SCHEMA)
+    out = {r.pickup_datetime: r.trip_count for r in zonehour.aggregate_zone_hour(df, bucket_minutes=30).collect()}
+    assert out == {D(2024, 1, 1, 8, 0): 2, D(2024, 1, 1, 8, 30): 1}

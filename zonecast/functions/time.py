@@ -41,8 +41,10 @@ def floor_minutes(c, minutes: int) -> Column:
     """Floor to buckets of ``minutes`` (30-minute buckets etc.)."""
     if minutes == 60:
         return floor_to(c, "hour")
-    secs = F.unix_micros(col_(c).cast("timestamp")) / 1_000_000
-    return F.timestamp_seconds(secs - F.pmod(secs, F.lit(60 * minutes))).cast("timestamp_ntz")
+    # Naive arithmetic from a naive epoch: independent of the session zone.
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    secs = F.timestamp_diff("SECOND", epoch, col_(c))
+    return F.timestamp_add("SECOND", secs - F.pmod(secs, F.lit(60 * minutes)), epoch)
 
 
 def weekday0(c) -> Column:

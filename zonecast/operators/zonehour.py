@@ -14,14 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.functions.numeric import round_half_even
-from zonecast.functions.time import floor_to
+from zonecast.functions.time import floor_minutes, floor_to
 from zonecast.operators.cleaning import nan_to_null
 from zonecast.schema import TripCols, require_columns
 
 
 def aggregate_zone_hour(df: DataFrame, cols: TripCols = TripCols(), by: Sequence[str] = (),
                         zone_out: str = "PULocationID", time_out: str = "pickup_datetime",
-                        unit: str = "hour") -> DataFrame:
+                        unit: str = "hour", bucket_minutes: int | None = None) -> DataFrame:
     """Yellow-path zone-hour demand (A1).
 
     ``trip_count`` counts non-null vendor ids (trap T7); fare, distance and
@@ -33,8 +33,8 @@ def aggregate_zone_hour(df: DataFrame, cols: TripCols = TripCols(), by: Sequence
     require_columns(df, [cols.pickup, cols.pu_zone, cols.vendor, cols.fare,
                          cols.distance, cols.passengers, *by], "aggregate_zone_hour")
     keyed = df.where(F.col(cols.pu_zone).isNotNull() & F.col(cols.pickup).isNotNull())
-    out = (keyed.groupBy(*by, F.col(cols.pu_zone).alias(zone_out),
-                         floor_to(cols.pickup, unit).alias(time_out))
+    bucket = floor_minutes(cols.pickup, bucket_minutes) if bucket_minutes else floor_to(cols.pickup, unit)
+    out = (keyed.groupBy(*by, F.col(cols.pu_zone).alias(zone_out), bucket.alias(time_out))
                 .agg(F.count(cols.vendor).alias("trip_count"),
                      F.avg(nan_to_null(cols.fare)).alias("_fare"),
                      F.avg(nan_to_null(cols.distance)).alias("_dist"),

@@ -124,3 +124,20 @@ def save_final(panel: DataFrame, model_path: str, history_path: str, days: int =
     save_model(model, model_path)
     write_table(recent_history(panel, days), history_path)
     return model
+
+
+def predict_demand(model: PipelineModel, targets: DataFrame, history: DataFrame, calendar: DataFrame,
+                   time: str = "ts") -> DataFrame:
+    """Predictions for (zone, time) targets, clamped at 0 (P2 + M11 + F13 = P3)."""
+    from zonecast.operators.forecast import future_features
+    ff = future_features(targets, history, calendar, time=time)
+    return md.score(model, md.assemble(ff), clamp=True).drop("features") \
+        .withColumnRenamed("y_pred", "prediction")
+
+
+def forecast(model: PipelineModel, zones: DataFrame, start, history: DataFrame, calendar: DataFrame,
+             horizon: int = 24) -> DataFrame:
+    """``horizon`` hourly predictions from ``start`` for every zone at once;
+    each hour independent, ``step`` and clock time ``ts`` both kept (P4, T19)."""
+    from zonecast.operators.forecast import forecast_targets
+    return predict_demand(model, forecast_targets(zones, start, horizon), history, calendar)

@@ -80,7 +80,9 @@ def scan_trips(spark: SparkSession, base: str, dataset: str, months: Sequence[st
         paths = [p for p in month_paths(base, dataset, months) if _fs_exists(spark, p)]
         if not paths:
             raise FileNotFoundError(f"no {dataset} month found under {base} for {list(months)}")
-    reader = spark.read.option("ignoreCorruptFiles", str(bool(skip_corrupt)).lower())
+    # A month deleted between listing and reading is skipped too (races, S3).
+    reader = (spark.read.option("ignoreCorruptFiles", str(bool(skip_corrupt)).lower())
+              .option("ignoreMissingFiles", "true"))
     df = reader.parquet(*paths)
     if columns:
         df = df.select(*columns, "_metadata")
