@@ -59,3 +59,12 @@ def test_sample_n_exact_and_deterministic(spark):
     a = [r.k for r in diagnostics.sample_n(df, 50, ["k"]).collect()]
     b = [r.k for r in diagnostics.sample_n(df, 50, ["k"]).collect()]
     assert len(a) == 50 and a == b and len(set(a)) == 50
+
+
+def test_exact_percentiles_with_refinement(spark):
+    rng = np.random.default_rng(11)
+    data = np.r_[rng.normal(size=4000), np.full(1500, 0.25), rng.exponential(size=500)]
+    df = spark.createDataFrame([(float(x),) for x in data], "x double")
+    ps = [0, 0.05, 0.3, 0.5, 0.77, 0.999, 1]
+    got = exact_percentiles(df, "x", ps, buckets=4, max_distinct=20)
+    assert np.allclose(got, np.percentile(data, [p * 100 for p in ps]), atol=1e-12)

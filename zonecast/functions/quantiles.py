@@ -9,9 +9,12 @@ one final task. Here the work is split:
 2. MLlib's ``Bucketizer`` (binary search per row) assigns each value to a
    bucket and one partial aggregate counts rows per bucket -- at most
    ``buckets + 1`` numbers reach the driver;
-3. only the buckets that contain a wanted rank are re-read; their rows are
-   collapsed to (value, count) -- a value held by a third of all rows becomes
-   one row -- and ranked by a window partitioned by bucket.
+3. a bucket that holds a wanted rank but more than ``max_distinct`` distinct
+   values (HyperLogLog estimate) is split again by a sketch over its own
+   value range, until it is small -- each round divides it ``buckets`` ways;
+4. only the final ranges are re-read; their rows are collapsed to
+   (value, count) -- a value held by a third of all rows becomes one row --
+   and ranked by a window partitioned by range.
 
 Like ``DataFrame.approxQuantile`` the function is eager and returns numbers.
 """
@@ -19,7 +22,6 @@ Like ``DataFrame.approxQuantile`` the function is eager and returns numbers.
 from __future__ import annotations
 
 import math
-from bisect import bisect_right
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -27,39 +29,62 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Most distinct values one task ranks exactly; larger ranges are split again.
+MAX_DISTINCT = 1_000_000
 
-def exact_percentiles(df: DataFrame, col, probs: Sequence[float], buckets: int = 1000) -> list:
+
+def exact_percentiles(df: DataFrame, col, probs: Sequence[float], buckets: int = 1000,
+                      max_distinct: int = MAX_DISTINCT) -> list:
     """Exact linear-interpolated percentiles of ``col`` (NULL/NaN ignored).
 
     Returns one float per entry of ``probs`` (``None`` for an empty column).
     """
-    return exact_percentiles_multi(df, [col], probs, buckets)[0]
+    return exact_percentiles_multi(df, [col], probs, buckets, max_distinct)[0]
 
 
-def exact_percentiles_multi(df: DataFrame, cols: Sequence, probs: Sequence[float],
-                            buckets: int = 1000) -> list[list]:
+def exact_percentiles_multi(df: DataFrame, cols: Sequence, probs: Sequence[float], buckets: int = 1000,
+                            max_distinct: int = MAX_DISTINCT) -> list[list]:
     """:func:`exact_percentiles` of several columns with shared passes."""
     vals = []
     for i, c in enumerate(cols):
         x = (F.col(c) if isinstance(c, str) else c).cast("double")
         vals.append(F.when(x.isNull() | F.isnan(x), F.lit(float("nan"))).otherwise(x).alias(f"c{i}"))
-    # The columns are read by three passes: keep them (memory, spilling to
-    # disk) rather than recompute the upstream plan three times. Lost blocks
+    # The columns are read by several passes: keep them (memory, spilling to
+    # disk) rather than recompute the upstream plan each time. Lost blocks
     # are recomputed from lineage.
     base = df.select(*vals).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _exact(base, len(cols), probs, buckets)
+        return _exact(base, len(cols), probs, buckets, max_distinct)
     finally:
         base.unpersist()
 
 
-def _exact(base: DataFrame, k: int, probs: Sequence[float], buckets: int) -> list[list]:
+def _splits(edges, lo: float, hi: float) -> list[float]:
+    inner = sorted(set(float(e) for e in (edges or []) if lo < float(e) < hi))
+    return [lo] + inner + [hi]
+
+
+def _locate(counts: dict, splits: list[float], rank: int):
+    """The bucket holding 0-based ``rank``: (lo, hi, rows before it, stats)."""
+    acc = 0
+    for b in sorted(counts):
+        n, nd = counts[b]
+        if rank < acc + n:
+            return splits[b], splits[b + 1], acc, nd
+        acc += n
+    raise ValueError("rank outside the counted rows")
+
+
+def _exact(base: DataFrame, k: int, probs: Sequence[float], buckets: int, max_distinct: int) -> list[list]:
     grid = [i / buckets for i in range(1, buckets)]
+    acc = 10 * buckets
     clean = [F.when(~F.isnan(f"c{i}"), F.col(f"c{i}")) for i in range(k)]
-    first = base.agg(*[F.percentile_approx(clean[i], grid, 10 * buckets).alias(f"e{i}") for i in range(k)]).first()
+    first = base.agg(*[F.percentile_approx(clean[i], grid, acc).alias(f"e{i}") for i in range(k)]).first()
     # An empty column has no edges; Bucketizer needs three splits at least.
-    splits = [[-math.inf] + (sorted(set(float(e) for e in (first[f"e{i}"] or []))) or [0.0]) + [math.inf]
-              for i in range(k)]
+    splits = []
+    for i in range(k):
+        sp = _splits(first[f"e{i}"], -math.inf, math.inf)
+        splits.append(sp if len(sp) > 2 else [-math.inf, 0.0, math.inf])
     if k == 1:
         bz = Bucketizer(splits=splits[0], inputCol="c0", outputCol="b0", handleInvalid="keep")
     else:
@@ -70,44 +95,65 @@ def _exact(base: DataFrame, k: int, probs: Sequence[float], buckets: int) -> lis
                                                 F.col(f"b{i}").cast("int").alias("b")) for i in range(k)])))
             .where(~F.isnan("v")))
     counts: dict = {}
-    for r in long.groupBy("k", "b").agg(F.count(F.lit(1)).alias("n")).collect():
-        counts.setdefault(r["k"], {})[r["b"]] = r["n"]
-    plan, offsets, need = {}, {}, set()
+    for r in long.groupBy("k", "b").agg(F.count(F.lit(1)).alias("n"),
+                                         F.approx_count_distinct("v").alias("nd")).collect():
+        counts.setdefault(r["k"], {})[r["b"]] = (r["n"], r["nd"])
+
+    plan, ranges = {}, {}
     for i in range(k):
         cnt = counts.get(i)
         if not cnt:
             continue
-        order = sorted(cnt)
-        starts, acc = [], 0
-        for b in order:
-            starts.append(acc)
-            offsets[(i, b)] = acc
-            acc += cnt[b]
-        n = acc
+        n = sum(c for c, _ in cnt.values())
         for p in probs:
             pos = float(p) * (n - 1)
-            lo = int(math.floor(pos))
-            hi = min(lo + 1, n - 1)
-            plan[(i, p)] = (lo, hi, pos - lo)
-            for r in (lo, hi):
-                need.add((i, order[bisect_right(starts, r) - 1], r))
-    if not need:
+            lo_r = int(math.floor(pos))
+            hi_r = min(lo_r + 1, n - 1)
+            plan[(i, p)] = (lo_r, hi_r, pos - lo_r)
+            for r in (lo_r, hi_r):
+                ranges[(i, r)] = _locate(cnt, splits[i], r)
+    if not ranges:
         return [[None for _ in probs] for _ in range(k)]
-    pairs = sorted({(i, b) for i, b, _ in need})
-    key = F.col("k") * F.lit(1 << 20) + F.col("b")
-    off = F.create_map(*[x for i, b in pairs for x in (F.lit(i * (1 << 20) + b), F.lit(offsets[(i, b)]))])
-    w = Window.partitionBy("k", "b").orderBy("v")
-    ranked = (long.where(key.isin([i * (1 << 20) + b for i, b in pairs]))
-              .groupBy("k", "b", "v").agg(F.count(F.lit(1)).alias("c"))
-              .withColumn("end", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)) + off[key]))
-    hit = F.lit(False)
-    for i, b, r in need:
-        hit = hit | ((F.col("k") == i) & (F.col("end") - F.col("c") <= r) & (F.col("end") > r))
-    rows = ranked.where(hit).select("k", "v", "c", "end").collect()
+
+    # Refine a range while it holds too many distinct values for one task:
+    # another sketch inside [lo, hi) splits it about ``buckets`` ways.
+    for (i, r), (lo, hi, off, nd) in list(ranges.items()):
+        while nd > max_distinct:
+            sub = long.where((F.col("k") == i) & (F.col("v") >= lo) & (F.col("v") < hi))
+            e = sub.agg(F.percentile_approx("v", grid, acc)).first()[0]
+            sp = _splits(e, lo, hi)
+            if len(sp) < 3:
+                break
+            rb = Bucketizer(splits=sp, inputCol="v", outputCol="rb")
+            cnt = {int(x["rb"]): (x["n"], x["nd"]) for x in rb.transform(sub).groupBy("rb").agg(
+                F.count(F.lit(1)).alias("n"), F.approx_count_distinct("v").alias("nd")).collect()}
+            lo2, hi2, off2, nd = _locate(cnt, sp, r - off)
+            lo, hi, off = lo2, hi2, off + off2
+        ranges[(i, r)] = (lo, hi, off, nd)
+
+    # Exact ranks inside each final range: ties collapse to (value, count),
+    # then a running count per range gives each value's global rank span.
+    uniq = sorted({(i, lo, hi, off) for (i, _), (lo, hi, off, _) in ranges.items()})
+    rid = {u: j for j, u in enumerate(uniq)}
+    arr = F.array(*[F.struct(F.lit(j).alias("rid"), F.lit(i).alias("k"), F.lit(lo).alias("lo"),
+                             F.lit(hi).alias("hi"), F.lit(off).alias("off"))
+                    for (i, lo, hi, off), j in rid.items()])
+    hits = long.select("v", F.explode(F.filter(arr, lambda s: (s["k"] == F.col("k")) & (F.col("v") >= s["lo"])
+                                                 & (F.col("v") < s["hi"]))).alias("s"))
+    w = Window.partitionBy("rid").orderBy("v")
+    ranked = (hits.groupBy(F.col("s.rid").alias("rid"), F.col("s.off").alias("off"), "v")
+              .agg(F.count(F.lit(1)).alias("c"))
+              .withColumn("end", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)) + F.col("off")))
+    want = F.lit(False)
+    for (i, r), (lo, hi, off, _) in ranges.items():
+        j = rid[(i, lo, hi, off)]
+        want = want | ((F.col("rid") == j) & (F.col("end") - F.col("c") <= r) & (F.col("end") > r))
+    rows = ranked.where(want).select("rid", "v", "c", "end").collect()
     value = {}
-    for i, _, r in need:
+    for (i, r), (lo, hi, off, _) in ranges.items():
+        j = rid[(i, lo, hi, off)]
         for row in rows:
-            if row["k"] == i and row["end"] - row["c"] <= r < row["end"]:
+            if row["rid"] == j and row["end"] - row["c"] <= r < row["end"]:
                 value[(i, r)] = row["v"]
                 break
     out = []
@@ -117,8 +163,8 @@ def _exact(base: DataFrame, k: int, probs: Sequence[float], buckets: int) -> lis
             if (i, p) not in plan:
                 res.append(None)
                 continue
-            lo, hi, frac = plan[(i, p)]
-            a, b = value[(i, lo)], value[(i, hi)]
+            lo_r, hi_r, frac = plan[(i, p)]
+            a, b = value[(i, lo_r)], value[(i, hi_r)]
             res.append(a + (b - a) * frac)
         out.append(res)
     return out

@@ -221,13 +221,14 @@ def period_labels(spark, sf_dir):
     return labels.with_period(hours, fx.RANGE_START, fx.CUT, "2024-01-30 01:00:00")
 
 
-def _targets(spark, sf_dir):
-    return fcst.forecast_targets(_panel(spark, sf_dir), fx.FORECAST_START, 24)
+def _targets(panel):
+    return fcst.forecast_targets(panel, fx.FORECAST_START, 24)
 
 
 @register
 def historical_flag(spark, sf_dir):
-    return labels.with_is_historical(_targets(spark, sf_dir), _panel(spark, sf_dir))
+    p = _panel(spark, sf_dir)
+    return labels.with_is_historical(_targets(p), p)
 
 
 @register
@@ -255,9 +256,10 @@ def distinct_zones(spark, sf_dir):
     return distinct_zones_df(spark, sf_dir)
 
 
-def _future(spark, sf_dir):
-    hist = fcst.recent_history(_panel(spark, sf_dir), fx.HISTORY_DAYS)
-    ff = fcst.future_features(_targets(spark, sf_dir), hist, fx.calendar(spark))
+def _future(spark, sf_dir, panel=None):
+    p = panel if panel is not None else _panel(spark, sf_dir)
+    hist = fcst.recent_history(p, fx.HISTORY_DAYS)
+    ff = fcst.future_features(_targets(p), hist, fx.calendar(spark))
     return fcst.naive_from_features(ff)
 
 
@@ -406,8 +408,8 @@ def max_timestamp(spark, sf_dir):
 
 @register
 def lag_lookup(spark, sf_dir):
-    hist = fcst.recent_history(_panel(spark, sf_dir), fx.HISTORY_DAYS)
-    return fcst.lookup_lags(_targets(spark, sf_dir), hist)
+    p = _panel(spark, sf_dir)
+    return fcst.lookup_lags(_targets(p), fcst.recent_history(p, fx.HISTORY_DAYS))
 
 
 @register
@@ -417,8 +419,9 @@ def future_features(spark, sf_dir):
 
 @register
 def compare_forecast(spark, sf_dir):
-    fc = _future(spark, sf_dir).select("PULocationID", "step", "ts", "prediction")
-    return fcst.compare_forecast(fc, _panel(spark, sf_dir))
+    p = _panel(spark, sf_dir)
+    fc = _future(spark, sf_dir, p).select("PULocationID", "step", "ts", "prediction")
+    return fcst.compare_forecast(fc, p)
 
 
 @register
@@ -428,7 +431,8 @@ def forecast_summary(spark, sf_dir):
 
 @register
 def history_and_forecast(spark, sf_dir):
-    return fcst.history_and_forecast(_panel(spark, sf_dir), _future(spark, sf_dir), fx.FORECAST_START)
+    p = _panel(spark, sf_dir)
+    return fcst.history_and_forecast(p, _future(spark, sf_dir, p), fx.FORECAST_START)
 
 
 @register
@@ -459,8 +463,9 @@ def first_per_hour(spark, sf_dir):
 
 @register
 def actual_lookup(spark, sf_dir):
-    keys = _targets(spark, sf_dir).select("PULocationID", F.col("ts").alias("pickup_datetime"))
-    return fcst.lookup_actual(_panel(spark, sf_dir), keys)
+    p = _panel(spark, sf_dir)
+    keys = _targets(p).select("PULocationID", F.col("ts").alias("pickup_datetime"))
+    return fcst.lookup_actual(p, keys)
 
 
 @register
@@ -597,11 +602,11 @@ def model_leaderboard(spark, sf_dir):
     return md.leaderboard(spark, res)
 
 
-def _forecast(spark, sf_dir):
-    p = _panel(spark, sf_dir)
+def _forecast(spark, sf_dir, panel=None):
+    p = panel if panel is not None else _panel(spark, sf_dir)
     model = md.fit_final(fx.features(spark, sf_dir))
     hist = fcst.recent_history(p, fx.HISTORY_DAYS)
-    ff = fcst.future_features(_targets(spark, sf_dir), hist, fx.calendar(spark))
+    ff = fcst.future_features(_targets(p), hist, fx.calendar(spark))
     scored = md.score(model, md.assemble(ff), clamp=True)
     return scored.select("PULocationID", "step", "ts", F.col("y_pred").alias("prediction"), "has_history")
 
@@ -615,13 +620,15 @@ def forecast_24h(spark, sf_dir):
 @register
 def forecast_vs_actual(spark, sf_dir):
     """P5: the forecast joined to the actuals by clock time."""
-    return fcst.compare_forecast(_forecast(spark, sf_dir), _panel(spark, sf_dir))
+    p = _panel(spark, sf_dir)
+    return fcst.compare_forecast(_forecast(spark, sf_dir, p), p)
 
 
 @register
 def model_history_and_forecast(spark, sf_dir):
     """P6 with the fitted model's forecast."""
-    return fcst.history_and_forecast(_panel(spark, sf_dir), _forecast(spark, sf_dir), fx.FORECAST_START)
+    p = _panel(spark, sf_dir)
+    return fcst.history_and_forecast(p, _forecast(spark, sf_dir, p), fx.FORECAST_START)
 
 
 # ---- sources and sinks by round trip in the shared checkpoint folder -----------
