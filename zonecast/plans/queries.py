@@ -12,6 +12,7 @@ from zonecast.operators.features import with_lags, with_rolling_means
 from zonecast.plans import fixture as fx
 from zonecast.plans.present import present
 from zonecast.schema import FIXTURE_TRIPS
+from zonecast.session import configure
 from zonecast.operators import profile, labels, metrics as mt, diagnostics as dg, forecast as fcst
 from zonecast.operators.cleaning import with_duration
 from zonecast.functions import time as tf
@@ -23,7 +24,10 @@ REGISTRY: dict = {}
 
 
 def register(fn):
-    REGISTRY[fn.__name__] = lambda spark, sf_dir, _f=fn: present(_f(spark, sf_dir))
+    def run(spark, sf_dir, _f=fn):
+        configure(spark)
+        return present(_f(spark, sf_dir))
+    REGISTRY[fn.__name__] = run
     return fn
 
 

@@ -23,6 +23,15 @@ DEFAULT_CONF = {
 }
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply :data:`DEFAULT_CONF` to an existing session (one the caller
+    built), so operators see the same time zone and planner settings."""
+    for k, v in DEFAULT_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    return spark
+
+
 def get_session(master: str | None = None, app_name: str = "zonecast",
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
@@ -42,10 +51,7 @@ def get_session(master: str | None = None, app_name: str = "zonecast",
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
-    spark = b.getOrCreate()
-    for k, v in DEFAULT_CONF.items():
-        spark.conf.set(k, v)
-    return spark
+    return configure(b.getOrCreate())
 
 
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
