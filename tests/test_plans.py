@@ -32,3 +32,13 @@ def test_panel_is_spread_over_partitions(spark):
     from pyspark.sql import functions as F
     parts = fx.features(spark, SF001).select(F.spark_partition_id().alias("p")).distinct().count()
     assert parts > 1
+
+
+def test_partitioned_scan_prunes(spark, tmp_path):
+    from zonecast.sources import sinks, trips as src
+    sinks.write_table(fx.trips(spark, SF001), str(tmp_path / "t"), partition_by=["dataset", "year_month"])
+    df = src.scan_partitioned(spark, str(tmp_path / "t"), "yellow", ["2024-01"]).select("pickup_ts")
+    p = plan_text(df)
+    line = [x for x in p.split("\n") if "PartitionFilters" in x][0]
+    assert "= yellow" in line and "= 2024-01" in line
+    assert df.count() == fx.trips(spark, SF001).where("dataset = 'yellow'").count()

@@ -645,16 +645,15 @@ def _scratch(spark, name):
 
 @register
 def source_roundtrip(spark, sf_dir):
-    """K1 then S1/S3/S5: monthly files per dataset written and scanned back,
-    one requested month absent."""
+    """K1 then S1/S3/S5 on the partitioned layout: one write partitioned by
+    dataset and month, scanned back with partition pruning; one requested
+    month is absent."""
     base = _scratch(spark, "trips")
-    t = fx.trips(spark, sf_dir)
-    for ds in ("yellow", "fhvhv"):
-        for (ym,) in t.select("year_month").distinct().collect():
-            sinks.write_table(t.where((F.col("dataset") == ds) & (F.col("year_month") == ym)).drop("year_month"),
-                              f"{base}/{ds}_tripdata_{ym}.parquet")
-    y = src.scan_trips(spark, base, "yellow", ["2023-12", "2024-01"], columns=["pickup_ts", "pu_zone", "fare"])
-    h = src.scan_trips(spark, base, "fhvhv", ["2024-01"], columns=["pickup_ts", "pu_zone"])
+    sinks.write_table(fx.trips(spark, sf_dir), base, partition_by=["dataset", "year_month"])
+    y = src.scan_partitioned(spark, base, "yellow", ["2023-12", "2024-01"]).select("pickup_ts", "pu_zone", "fare",
+                                                                                   "dataset", "year_month")
+    h = src.scan_partitioned(spark, base, "fhvhv", ["2024-01"]).select("pickup_ts", "pu_zone", "dataset",
+                                                                        "year_month")
     return y.unionByName(h, allowMissingColumns=True)
 
 
@@ -683,11 +682,8 @@ def streaming_combined_demand(spark, sf_dir):
     base = _scratch(spark, "stream")
     t = fx.trips(spark, sf_dir)
     for ds in ("yellow", "fhvhv"):
-        for (ym,) in t.select("year_month").distinct().collect():
-            sinks.write_table(t.where((F.col("dataset") == ds) & (F.col("year_month") == ym)),
-                              f"{base}/in/{ds}/{ds}_tripdata_{ym}")
-    for ds in ("yellow", "fhvhv"):
-        q = ingest_trip_files(spark, f"{base}/in/{ds}/*", ds, t.schema, f"{base}/out",
+        sinks.write_table(t.where(F.col("dataset") == ds), f"{base}/in/{ds}")
+        q = ingest_trip_files(spark, f"{base}/in/{ds}", ds, t.schema, f"{base}/out",
                               f"{base}/ckpt/{ds}", FIXTURE_TRIPS)
         q.awaitTermination()
     return read_ingested(spark, f"{base}/out")

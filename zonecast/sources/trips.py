@@ -91,6 +91,19 @@ def scan_trips(spark: SparkSession, base: str, dataset: str, months: Sequence[st
               .drop("_metadata"))
 
 
+def scan_partitioned(spark: SparkSession, base: str, dataset: str | None = None,
+                     months: Sequence[str] | None = None) -> DataFrame:
+    """Scan a trip table written with ``partitionBy("dataset", "year_month")``
+    (S1 for the partitioned layout). The dataset and month filters are
+    partition filters: only the matching directories are listed and read."""
+    df = spark.read.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").parquet(base)
+    if dataset is not None:
+        df = df.where(F.col("dataset") == dataset)
+    if months is not None:
+        df = df.where(F.col("year_month").isin(list(months)))
+    return df
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin a scan that yields fewer partitions than the cluster has
     cores (a single row group or an unsplittable file); otherwise return it
