@@ -649,6 +649,14 @@ SELECT trip_id, date_trunc('hour', pickup_ts) AS hour_start, hour(pickup_ts) AS
        regexp_extract('yellow_tripdata_' || year_month || '.parquet', '(\\d{4}-\\d{2})\\.parquet$', 1) AS month_from_file
 FROM trips""")
 
+ORACLE["clamped_predictions"] = q(f"""
+SELECT f.PULocationID, f.pickup_datetime, f.trip_count,
+       round(greatest(c.b + c.a * coalesce(f.lag_1h, 0.0), 0.0), 6) AS y_pred
+FROM feat f, (SELECT regr_slope(trip_count, coalesce(lag_1h, 0.0)) AS a,
+                     regr_intercept(trip_count, coalesce(lag_1h, 0.0)) AS b
+              FROM feat WHERE pickup_datetime < {CUT}) c
+WHERE f.pickup_datetime >= {CUT}""")
+
 ORACLE["ols_single_feature"] = q(f"""
 SELECT round(regr_slope(trip_count, coalesce(lag_1h, 0.0)), 6) AS slope,
        round(regr_intercept(trip_count, coalesce(lag_1h, 0.0)), 6) AS intercept, count(*) AS n_rows

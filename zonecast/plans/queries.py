@@ -721,3 +721,16 @@ def combined_features(spark, sf_dir):
     y, h = _normalized(spark, sf_dir)
     comb = zonehour.combine_sources([zonehour.totals_zone_hour(y), zonehour.totals_zone_hour(h)])
     return build_features(comb, fx.RANGE_START, fx.RANGE_END, fx.calendar(spark))
+
+
+@register
+def clamped_predictions(spark, sf_dir):
+    """M2 + M11 + F13: one-feature OLS (trip_count on lag_1h) fitted on the
+    training rows, scored on the test rows, floored at 0."""
+    from zonecast.session import materialize
+    f = materialize(fx.features(spark, sf_dir))
+    tr, te = grid.split_by_time(f, fx.CUT)
+    m = md._lr(regParam=0.0, solver="normal").fit(md.assemble(tr, ["lag_1h"]))
+    scored = m.transform(md.assemble(te, ["lag_1h"]))
+    return scored.select("PULocationID", "pickup_datetime", "trip_count",
+                         F.greatest(F.col("y_pred"), F.lit(0.0)).alias("y_pred"))
