@@ -68,3 +68,18 @@ def test_exact_percentiles_with_refinement(spark):
     ps = [0, 0.05, 0.3, 0.5, 0.77, 0.999, 1]
     got = exact_percentiles(df, "x", ps, buckets=4, max_distinct=20)
     assert np.allclose(got, np.percentile(data, [p * 100 for p in ps]), atol=1e-12)
+
+
+def test_exact_percentiles_direct_and_multi_paths(spark):
+    from zonecast.functions.quantiles import exact_percentiles_multi
+    rng = np.random.default_rng(5)
+    a = rng.normal(size=3000)
+    b = rng.integers(0, 6, size=3000).astype(float)
+    b[:3] = np.inf
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double")
+    ps = [0, 0.2, 0.5, 0.999, 1]
+    got = exact_percentiles_multi(df, ["a", "b"], ps, buckets=8, max_distinct=50)
+    assert np.allclose(got[0], np.percentile(a, [p * 100 for p in ps]), atol=1e-12)
+    with np.errstate(invalid="ignore"):
+        exp_b = np.percentile(b, [p * 100 for p in ps])
+    assert np.array_equal(np.array(got[1], dtype=float), exp_b, equal_nan=True)

@@ -4,6 +4,9 @@ task holding every distinct value.
 Spark's exact ``percentile`` merges a value->count map of the whole column in
 one final task. Here the work is split:
 
+0. one pass counts rows and estimates distinct values (HyperLogLog); a
+   column with at most ``max_distinct`` distinct values -- integer counts,
+   small tables -- goes straight to step 4;
 1. an approximate sketch (``percentile_approx``, bounded state) gives about
    ``buckets`` split points;
 2. MLlib's ``Bucketizer`` (binary search per row) assigns each value to a
@@ -64,6 +67,11 @@ def _splits(edges, lo: float, hi: float) -> list[float]:
     return [lo] + inner + [hi]
 
 
+def _in_range(v, lo, hi):
+    """``lo <= v < hi``; the last range (``hi`` = +inf) also holds +inf."""
+    return (v >= lo) & ((v < hi) | ((hi == F.lit(math.inf)) & (v == hi)))
+
+
 def _locate(counts: dict, splits: list[float], rank: int):
     """The bucket holding 0-based ``rank``: (lo, hi, rows before it, stats)."""
     acc = 0
@@ -79,47 +87,60 @@ def _exact(base: DataFrame, k: int, probs: Sequence[float], buckets: int, max_di
     grid = [i / buckets for i in range(1, buckets)]
     acc = 10 * buckets
     clean = [F.when(~F.isnan(f"c{i}"), F.col(f"c{i}")) for i in range(k)]
-    first = base.agg(*[F.percentile_approx(clean[i], grid, acc).alias(f"e{i}") for i in range(k)]).first()
-    # An empty column has no edges; Bucketizer needs three splits at least.
-    splits = []
-    for i in range(k):
-        sp = _splits(first[f"e{i}"], -math.inf, math.inf)
-        splits.append(sp if len(sp) > 2 else [-math.inf, 0.0, math.inf])
-    if k == 1:
-        bz = Bucketizer(splits=splits[0], inputCol="c0", outputCol="b0", handleInvalid="keep")
-    else:
-        bz = Bucketizer(splitsArray=splits, inputCols=[f"c{i}" for i in range(k)],
-                        outputCols=[f"b{i}" for i in range(k)], handleInvalid="keep")
-    long = (bz.transform(base)
-            .select(F.inline(F.array(*[F.struct(F.lit(i).alias("k"), F.col(f"c{i}").alias("v"),
-                                                F.col(f"b{i}").cast("int").alias("b")) for i in range(k)])))
+    long = (base.select(F.inline(F.array(*[F.struct(F.lit(i).alias("k"), F.col(f"c{i}").alias("v"))
+                                           for i in range(k)])))
             .where(~F.isnan("v")))
-    counts: dict = {}
-    for r in long.groupBy("k", "b").agg(F.count(F.lit(1)).alias("n"),
-                                         F.approx_count_distinct("v").alias("nd")).collect():
-        counts.setdefault(r["k"], {})[r["b"]] = (r["n"], r["nd"])
-
-    plan, ranges = {}, {}
+    # Pass 1: row count and a distinct-count estimate per column. A column
+    # within the per-task bound is ranked directly; only larger ones are
+    # split by sketches first.
+    st = base.agg(*[F.count(clean[i]).alias(f"n{i}") for i in range(k)],
+                  *[F.approx_count_distinct(clean[i]).alias(f"d{i}") for i in range(k)]).first()
+    ranges: dict = {}
+    plan: dict = {}
+    big = []
     for i in range(k):
-        cnt = counts.get(i)
-        if not cnt:
+        n = st[f"n{i}"]
+        if not n:
             continue
-        n = sum(c for c, _ in cnt.values())
         for p in probs:
             pos = float(p) * (n - 1)
             lo_r = int(math.floor(pos))
             hi_r = min(lo_r + 1, n - 1)
             plan[(i, p)] = (lo_r, hi_r, pos - lo_r)
-            for r in (lo_r, hi_r):
-                ranges[(i, r)] = _locate(cnt, splits[i], r)
-    if not ranges:
+        if st[f"d{i}"] <= max_distinct:
+            for lo_r, hi_r, _ in [plan[(i, p)] for p in probs]:
+                for r in (lo_r, hi_r):
+                    ranges[(i, r)] = (-math.inf, math.inf, 0, st[f"d{i}"])
+        else:
+            big.append(i)
+    if not plan:
         return [[None for _ in probs] for _ in range(k)]
+    if big:
+        first = base.agg(*[F.percentile_approx(clean[i], grid, acc).alias(f"e{i}") for i in big]).first()
+        splits = {i: _splits(first[f"e{i}"], -math.inf, math.inf) for i in big}
+        bucketed = long.where(F.col("k").isin(big))
+        cnt_expr = None
+        for i in big:
+            sp = splits[i]
+            bz = Bucketizer(splits=sp, inputCol="v", outputCol=f"b{i}")
+            bucketed = bz.transform(bucketed)
+            e = F.when(F.col("k") == i, F.col(f"b{i}"))
+            cnt_expr = e if cnt_expr is None else F.coalesce(cnt_expr, e)
+        bucketed = bucketed.withColumn("b", cnt_expr.cast("int"))
+        counts: dict = {}
+        for r in bucketed.groupBy("k", "b").agg(F.count(F.lit(1)).alias("n"),
+                                                 F.approx_count_distinct("v").alias("nd")).collect():
+            counts.setdefault(r["k"], {})[r["b"]] = (r["n"], r["nd"])
+        for i in big:
+            for lo_r, hi_r, _ in [plan[(i, p)] for p in probs]:
+                for r in (lo_r, hi_r):
+                    ranges[(i, r)] = _locate(counts[i], splits[i], r)
 
     # Refine a range while it holds too many distinct values for one task:
     # another sketch inside [lo, hi) splits it about ``buckets`` ways.
     for (i, r), (lo, hi, off, nd) in list(ranges.items()):
         while nd > max_distinct:
-            sub = long.where((F.col("k") == i) & (F.col("v") >= lo) & (F.col("v") < hi))
+            sub = long.where((F.col("k") == i) & _in_range(F.col("v"), F.lit(lo), F.lit(hi)))
             e = sub.agg(F.percentile_approx("v", grid, acc)).first()[0]
             sp = _splits(e, lo, hi)
             if len(sp) < 3:
@@ -138,8 +159,8 @@ def _exact(base: DataFrame, k: int, probs: Sequence[float], buckets: int, max_di
     arr = F.array(*[F.struct(F.lit(j).alias("rid"), F.lit(i).alias("k"), F.lit(lo).alias("lo"),
                              F.lit(hi).alias("hi"), F.lit(off).alias("off"))
                     for (i, lo, hi, off), j in rid.items()])
-    hits = long.select("v", F.explode(F.filter(arr, lambda s: (s["k"] == F.col("k")) & (F.col("v") >= s["lo"])
-                                                 & (F.col("v") < s["hi"]))).alias("s"))
+    hits = long.select("v", F.explode(F.filter(arr, lambda s: (s["k"] == F.col("k"))
+                                                 & _in_range(F.col("v"), s["lo"], s["hi"]))).alias("s"))
     w = Window.partitionBy("rid").orderBy("v")
     ranked = (hits.groupBy(F.col("s.rid").alias("rid"), F.col("s.off").alias("off"), "v")
               .agg(F.count(F.lit(1)).alias("c"))
