@@ -83,3 +83,12 @@ def test_exact_percentiles_direct_and_multi_paths(spark):
     with np.errstate(invalid="ignore"):
         exp_b = np.percentile(b, [p * 100 for p in ps])
     assert np.array_equal(np.array(got[1], dtype=float), exp_b, equal_nan=True)
+
+
+def test_approx_option_close_to_exact(spark):
+    rng = np.random.default_rng(2)
+    e = rng.exponential(size=5000)
+    df = spark.createDataFrame([(float(x), 0.0) for x in e], "trip_count double, y_pred double")
+    ex = {r.percentile: r.abs_error for r in diagnostics.error_percentiles(df).collect()}
+    ap = {r.percentile: r.abs_error for r in diagnostics.error_percentiles(df, accuracy=100000).collect()}
+    assert all(abs(ex[k] - ap[k]) < 0.01 for k in ex)

@@ -26,11 +26,20 @@ def error_distribution(df: DataFrame, y: str = "trip_count", p: str = "y_pred")
                 F.lit(q25).cast("double").alias("p25"), F.lit(q75).cast("double").alias("p75"))
 
 
+def _percentiles(df: DataFrame, col: str, probs: Sequence[float], accuracy: int | None) -> list:
+    """Exact by default; with ``accuracy`` one ``percentile_approx`` pass
+    (relative rank error about 1/accuracy)."""
+    if accuracy is None:
+        return exact_percentiles(df, col, probs)
+    r = df.agg(F.percentile_approx(col, list(probs), accuracy).alias("q")).first()["q"]
+    return list(r) if r is not None else [None for _ in probs]
+
+
 def error_percentiles(df: DataFrame, y: str = "trip_count", p: str = "y_pred",
-                      pcts: Sequence[int] = (50, 75, 90, 95, 99)) -> DataFrame:
+                      pcts: Sequence[int] = (50, 75, 90, 95, 99), accuracy: int | None = None) -> DataFrame:
     """Absolute-error percentiles and the share of rows at or below each."""
     ae = df.select(_abs_err(y, p).alias("ae"))
-    th = exact_percentiles(ae, "ae", [q / 100 for q in pcts])
+    th = _percentiles(ae, "ae", [q / 100 for q in pcts], accuracy)
     aggs = [(100.0 * F.count_if(F.col("ae") <= F.lit(t)) / F.count(F.lit(1))).alias(f"w{q}")
             for q, t in zip(pcts, th)]
     shares = ae.agg(*aggs)
@@ -49,9 +58,9 @@ def calibration(df: DataFrame, y: str = "trip_count", p: str = "y_pred", tol: fl
                     (F.abs(bias) < F.col("mean_actual") * tol).alias("calibrated"))
 
 
-def decile_edges(df: DataFrame, y: str = "trip_count", q: int = 10) -> list[float]:
+def decile_edges(df: DataFrame, y: str = "trip_count", q: int = 10, accuracy: int | None = None) -> list[float]:
     """Quantile edges of ``y`` at 0, 1/q, .., 1 with duplicates dropped."""
-    e = exact_percentiles(df, y, [i / q for i in range(q + 1)])
+    e = _percentiles(df, y, [i / q for i in range(q + 1)], accuracy)
     return sorted(set(v for v in e if v is not None))
 
 
@@ -64,9 +73,10 @@ def with_decile(df: DataFrame, edges: Sequence[float], y: str = "trip_count",
     return df.withColumn(col, F.greatest(k - 1, F.lit(0)))
 
 
-def metrics_by_decile(df: DataFrame, y: str = "trip_count", p: str = "y_pred", q: int = 10) -> DataFrame:
+def metrics_by_decile(df: DataFrame, y: str = "trip_count", p: str = "y_pred", q: int = 10,
+                      accuracy: int | None = None) -> DataFrame:
     """Min, max, MAE and MAPE per demand decile."""
-    edges = decile_edges(df, y, q)
+    edges = decile_edges(df, y, q, accuracy)
     d = with_decile(df, edges, y)
     return d.groupBy("decile").agg(F.min(y).alias("min_demand"), F.max(y).alias("max_demand"),
                                    M.mae(y, p).alias("mae"), M.mape_nonzero(y, p).alias("mape"),
