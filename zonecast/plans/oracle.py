@@ -630,6 +630,16 @@ WHERE year_month IS NOT NULL""")
 
 ORACLE["panel_write_order"] = q("SELECT * FROM panel")
 
+ORACLE["source_roundtrip"] = q("""
+SELECT pickup_ts, pu_zone, round(fare, 6) AS fare, dataset, year_month FROM trips
+WHERE dataset = 'yellow' AND year_month IN ('2023-12', '2024-01')
+UNION ALL
+SELECT pickup_ts, pu_zone, NULL, dataset, year_month FROM trips
+WHERE dataset = 'fhvhv' AND year_month = '2024-01'""")
+
+ORACLE["report_roundtrip"] = q(_metrics_sql("PULocationID", r2=False, mean_demand=True)
+                               .replace("SELECT period, PULocationID,", "SELECT period, PULocationID AS zone,"))
+
 ORACLE["head_rows"] = q("SELECT * FROM panel ORDER BY PULocationID, pickup_datetime LIMIT 10")
 
 ORACLE["range_and_split"] = q(f"""

@@ -661,8 +661,9 @@ def source_roundtrip(spark, sf_dir):
 def report_roundtrip(spark, sf_dir):
     """K2 then S9/S10: a metrics report written as CSV and read back."""
     path = _scratch(spark, "report")
-    sinks.write_report(mt.metrics_by_zone(fx.panel(spark, sf_dir)), path)
-    return spark.read.csv(path, header=True, inferSchema=False)
+    rep = mt.metrics_by_zone(fx.panel(spark, sf_dir))
+    sinks.write_report(rep, path)
+    return spark.read.csv(path, header=True, schema=rep.schema)
 
 
 @register
