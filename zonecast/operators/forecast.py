@@ -9,11 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonecast.functions.calendar import temporal_features, with_holidays
-from zonecast.functions.metrics import mape_plus1
 from zonecast.functions.time import add_hours, ntz
 from zonecast.operators.features import rolling_mean
 from zonecast.schema import LAGS, ROLLING
@@ -130,9 +129,12 @@ def daily_forecast_error(pred: DataFrame, zone: str = "PULocationID", time: str
     d = (pred.groupBy(zone, F.to_date(time).alias("date"))
              .agg(F.sum(F.col(y).cast("double")).alias("actual"), F.sum(p).alias("predicted"))
              .withColumn("error", F.col("predicted") - F.col("actual")))
-    s = d.groupBy(F.col(zone).alias("__z")).agg(F.avg(F.abs("error")).alias("daily_mae"),
-                                                 mape_plus1("actual", "predicted").alias("daily_mape"))
-    return d.join(s, F.col(zone) == F.col("__z")).drop("__z")
+    # Per-zone summaries as window aggregates: no self-join, so the
+    # prediction table is read once.
+    w = Window.partitionBy(zone)
+    return d.select("*", F.avg(F.abs("error")).over(w).alias("daily_mae"),
+                    (100.0 * F.avg(F.abs(F.col("actual") - F.col("predicted")) / (F.col("actual") + 1)).over(w))
+                    .alias("daily_mape"))
 
 
 def hourly_profile(pred: DataFrame, zone: str = "PULocationID", time: str = "pickup_datetime",

@@ -100,8 +100,11 @@ def zone_hour_grid(spark, sf_dir):
 
 
 def _panel(spark, sf_dir):
-    return grid.complete_grid(_consolidated(spark, sf_dir, checkpoint=True), fx.RANGE_START, fx.RANGE_END) \
-        .select("PULocationID", "pickup_datetime", "trip_count")
+    """The completed (zone, hour, trip_count) panel, materialised once: the
+    forecast and report queries read it from several branches."""
+    from zonecast.session import materialize
+    g = grid.complete_grid(_consolidated(spark, sf_dir, checkpoint=True), fx.RANGE_START, fx.RANGE_END)
+    return materialize(g.select("PULocationID", "pickup_datetime", "trip_count"))
 
 
 @register
