@@ -132,7 +132,6 @@ def q(select: str) -> str:
 
 ORACLE: dict[str, str] = {}
 
-R = "round({0}, 6) AS {1}"
 
 
 def r6(*cols: str) -> str:
