@@ -42,3 +42,19 @@ def test_partitioned_scan_prunes(spark, tmp_path):
     line = [x for x in p.split("\n") if "PartitionFilters" in x][0]
     assert "= yellow" in line and "= 2024-01" in line
     assert df.count() == fx.trips(spark, SF001).where("dataset = 'yellow'").count()
+
+
+def test_unbroadcast_grid_join_shares_zone_partitioning(spark):
+    """At scale the zone-hour side is too big to broadcast: the grid join
+    then shuffles only that side to the grid's zone partitioning, and the
+    per-zone window reuses the join's partitioning and sort order."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        head = plan_text(fx.features(spark, SF001)).split("\n\n")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin LeftOuter" in head
+    assert head.count("Exchange (") - head.count("BroadcastExchange (") == 2
+    above_join = head.split("SortMergeJoin")[0]
+    assert "Exchange" not in above_join.replace("BroadcastExchange", "") and "Sort (" not in above_join
