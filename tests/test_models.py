@@ -25,11 +25,13 @@ def test_ols_recovers_coefficients(spark):
 def test_ridge_penalty_matches_closed_form(spark):
     df, x, y = _linear(spark)
     n, alpha = len(y), 10.0
-    z = (x - x.mean(0)) / x.std(0, ddof=1)          # Spark's scaler: sample std
-    zc, yc = z - z.mean(0), y - y.mean()
-    w = np.linalg.solve(zc.T @ zc + alpha * np.eye(2), zc.T @ yc)
-    m = md.fit_penalized(md.assemble(df, ["a", "b"]), alpha, 0.0, n, float(np.std(y, ddof=1)))
-    assert np.allclose(m.stages[-1].coefficients.toArray(), w, rtol=1e-4)
+    for pop, ddof in ((False, 1), (True, 0)):      # MLlib's sample std, or scikit-learn's population std
+        z = (x - x.mean(0)) / x.std(0, ddof=ddof)
+        zc, yc = z - z.mean(0), y - y.mean()
+        w = np.linalg.solve(zc.T @ zc + alpha * np.eye(2), zc.T @ yc)
+        m = md.fit_penalized(md.assemble(df, ["a", "b"]), alpha, 0.0, n, float(np.std(y, ddof=1)),
+                             population_std=pop)
+        assert np.allclose(m.stages[-1].coefficients.toArray(), w, rtol=1e-4)
 
 
 def test_lasso_penalty_is_alpha(spark):

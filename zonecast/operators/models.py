@@ -6,10 +6,12 @@ once before the tuning loops, which read it many times.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -87,19 +89,32 @@ def sk_to_spark_penalty(alpha: float, l1_ratio: float, n: int, s_y: float) -> tu
     return lam, alpha * l1_ratio / lam
 
 
-def fit_penalized(train: DataFrame, alpha: float, l1_ratio: float, n: int, s_y: float) -> PipelineModel:
-    """Standardised features + penalised least squares in scikit-learn's units."""
+def fit_penalized(train: DataFrame, alpha: float, l1_ratio: float, n: int, s_y: float,
+                  population_std: bool = True) -> PipelineModel:
+    """Standardised features + penalised least squares in scikit-learn's units.
+
+    MLlib's scaler divides by the sample std, scikit-learn's by the
+    population std (trap T14); ``population_std`` multiplies the scaled
+    features by sqrt(n / (n - 1)) so the penalty acts on the same features.
+    """
     reg, en = sk_to_spark_penalty(alpha, l1_ratio, n, s_y)
-    scaler = StandardScaler(inputCol="features", outputCol="zfeatures", withMean=True, withStd=True)
+    stages = [StandardScaler(inputCol="features", outputCol="sfeatures", withMean=True, withStd=True)]
+    if population_std and n > 1:
+        attrs = train.schema["features"].metadata.get("ml_attr", {})
+        d = attrs.get("num_attrs") or len(train.select("features").first()["features"])
+        stages.append(ElementwiseProduct(scalingVec=Vectors.dense([math.sqrt(n / (n - 1))] * d),
+                                         inputCol="sfeatures", outputCol="zfeatures"))
+    else:
+        stages[0].setOutputCol("zfeatures")
     lr = _lr(regParam=reg, elasticNetParam=en, standardization=False, solver="l-bfgs",
              maxIter=1000, tol=1e-9).setFeaturesCol("zfeatures")
-    return Pipeline(stages=[scaler, lr]).fit(train)
+    return Pipeline(stages=stages + [lr]).fit(train)
 
 
 def score(model: PipelineModel, df: DataFrame, clamp: bool = False) -> DataFrame:
     """Batch scoring (M11); ``clamp`` floors predictions at 0."""
     out = model.transform(df)
-    drop = [c for c in ("zfeatures",) if c in out.columns]
+    drop = [c for c in ("zfeatures", "sfeatures") if c in out.columns]
     out = out.drop(*drop)
     return out.withColumn("y_pred", clamp_nonneg("y_pred")) if clamp else out
 
