@@ -18,7 +18,8 @@ from conftest import SF001  # noqa: E402
 
 QUICK = ["zone_hour_features", "clean_report", "zone_hour_totals", "holiday_calendar", "metrics_by_zone",
          "metrics_by_decile", "error_percentiles", "future_features", "daily_forecast_error", "weekday_counts",
-         "residual_normality", "sample_predictions", "scalar_calendar", "month_selection"]
+         "residual_normality", "sample_predictions", "scalar_calendar", "month_selection",
+         "combined_features", "source_roundtrip", "clamped_predictions"]
 NAMES = sorted(E.oracle_sql()) if os.environ.get("ZONECAST_FULL_ORACLE") else QUICK
 
 
