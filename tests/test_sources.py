@@ -33,3 +33,22 @@ def test_read_first_existing_and_report(spark, tmp_path):
     sinks.write_report(df, str(tmp_path / "r"))
     back = spark.read.csv(str(tmp_path / "r"), header=True)
     assert back.count() == 5 and len(list((tmp_path / "r").glob("part-*.csv"))) == 1
+
+
+def test_scan_skips_corrupt_month(spark, tmp_path):
+    t = fx.trips(spark, SF001).drop("year_month")
+    sinks.write_table(t, str(tmp_path / "yellow_tripdata_2024-01.parquet"))
+    (tmp_path / "yellow_tripdata_2024-02.parquet").write_bytes(b"not a parquet file")
+    df = src.scan_trips(spark, str(tmp_path), "yellow", ["2024-01", "2024-02"], columns=["pickup_ts"])
+    assert df.count() == t.count()
+
+
+def test_zone_names_without_broadcast_match(spark):
+    from zonecast.operators import labels
+    r = spark.read.parquet
+    zones = labels.zone_dimension(r(f"{SF001}/supplier.parquet"), r(f"{SF001}/nation.parquet"),
+                                  r(f"{SF001}/region.parquet"))
+    ids = spark.range(0, 30).withColumnRenamed("id", "PULocationID")
+    a = labels.with_zone_name(ids, zones).orderBy("PULocationID").collect()
+    b = labels.with_zone_name(ids, zones, broadcast_max_rows=0).orderBy("PULocationID").collect()
+    assert a == b and a[-1].Zone.startswith("Zone ") is (zones.count() < 30)
