@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import bpe, lang_ppm, packing, simhash, srs, token_count, toxicity
+from zonecast.llm import bpe, chat, html_extract, lang_ppm, packing, simhash, spotsigs, srs, token_count, toxicity
 from zonecast.llm.common import crc_bucket, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,18 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@register
+def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of each text and of its edited text, and the likeness to
+    the edited text and to the next document."""
+    said = spotsigs.edited_fingerprints(documents(spark, sf_dir))
+    own = F.col("signatures")
+    return said.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                       spotsigs.digest(own).alias("fingerprint"), spotsigs.digest(F.col("edited_signatures")).alias("edited_fingerprint"),
+                       spotsigs.likeness(own, F.col("edited_signatures")).alias("near_edited"),
+                       spotsigs.likeness(own, F.col("next_signatures")).alias("near_next"))
+
+
 @register
 def op3_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_count.with_budget(documents(spark, sf_dir), limit=512)
@@ -58,6 +70,43 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+@register
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The maximal conversations, rendered."""
+    chats = chat.format_chats(table(spark, sf_dir, "conversations"))
+    return chats.select("conv_id", F.col("n_turns").cast("long").alias("n_turns"), "n_copies", "n_snapshots", "text")
+
+
+ORACLE["op6_chat"] = """
+WITH turns AS (
+  SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role NULLS FIRST, text NULLS FIRST) AS k
+  FROM conversations),
+said AS (
+  SELECT conv_id, k, '<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) AS line,
+         coalesce(length(role) || ':' || role, '-') || coalesce(length(text) || ':' || text, '-') AS part FROM turns),
+prefixes AS (
+  SELECT conv_id, k, string_agg(part, '') OVER (PARTITION BY conv_id ORDER BY k) AS prefix FROM said),
+whole AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(line, '' ORDER BY k) AS text, string_agg(part, '' ORDER BY k) AS body
+  FROM said GROUP BY conv_id),
+proper AS (
+  SELECT DISTINCT p.prefix FROM prefixes p JOIN whole w USING (conv_id) WHERE p.k < w.n_turns),
+copies AS (
+  SELECT body, min(conv_id) AS conv_id, count(*) AS n_copies FROM whole GROUP BY body),
+kept AS (
+  SELECT c.*, w.n_turns, w.text FROM copies c JOIN whole w USING (conv_id) WHERE c.body NOT IN (SELECT prefix FROM proper))
+SELECT k.conv_id, k.n_turns, k.n_copies, CAST(sum(c.n_copies) AS BIGINT) AS n_snapshots, k.text
+FROM kept k JOIN prefixes p USING (conv_id) JOIN copies c ON c.body = p.prefix
+GROUP BY k.conv_id, k.n_turns, k.n_copies, k.text
+"""
+
+
+@register
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @register
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, radius=3)
