@@ -32,8 +32,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonecast.llm.common import work_name
+
 SHORT_WORD = 32          # bytes; longer words merge through a heap
-CACHE_CHUNKS = 600_000   # chunks a worker remembers before it starts afresh
+CACHE_CHUNKS = 300_000   # chunks, and words, a worker remembers before it starts afresh
 ROWS = 1 << 15           # words merged together
 NO_RANK = np.int32(1 << 30)
 
@@ -240,11 +242,11 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _by_size(texts: pa.Array, size: int = 4 << 20) -> Iterator[list[str]]:
+def _by_size(texts: pa.Array, size: int = 2 << 20) -> Iterator[list[str]]:
     """The texts of an Arrow batch in lists of about ``size`` characters."""
     part, held = [], 0
-    for t in texts.to_pylist():
-        part.append(t or "")
+    for t in texts:
+        part.append(t.as_py() or "")
         held += len(part[-1])
         if held >= size:
             yield part
@@ -252,20 +254,36 @@ def _by_size(texts: pa.Array, size: int = 4 << 20) -> Iterator[list[str]]:
     yield part
 
 
-def encode(df: DataFrame, text_col: str = "text", ids_col: str = "ids", path: str | None = None) -> DataFrame:
-    """Add ``ids_col`` array<int>: the ids of the whole text. ``path`` must
-    be readable on every executor; unset, each takes its installed file."""
+def _lists(coded: list[bytes]) -> pa.ListArray:
+    offsets = np.zeros(len(coded) + 1, np.int32)
+    np.cumsum([len(c) // 4 for c in coded], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), "<i4")))
+
 
-    @F.arrow_udf("array<int>")
+def encode(df: DataFrame, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None, path: str | None = None) -> DataFrame:
+    """Add ``ids_col`` array<int>: the ids of the whole text; with
+    ``decoded_col`` also the text that these ids decode to, in the same
+    worker. ``path`` must be readable on every executor; unset, each takes
+    its installed file."""
+    kind = "struct<ids:array<int>,decoded:string>" if decoded_col else "array<int>"
+
+    @F.arrow_udf(kind)
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = load(path or default_path())
         for texts in batches:
-            coded = [c for part in _by_size(texts) for c in bpe.encode_batch(part)]
-            offsets = np.zeros(len(coded) + 1, np.int32)
-            np.cumsum([len(c) // 4 for c in coded], out=offsets[1:])
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), "<i4")))
-
-    return df.withColumn(ids_col, ids(F.col(text_col)))
+            for part in _by_size(texts):
+                coded = bpe.encode_batch(part)
+                if decoded_col:
+                    said = pa.array([bpe.decode(np.frombuffer(c, "<i4")) for c in coded], pa.string())
+                    yield pa.StructArray.from_arrays([_lists(coded), said], ["ids", "decoded"])
+                else:
+                    yield _lists(coded)
+
+    if not decoded_col:
+        return df.withColumn(ids_col, ids(F.col(text_col)))
+    both = work_name(df, "coded")
+    out = df.withColumn(both, ids(F.col(text_col)))
+    return out.withColumns({ids_col: F.col(both)["ids"], decoded_col: F.col(both)["decoded"]}).drop(both)
 
 
 def decode(df: DataFrame, ids_col: str = "ids", text_col: str = "decoded", path: str | None = None) -> DataFrame:

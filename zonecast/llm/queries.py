@@ -26,7 +26,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of each document, then the text that they decode to, as digests."""
-    coded = bpe.decode(bpe.encode(documents(spark, sf_dir)))
+    coded = bpe.encode(documents(spark, sf_dir), decoded_col="decoded")
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
