@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 import math
 
 import numpy as np
@@ -92,3 +93,36 @@ def test_approx_option_close_to_exact(spark):
     ex = {r.percentile: r.abs_error for r in diagnostics.error_percentiles(df).collect()}
     ap = {r.percentile: r.abs_error for r in diagnostics.error_percentiles(df, accuracy=100000).collect()}
     assert all(abs(ex[k] - ap[k]) < 0.01 for k in ex)
+
+
+def test_missing_values_are_not_counted(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0,), (1.0,), (nan,), (None,), (2.0,)], "v double")
+    from zonecast.operators import profile
+    assert [(r.v, r["count"]) for r in profile.value_counts(df, "v").collect()] == [(1.0, 2), (2.0, 1)]
+    assert [(r.v, r["count"]) for r in profile.value_counts(df, "v", n=1).collect()] == [(1.0, 2)]
+    assert [r.v for r in profile.value_counts(df, "v", order="key").collect()] == [1.0, 2.0]
+
+
+def test_describe_skips_nan(spark):
+    import math
+    from zonecast.operators import profile
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "v double")
+    r = profile.describe_numeric(df, ["v"]).first()
+    assert (r["count"], r["mean"], r["min"], r["max"], r["p50"]) == (2, 1.5, 1.0, 2.0, 1.5)
+    assert math.isclose(r["std"], 0.5 ** 0.5)
+
+
+def test_lookups_do_not_depend_on_row_order(spark):
+    from zonecast.operators import forecast as fc
+    rows = [(1, "2024-01-01 00:00:00", v) for v in (5, 4, 3)] + [(1, "2024-01-01 01:00:00", 9)]
+    schema = "PULocationID long, t string, trip_count long"
+    for n in (1, 2, 3, 4):
+        df = spark.createDataFrame(rows, schema).repartition(n).select(
+            "PULocationID", F.col("t").cast("timestamp_ntz").alias("pickup_datetime"), "trip_count")
+        keys = df.select("PULocationID", "pickup_datetime").distinct()
+        got = {(str(r.pickup_datetime), r.trip_count) for r in fc.lookup_actual(df, keys).collect()}
+        assert got == {("2024-01-01 00:00:00", 3), ("2024-01-01 01:00:00", 9)}
+        targets = keys.where("hour(pickup_datetime) = 1").select("PULocationID", F.col("pickup_datetime").alias("ts"))
+        lag = fc.lookup_lags(targets, df, lags=[1, 2])
+        assert lag.count() == 1 and tuple(lag.select("lag_1h", "lag_2h").first()) == (3.0, 0.0)

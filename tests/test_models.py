@@ -51,3 +51,83 @@ def test_clamped_scores_nonnegative(spark):
     a = md.assemble(df, ["a", "b"])
     s = md.score(md.fit_linear(a), a, clamp=True)
     assert s.agg(F.min("y_pred")).first()[0] >= 0.0
+
+
+def _panel17(spark, n=600, seed=3):
+    """A panel of the 17 features, hour_of_week collinear as in the real one."""
+    from zonecast.schema import FEATURES
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, 17)) * rng.uniform(0.5, 20, 17)
+    x[:, 0], x[:, 1] = rng.integers(0, 24, n), rng.integers(0, 7, n)
+    x[:, 5] = 24 * x[:, 1] + x[:, 0]
+    y = 3 + x[:, 8] * 0.7 - x[:, 12] * 0.2 + x[:, 0] * 0.1 + rng.normal(size=n)
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)],
+                               ", ".join(f"{f} double" for f in FEATURES) + ", trip_count double")
+    return df, x, y
+
+
+def test_fits_on_all_features_match_numpy(spark):
+    """M2-M8 on 17 features: least squares, ridge in closed form, lasso and
+    elastic net by coordinate descent, on the same standardised features."""
+    df, x, y = _panel17(spark)
+    df = df.coalesce(1)
+    a = md.assemble(df)
+    tr, xt, yt = a, x, y
+    z, yc = (x - x.mean(0)) / x.std(0), y - y.mean()
+    n = len(y)
+
+    def mae(w):
+        return float(np.abs(yc - z @ w).mean())
+
+    def descent(l1, l2):
+        w = np.zeros(17)
+        for _ in range(4000):
+            for j in range(17):
+                c = z[:, j] @ (yc - z @ w + z[:, j] * w[j]) / n
+                w[j] = np.sign(c) * max(abs(c) - l1, 0) / (1 + l2)
+        return w
+
+    want = {("ridge", al): mae(np.linalg.solve(z.T @ z + al * np.eye(17), z.T @ yc)) for al in md.RIDGE_ALPHAS}
+    want |= {("lasso", al): mae(descent(al, 0.0)) for al in (0.01, 0.1)}
+    want |= {("elastic_net", al): mae(descent(al / 2, al / 2)) for al in (0.01, 0.1)}
+    t = md.Tuning(tr, a)
+    t.add(md.RIDGE_ALPHAS, 0.0, "ridge")
+    t.add([0.01, 0.1], 1.0, "lasso")
+    t.add([0.01, 0.1], 0.5, "elastic_net")
+    got = {(r["model"], r["alpha"]): r["mae"] for r in t.results()}
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=2e-4) for k in want)
+    w = np.linalg.lstsq(z, yc, rcond=None)[0]
+    for scaled in (False, True):
+        assert math.isclose(md.evaluate(md.fit_linear(a, scaled), a)["mae"], mae(w), rel_tol=1e-5)
+
+
+def test_tuning_reads_the_training_plan_twice(spark):
+    """Label statistics and scaler; every fit then reads the kept vectors."""
+    from pyspark.sql import functions as F
+    df, _, _ = _linear(spark)
+    seen = spark.sparkContext.accumulator(0)
+    counted = spark.createDataFrame(df.rdd.map(lambda r: (seen.add(1), r)[1]), df.schema)
+    a = md.assemble(counted, ["a", "b"])
+    t = md.Tuning(a, a.limit(10))
+    t.add(md.RIDGE_ALPHAS, 0.0, "ridge")
+    t.add(md.LASSO_ALPHAS, 1.0, "lasso")
+    # the two passes of Tuning itself and the one that fills the kept vectors
+    assert seen.value == 3 * 400
+    assert len(t.results()) == 10
+
+
+def test_best_of_each_family(spark):
+    df, _, _ = _linear(spark)
+    a = md.assemble(df, ["a", "b"])
+    rows = md.tune_all(a, a)
+    assert [r["model"] for r in rows] == ["linear", "linear_scaled", "ridge", "lasso", "elastic_net"]
+    assert rows[2]["alpha"] == min(md.RIDGE_ALPHAS) and rows[3]["alpha"] == min(md.LASSO_ALPHAS)
+
+
+def test_boosted_trees_beat_the_mean(spark):
+    df, x, y = _linear(spark)
+    a = md.assemble(df, ["a", "b"])
+    m = md.fit_gbt(a, trees=20)
+    assert md.evaluate(m, a)["rmse"] < 0.5 * float(np.std(y))
+    top = md.feature_importance(spark, m, ["a", "b"]).collect()
+    assert [r.feature for r in top] == ["b", "a"] and math.isclose(sum(r.importance for r in top), 1.0, rel_tol=1e-6)

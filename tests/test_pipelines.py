@@ -33,12 +33,12 @@ def test_yellow_and_combined_paths(spark, tmp_path):
 def test_evaluate_and_save(spark, tmp_path):
     _raw(spark, tmp_path)
     zh = pl.yellow_zone_hour(spark, str(tmp_path), ["2024-01"])
-    panel = pl.feature_table(zh, fx.RANGE_START, fx.RANGE_END)
+    panel = pl.feature_table(zh, fx.span(spark, SF001).start, fx.span(spark, SF001).end)
     model = pl.save_final(panel, str(tmp_path / "model"), str(tmp_path / "history"))
-    pred = pl.predictions(panel, model, fx.CUT)
+    pred = pl.predictions(panel, model, fx.span(spark, SF001).cut)
     rep = pl.evaluate(pred)
     assert {r.period for r in rep["global"].collect()} == {"train", "test"}
-    det = pl.detailed_tests(pred, pl.predictions(panel, model, fx.CUT))
+    det = pl.detailed_tests(pred, pl.predictions(panel, model, fx.span(spark, SF001).cut))
     assert det["stability"].first().stable
     assert spark.read.parquet(str(tmp_path / "history")).count() > 0
 
@@ -47,9 +47,9 @@ def test_forecast_all_zones(spark, tmp_path):
     from zonecast.operators.forecast import recent_history
     _raw(spark, tmp_path)
     zh = pl.yellow_zone_hour(spark, str(tmp_path), ["2024-01"])
-    panel = pl.feature_table(zh, fx.RANGE_START, fx.RANGE_END)
+    panel = pl.feature_table(zh, fx.span(spark, SF001).start, fx.span(spark, SF001).end)
     model = pl.save_final(panel, str(tmp_path / "m"), str(tmp_path / "h"))
-    fc = pl.forecast(model, panel, fx.FORECAST_START, recent_history(panel), fx.calendar(spark), 6)
+    fc = pl.forecast(model, panel, fx.span(spark, SF001).forecast_start, recent_history(panel), fx.calendar(spark, SF001), 6)
     n_zones = panel.select("PULocationID").distinct().count()
     assert fc.count() == 6 * n_zones
     assert fc.agg(F.min("prediction")).first()[0] >= 0.0

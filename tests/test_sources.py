@@ -35,20 +35,85 @@ def test_read_first_existing_and_report(spark, tmp_path):
     assert back.count() == 5 and len(list((tmp_path / "r").glob("part-*.csv"))) == 1
 
 
-def test_scan_skips_corrupt_month(spark, tmp_path):
-    t = fx.trips(spark, SF001).drop("year_month")
-    sinks.write_table(t, str(tmp_path / "yellow_tripdata_2024-01.parquet"))
+def _month(spark, tmp_path, dataset, month, n, passenger_type):
+    df = spark.range(n).select(F.lit("2024-01-05 10:00:00").cast("timestamp_ntz").alias("tpep_pickup_datetime"),
+                               F.lit("2024-01-05 10:30:00").cast("timestamp_ntz").alias("tpep_dropoff_datetime"),
+                               F.lit(4).cast("bigint").alias("PULocationID"), F.lit(7).cast("bigint").alias("DOLocationID"),
+                               F.lit(2).cast(passenger_type).alias("passenger_count"), F.lit(3.0).alias("trip_distance"),
+                               F.lit(9.5).alias("fare_amount"), F.lit(1).cast("int" if passenger_type == "double" else "bigint").alias("VendorID"))
+    if dataset == "fhvhv":
+        df = df.select(F.col("tpep_pickup_datetime").alias("pickup_datetime"), "PULocationID")
+    sinks.write_table(df, str(tmp_path / f"{dataset}_tripdata_{month}.parquet"))
+
+
+def test_months_of_differing_types_all_count(spark, tmp_path):
+    from zonecast.plans import pipelines as pl
+    _month(spark, tmp_path, "yellow", "2024-01", 5, "double")
+    _month(spark, tmp_path, "yellow", "2024-02", 7, "bigint")
+    df = src.scan_trips(spark, str(tmp_path), "yellow")
+    assert df.count() == 12 and dict(df.dtypes)["passenger_count"] == "double"
+    assert pl.yellow_zone_hour(spark, str(tmp_path)).agg(F.sum("trip_count")).first()[0] == 12
+    # one source missing altogether
+    assert pl.combined_zone_hour(spark, str(tmp_path)).agg(F.sum("trip_count")).first()[0] == 12
+    with pytest.raises(FileNotFoundError):
+        pl.combined_zone_hour(spark, str(tmp_path / "nothing"))
+
+
+def test_columns_that_a_month_lacks_are_null(spark, tmp_path):
+    sinks.write_table(spark.range(2), str(tmp_path / "yellow_tripdata_2024-01.parquet"))
+    sinks.write_table(spark.range(3).withColumn("fee", F.lit(1)), str(tmp_path / "yellow_tripdata_2024-02.parquet"))
+    df = src.scan_trips(spark, str(tmp_path), "yellow")
+    assert df.count() == 5 and df.where("fee is null").count() == 2
+    with pytest.raises(ValueError):
+        src.scan_trips(spark, str(tmp_path), "yellow", columns=["absent"])
+
+
+def test_unreadable_month_fails_yellow_and_is_named_in_combined(spark, tmp_path):
+    from zonecast.plans import pipelines as pl
+    _month(spark, tmp_path, "yellow", "2024-01", 5, "double")
+    _month(spark, tmp_path, "fhvhv", "2024-01", 3, "double")
     (tmp_path / "yellow_tripdata_2024-02.parquet").write_bytes(b"not a parquet file")
-    df = src.scan_trips(spark, str(tmp_path), "yellow", ["2024-01", "2024-02"], columns=["pickup_ts"])
-    assert df.count() == t.count()
+    with pytest.raises(Exception, match="(?i)footer|parquet"):
+        pl.yellow_zone_hour(spark, str(tmp_path))
+    skipped = []
+    assert pl.combined_zone_hour(spark, str(tmp_path), unreadable=skipped).agg(F.sum("trip_count")).first()[0] == 8
+    assert [p.rsplit("/", 1)[1] for p in skipped] == ["yellow_tripdata_2024-02.parquet"]
+
+
+def test_report_keeps_the_partitions_of_its_plan(spark, tmp_path):
+    """The one writing task takes result rows; the panel is not pulled into it."""
+    sinks.write_report(spark.range(0, 1000, 1, 4).groupBy((F.col("id") % 3).alias("k")).count(), str(tmp_path / "r"))
+    assert len(list((tmp_path / "r").glob("part-*.csv"))) == 1
+    ids = spark.range(0, 1000, 1, 4).withColumn("p", F.spark_partition_id())
+    sinks.write_report(ids, str(tmp_path / "p"))
+    assert spark.read.csv(str(tmp_path / "p"), header=True).select("p").distinct().count() == 4
 
 
-def test_zone_names_without_broadcast_match(spark):
+def test_zone_names_without_a_hint(spark):
     from zonecast.operators import labels
+    from zonecast.plans.explain import plan_text
     r = spark.read.parquet
     zones = labels.zone_dimension(r(f"{SF001}/supplier.parquet"), r(f"{SF001}/nation.parquet"),
                                   r(f"{SF001}/region.parquet"))
     ids = spark.range(0, 30).withColumnRenamed("id", "PULocationID")
-    a = labels.with_zone_name(ids, zones).orderBy("PULocationID").collect()
-    b = labels.with_zone_name(ids, zones, broadcast_max_rows=0).orderBy("PULocationID").collect()
-    assert a == b and a[-1].Zone.startswith("Zone ") is (zones.count() < 30)
+    named = labels.with_zone_name(ids, zones)
+    assert "ResolvedHint" not in plan_text(named)
+    assert named.orderBy("PULocationID").collect()[-1].Zone.startswith("Zone ") is (zones.count() < 30)
+
+
+def test_queries_leave_the_callers_session_alone(spark):
+    from zonecast.session import DEFAULT_CONF, own_session
+    plain = spark.newSession()
+    before = {k: plain.conf.get(k, None) for k in DEFAULT_CONF}
+    plain.conf.set("spark.sql.shuffle.partitions", "3")
+    own = own_session(plain)
+    assert {k: plain.conf.get(k, None) for k in DEFAULT_CONF} == before
+    assert own.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert all(own.conf.get(k) == v for k, v in DEFAULT_CONF.items())
+
+
+def test_stages_are_parquet_in_the_checkpoint_folder(spark):
+    from zonecast.plans.explain import plan_text
+    from zonecast.session import materialize
+    df = materialize(spark.range(10).withColumn("v", F.col("id") * 2).withColumn("w", F.lit(1)))
+    assert "ReadSchema: struct<v:bigint>" in plan_text(df.select("v"))

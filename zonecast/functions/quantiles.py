@@ -144,7 +144,13 @@ def _exact(base: DataFrame, k: int, probs: Sequence[float], buckets: int, max_di
             e = sub.agg(F.percentile_approx("v", grid, acc)).first()[0]
             sp = _splits(e, lo, hi)
             if len(sp) < 3:
-                break
+                # A value of many rows opens the range and hides the rest
+                # from the sketch: cut behind it.
+                rest = sub.where(F.col("v") > F.lit(lo)).agg(F.percentile_approx("v", grid, acc).alias("e"),
+                                                             F.min("v").alias("m")).first()
+                sp = _splits([*(rest["e"] or []), *([rest["m"]] if rest["m"] is not None else [])], lo, hi)
+            if len(sp) < 3:
+                raise ValueError(f"range [{lo}, {hi}) of about {nd} distinct values cannot be split")
             rb = Bucketizer(splits=sp, inputCol="v", outputCol="rb")
             cnt = {int(x["rb"]): (x["n"], x["nd"]) for x in rb.transform(sub).groupBy("rb").agg(
                 F.count(F.lit(1)).alias("n"), F.approx_count_distinct("v").alias("nd")).collect()}
@@ -190,6 +196,3 @@ def _exact(base: DataFrame, k: int, probs: Sequence[float], buckets: int, max_di
         out.append(res)
     return out
 
-
-def exact_median(df: DataFrame, col) -> float | None:
-    return exact_percentiles(df, col, [0.5])[0]

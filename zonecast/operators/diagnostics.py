@@ -170,23 +170,7 @@ def head_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 
 def sample_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
     """Exactly ``min(n, rows)`` rows without replacement, the same for the
-    same seed (O5).
-
-    Rows are ranked by an MD5 of their key and the seed and the first ``n``
-    kept. The hash is uniform, so a filter on its leading 32 bits first keeps
-    a prefix of that order a little larger than ``n`` (checked by a count, and
-    widened if short); the final top-n then merges about ``n`` rows instead of
-    ``n`` rows from every partition. ``df.sample`` is the cheaper choice when
-    an approximate size is enough.
-    """
+    same seed (O5): the first ``n`` in the order of an MD5 of key and seed --
+    one pass, ``n`` rows from each task."""
     h = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
-    hashed = df.withColumn("__h", h).withColumn("__u", F.conv(F.substring("__h", 1, 8), 16, 10).cast("double")
-                                                / float(1 << 32))
-    total = hashed.count()
-    frac = 1.0
-    if total > 0:
-        frac = min(1.0, (n + 10 * n ** 0.5 + 100) / total)
-        while frac < 1.0 and hashed.where(F.col("__u") < frac).count() < min(n, total):
-            frac = min(1.0, frac * 2)
-    pre = hashed.where(F.col("__u") < frac) if frac < 1.0 else hashed
-    return pre.orderBy("__h", *keys).limit(n).drop("__h", "__u")
+    return df.withColumn("__h", h).orderBy("__h", *keys).limit(n).drop("__h")

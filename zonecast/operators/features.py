@@ -98,7 +98,7 @@ def build_features(zone_hour: DataFrame, start, end, calendar: DataFrame | None
                    y: str = "trip_count", lags: Sequence[int] = LAGS,
                    windows: Sequence[int] = ROLLING, include_current: bool = True,
                    mean_cols: Sequence[str] | None = None,
-                   end_inclusive: str = "instant", checkpoint: bool = True) -> DataFrame:
+                   end_inclusive: str = "instant", consolidated: bool = False) -> DataFrame:
     """Zone-hour table -> complete panel with the 17 features.
 
     Range filter (F4) -> consolidate duplicates (A4) -> grid completion
@@ -106,16 +106,16 @@ def build_features(zone_hour: DataFrame, start, end, calendar: DataFrame | None
     (W2). Panel rows are zones x hours; lags and rolling means run in one
     window stage partitioned by zone.
 
-    With ``checkpoint`` the consolidated zone-hour table -- the stage the
-    reference writes to parquet -- is materialised in the shared checkpoint
-    folder: the grid's zone list and the data side then read it instead of
-    scanning the raw trips twice, and a lost executor restarts from it.
+    The consolidated zone-hour table -- the stage the reference writes to
+    parquet -- is materialised in the shared checkpoint folder: the grid's
+    zone list and the data side then read it instead of scanning the raw
+    trips twice, and a lost executor restarts from it. ``consolidated`` says
+    that ``zone_hour`` is such a table already.
     """
     spark = zone_hour.sparkSession
     df = filter_range(zone_hour, start, end, time, end_inclusive)
-    df = consolidate(df, zone, time, y, mean_cols)
-    if checkpoint:
-        df = materialize(df)
+    if not consolidated:
+        df = materialize(consolidate(df, zone, time, y, mean_cols), "zone-hour")
     df = complete_grid(df, start, end, zone, time, end_inclusive=end_inclusive)
     df = temporal_features(df, time)
     if calendar is None:

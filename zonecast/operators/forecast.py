@@ -60,24 +60,28 @@ def lookup_lags(targets: DataFrame, history: DataFrame, lags: Sequence[int] = LA
                 y: str = "trip_count") -> DataFrame:
     """Lag values of targets from a history table.
 
-    Exact value at ``t - k hours`` (first match if the history has
-    duplicates), else the mean of the zone's history at that hour of day,
-    else 0.0. All lags use one join: targets are expanded to one row per lag,
-    joined once to the exact values and once to the hour-of-day means, then
-    folded back to one row per target.
+    Exact value at ``t - k hours``, else the mean of the zone's history at
+    that hour of day, else 0.0. The history holds one row per zone and hour,
+    as the panel does; of duplicates the smallest value counts, so the result
+    does not depend on row order.
+
+    One grouping of the targets' lag rows with the history answers all lags:
+    every target is expanded to one row per lag that carries its own columns,
+    joined to the exact values and the hour-of-day means, and folded back.
     """
     hist = history.select(F.col(zone).alias("__z"), F.col(h_time).alias("__t"), F.col(y).cast("double").alias("__y"))
-    exact = hist.groupBy("__z", "__t").agg(F.min_by("__y", "__t").alias("__v"))
     hod = hist.groupBy("__z", F.hour("__t").alias("__hod")).agg(F.avg("__y").alias("__m"))
-    x = targets.select(zone, time, F.explode(F.array(*[F.lit(k) for k in lags])).alias("__k")) \
-        .withColumn("__lt", F.timestamp_add("HOUR", -F.col("__k"), F.col(time)))
-    x = (x.join(exact, (F.col(zone) == F.col("__z")) & (F.col("__lt") == F.col("__t")), "left")
+    cols = targets.columns
+    x = targets.select(F.struct(*cols).alias("__row"), F.col(zone).alias("__tz"),
+                       F.explode(F.array(*[F.lit(k) for k in lags])).alias("__k"), F.col(time).alias("__at")) \
+        .withColumn("__lt", F.timestamp_add("HOUR", -F.col("__k"), F.col("__at")))
+    x = (x.join(hist, (F.col("__tz") == F.col("__z")) & (F.col("__lt") == F.col("__t")), "left")
           .drop("__z", "__t")
-          .join(hod, (F.col(zone) == F.col("__z")) & (F.hour("__lt") == F.col("__hod")), "left")
-          .withColumn("__val", F.coalesce("__v", "__m", F.lit(0.0))))
-    folded = x.groupBy(zone, time).agg(*[F.max(F.when(F.col("__k") == k, F.col("__val"))).alias(f"lag_{k}h")
-                                         for k in lags])
-    return targets.join(folded, [zone, time], "left")
+          .join(hod, (F.col("__tz") == F.col("__z")) & (F.hour("__lt") == F.col("__hod")), "left")
+          .withColumn("__val", F.coalesce("__y", "__m", F.lit(0.0))))
+    folded = x.groupBy("__row").agg(*[F.min(F.when(F.col("__k") == k, F.col("__val"))).alias(f"lag_{k}h")
+                                      for k in lags])
+    return folded.select(*[F.col("__row")[c].alias(c) for c in cols], *[f"lag_{k}h" for k in lags])
 
 
 def future_features(targets: DataFrame, history: DataFrame, calendar: DataFrame,
@@ -175,9 +179,12 @@ def history_and_forecast(df: DataFrame, fc: DataFrame, target, days: int = 7, zo
 
 def lookup_actual(df: DataFrame, keys: DataFrame, zone: str = "PULocationID",
                   time: str = "pickup_datetime", y: str = "trip_count") -> DataFrame:
-    """Actual value for many (zone, time) keys at once, first match (F8)."""
-    first = df.groupBy(zone, time).agg(F.min_by(y, F.col(time)).alias(y))
-    return keys.join(first, [zone, time], "left")
+    """Actual value for many (zone, time) keys at once (F8). A key that
+    ``df`` holds more than once gets its smallest value, whatever the row
+    order; only the rows that match a key are grouped."""
+    actual = df.select(zone, time, y)
+    return keys.select(zone, time).distinct().join(actual, [zone, time], "left") \
+        .groupBy(zone, time).agg(F.min(y).alias(y))
 
 
 def filter_zones(df: DataFrame, zones, zone: str = "PULocationID") -> DataFrame:

@@ -59,17 +59,11 @@ def zone_labels(zones: DataFrame) -> DataFrame:
                         .alias("label")).orderBy("LocationID")
 
 
-def with_zone_name(df: DataFrame, zones: DataFrame, zone: str = "PULocationID",
-                   how: str = "left", broadcast_max_rows: int = 1_000_000) -> DataFrame:
+def with_zone_name(df: DataFrame, zones: DataFrame, zone: str = "PULocationID", how: str = "left") -> DataFrame:
     """Zone name with the default ``Zone {id}`` (J7); ``how='inner'`` gives
-    the zone attributes of known zones only (J8).
-
-    The dimension is broadcast only after its row count is checked against
-    ``broadcast_max_rows``; a larger one is joined by shuffle.
-    """
+    the zone attributes of known zones only (J8). Without a hint: adaptive
+    execution broadcasts a dimension whose measured size allows it."""
     dim = zones.select(F.col("LocationID").alias("__id"), "Borough", "Zone", "service_zone")
-    if dim.count() <= broadcast_max_rows:
-        dim = F.broadcast(dim)
     j = df.join(dim, F.col(zone) == F.col("__id"), how).drop("__id")
     if how == "left":
         j = j.withColumn("Zone", F.coalesce(F.col("Zone"), F.concat(F.lit("Zone "), F.col(zone).cast("string"))))

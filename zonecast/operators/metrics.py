@@ -84,3 +84,9 @@ def mape_variants(df: DataFrame, by: Sequence[str] = ("period",), y: str = "trip
     return df.groupBy(*by).agg(M.mape_nonzero(y, p).alias("mape_nonzero"),
                                M.mape_plus1(y, p).alias("mape_plus1"),
                                F.avg(M.pct_error_eps(y, p)).alias("mean_pct_error_eps"))
+
+
+def zone_report(df: DataFrame, zone: str = "PULocationID", y: str = "trip_count", p: str = "y_pred") -> DataFrame:
+    """MAE, RMSE and mean demand of each zone."""
+    return df.groupBy(zone).agg(M.mae(y, p).alias("mae"), M.rmse(y, p).alias("rmse"),
+                                F.avg(F.col(y).cast("double")).alias("mean_actual"))

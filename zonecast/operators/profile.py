@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from zonecast.functions.quantiles import exact_percentiles, exact_percentiles_multi
 from zonecast.functions.time import day_name, weekday0
+from zonecast.operators.cleaning import nan_to_null
 
 
 def demand_stats(df: DataFrame, y: str = "trip_count") -> DataFrame:
@@ -23,13 +24,17 @@ def demand_stats(df: DataFrame, y: str = "trip_count") -> DataFrame:
         .withColumn("median_trips", F.lit(med).cast("double"))
 
 
+def _present(df: DataFrame, col: str):
+    """Neither NULL nor, in a floating column, NaN."""
+    known = F.col(col).isNotNull()
+    return known & ~F.isnan(col) if dict(df.dtypes)[col] in ("double", "float") else known
+
+
 def value_counts(df: DataFrame, col: str, n: int | None = None, order: str = "count") -> DataFrame:
-    """Counts per value: top ``n`` by count (ties by value) or all in value order."""
-    c = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    if order == "count":
-        c = c.orderBy(F.col("count").desc(), F.col(col).asc_nulls_first())
-    else:
-        c = c.orderBy(F.col(col).asc_nulls_first())
+    """Counts per value: top ``n`` by count (ties by value) or all in value
+    order (A9/A10). Missing values (NULL, NaN) are not counted."""
+    c = df.where(_present(df, col)).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+    c = c.orderBy(F.col("count").desc(), col) if order == "count" else c.orderBy(col)
     return c.limit(n) if n else c
 
 
@@ -65,10 +70,10 @@ def hourly_counts(df: DataFrame, time: str) -> DataFrame:
 
 def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """count, mean, std (ddof 1, trap T22), min, quartiles, max per column,
-    long form: one row per column (A14)."""
+    long form: one row per column (A14). NaN is missing, as NULL is (T1)."""
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
+        x = nan_to_null(F.col(c).cast("double"))
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
     one = df.agg(*aggs)

@@ -66,6 +66,18 @@ def normalize_trips(df: DataFrame, dataset: str, cols: TripCols = TripCols()) ->
                      F.lit(dataset).alias("dataset"))
 
 
+def normalize_mixed(df: DataFrame, cols: TripCols) -> DataFrame:
+    """:func:`normalize_trips` for one table that holds both sources, told
+    apart by its dataset column: one scan instead of one for each source."""
+    yellow = F.col(cols.dataset) == "yellow"
+    return df.where(F.col(cols.dataset).isin("yellow", "fhvhv")).select(
+        F.col(cols.pickup).cast("timestamp_ntz").alias("pickup_datetime"),
+        F.col(cols.pu_zone).cast("bigint").alias("PULocationID"),
+        F.when(yellow, F.col(cols.distance).cast("double")).otherwise(F.lit(0.0)).alias("trip_distance"),
+        F.when(yellow, F.col(cols.passengers).cast("double")).otherwise(F.lit(1.0)).alias("passenger_count"),
+        F.col(cols.dataset).alias("dataset"))
+
+
 def totals_zone_hour(df: DataFrame, by: Sequence[str] = (), unit: str = "hour") -> DataFrame:
     """Combined-path zone-hour totals from a normalised frame.
 

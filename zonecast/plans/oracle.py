@@ -10,12 +10,16 @@ from __future__ import annotations
 
 import re
 
-# Fixed values of the fixture run (FIXTURES.md section 3), as SQL literals.
-T0 = "TIMESTAMP '2024-01-01 00:00:00'"
-T1 = "TIMESTAMP '2024-01-30 00:00:00'"
-CUT = "TIMESTAMP '2024-01-22 00:00:00'"
+from zonecast.schema import FEATURES
+
+# The time range and the dates derived from it, by the data.
+T0, T1, CUT, FROM = (f"(SELECT {c} FROM rng)" for c in ("t0", "t1", "cut", "fs"))
 
 CTES = [
+    ("rng", """
+SELECT CAST(date_trunc('day', min(ts)) AS TIMESTAMP) AS t0, CAST(date_trunc('hour', max(ts)) AS TIMESTAMP) AS t1,
+       CAST(date_trunc('day', max(ts)) AS TIMESTAMP) - INTERVAL 8 DAY AS cut,
+       CAST(date_trunc('day', max(ts)) AS TIMESTAMP) - INTERVAL 1 DAY AS fs FROM events"""),
     ("trips", """
 SELECT event_id AS trip_id,
        CASE WHEN event_id % 97 = 0 THEN NULL ELSE user_id % 300 END AS pu_zone,
@@ -36,24 +40,22 @@ FROM trips
 WHERE fare > 0 AND distance > 0 AND passengers > 0
   AND pu_zone BETWEEN 1 AND 265 AND do_zone BETWEEN 1 AND 265
   AND date_diff('microsecond', pickup_ts, dropoff_ts) / 60000000.0 >= 1"""),
-    ("zh_src", f"""
+    ("zh_src", """
 SELECT dataset, pu_zone AS PULocationID, date_trunc('hour', pickup_ts) AS pickup_datetime,
        count(vendor_id) AS trip_count,
        round_even(avg(fare), 2) AS avg_fare,
        round_even(avg(distance), 2) AS avg_trip_distance,
        round_even(avg(passengers), 2) AS avg_passenger_count
 FROM clean
-WHERE pickup_ts >= {T0} AND pickup_ts < {T1} + INTERVAL 1 HOUR
 GROUP BY dataset, pu_zone, date_trunc('hour', pickup_ts)"""),
-    ("zh", f"""
+    ("zh", """
 SELECT PULocationID, pickup_datetime, CAST(sum(trip_count) AS BIGINT) AS trip_count,
        avg(avg_fare) AS avg_fare, avg(avg_trip_distance) AS avg_trip_distance,
        avg(avg_passenger_count) AS avg_passenger_count
 FROM zh_src
-WHERE pickup_datetime BETWEEN {T0} AND {T1}
 GROUP BY PULocationID, pickup_datetime"""),
-    ("hours", f"""
-SELECT unnest(generate_series({T0}, {T1}, INTERVAL 1 HOUR)) AS pickup_datetime"""),
+    ("hours", """
+SELECT unnest(generate_series(t0, t1, INTERVAL 1 HOUR)) AS pickup_datetime FROM rng"""),
     ("grid", """
 SELECT z.PULocationID, h.pickup_datetime
 FROM (SELECT DISTINCT PULocationID FROM zh) z, hours h"""),
@@ -255,8 +257,8 @@ SELECT s.s_suppkey AS LocationID, n.n_name AS Borough, s.s_name AS Zone, r.r_nam
 FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
 LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"""),
     ("targets", """
-SELECT z.PULocationID, s.step, TIMESTAMP '2024-01-29 00:00:00' + to_hours(s.step) AS ts
-FROM (SELECT DISTINCT PULocationID FROM panel) z,
+SELECT z.PULocationID, s.step, r.fs + to_hours(s.step) AS ts
+FROM (SELECT DISTINCT PULocationID FROM panel) z, rng r,
      (SELECT CAST(unnest(generate_series(0, 23)) AS BIGINT) AS step) s"""),
     ("hist", """
 SELECT PULocationID, pickup_datetime, trip_count FROM panel
@@ -334,10 +336,11 @@ SELECT '{c}' AS column, count({c}) AS count, round(avg({c}), 6) AS mean, round(s
     for c in ["fare", "distance", "passengers", "trip_duration_min"]))
 
 ORACLE["top_zones"] = q("""
-SELECT pu_zone, count(*) AS count FROM trips GROUP BY 1 ORDER BY count DESC, pu_zone NULLS FIRST LIMIT 10""")
+SELECT pu_zone, count(*) AS count FROM trips WHERE pu_zone IS NOT NULL GROUP BY 1 ORDER BY count DESC, pu_zone LIMIT 10""")
 
 ORACLE["passenger_counts"] = q("""
-SELECT round(passengers, 6) AS passengers, count(*) AS count FROM trips GROUP BY passengers""")
+SELECT round(passengers, 6) AS passengers, count(*) AS count FROM trips
+WHERE passengers IS NOT NULL AND NOT isnan(passengers) GROUP BY passengers""")
 
 ORACLE["weekday_counts"] = q("""
 SELECT d.dow, d.day_name, c.trips
@@ -387,8 +390,8 @@ SELECT count(*) AS n_rows, CAST(count_if({_DUR} < 1) AS BIGINT) AS short_trips,
 # ---- labels ---------------------------------------------------------------------
 ORACLE["period_labels"] = q(f"""
 SELECT h AS pickup_datetime,
-       CASE WHEN h < {T0} THEN 'before_data' WHEN h < {CUT} THEN 'train'
-            WHEN h < TIMESTAMP '2024-01-30 01:00:00' THEN 'test' ELSE 'future' END AS period
+       CASE WHEN h < {T0} + INTERVAL 1 DAY THEN 'before_data' WHEN h < {CUT} THEN 'train'
+            WHEN h < {FROM} + INTERVAL 1 DAY THEN 'test' ELSE 'future' END AS period
 FROM (SELECT DISTINCT date_trunc('hour', pickup_ts) AS h FROM trips)""")
 
 ORACLE["historical_flag"] = q("""
@@ -496,13 +499,15 @@ SELECT round(ma, 6) AS mean_actual, round(mp, 6) AS mean_pred, round(ma - mp, 6)
        round(100.0 * (ma - mp) / ma, 6) AS bias_pct, CAST(abs(ma - mp) < ma * 0.05 AS BIGINT) AS calibrated
 FROM (SELECT avg(trip_count) AS ma, avg(y_pred) AS mp FROM test)""")
 
-ORACLE["metrics_by_decile"] = q(f"""
-SELECT decile, min(trip_count) AS min_demand, max(trip_count) AS max_demand, round({MAE}, 6) AS mae,
-       round({MAPE}, 6) AS mape, count(*) AS n_samples
-FROM (SELECT t.*, CAST(greatest(len(list_filter(e.e, lambda x: x < t.trip_count)) - 1, 0) AS BIGINT) AS decile
-      FROM test t,
-           (SELECT list_sort(list_distinct(quantile_cont(trip_count, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS e
-            FROM test) e)
+ORACLE["metrics_by_decile"] = q("""
+, fares AS (SELECT fare, avg(fare) OVER (PARTITION BY hour(pickup_ts)) AS y_pred FROM clean),
+edges AS (SELECT list_sort(list_distinct(quantile_cont(fare, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS e
+          FROM fares)
+SELECT decile, round(min(fare), 6) AS min_demand, round(max(fare), 6) AS max_demand,
+       round(avg(abs(fare - y_pred)), 6) AS mae,
+       round(100.0 * avg(CASE WHEN fare <> 0 THEN abs((fare - y_pred) / fare) END), 6) AS mape, count(*) AS n_samples
+FROM (SELECT f.*, CAST(greatest(len(list_filter(e.e, lambda x: x < f.fare)) - 1, 0) AS BIGINT) AS decile
+      FROM fares f, edges e)
 GROUP BY decile""")
 
 ORACLE["weekly_mae"] = q(f"""
@@ -517,10 +522,10 @@ FROM (SELECT avg(CASE WHEN isodow(pickup_datetime) < 6 THEN abs_error END) AS wd
              avg(CASE WHEN isodow(pickup_datetime) >= 6 THEN abs_error END) AS we,
              CAST(count_if(isodow(pickup_datetime) >= 6) AS BIGINT) AS nwe FROM test)""")
 
-ORACLE["negative_predictions"] = q("""
-SELECT CAST(count_if(y_pred < 0) AS BIGINT) AS n_negative, count(*) AS n_rows,
-       round(100.0 * count_if(y_pred < 0) / count(*), 6) AS pct_negative,
-       CAST(count_if(y_pred < 0) = 0 AS BIGINT) AS passed FROM test""")
+ORACLE["negative_predictions"] = q(f"""
+SELECT CAST(count_if(p < 0) AS BIGINT) AS n_negative, count(*) AS n_rows,
+       round(100.0 * count_if(p < 0) / count(*), 6) AS pct_negative, CAST(count_if(p < 0) = 0 AS BIGINT) AS passed
+FROM (SELECT (4 * lag_1h + lag_2h - 2 * lag_3h) / 3 AS p FROM feat WHERE pickup_datetime >= {CUT})""")
 
 ORACLE["residual_autocorr"] = q("""
 SELECT 1 AS lag, round(corr(e, e1), 6) AS autocorr FROM
@@ -537,11 +542,6 @@ FROM (SELECT count(*) AS n, avg(pow(error - mu, 3)) / pow(avg(pow(error - mu, 2)
              avg(pow(error - mu, 4)) / pow(avg(pow(error - mu, 2)), 2) - 3 AS k
       FROM test, (SELECT avg(error) AS mu FROM test))""")
 
-ORACLE["prediction_stability"] = q("""
-SELECT round(max(abs(a.y_pred - b.y_pred)), 6) AS max_abs_diff, count(*) AS n_rows,
-       CAST(coalesce(max(abs(a.y_pred - b.y_pred)), 0.0) < 1e-10 AS BIGINT) AS stable
-FROM test a JOIN test b USING (PULocationID, pickup_datetime)""")
-
 # ---- forecast views -------------------------------------------------------------------
 ORACLE["recent_history"] = q("SELECT * FROM hist")
 
@@ -568,15 +568,15 @@ ORACLE["forecast_summary"] = q("""
 SELECT PULocationID, round(max(prediction), 6) AS max_pred, round(min(prediction), 6) AS min_pred,
        round(avg(prediction), 6) AS mean_pred, round(sum(prediction), 6) AS total_pred FROM future GROUP BY 1""")
 
-_RD = """(SELECT PULocationID, CAST(pickup_datetime AS DATE) AS d, CAST(sum(trip_count) AS BIGINT) AS daily_total
- FROM panel WHERE pickup_datetime >= TIMESTAMP '2024-01-29 00:00:00' - INTERVAL 7 DAY GROUP BY 1, 2)"""
+_RD = f"""(SELECT PULocationID, CAST(pickup_datetime AS DATE) AS d, CAST(sum(trip_count) AS BIGINT) AS daily_total
+ FROM panel WHERE pickup_datetime >= {FROM} - INTERVAL 7 DAY GROUP BY 1, 2)"""
 ORACLE["recent_daily"] = q(f"SELECT PULocationID, strftime(d, '%Y-%m-%d') AS date, daily_total FROM {_RD}")
 
 ORACLE["history_and_forecast"] = q(f"""
 SELECT PULocationID, strftime(d, '%Y-%m-%d') AS date, round(CAST(daily_total AS DOUBLE), 6) AS trips, 'actual' AS kind
 FROM {_RD}
 UNION ALL
-SELECT PULocationID, '2024-01-29', round(sum(prediction), 6), 'forecast' FROM future GROUP BY 1""")
+SELECT PULocationID, strftime({FROM}, '%Y-%m-%d'), round(sum(prediction), 6), 'forecast' FROM future GROUP BY 1""")
 
 ORACLE["daily_totals"] = q("""
 SELECT PULocationID, strftime(CAST(pickup_datetime AS DATE), '%Y-%m-%d') AS date,
@@ -620,7 +620,8 @@ WHERE PULocationID IN (SELECT PULocationID FROM busy) AND pickup_datetime BETWEE
 
 # ---- months, ordering, scalar functions ------------------------------------------
 ORACLE["month_selection"] = q("""
-SELECT DISTINCT year_month FROM (
+SELECT DISTINCT year_month, CAST(year_month[6:7] IN ('01', '02', '03')
+       OR year_month = (SELECT strftime(t1, '%Y-%m') FROM rng) AS BIGINT) AS selected FROM (
   SELECT year_month FROM trips
   UNION ALL
   SELECT format('{:04d}-{:02d}', y, m) FROM (SELECT DISTINCT year(pickup_ts) AS y FROM trips),
@@ -644,7 +645,7 @@ ORACLE["head_rows"] = q("SELECT * FROM panel ORDER BY PULocationID, pickup_datet
 ORACLE["range_and_split"] = q(f"""
 SELECT CASE WHEN pickup_datetime < {CUT} THEN 'train' ELSE 'test' END AS part, count(*) AS n_rows,
        CAST(sum(trip_count) AS BIGINT) AS trips, min(pickup_datetime) AS first_ts, max(pickup_datetime) AS last_ts
-FROM zh_src WHERE pickup_datetime BETWEEN {T0} AND {T1} GROUP BY 1""")
+FROM zh_src WHERE pickup_datetime BETWEEN {T0} + INTERVAL 1 DAY AND {T1} GROUP BY 1""")
 
 ORACLE["scalar_calendar"] = q("""
 SELECT trip_id, date_trunc('hour', pickup_ts) AS hour_start, hour(pickup_ts) AS hour, day(pickup_ts) AS day,
@@ -658,18 +659,106 @@ SELECT trip_id, date_trunc('hour', pickup_ts) AS hour_start, hour(pickup_ts) AS
        regexp_extract('yellow_tripdata_' || year_month || '.parquet', '(\\d{4}-\\d{2})\\.parquet$', 1) AS month_from_file
 FROM trips""")
 
-ORACLE["clamped_predictions"] = q(f"""
-SELECT f.PULocationID, f.pickup_datetime, f.trip_count,
-       round(greatest(c.b + c.a * coalesce(f.lag_1h, 0.0), 0.0), 6) AS y_pred
-FROM feat f, (SELECT regr_slope(trip_count, coalesce(lag_1h, 0.0)) AS a,
-                     regr_intercept(trip_count, coalesce(lag_1h, 0.0)) AS b
-              FROM feat WHERE pickup_datetime < {CUT}) c
-WHERE f.pickup_datetime >= {CUT}""")
+# ---- models: one-feature fits in closed form ---------------------------------------
+CTES += [
+    ("xy", f"""
+SELECT *, coalesce(lag_1h, 0.0) AS x, CAST(trip_count AS DOUBLE) AS y,
+       CASE WHEN pickup_datetime < {CUT} THEN 'train' ELSE 'test' END AS period FROM feat"""),
+    ("fit", "SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b, count(*) AS n FROM xy WHERE period = 'train'"),
+    ("fit_all", "SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM xy"),
+    ("scored1", "SELECT xy.*, b + a * x AS p FROM xy, fit WHERE period = 'test'"),
+    ("final0", "SELECT xy.* EXCLUDE (x, y), b + a * x AS y_pred FROM xy, fit_all"),
+    ("final", "SELECT *, trip_count - y_pred AS error, abs(trip_count - y_pred) AS abs_error FROM final0"),
+    ("future1", """
+SELECT f.PULocationID, f.step, f.ts, greatest(b + a * f.lag_1h, 0.0) AS prediction, f.has_history
+FROM future f, fit_all"""),
+    # standardised feature z, c = mean(z * (y - mean y)); a penalised fit
+    # has the single weight w
+    ("zs", """
+SELECT avg(x) AS mx, stddev_pop(x) AS sx, avg(y) AS my, count(*) AS n,
+       covar_pop(x, y) / stddev_pop(x) AS c FROM xy WHERE period = 'train'"""),
+    ("variants", """
+SELECT 'ridge' AS model, alpha, 0.0 AS l1_ratio, c / (1 + alpha / n) AS w
+FROM zs, (SELECT unnest([0.001, 0.01, 0.1, 1.0, 10.0, 100.0]) AS alpha)
+UNION ALL
+SELECT 'lasso', alpha, 1.0, sign(c) * greatest(abs(c) - alpha, 0.0)
+FROM zs, (SELECT unnest([0.0001, 0.001, 0.01, 0.1]) AS alpha)
+UNION ALL
+SELECT 'elastic_net', alpha, 0.5, sign(c) * greatest(abs(c) - alpha * 0.5, 0.0) / (1 + alpha * 0.5)
+FROM zs, (SELECT unnest([0.001, 0.01, 0.1]) AS alpha)
+UNION ALL
+SELECT m, NULL, NULL, c FROM zs, (SELECT unnest(['linear', 'linear_scaled']) AS m)"""),
+    ("tuned", """
+SELECT model, alpha, l1_ratio, avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse,
+       1 - sum(e * e) / (count(*) * var_pop(y)) AS r2
+FROM (SELECT v.*, y, y - (my + w * (x - mx) / sx) AS e FROM variants v, zs, xy WHERE period = 'test')
+GROUP BY ALL"""),
+]
+
+ORACLE["model_matrix"] = q("SELECT PULocationID, pickup_datetime, trip_count, " + ", ".join(
+    f"round(CAST(coalesce({c}, 0) AS DOUBLE), 6) AS x_{c}" for c in FEATURES) + " FROM feat")
+
+ORACLE["ols_single_feature"] = q("SELECT round(a, 6) AS slope, round(b, 6) AS intercept, n AS n_rows FROM fit")
+
+ORACLE["linear_scores"] = q("""
+SELECT PULocationID, pickup_datetime, trip_count, round(p, 6) AS y_pred, round(p, 6) AS y_scaled FROM scored1""")
+
+ORACLE["model_roundtrip"] = q("SELECT PULocationID, pickup_datetime, round(p, 6) AS y_pred FROM scored1")
 
-ORACLE["ols_single_feature"] = q(f"""
-SELECT round(regr_slope(trip_count, coalesce(lag_1h, 0.0)), 6) AS slope,
-       round(regr_intercept(trip_count, coalesce(lag_1h, 0.0)), 6) AS intercept, count(*) AS n_rows
-FROM feat WHERE pickup_datetime < {CUT}""")
+ORACLE["clamped_predictions"] = q("""
+SELECT PULocationID, pickup_datetime, trip_count, round(greatest(p, 0.0), 6) AS y_pred FROM scored1""")
+
+ORACLE["prediction_stability"] = q("""
+SELECT round(max(abs(p - p)), 6) AS max_abs_diff, count(*) AS n_rows, CAST(1 AS BIGINT) AS stable FROM scored1""")
+
+for _name in ("ridge", "lasso", "elastic_net"):
+    ORACLE[f"{_name}_tuning"] = q(f"SELECT model, alpha, l1_ratio, {r6('mae', 'rmse', 'r2')} FROM tuned WHERE model = '{_name}'")
+
+ORACLE["model_leaderboard"] = q(f"""
+SELECT model, alpha, l1_ratio, {r6('mae', 'rmse', 'r2')}
+FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY round(mae, 9), alpha) AS k FROM tuned) WHERE k = 1""")
+
+ORACLE["forecast_24h"] = q("""
+SELECT PULocationID, step, ts, round(prediction, 6) AS prediction, has_history FROM future1""")
+
+ORACLE["forecast_vs_actual"] = q("""
+SELECT f.PULocationID, f.step, f.ts, round(f.prediction, 6) AS prediction, f.has_history,
+       coalesce(p.trip_count, 0) AS trip_count
+FROM future1 f LEFT JOIN panel p ON f.PULocationID = p.PULocationID AND f.ts = p.pickup_datetime""")
+
+ORACLE["model_history_and_forecast"] = q(f"""
+SELECT PULocationID, strftime(d, '%Y-%m-%d') AS date, round(CAST(daily_total AS DOUBLE), 6) AS trips, 'actual' AS kind
+FROM {_RD}
+UNION ALL
+SELECT PULocationID, strftime({FROM}, '%Y-%m-%d'), round(sum(prediction), 6), 'forecast' FROM future1 GROUP BY 1""")
+
+ORACLE["final_model_scores"] = q(f"""
+SELECT PULocationID, pickup_datetime, period, trip_count, {r6('y_pred', 'error', 'abs_error')} FROM final""")
+ORACLE["final_model_history"] = q("SELECT * FROM hist")
+ORACLE["fitted_metrics"] = q(_metrics_sql(src="final"))
+ORACLE["fitted_metrics_by_zone"] = q(_metrics_sql("PULocationID", r2=False, mean_demand=True, src="final")
+                                     .replace("SELECT period, PULocationID,", "SELECT period, PULocationID AS zone,"))
+ORACLE["fitted_weekly_mae"] = q("""
+SELECT isoyear(pickup_datetime) AS iso_year, week(pickup_datetime) AS week, round(avg(abs_error), 6) AS mae,
+       count(*) AS n_rows FROM final WHERE period = 'test' GROUP BY 1, 2""")
+ORACLE["fitted_calibration"] = q("""
+SELECT round(ma, 6) AS mean_actual, round(mp, 6) AS mean_pred, round(ma - mp, 6) AS bias,
+       round(100.0 * (ma - mp) / ma, 6) AS bias_pct, CAST(abs(ma - mp) < ma * 0.05 AS BIGINT) AS calibrated
+FROM (SELECT avg(trip_count) AS ma, avg(y_pred) AS mp FROM final WHERE period = 'test')""")
+
+# ---- sources ------------------------------------------------------------------------
+ORACLE["monthly_scan"] = q("""
+SELECT trip_id, pu_zone, pickup_ts, round(fare, 6) AS fare, round(passengers, 6) AS passengers,
+       CASE WHEN day(pickup_ts) % 2 = 1 THEN '2024-01' ELSE '2024-02' END AS year_month,
+       dataset AS source_dataset, CAST(1 AS BIGINT) AS n_unreadable FROM trips""")
+ORACLE["zone_csv"] = q("SELECT LocationID, Borough, Zone, service_zone FROM zones_dim")
+ORACLE["preferred_source"] = q_norm(f"""
+SELECT pickup_datetime, PULocationID, {r6('total_distance', 'total_passengers')}, trip_count
+FROM src_tot WHERE dataset = 'yellow'""")
+ORACLE["feature_nulls"] = q("SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column, CAST(count_if({c} IS NULL) AS BIGINT) AS n_missing, "
+    f"round(100.0 * count_if({c} IS NULL) / count(*), 6) AS pct_missing FROM feat" for c in FEATURES) + ") WHERE n_missing > 0")
+ORACLE["parsed_timestamps"] = q("SELECT trip_id, date_trunc('second', pickup_ts) AS pickup_ts FROM trips")
 
 
 # ---- combined path feature table (A5) ---------------------------------------------
@@ -680,7 +769,7 @@ ORACLE["combined_features"] = q_norm(f"""
            FROM src_tot GROUP BY 1, 2),
 zhc AS (SELECT PULocationID, pickup_datetime, CAST(sum(trip_count) AS BIGINT) AS trip_count,
                avg(total_distance) AS total_distance, avg(total_passengers) AS total_passengers
-        FROM comb WHERE pickup_datetime BETWEEN {T0} AND {T1} GROUP BY 1, 2),
+        FROM comb GROUP BY 1, 2),
 panelc AS (SELECT z.PULocationID, h.pickup_datetime,
                   CASE WHEN c.PULocationID IS NULL THEN 0 ELSE c.trip_count END AS trip_count,
                   CASE WHEN c.PULocationID IS NULL THEN 0.0 ELSE c.total_distance END AS total_distance,

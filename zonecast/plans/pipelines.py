@@ -24,7 +24,7 @@ from zonecast.operators.features import build_features
 from zonecast.operators.forecast import recent_history
 from zonecast.operators.grid import split_by_time, with_split_period
 from zonecast.operators.zonehour import aggregate_zone_hour, combine_sources, normalize_trips, totals_zone_hour
-from zonecast.schema import TripCols
+from zonecast.schema import FEATURES, TripCols
 from zonecast.session import materialize
 from zonecast.sources.sinks import save_model, write_table
 from zonecast.sources.trips import scan_trips
@@ -43,13 +43,17 @@ def yellow_zone_hour(spark: SparkSession, raw_dir: str, months: Sequence[str] |
     return zh.drop("year_month")
 
 
-def combined_zone_hour(spark: SparkSession, raw_dir: str, months: Sequence[str] | None = None) -> DataFrame:
+def combined_zone_hour(spark: SparkSession, raw_dir: str, months: Sequence[str] | None = None,
+                       unreadable: list[str] | None = None) -> DataFrame:
     """Combined path: yellow + FHVHV, no cleaning (T23), per-source totals
-    (A2) united and re-summed (A3)."""
+    (A2) united and re-summed (A3). A source without a month is left out, and
+    unreadable files are skipped and logged; their paths are added to
+    ``unreadable`` if a list is given (S3, S4)."""
     frames = []
+    skipped = unreadable if unreadable is not None else []
     for ds, cols in (("yellow", YELLOW), ("fhvhv", FHVHV)):
         try:
-            t = scan_trips(spark, raw_dir, ds, months)
+            t = scan_trips(spark, raw_dir, ds, months, unreadable=skipped)
         except FileNotFoundError:
             continue
         frames.append(totals_zone_hour(normalize_trips(t, ds, cols)))
@@ -75,19 +79,17 @@ def compare_models(panel: DataFrame, cut) -> tuple[DataFrame, dict]:
 
 
 def tune_linear(panel: DataFrame, cut) -> DataFrame:
-    """Base and scaled OLS, ridge, lasso and elastic net, ranked by MAE (M4-M8)."""
+    """Base and scaled OLS and the best ridge, lasso and elastic net, ranked
+    by MAE (M4-M8). ``panel`` is read several times: give a written table."""
     spark = panel.sparkSession
-    tr, te = (materialize(md.assemble(x)) for x in split_by_time(panel, cut))
-    res = [{"model": "linear", "alpha": None, "l1_ratio": None, **md.evaluate(md.fit_linear(tr), te)},
-           {"model": "linear_scaled", "alpha": None, "l1_ratio": None, **md.evaluate(md.fit_linear(tr, True), te)}]
-    res += md.tune_ridge(tr, te) + md.tune_lasso(tr, te) + md.tune_elastic_net(tr, te)
-    return md.leaderboard(spark, res)
+    tr, te = (md.assemble(x) for x in split_by_time(panel, cut))
+    return md.leaderboard(spark, md.tune_all(tr, te))
 
 
-def predictions(panel: DataFrame, model: PipelineModel, cut) -> DataFrame:
+def predictions(panel: DataFrame, model: PipelineModel, cut, features: Sequence[str] = FEATURES) -> DataFrame:
     """Scored panel with residuals and the train/test label, materialised
     once for the many reports read from it (M11, E8, F5)."""
-    scored = md.score(model, md.assemble(panel)).drop("features")
+    scored = md.score(model, md.assemble(panel, features)).drop("features")
     return materialize(with_split_period(mt.with_residuals(scored), cut))
 
 
@@ -117,27 +119,28 @@ def detailed_tests(pred: DataFrame, rescored: DataFrame | None = None) -> dict[s
     return out
 
 
-def save_final(panel: DataFrame, model_path: str, history_path: str, days: int = 14) -> PipelineModel:
+def save_final(panel: DataFrame, model_path: str, history_path: str, days: int = 14,
+               features: Sequence[str] = FEATURES) -> PipelineModel:
     """Fit on all rows (M10, in-sample for any later metric, T18), save the
     model (K3) and the recent history (P1, K1)."""
-    model = md.fit_final(panel)
+    model = md.fit_final(panel, features)
     save_model(model, model_path)
     write_table(recent_history(panel, days), history_path)
     return model
 
 
 def predict_demand(model: PipelineModel, targets: DataFrame, history: DataFrame, calendar: DataFrame,
-                   time: str = "ts") -> DataFrame:
+                   time: str = "ts", features: Sequence[str] = FEATURES) -> DataFrame:
     """Predictions for (zone, time) targets, clamped at 0 (P2 + M11 + F13 = P3)."""
     from zonecast.operators.forecast import future_features
     ff = future_features(targets, history, calendar, time=time)
-    return md.score(model, md.assemble(ff), clamp=True).drop("features") \
+    return md.score(model, md.assemble(ff, features), clamp=True).drop("features") \
         .withColumnRenamed("y_pred", "prediction")
 
 
 def forecast(model: PipelineModel, zones: DataFrame, start, history: DataFrame, calendar: DataFrame,
-             horizon: int = 24) -> DataFrame:
+             horizon: int = 24, features: Sequence[str] = FEATURES) -> DataFrame:
     """``horizon`` hourly predictions from ``start`` for every zone at once;
     each hour independent, ``step`` and clock time ``ts`` both kept (P4, T19)."""
     from zonecast.operators.forecast import forecast_targets
-    return predict_demand(model, forecast_targets(zones, start, horizon), history, calendar)
+    return predict_demand(model, forecast_targets(zones, start, horizon), history, calendar, features=features)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+import weakref
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: naive timestamps are compared in UTC, AQE
@@ -24,14 +25,31 @@ DEFAULT_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply :data:`DEFAULT_CONF` to an existing session (one the caller
-    built), so operators see the same time zone and planner settings."""
+    """Apply :data:`DEFAULT_CONF` to a session of our own."""
     for k, v in DEFAULT_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
     return spark
 
 
+_own: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session beside the caller's, on the same context, with the caller's
+    SQL settings and :data:`DEFAULT_CONF` on top. Planner settings and time
+    zone then hold for our queries and leave the caller's session as it is."""
+    if all(spark.conf.get(k, None) == v for k, v in DEFAULT_CONF.items()):
+        return spark
+    own = _own.get(spark)
+    if own is None:
+        own = _own[spark] = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if k.startswith("spark.sql.") and spark.conf.isModifiable(k) and own.conf.get(k, None) != v:
+            own.conf.set(k, v)
+    return configure(own)
+
+
 def get_session(master: str | None = None, app_name: str = "zonecast",
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
@@ -78,20 +96,24 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return sc.getCheckpointDir() or fallback
 
 
-def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint.
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder, removed with the driver."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/zonecast-{name}-{uuid.uuid4().hex[:12]}"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as parquet in the shared checkpoint folder and read
+    it back.
 
-    Used where one expensive table feeds many reports or an iterative fit, so
-    that a lost executor re-reads the checkpoint instead of recomputing the
-    whole plan from the raw scan.
+    Used where one expensive table feeds several branches or an iterative
+    fit: a lost executor re-reads the files instead of recomputing the plan
+    from the raw scan, and later reads prune columns and use the vectorised
+    reader.
     """
-    checkpoint_dir(df.sparkSession)
-    if not eager:
-        return df.checkpoint(eager=False)
-    # Writing a reliable checkpoint is a second job over the same plan; keep
-    # the first job's output so the write reads it instead of recomputing.
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -28,11 +28,11 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
     w.parquet(path)
 
 
-def write_report(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
-    """CSV with header as a single file (K2) -- for report tables only: the
-    row count is checked first, larger tables are written in parallel."""
-    single = df.count() <= max_rows
-    (df.coalesce(1) if single else df).write.mode("overwrite").csv(path, header=True)
+def write_report(df: DataFrame, path: str) -> None:
+    """CSV with header as a single file (K2). Reports are aggregates: the
+    plan runs once with its own partitions, and only its result rows cross
+    the exchange to the one writing task."""
+    df.repartition(1).write.mode("overwrite").csv(path, header=True)
 
 
 def save_model(model: PipelineModel, path: str) -> None:
