@@ -115,18 +115,3 @@ def dataset_from_path(c) -> Column:
 def hour_range(start, end, step_hours: int = 1) -> Column:
     """Array of naive hourly timestamps from ``start`` to ``end`` inclusive."""
     return F.sequence(ntz(start), ntz(end), F.expr(f"INTERVAL {int(step_hours)} HOUR"))
-
-
-def n_hours(start, end) -> int:
-    """Number of whole hours in the closed range (driver-side arithmetic on parameters)."""
-    s = _as_datetime(start)
-    e = _as_datetime(end)
-    return int((e - s).total_seconds() // 3600) + 1 if e >= s else 0
-
-
-def _as_datetime(v) -> _dt.datetime:
-    if isinstance(v, _dt.datetime):
-        return v
-    if isinstance(v, _dt.date):
-        return _dt.datetime(v.year, v.month, v.day)
-    return _dt.datetime.fromisoformat(str(v))

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonecast.functions.numeric import clip
 from zonecast.functions.quantiles import exact_percentiles, exact_percentiles_multi
 from zonecast.functions.time import day_name, weekday0
 from zonecast.operators.cleaning import nan_to_null
@@ -126,7 +127,7 @@ def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int = 50) ->
     the right, so the clipped maximum lands in it. Empty bins are omitted.
     """
     w = (hi - lo) / bins
-    x = F.least(F.greatest(F.col(col).cast("double"), F.lit(float(lo))), F.lit(float(hi)))
+    x = clip(F.col(col).cast("double"), float(lo), float(hi))
     b = F.least(F.floor((x - F.lit(float(lo))) / F.lit(w)), F.lit(bins - 1)).cast("int")
     return (df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double")))
               .groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))

@@ -52,23 +52,6 @@ class PanelCols:
     pred: str = "y_pred"
 
 
-YELLOW_ZONE_HOUR = T.StructType([
-    T.StructField("PULocationID", T.LongType()),
-    T.StructField("pickup_datetime", T.TimestampNTZType()),
-    T.StructField("trip_count", T.LongType()),
-    T.StructField("avg_fare", T.DoubleType()),
-    T.StructField("avg_trip_distance", T.DoubleType()),
-    T.StructField("avg_passenger_count", T.DoubleType()),
-])
-
-COMBINED_ZONE_HOUR = T.StructType([
-    T.StructField("pickup_datetime", T.TimestampNTZType()),
-    T.StructField("PULocationID", T.LongType()),
-    T.StructField("trip_count", T.LongType()),
-    T.StructField("total_distance", T.DoubleType()),
-    T.StructField("total_passengers", T.DoubleType()),
-])
-
 ZONES = T.StructType([
     T.StructField("LocationID", T.LongType()),
     T.StructField("Borough", T.StringType()),

@@ -21,9 +21,10 @@ from zonecast.schema import TripCols
 
 def ingest_trip_files(spark: SparkSession, source_dir: str, dataset: str, schema: T.StructType | str,
                       sink_dir: str, checkpoint_location: str, cols: TripCols = TripCols(),
-                      files_per_batch: int = 1, available_now: bool = True) -> StreamingQuery:
-    """Start a file stream over ``source_dir``; each new file's trips are
-    normalised and reduced to zone-hour totals per micro-batch."""
+                      files_per_batch: int = 1000, available_now: bool = True) -> StreamingQuery:
+    """Start a file stream over ``source_dir``; the trips of the new files,
+    up to ``files_per_batch`` together, are normalised and reduced to
+    zone-hour totals in one micro-batch."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(source_dir))
     norm = normalize_trips(stream, dataset, cols)
