@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from zonecast.llm import lang_ppm, packing, simhash, toxicity
 from zonecast.llm.common import stage, table
-from zonecast.llm.queries import labelled, language_sample
+from zonecast.llm.queries import language_sample, toxicity_model
 
 #: A text that no learnt language codes in fewer bits than bytes taken at
 #: random is in none of them.
@@ -22,7 +22,7 @@ RANDOM_BITS = 8.0
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: documents scored 0.5 or more go."""
-    scored = toxicity.score(docs, toxicity.learn(labelled(spark, sf_dir)), score_col="_toxic")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir), score_col="_toxic")
     return scored.where(F.col("_toxic") < 0.5).select(*docs.columns)
 
 

@@ -49,10 +49,12 @@ def test_toxicity_on_unseen_texts():
 
 
 def test_toxicity_without_labels_and_tricky_rows(spark, tricky):
-    nothing = toxicity.learn(tricky.withColumn("toxic", F.lit(None).cast("int")))
+    nothing = toxicity.learn(tricky, tricky.select("doc_id", F.lit(None).cast("int").alias("toxic")))
     assert {r.score for r in toxicity.score(tricky, nothing).collect()} == {0.0}
-    rows = spark.createDataFrame(corpus(200), "text string, toxic int")
-    model = toxicity.learn(rows.unionByName(rows.withColumn("text", F.lit(None).cast("string"))))
+    rows = spark.createDataFrame([(i, t, l) for i, (t, l) in enumerate(corpus(200))], "doc_id long, text string, toxic int")
+    docs = rows.select("doc_id", "text").unionByName(rows.select("doc_id", F.lit(None).cast("string").alias("text")))
+    model = toxicity.learn(docs, rows.select("doc_id", "toxic").unionByName(rows.select("doc_id", F.lit(None).cast("int").alias("toxic"))))
+    assert model.logistic
     got = toxicity.score(tricky, model)
     assert got.columns == tricky.columns[:-1] + ["score"] and got.count() == 10   # the clashing column is replaced
     assert all(0 <= r.score <= 1 for r in got.collect())
@@ -230,7 +232,7 @@ def test_pipeline_against_plain_stages(spark):
         if name != "packing":
             assert docs.columns == inputs[0].columns
     toxic_in, lang_in, sim_in, pack_in = [[tuple(r) for r in d.collect()] for d in inputs]
-    scorer = toxicity.Scorer(toxicity.learn(q.labelled(spark, SF)))
+    scorer = toxicity.Scorer(q.toxicity_model(spark, SF))
     assert sorted(lang_in) == sorted(r for r in toxic_in if scorer.score(r[1]) < 0.5)
     model = lang_ppm.Identifier(q.language_sample(spark, SF))
     said = model.identify([r[1] for r in lang_in])
@@ -255,3 +257,13 @@ def test_stages_on_tricky_documents(spark, tricky):
     assert kept[1] == kept[0] and "2" in kept[1] or "2" not in kept[1]
     assert kept[2].count("1") == 1
     assert corpus_pipeline.STAGES[3][1](spark, docs.limit(0), SF).count() == 0
+
+
+def test_sample_is_bounded_and_whole(spark):
+    rows = [("a", f"text {i % 50}") for i in range(400)] + [("b", "same")] * 300 + [("c", "x" * 100), ("c", "yy"), (None, "z"), ("d", ""), ("d", None)]
+    known = common.hashed(spark.createDataFrame(rows, "label string, text string"))
+    got = common.sample_texts(known, known, 10, 1000)
+    assert got.keys() == {"a", "b", "c"} and len(set(got["a"])) == len(got["a"]) == 10
+    assert got["b"] == ["same"] and sorted(got["c"]) == ["x" * 100, "yy"]
+    assert common.sample_texts(known, known, {"a": 3}, 10)["a"] and common.sample_texts(known, known, 5, 50)["c"] == ["yy"]
+    assert common.sample_texts(known.limit(0), known, 5, 50) == {}

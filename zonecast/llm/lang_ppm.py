@@ -28,9 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonecast.llm.common import hashed, sample_texts
+
 ORDER = 4              # bytes of the longest context
 SAMPLE_DOCS = 400      # labelled texts of a language that are learnt, at most
 SAMPLE_BYTES = 1 << 20 # and bytes of a language, at most
@@ -179,21 +181,10 @@ def _by_size(texts: pa.Array, size: int = 1 << 21) -> Iterator[list[str | None]]
 
 
 def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", docs: int = SAMPLE_DOCS, size: int = SAMPLE_BYTES) -> dict[str, list[bytes]]:
-    """The prepared sample of each language: the ``docs`` labelled texts of
-    the smallest hashes, as far as ``size`` bytes hold them, whole texts only
-    (the first always). What reaches the driver is bounded by languages x
-    size, since texts over ``size`` bytes are only taken where a language has
-    no other."""
-    known = df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text <> ''")
-    order = F.xxhash64("text")
-    size_of = F.octet_length("text")
-    ranked = known.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy((size_of > size).cast("int"), order, "text")))
-    picked = ranked.where(F.col("r") <= docs).withColumn("held", F.sum(size_of).over(Window.partitionBy("lang").orderBy("r")))
-    rows = picked.where((F.col("held") <= size) | (F.col("r") == 1)).orderBy("lang", "r").collect()
-    out: dict[str, list[bytes]] = {}
-    for r in rows:
-        out.setdefault(r["lang"], []).append(prepare(r["text"]))
-    return out
+    """The prepared sample of each language: up to ``docs`` different whole
+    texts of up to ``size`` bytes together (the first always)."""
+    known = hashed(df.select(F.col(lang_col).alias("label"), F.col(text_col).alias("text")))
+    return {lang: [prepare(t) for t in texts] for lang, texts in sample_texts(known, known, docs, size).items()}
 
 
 _ready: dict[int, tuple[object, Identifier]] = {}

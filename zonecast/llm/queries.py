@@ -50,17 +50,15 @@ def op3_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
-def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The texts that toxicity may learn from: label rows whose crc32 bucket
-    of five is not 0."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where("toxic is not null")
-    return documents(spark, sf_dir).join(labels, "doc_id").where(crc_bucket(F.col("doc_id"), 5) != 0)
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Learnt from the label rows whose crc32 bucket of five is not 0."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(crc_bucket(F.col("doc_id"), 5) != 0)
+    return toxicity.learn(documents(spark, sf_dir), labels)
 
 
 @register
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = toxicity.learn(labelled(spark, sf_dir))
-    scored = toxicity.score(documents(spark, sf_dir), model)
+    scored = toxicity.score(documents(spark, sf_dir), toxicity_model(spark, sf_dir))
     return scored.select("doc_id", (crc_bucket(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

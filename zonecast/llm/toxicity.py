@@ -34,9 +34,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonecast.llm.common import hashed, sample_texts
+
 TOXIC_DOCS, ORDINARY_DOCS = 2_000, 4_000  # labelled texts that are learnt, at most
 SAMPLE_BYTES = 1 << 23                    # and bytes of each kind, at most
 ORDINARY_BYTES, TOXIC_BYTES = 1 << 14, 1 << 14
@@ -198,19 +200,15 @@ def train(toxic: list[str], ordinary: list[str]) -> Model:
     return model
 
 
-def learn(df: DataFrame, text_col: str = "text", label_col: str = "toxic", toxic_docs: int = TOXIC_DOCS, ordinary_docs: int = ORDINARY_DOCS, size: int = SAMPLE_BYTES) -> Model:
-    """A model from labelled rows (1 toxic, 0 ordinary): of each kind the
-    texts of the smallest hashes, whole, as many as the bounds allow. What
-    reaches the driver is at most ``size`` bytes of each kind (texts over a
-    64th of that are not learnt from)."""
-    known = df.select(F.col(label_col).cast("int").alias("label"), F.col(text_col).alias("text")).where("label in (0, 1) and text <> ''")
-    known = known.where(F.octet_length("text") <= size // 64)
-    order = Window.partitionBy("label").orderBy(F.xxhash64("text"), "text")
-    few = known.withColumn("r", F.row_number().over(order)).where(F.col("r") <= max(toxic_docs, ordinary_docs))
-    few = few.where(F.col("r") <= F.when(F.col("label") == 1, toxic_docs).otherwise(ordinary_docs))
-    held = few.withColumn("held", F.sum(F.octet_length("text")).over(Window.partitionBy("label").orderBy("r"))).where(F.col("held") <= size)
-    rows = held.orderBy("label", "r").collect()
-    return train([r["text"] for r in rows if r["label"] == 1], [r["text"] for r in rows if r["label"] == 0])
+def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+          toxic_docs: int = TOXIC_DOCS, ordinary_docs: int = ORDINARY_DOCS, size: int = SAMPLE_BYTES) -> Model:
+    """A model from the rows of ``df`` that ``labels`` (``id_col``,
+    ``label_col``: 1 toxic, 0 ordinary) marks: of each kind up to the given
+    number of different whole texts of up to ``size`` bytes together."""
+    texts = hashed(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
+    kind = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1)")
+    found = sample_texts(texts.drop("text").join(kind, "id"), texts, {1: toxic_docs, 0: ordinary_docs}, size)
+    return train(found.get(1, []), found.get(0, []))
 
 
 _ready: dict[bytes, Scorer] = {}
