@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.llm import lang_ppm, packing, simhash, toxicity
-from zonecast.llm.common import stage, table
+from zonecast.llm.common import stage, table, work_name
 from zonecast.llm.queries import language_sample, toxicity_model
 
 #: A text that no learnt language codes in fewer bits than bytes taken at
@@ -22,16 +22,18 @@ RANDOM_BITS = 8.0
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: documents scored 0.5 or more go."""
-    scored = toxicity.score(docs, toxicity_model(spark, sf_dir), score_col="_toxic")
-    return scored.where(F.col("_toxic") < 0.5).select(*docs.columns)
+    mark = work_name(docs, "toxic")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir), score_col=mark)
+    return scored.where(F.col(mark) < 0.5).drop(mark)
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: documents without a letter, or that no learnt language
     codes better than chance, go."""
-    found = lang_ppm.identify(docs, language_sample(spark, sf_dir))
-    known = (F.col("lang_pred") != lang_ppm.UNKNOWN) & (F.col("bits_per_byte") < RANDOM_BITS)
-    return found.where(known).select(*docs.columns)
+    mark = work_name(docs, "language")
+    found = lang_ppm.with_language(docs, language_sample(spark, sf_dir), out_col=mark)
+    known = (F.col(mark)["lang_pred"] != lang_ppm.UNKNOWN) & (F.col(mark)["bits_per_byte"] < RANDOM_BITS)
+    return found.where(known).drop(mark)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

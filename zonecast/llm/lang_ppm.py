@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import hashed, sample_texts
+from zonecast.llm.common import hashed, sample_texts, work_name
 
 ORDER = 4              # bytes of the longest context
 SAMPLE_DOCS = 400      # labelled texts of a language that are learnt, at most
@@ -190,9 +190,9 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", docs: i
 _ready: dict[int, tuple[object, Identifier]] = {}
 
 
-def identify(df: DataFrame, samples: dict[str, list[bytes]], text_col: str = "text") -> DataFrame:
-    """Add lang_pred, score (posterior, 0 to 1) and bits_per_byte for the
-    whole text."""
+def with_language(df: DataFrame, samples: dict[str, list[bytes]], text_col: str = "text", out_col: str = "language") -> DataFrame:
+    """Add ``out_col``, a struct of lang_pred, score (posterior, 0 to 1) and
+    bits_per_byte of the whole text."""
     shared = df.sparkSession.sparkContext.broadcast(samples)
 
     @F.arrow_udf("struct<lang_pred:string,score:double,bits_per_byte:double>")
@@ -206,6 +206,12 @@ def identify(df: DataFrame, samples: dict[str, list[bytes]], text_col: str = "te
             lang, score, bits = zip(*rows) if rows else ((), (), ())
             yield pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(bits, pa.float64())], ["lang_pred", "score", "bits_per_byte"])
 
-    found = find(F.col(text_col))
-    cols = [F.col(f"`{c}`") for c in df.columns if c.lower() not in ("lang_pred", "score", "bits_per_byte", "_found")]
-    return df.select(*cols, found.alias("_found")).select(*cols, "_found.*")
+    return df.withColumn(out_col, find(F.col(text_col)))
+
+
+def identify(df: DataFrame, samples: dict[str, list[bytes]], text_col: str = "text") -> DataFrame:
+    """Add lang_pred, score and bits_per_byte as columns; input columns of
+    these names are replaced."""
+    found = work_name(df, "found")
+    cols = [F.col(f"`{c}`") for c in df.columns if c.lower() not in ("lang_pred", "score", "bits_per_byte")]
+    return with_language(df, samples, text_col, found).select(*cols, f"{found}.*")
