@@ -4,9 +4,6 @@ task holding every distinct value.
 Spark's exact ``percentile`` merges a value->count map of the whole column in
 one final task. Here the work is split:
 
-0. one pass counts rows and estimates distinct values (HyperLogLog); a
-   column with at most ``max_distinct`` distinct values -- integer counts,
-   small tables -- goes straight to step 4;
 1. an approximate sketch (``percentile_approx``, bounded state) gives about
    ``buckets`` split points;
 2. MLlib's ``Bucketizer`` (binary search per row) assigns each value to a
@@ -90,51 +87,33 @@ def _exact(base: DataFrame, k: int, probs: Sequence[float], buckets: int, max_di
     long = (base.select(F.inline(F.array(*[F.struct(F.lit(i).alias("k"), F.col(f"c{i}").alias("v"))
                                            for i in range(k)])))
             .where(~F.isnan("v")))
-    # Pass 1: row count and a distinct-count estimate per column. A column
-    # within the per-task bound is ranked directly; only larger ones are
-    # split by sketches first.
+    # Pass 1: row count and split points of every column.
     st = base.agg(*[F.count(clean[i]).alias(f"n{i}") for i in range(k)],
-                  *[F.approx_count_distinct(clean[i]).alias(f"d{i}") for i in range(k)]).first()
-    ranges: dict = {}
+                  *[F.percentile_approx(clean[i], grid, acc).alias(f"e{i}") for i in range(k)]).first()
     plan: dict = {}
-    big = []
     for i in range(k):
         n = st[f"n{i}"]
-        if not n:
-            continue
-        for p in probs:
+        for p in probs if n else ():
             pos = float(p) * (n - 1)
             lo_r = int(math.floor(pos))
-            hi_r = min(lo_r + 1, n - 1)
-            plan[(i, p)] = (lo_r, hi_r, pos - lo_r)
-        if st[f"d{i}"] <= max_distinct:
-            for lo_r, hi_r, _ in [plan[(i, p)] for p in probs]:
-                for r in (lo_r, hi_r):
-                    ranges[(i, r)] = (-math.inf, math.inf, 0, st[f"d{i}"])
-        else:
-            big.append(i)
+            plan[(i, p)] = (lo_r, min(lo_r + 1, n - 1), pos - lo_r)
     if not plan:
         return [[None for _ in probs] for _ in range(k)]
-    if big:
-        first = base.agg(*[F.percentile_approx(clean[i], grid, acc).alias(f"e{i}") for i in big]).first()
-        splits = {i: _splits(first[f"e{i}"], -math.inf, math.inf) for i in big}
-        bucketed = long.where(F.col("k").isin(big))
-        cnt_expr = None
-        for i in big:
-            sp = splits[i]
-            bz = Bucketizer(splits=sp, inputCol="v", outputCol=f"b{i}")
-            bucketed = bz.transform(bucketed)
-            e = F.when(F.col("k") == i, F.col(f"b{i}"))
-            cnt_expr = e if cnt_expr is None else F.coalesce(cnt_expr, e)
-        bucketed = bucketed.withColumn("b", cnt_expr.cast("int"))
-        counts: dict = {}
-        for r in bucketed.groupBy("k", "b").agg(F.count(F.lit(1)).alias("n"),
-                                                 F.approx_count_distinct("v").alias("nd")).collect():
-            counts.setdefault(r["k"], {})[r["b"]] = (r["n"], r["nd"])
-        for i in big:
-            for lo_r, hi_r, _ in [plan[(i, p)] for p in probs]:
-                for r in (lo_r, hi_r):
-                    ranges[(i, r)] = _locate(counts[i], splits[i], r)
+    # Pass 2: rows and distinct values of each bucket.
+    splits = {i: _splits(st[f"e{i}"], -math.inf, math.inf) for i in range(k) if st[f"n{i}"]}
+    bucketed, bucket = long, None
+    for i, sp in splits.items():
+        bucketed = Bucketizer(splits=sp, inputCol="v", outputCol=f"b{i}").transform(bucketed)
+        own = F.when(F.col("k") == i, F.col(f"b{i}"))
+        bucket = own if bucket is None else F.coalesce(bucket, own)
+    counts: dict = {}
+    for r in bucketed.groupBy("k", bucket.cast("int").alias("b")).agg(
+            F.count(F.lit(1)).alias("n"), F.approx_count_distinct("v").alias("nd")).collect():
+        counts.setdefault(r["k"], {})[r["b"]] = (r["n"], r["nd"])
+    ranges: dict = {}
+    for (i, _), (lo_r, hi_r, _) in plan.items():
+        for r in (lo_r, hi_r):
+            ranges[(i, r)] = _locate(counts[i], splits[i], r)
 
     # Refine a range while it holds too many distinct values for one task:
     # another sketch inside [lo, hi) splits it about ``buckets`` ways.
