@@ -238,7 +238,8 @@ def tokenize_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield pa.array([[dict(zip(("piece", "start", "length", "ids_crc32"), p)) for p in d] for d in out], kind)
 
     made = df.select(F.col(id_col), pieces(F.col(text_col)).alias("_pieces"))
-    return made.select(id_col, F.inline("_pieces"))
+    # every document has a piece; inline would first filter by a second run of the function
+    return made.select(id_col, F.inline_outer("_pieces"))
 
 
 def pack(pieces: DataFrame, capacity: int = 1024, group: int = GROUP, length_col: str = "length") -> DataFrame:
