@@ -48,7 +48,7 @@ RUN = range(4, 9)   # lengths of the byte runs compared
 MIN_Z = 6.0
 WINDOW_BYTES = 64   # longer words are several windows
 MARGIN = 1.5        # weight that a window must pass to count in the sum
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 _letters = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 _spread = [bytes((b * m + a) & 255 for b in range(256)) for m, a in ((1, 0), (37, 11), (101, 77), (59, 5))][:SPREAD]
@@ -227,5 +227,6 @@ def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str =
         scorer = _ready[key]
         for texts in batches:
             yield pa.array([scorer.score(t.as_py()) for t in texts], pa.float64())
+        scorer.known.clear()   # the worker goes on with other operators
 
     return df.withColumn(score_col, scored(F.col(text_col)))
