@@ -120,6 +120,49 @@ def test_bin_completion_beats_best_fit():
     assert better > 0
 
 
+def test_five_pieces_a_sequence():
+    """Pieces of 180 to 225 tokens, five of which fit: best-fit decreasing
+    puts four large ones together."""
+    for n in (500, 4_000, 16_384):
+        x = np.random.default_rng(n).integers(180, 226, n)
+        bins = packing.complete(x, 1024)
+        assert sorted(v for b in bins for v in b) == sorted(x.tolist()) and max(map(sum, bins)) <= 1024
+        volume = -(-int(x.sum()) // 1024)
+        # five pieces at most make one sequence in five pieces the least
+        assert len(bins) == max(volume, -(-n // 5)) <= 1.02 * volume < 1.05 * volume < len(packing.best_fit(x, 1024))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 12), min_size=1, max_size=9), st.integers(1, 30))
+def test_fillings_are_all_undominated_sets(lengths, room):
+    """Against all subsets: no set of a larger sum can be had by adding or
+    exchanging one piece, and of one sum a single piece stands for all sets."""
+    stock = packing._Stock(np.array(lengths), 40)
+    got = list(stock.fillings(room, room))
+    assert [w for w, _ in got] == sorted(w for w, _ in got) and len({p for _, p in got}) == len(got)
+    sets = {tuple(sorted((lengths[i] for i in c), reverse=True)) for k in range(len(lengths) + 1) for c in combinations(range(len(lengths)), k)}
+    want = set()
+    for s in (s for s in sets if sum(s) <= room):
+        left = list(lengths)
+        for v in s:
+            left.remove(v)
+        lost = room - sum(s)
+        better = any(0 < q - p <= lost for q in left for p in (0, *s))
+        if not better and (len(s) < 2 or sum(s) not in lengths):
+            want.add((lost, s))
+    assert set((w, tuple(sorted(p, reverse=True))) for w, p in got) == want
+
+
+def test_search_is_the_same_when_bit_sets_are_made_anew(monkeypatch):
+    for seed in range(40):
+        n = np.random.default_rng(seed).integers(8, 40, 16)
+        most = len(packing.best_fit(n, 100)) - 1
+        monkeypatch.setattr(packing, "KEPT", 256)
+        want = packing.search(n, 100, most, 10**6)[0]
+        monkeypatch.setattr(packing, "KEPT", 1)
+        assert packing.search(n, 100, most, 10**6)[0] == want
+
+
 def test_pack_documents(spark, tricky):
     for docs, rows in ((q.documents(spark, SF), None), (tricky.select("doc_id", "text"), 10)):
         texts = [(r.doc_id, r.text or "") for r in docs.collect()]

@@ -1,13 +1,17 @@
 """Best-fit packing into fixed-length sequences (operator 5).
 
 Method: bin completion with branch and bound. Each sequence is opened by the
-largest piece left and completed by an undominated filling: a set of pieces
-that leaves the least room. Fillings are enumerated in order of waste (a
-single piece before pairs, pairs before triples: a filling is dominated by
-one that leaves no more room with fewer, larger pieces). Best-fit decreasing
-gives the first incumbent; a branch is cut once its waste can no longer lead
-to fewer sequences than the incumbent, and the search ends at the lower bound
-or after ``MAX_STEPS`` looks for a filling, which bounds effort, never pieces.
+largest piece left and completed by an undominated filling: a set of pieces,
+of any number, such that no piece can be added to it or exchanged for a larger
+one. Bit sets of the sums that the pieces left can make give the fillings in
+order of waste, those of larger pieces first, without dead ends. The better of
+best-fit decreasing and a descent that takes the first filling of each opener
+is the incumbent. It is improved by parts: the pieces of the sequences with
+the most room, and of some others, are searched for a packing in one sequence
+fewer; parts grow up to the whole group. A branch is cut once its waste can no
+longer lead to fewer sequences, and the search ends at the lower bound or
+after ``MAX_STEPS`` looks at a filling, of which a part has ``OPENER_STEPS``
+for each of its sequences. That bounds effort, never pieces.
 
 Scale: pieces of a full sequence need no partner. The others are dealt by a
 hash into groups of about ``GROUP`` pieces, and every group is packed on its
@@ -23,7 +27,9 @@ sequence are cut, the first piece takes the remainder, the others are full.
 
 from __future__ import annotations
 
+import random
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import islice
 
@@ -37,8 +43,11 @@ from zonecast.llm import bytebpe
 from zonecast.llm.common import stage
 
 GROUP = 16_384     # pieces packed together
-MAX_STEPS = 60_000 # looks for a set of pieces in one search
-BRANCHES = 4       # fillings tried around one largest piece
+MAX_STEPS = 60_000 # looks at a filling in one group
+OPENER_STEPS = 16  # of them for each sequence of a part
+PART = 8           # sequences in the first parts, beside those with the most room
+TRIES = 4          # parts of one size
+KEPT = 256         # openers whose bit sets stay in memory; others are made anew
 
 
 # ---- packing one group -----------------------------------------------------
@@ -88,36 +97,73 @@ class _Stock:
             both ^= 1 << a
         return None
 
-    def exact(self, total: int) -> Iterator[tuple[int, ...]]:
-        """Sets of one, two or three pieces of together ``total``."""
-        self.steps += 1
-        if self.count[total]:
-            yield (total,)
+    def sums(self, room: int) -> tuple[list[int], list[int]]:
+        """The lengths left up to ``room``, ascending, and for each the bit
+        set of sums up to ``room`` that pieces of at most that length make."""
+        every = (2 << room) - 1
+        lengths, reach, made, bits = [], [], 1, self.bits & every
+        while bits:
+            n = (bits & -bits).bit_length() - 1
+            bits &= bits - 1
+            left, copies = min(self.count[n], room // n), 1
+            while left and made != every:
+                copies = min(copies, left)
+                made |= made << n * copies & every
+                left -= copies
+                copies *= 2
+            lengths.append(n)
+            reach.append(made)
+        return lengths, reach
+
+    def exact(self, total: int, lengths: list[int], reach: list[int], last: int) -> Iterator[tuple[int, ...]]:
+        """Sets of pieces of together ``total``, of the lengths up to index
+        ``last``, the largest pieces first."""
+        if not total:
+            yield ()
             return
-        if p := self.pair(total):
-            yield p
-        a = self.largest(total - 2)
-        while 3 * a >= total:
-            self.take(a)
-            p = self.pair(total - a)
-            self.back(a)
-            if p and p[0] <= a:
-                yield (a, *p)
+        for i in range(min(last, bisect_right(lengths, total) - 1), -1, -1):
+            n, below = lengths[i], reach[i - 1] if i else 1
+            for k in range(min(self.count[n], total // n), 0, -1):
+                if below >> (total - k * n) & 1:
+                    for rest in self.exact(total - k * n, lengths, reach, i - 1):
+                        yield (n,) * k + rest
+            if not below >> total & 1:
                 return
-            a = self.largest(a - 1)
-            self.steps += 1
+
+    def dominated(self, pieces: tuple[int, ...], lost: int) -> bool:
+        """Whether a piece left can be added or take the place of a smaller one."""
+        for n in {0, *pieces}:
+            larger = self.bits >> (n + 1) & ((1 << lost) - 1)
+            while larger:
+                m = n + larger.bit_length()
+                if self.count[m] > pieces.count(m):
+                    return True
+                larger ^= 1 << (m - n - 1)
+        return False
 
     def fillings(self, room: int, waste: int) -> Iterator[tuple[int, tuple[int, ...]]]:
-        """(waste, pieces) of undominated fillings, the least waste first."""
-        low = (self.bits & -self.bits).bit_length() - 1
-        for lost in range(min(room, waste) + 1):
-            if room - lost < low or low < 0:
-                break
-            for pieces in self.exact(room - lost):
-                yield lost, pieces
-        if low < 0 or room < low:
-            if room <= waste:
-                yield room, ()
+        """(waste, pieces) of undominated fillings, the least waste first. The
+        stock must be as it was whenever the next one is asked for."""
+        if waste < 0:
+            return
+        self.steps += 1
+        first = (room,) if room and self.count[room] else self.pair(room)
+        if first:
+            yield 0, first
+        lengths, reach = self.sums(room)
+        sums = reach[-1] if reach else 1
+        while sums:
+            total = sums.bit_length() - 1
+            lost = room - total
+            if lost > waste:
+                return
+            sums ^= 1 << total
+            # one piece of the same sum dominates all other sets
+            sets = ((total,),) if total and self.count[total] else self.exact(total, lengths, reach, len(lengths) - 1)
+            for pieces in sets:
+                self.steps += 1
+                if pieces != first and not (lost and self.dominated(pieces, lost)):
+                    yield lost, pieces
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
@@ -135,8 +181,10 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
-    """Sequences needed at least: by volume, and with the pieces over a
-    threshold set apart (Martello and Toth's second bound)."""
+    """Sequences needed at least: by volume, with the pieces over a threshold
+    set apart (Martello and Toth's second bound), and by number (Fekete and
+    Schepers' dual feasible functions: at most k pieces over 1 / (k + 1) of a
+    sequence go into one)."""
     count = np.bincount(lengths, minlength=capacity + 1)
     number, volume = np.cumsum(count), np.cumsum(count * np.arange(capacity + 1))
     best = -(-int(volume[-1]) // capacity)
@@ -147,58 +195,91 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
         small = int(volume[half] - volume[k - 1])
         room = large * capacity - int(volume[capacity - k] - volume[half])
         best = max(best, alone + large + max(0, -(-(small - room) // capacity)))
+    n = np.arange(capacity + 1)
+    for k in range(1, min(capacity, 100)):
+        share = np.where((k + 1) * n % capacity == 0, k * n, (k + 1) * n // capacity * capacity)
+        best = max(best, -(-int((count * share).sum()) // (k * capacity)))
     return best
 
 
-def complete(lengths: np.ndarray, capacity: int, max_steps: int = MAX_STEPS) -> list[list[int]]:
-    """Bins of piece lengths: the best found by bin completion."""
-    incumbent, bound = best_fit(lengths, capacity), lower_bound(lengths, capacity)
-    total = int(lengths.sum())
-    stock = _Stock(lengths, capacity)
-    path: list[tuple[int, tuple[int, ...], int, Iterator]] = []  # opener, filling, waste so far, more fillings
-    lost = 0
-
-    def undo() -> int:
-        """Take the last filling back; the waste before it."""
-        opener, pieces, before, _ = path[-1]
+def descend(lengths: np.ndarray, capacity: int) -> list[list[int]]:
+    """Each opener with its first filling, the one of the least waste."""
+    stock, bins = _Stock(lengths, capacity), []
+    while opener := stock.largest(capacity):
+        stock.take(opener)
+        _, pieces = next(stock.fillings(capacity - opener, capacity))
         for p in pieces:
-            stock.back(p)
-        stock.back(opener)
-        return before
+            stock.take(p)
+        bins.append([opener, *pieces])
+    return bins
 
-    while len(incumbent) > bound and stock.steps <= max_steps:
-        # waste that still leads to one sequence fewer
-        allowed = (len(incumbent) - 1) * capacity - total - lost
+
+def search(lengths: np.ndarray, capacity: int, most: int, max_steps: int) -> tuple[list[list[int]] | None, int]:
+    """(bins, looks): a packing in at most ``most`` sequences by branch and
+    bound over all undominated fillings, None if there is none or the looks
+    run out."""
+    stock = _Stock(lengths, capacity)
+    spare = most * capacity - int(lengths.sum())   # waste that is left
+    # opener, filling, spare before, fillings tried, more fillings
+    path: list[tuple[int, tuple[int, ...], int, int, Iterator | None]] = []
+    while stock.steps <= max_steps:
         opener = stock.largest(capacity)
         if not opener:
-            if len(path) < len(incumbent):
-                incumbent = [[o, *p] for o, p, _, _ in path]
-            options = iter(())
-        else:
-            stock.take(opener)
-            options = islice(stock.fillings(capacity - opener, allowed), BRANCHES) if allowed >= 0 else iter(())
-            path.append((opener, (), lost, options))
+            return [[o, *p] for o, p, *_ in path], stock.steps
+        stock.take(opener)
+        path.append((opener, (), spare, 0, None))
+        if len(path) > KEPT:
+            path[-1 - KEPT] = (*path[-1 - KEPT][:4], None)
         while path:
-            opener, _, before, options = path[-1]
-            if step := next(options, None):
+            opener, pieces, before, tried, options = path[-1]
+            for p in pieces:
+                stock.back(p)
+            options = options or islice(stock.fillings(capacity - opener, before), tried, None)
+            if stock.steps <= max_steps and (step := next(options, None)):
                 waste, pieces = step
                 for p in pieces:
                     stock.take(p)
-                path[-1] = (opener, pieces, before, options)
-                lost = before + waste
+                path[-1] = (opener, pieces, before, tried + 1, options)
+                spare = before - waste
                 break
-            lost = undo()
+            stock.back(opener)
             path.pop()
-            stock.steps += 1
-            if path:
-                # try the next filling of the opener above
-                o, pieces, b, more = path[-1]
-                for p in pieces:
-                    stock.back(p)
-                path[-1] = (o, (), b, more)
         if not path:
             break
-    return incumbent
+    return None, stock.steps
+
+
+def complete(lengths: np.ndarray, capacity: int, max_steps: int = MAX_STEPS) -> list[list[int]]:
+    """Bins of piece lengths: the best found by bin completion."""
+    bins, bound = best_fit(lengths, capacity), lower_bound(lengths, capacity)
+    if len(bins) <= bound:
+        return bins
+    bins = min(descend(lengths, capacity), bins, key=len)
+    steps, size, tries, rng = max_steps - len(bins), PART, 0, random.Random(0)
+    while len(bins) > bound and steps > 0:
+        bins.sort(key=sum)
+        # one sequence fewer takes at least a sequence of room
+        room = np.cumsum([capacity - sum(b) for b in bins])
+        worst = int(np.searchsorted(room, capacity)) + 1
+        if worst > len(bins):
+            break
+        chosen = {*range(worst), *rng.sample(range(worst, len(bins)), min(size, len(bins) - worst))}
+        part = [bins[i] for i in chosen]
+        whole = len(part) == len(bins)
+        pieces = np.array([n for b in part for n in b])
+        found, looks = None, 1
+        if lower_bound(pieces, capacity) < len(part):
+            found, looks = search(pieces, capacity, len(part) - 1, steps if whole else min(steps, OPENER_STEPS * len(part)))
+        steps -= looks
+        if found:
+            bins = [b for i, b in enumerate(bins) if i not in chosen] + found
+            size, tries = PART, 0
+        elif whole:
+            break
+        else:
+            tries += 1
+            size, tries = (2 * size, 0) if tries == TRIES else (size, tries)
+    return bins
 
 
 def pack_group(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
