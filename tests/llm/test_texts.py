@@ -273,3 +273,21 @@ def test_sample_is_bounded_and_whole(spark):
     assert got["b"] == ["same"] and sorted(got["c"]) == ["x" * 100, "yy"]
     assert common.sample_texts(known, known, {"a": 3}, 10)["a"] and common.sample_texts(known, known, 5, 50)["c"] == ["yy"]
     assert common.sample_texts(known.limit(0), known, 5, 50) == {}
+
+
+def test_long_texts_do_not_displace_others(spark):
+    """Forty texts of nearly the budget, as many of half of it and some over
+    it, whatever their hashes."""
+    rows = [(k, f"{i} " + "x" * n) for k in "ab" for n, m in ((20, 300), (9_000, 40), (4_900, 40), (10_001, 40)) for i in range(m)]
+    rows += [("c", f"{i} " + "y" * n) for n, m in ((7_000, 5), (2_000, 3)) for i in range(m)]
+    known = common.hashed(spark.createDataFrame(rows, "label string, text string"))
+    got = common.sample_texts(known, known, 100, 10_000)
+    assert all(len(got[k]) == 100 and sum(map(len, got[k])) <= 10_000 and max(map(len, got[k])) < 30 for k in "ab")
+    # all are long: what fits behind the first is still taken
+    assert len(got["c"]) > 1 and sum(map(len, got["c"])) <= 10_000
+    few = common.sample_texts(known, known, {"a": 100}, 10_000)
+    assert few.keys() == {"a"} and few["a"] == got["a"]
+    # where the short ones are a few in a thousand, they are drawn by their own number
+    many = [("a", f"{i} " + "x" * 2_000) for i in range(3_000)] + [("a", f"{i}") for i in range(60)]
+    known = common.hashed(spark.createDataFrame(many, "label string, text string"))
+    assert sum(len(t) < 10 for t in common.sample_texts(known, known, 20, 4_000)["a"]) == 20

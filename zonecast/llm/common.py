@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.session import checkpoint_dir
@@ -57,32 +57,46 @@ def hashed(df: DataFrame, text_col: str = "text") -> DataFrame:
     return df.withColumns({"h": F.xxhash64(text_col), "size": F.octet_length(text_col)})
 
 
+#: A text is long if it takes more than this many equal shares of the budget.
+LONG = 4
+
+
 def sample_texts(known: DataFrame, texts: DataFrame, docs: dict | int, size: int) -> dict[object, list[str]]:
     """A bounded sample of labelled texts: of each label the ``docs`` (a
     number, or one for each label) different texts of the smallest hashes, as
-    many of them as ``size`` bytes hold, the first always; texts over ``size``
-    bytes come last.
+    many of them as ``size`` bytes hold, the first always. Texts of more than
+    ``LONG * size / docs`` bytes come after the others, and those over
+    ``size`` last; a text that does not fit is passed over.
 
     ``known`` has the columns label, h and size, ``texts`` has h and text
     (see :func:`hashed`). Rows are cut down before anything is grouped: the
-    number of different texts of a label gives the share of hashes that holds
-    some four times as many as are wanted. Texts are fetched last, by hash.
+    number of different texts of a label, the long ones apart, gives the
+    share of hashes that holds some four times as many as are wanted. Those
+    rows, without texts, are chosen from one by one; texts are fetched last,
+    by hash.
     """
     steps = 1 << 20
     known = known.where("label is not null and size > 0").select("label", "h", "size")
-    found = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.approx_count_distinct("h").alias("n")).collect()}
+    limit = F.lit(docs if isinstance(docs, int) else 0)
+    for k, n in ({} if isinstance(docs, int) else docs).items():
+        limit = F.when(F.col("label") == F.lit(k), F.lit(n)).otherwise(limit)
+    known = known.withColumn("long", F.col("size").cast("long") * limit > F.lit(LONG * size))
+    found = {(r["label"], r["long"]): r["n"] for r in known.groupBy("label", "long").agg(F.approx_count_distinct("h").alias("n")).collect()}
     if not found:
         return {}
-    share, limit = F.lit(0), F.lit(0)
-    for k, n in found.items():
+    share = F.lit(0)
+    for (k, long), n in found.items():
+        wanted = docs if isinstance(docs, int) else docs.get(k, 0)
+        part = min(steps, 1 + (4 * wanted + 64) * steps // max(1, n)) if wanted else 0
+        share = F.when((F.col("label") == F.lit(k)) & (F.col("long") == F.lit(long)), F.lit(part)).otherwise(share)
+    few = known.where(F.pmod(F.shiftright("h", 8), F.lit(steps)) < share).groupBy("label", "h").agg(F.max("size").alias("size"), F.max("long").alias("long"))
+    rows, taken, held = [], {}, {}
+    for r in few.orderBy("label", F.col("size") > size, "long", "h").collect():
+        k = r["label"]
         wanted = docs if isinstance(docs, int) else docs.get(k, 0)
-        share = F.when(F.col("label") == F.lit(k), F.lit(min(steps, 1 + (4 * wanted + 64) * steps // max(1, n)))).otherwise(share)
-        limit = F.when(F.col("label") == F.lit(k), F.lit(wanted)).otherwise(limit)
-    few = known.where(F.pmod(F.shiftright("h", 8), F.lit(steps)) < share).groupBy("label", "h").agg(F.max("size").alias("size"))
-    of = Window.partitionBy("label")
-    few = few.withColumn("r", F.row_number().over(of.orderBy(F.col("size") > size, "h"))).where(F.col("r") <= limit)
-    few = few.withColumn("held", F.sum("size").over(of.orderBy("r"))).where((F.col("held") <= size) | (F.col("r") == 1))
-    rows = few.orderBy("label", "r").select("label", "h").collect()
+        if taken.get(k, 0) < wanted and (k not in held or held[k] + r["size"] <= size):
+            taken[k], held[k] = taken.get(k, 0) + 1, held.get(k, 0) + r["size"]
+            rows.append(r)
     # at most docs hashes a label: a bounded list
     wanted = known.sparkSession.createDataFrame([(h,) for h in sorted({r["h"] for r in rows})], "h long")
     text = {r["h"]: r["text"] for r in texts.select("h", "text").join(F.broadcast(wanted), "h").groupBy("h").agg(F.min("text").alias("text")).collect()}
