@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from zonecast.plans import fixture as fx
+from zonecast.plans import fixture as fx, queries
 from zonecast.sources import sinks, trips as src
 
 from conftest import SF001
@@ -117,3 +117,13 @@ def test_stages_are_parquet_in_the_checkpoint_folder(spark):
     from zonecast.session import materialize
     df = materialize(spark.range(10).withColumn("v", F.col("id") * 2).withColumn("w", F.lit(1)))
     assert "ReadSchema: struct<v:bigint>" in plan_text(df.select("v"))
+
+
+def test_source_roundtrip_takes_the_months_of_the_data(spark, tmp_path):
+    e = spark.read.parquet(f"{SF001}/events.parquet")
+    later = e.withColumn("ts", F.when(F.col("event_id") % 3 == 0, F.col("ts")).otherwise(F.add_months("ts", 11) + (F.col("ts") - F.date_trunc("day", "ts"))))
+    later.write.parquet(str(tmp_path / "events.parquet"))
+    want = fx.trips(spark, str(tmp_path)).groupBy("dataset", "year_month").count().collect()
+    got = queries.source_roundtrip(spark, str(tmp_path)).groupBy("dataset", "year_month").count().collect()
+    assert {r.year_month for r in want} == {"2024-01", "2024-12"}
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))

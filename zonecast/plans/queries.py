@@ -715,13 +715,16 @@ def fitted_calibration(spark, sf_dir):
 @register
 def source_roundtrip(spark, sf_dir):
     """K1 then S1/S3/S5 on the partitioned layout: one write partitioned by
-    dataset and month, scanned back with partition pruning; one requested
-    month is absent."""
-    base = scratch_path(spark, "trips")
+    dataset and month, scanned back with partition pruning. The requested
+    months are those of the data; for yellow also the one before, which is
+    absent."""
+    base, s = scratch_path(spark, "trips"), fx.span(spark, sf_dir)
+    first, last = (12 * int(t[:4]) + int(t[5:7]) - 1 for t in (s.start, s.end))
+    months = [f"{m // 12:04d}-{m % 12 + 1:02d}" for m in range(first - 1, last + 1)]
     sinks.write_table(fx.trips(spark, sf_dir), base, partition_by=["dataset", "year_month"])
-    y = src.scan_partitioned(spark, base, "yellow", ["2023-12", "2024-01"]).select("pickup_ts", "pu_zone", "fare",
+    y = src.scan_partitioned(spark, base, "yellow", months).select("pickup_ts", "pu_zone", "fare",
                                                                                    "dataset", "year_month")
-    h = src.scan_partitioned(spark, base, "fhvhv", ["2024-01"]).select("pickup_ts", "pu_zone", "dataset",
+    h = src.scan_partitioned(spark, base, "fhvhv", months[1:]).select("pickup_ts", "pu_zone", "dataset",
                                                                         "year_month")
     return y.unionByName(h, allowMissingColumns=True)
 
