@@ -127,3 +127,12 @@ def test_source_roundtrip_takes_the_months_of_the_data(spark, tmp_path):
     got = queries.source_roundtrip(spark, str(tmp_path)).groupBy("dataset", "year_month").count().collect()
     assert {r.year_month for r in want} == {"2024-01", "2024-12"}
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_zone_csv_is_written_by_all_tasks(spark, tmp_path, monkeypatch):
+    zones = queries._zones(spark, SF001).repartition(4).localCheckpoint()
+    monkeypatch.setattr(queries, "_zones", lambda *_: zones)
+    monkeypatch.setattr(queries, "scratch_path", lambda *_: str(tmp_path / "zones"))
+    got = queries.zone_csv(spark, SF001)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, zones.select(got.columns).collect()))
+    assert len(list((tmp_path / "zones").glob("part-*.csv"))) > 1

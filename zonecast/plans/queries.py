@@ -773,7 +773,7 @@ def monthly_scan(spark, sf_dir):
 def zone_csv(spark, sf_dir):
     """The zone dimension written as CSV and read with its declared schema."""
     path = scratch_path(spark, "zones")
-    sinks.write_report(_zones(spark, sf_dir), path)
+    sinks.write_csv(_zones(spark, sf_dir), path)
     return src.read_zones(spark, path)
 
 

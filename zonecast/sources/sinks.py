@@ -35,6 +35,12 @@ def write_report(df: DataFrame, path: str) -> None:
     df.repartition(1).write.mode("overwrite").csv(path, header=True)
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """A base table as a folder of CSV files with headers, one for each
+    partition, each written by its own task."""
+    df.write.mode("overwrite").csv(path, header=True)
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     """Persist a fitted pipeline with MLlib's writer (K3)."""
     model.write().overwrite().save(path)
