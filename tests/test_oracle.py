@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import TABLES, digest, norm  # noqa: E402
 
-from conftest import SF001  # noqa: E402
+from fixture_paths import SF001  # noqa: E402
 
 QUICK = ["zone_hour_features", "clean_report", "zone_hour_totals", "holiday_calendar", "metrics_by_zone",
          "metrics_by_decile", "error_percentiles", "future_features", "daily_forecast_error", "weekday_counts",

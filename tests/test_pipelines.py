@@ -4,7 +4,7 @@ from zonecast.plans import fixture as fx
 from zonecast.plans import pipelines as pl
 from zonecast.sources import sinks
 
-from conftest import SF001
+from fixture_paths import SF001
 
 
 def _raw(spark, tmp_path):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from zonecast.plans import fixture as fx
 from zonecast.plans.explain import plan_text
 
-from conftest import SF001
+from fixture_paths import SF001
 
 
 def test_time_filter_reaches_the_scan(spark):

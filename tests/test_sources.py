@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from zonecast.plans import fixture as fx, queries
 from zonecast.sources import sinks, trips as src
 
-from conftest import SF001
+from fixture_paths import SF001
 
 
 def test_select_months():

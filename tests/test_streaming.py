@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 
-from conftest import SF001
+from fixture_paths import SF001
 
 
 def test_stream_ingest_equals_batch_totals(spark):
