@@ -2,8 +2,9 @@
 
 Method: an Arrow function encodes texts in batches and returns lengths only;
 ids never leave the worker. The texts of an Arrow batch are cut into segments
-at safe boundaries where they are long, the segments are put into library
-batches of about equal bytes, and the lengths are added up per text.
+at safe boundaries where they are long, the segments are put into batches of
+about equal UTF-8 bytes, each batch is encoded by one call of the encoder's
+batch form, and the lengths are added up per text.
 
 A boundary is safe before a single space between two characters that are not
 white space: each pre-token either starts at such a space or ends before it,
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from zonecast.llm import bytebpe
 
 SEGMENT_CHARS = 1 << 15   # longer texts are cut into segments of about this size
-BATCH_CHARS = 1 << 18     # of one library batch
+BATCH_BYTES = 1 << 18     # of one encoder batch
 
 _safe = re.compile(r"(?<=\S) (?=\S)")
 
@@ -45,14 +46,14 @@ def segments(text: str, size: int = SEGMENT_CHARS) -> list[str]:
 
 
 def _batches(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
-    """(row of each segment, segments) in batches of about equal size."""
+    """(row of each segment, segments) in batches of about equal bytes."""
     rows, parts, held = [], [], 0
     for i, t in enumerate(texts):
         for s in segments(t) if t else ():
             rows.append(i)
             parts.append(s)
-            held += len(s)
-            if held >= BATCH_CHARS:
+            held += len(s.encode())
+            if held >= BATCH_BYTES:
                 yield rows, parts
                 rows, parts, held = [], [], 0
     yield rows, parts
@@ -68,7 +69,7 @@ def count_tokens(df: DataFrame, text_col: str = "text", out_col: str = "n_tokens
         for texts in batches:
             total = np.zeros(len(texts), np.int64)
             for rows, parts in _batches(texts.to_pylist()):
-                np.add.at(total, rows, [len(bpe.ids(p)) for p in parts])
+                np.add.at(total, rows, bpe.counts(parts))
             yield pa.array(total)
 
     return df.withColumn(out_col, count(F.col(text_col)))
