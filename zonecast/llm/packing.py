@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.llm import bytebpe
-from zonecast.llm.common import stage
+from zonecast.llm.common import stage, work_name
 
 GROUP = 16_384     # pieces packed together
 MAX_STEPS = 60_000 # looks at a filling in one group
@@ -332,12 +332,12 @@ def pack(pieces: DataFrame, capacity: int = 1024, group: int = GROUP, length_col
     n = pieces.where(F.col(length_col) < capacity).count()
     groups = max(1, -(-n // group))
     # Full pieces are spread too, so that no group has more than its share.
-    row = F.xxhash64(*[F.col(c) for c in pieces.columns if c == length_col or not c.startswith("_")])
-    dealt = pieces.withColumn("_group", F.pmod(row, F.lit(groups)))
+    mark = work_name(pieces, "group")
+    dealt = pieces.withColumn(mark, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
     schema = pieces.schema.simpleString()[7:-1] + ",sequence_id:bigint,offset:bigint"
 
     def packed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        own = rows.drop(columns="_group")
+        own = rows.drop(columns=mark)
         lengths = own[length_col].to_numpy()
         full = lengths >= capacity
         bins, offset = pack_group(lengths[~full], capacity)
@@ -347,7 +347,7 @@ def pack(pieces: DataFrame, capacity: int = 1024, group: int = GROUP, length_col
         seq[full] = used + np.arange(full.sum())
         return own.assign(sequence_id=seq + (int(key[0]) << 32), offset=off)
 
-    return dealt.groupBy("_group").applyInPandas(packed, schema)
+    return dealt.groupBy(mark).applyInPandas(packed, schema)
 
 
 def pack_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024, end_id: int = 2, path: str | None = None) -> DataFrame:
