@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import bpe, chat, html_extract, lang_ppm, packing, simhash, spotsigs, srs, token_count, toxicity
+from zonecast.llm import align, bpe, chat, html_extract, lang_ppm, packing, simhash, spotsigs, srs, token_count, toxicity
 from zonecast.llm.common import crc_bucket, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,11 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return srs.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
+@register
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of tokens that two tokenizers end together, and how common
+    their linked id pairs are in the corpus."""
+    made = align.align(documents(spark, sf_dir))
+    return made.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
