@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import align, bpe, chat, html_extract, lang_ppm, packing, simhash, spotsigs, srs, token_count, toxicity
+from zonecast.llm import align, bpe, chat, decontaminate, fim, html_extract, lang_ppm, packing, simhash, spotsigs, srs, token_count, toxicity
 from zonecast.llm.common import crc_bucket, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,6 +129,26 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return srs.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
 
 
+@register
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle outputs of each document and the texts rebuilt from
+    them, as digests."""
+    made = fim.transform(documents(spark, sf_dir))
+    output = F.col("output")
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", fim.frames_sha256(output).alias("output_sha256"),
+                       fim.frames_sha256(fim.restored_frames(output, F.col("form"))).alias("restored_sha256"))
+
+
+@register
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document inside verbatim windows of benchmark items."""
+    found = decontaminate.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    spans, items = F.col("found")["spans"], F.col("found")["items"]
+    n_hit = F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", F.col("found")["n_words"].alias("n_words"), n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+                        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (F.size(spans) > 0).alias("contaminated"))
+
+
 @register
 def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of tokens that two tokenizers end together, and how common
