@@ -86,7 +86,7 @@ def test_gallop_equals_searchsorted(x, y, rng):
 def test_small_cuts_change_nothing(monkeypatch):
     texts = ["one two  three four\nfive <s> six seven " * 30, "日本 the 日本語 of " * 40, "x" * 300 + " y" * 50, "a▁b " * 9]
     whole = align.load().rows(texts)
-    for name, size in (("SEGMENT_CHARS", 20), ("BATCH_CHARS", 50), ("CACHED_WORDS", 3), ("WORD_CHARS", 3), ("PAIR_ROWS", 2)):
+    for name, size in (("SEGMENT_CHARS", 20), ("BATCH_CHARS", 50), ("PAIR_ROWS", 2)):
         monkeypatch.setattr(align, name, size)
     cut = align.Aligner(*align.default_paths()).rows(texts)
     for name in whole:

@@ -31,7 +31,6 @@ columns replace input columns of the same name; the text is not returned.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
@@ -47,15 +46,10 @@ from zonecast.llm.token_count import segments
 
 SEGMENT_CHARS = 1 << 18      # longer texts are cut at safe places
 BATCH_CHARS = 1 << 19        # aligned at a time
-CACHED_WORDS = 200_000       # words of at most WORD_CHARS whose pieces a worker keeps
-WORD_CHARS = 48
 PAIR_ROWS = 1 << 21          # links expanded at a time
 BROADCAST_PAIRS = 4_000_000  # pairs (17 bytes each) sent to every executor; more are joined
 SALTS = 16
 
-_word = re.compile(" *[^ ]+| +")
-
-
 class Pieces:
     """The sentencepiece side: ids, and the bytes that an id stands for."""
 
@@ -72,42 +66,13 @@ class Pieces:
         norm = spec.normalizer_spec
         plain = norm.add_dummy_prefix and not norm.remove_extra_whitespaces and not norm.precompiled_charsmap
         self.space = self.model.piece_to_id("▁")
-        self.by_word = plain and not self.model.is_unknown(self.space) and not any("▁" in p.lstrip("▁") for p in names)
-        self.known: dict[str, list[int]] = {}
-        self.lossy: set[str] = set()
-
-    def _encode(self, parts: list[str]) -> Iterator[tuple[list[int], bool]]:
-        """(ids, whether their bytes are the part) of parts that start with
-        the space that the model adds itself."""
-        for part, ids in zip(parts, self.model.encode([p[1:] for p in parts], num_threads=1)):
-            if part == " ":
-                ids = [self.space]  # the model adds no space to an empty text
-            yield ids, b"".join(map(self.token_bytes.__getitem__, ids)) == part.encode()
-
-    def ids(self, text: str) -> list[int] | None:
-        """Ids of a text that starts with a space; None if its bytes get lost."""
-        if not self.by_word:
-            ids, exact = next(self._encode([text]))
-            return ids if exact else None
-        words = _word.findall(text)
-        new = set(words) - self.known.keys()
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known.clear()
-            self.lossy.clear()
-            new = set(words)
-        listed = list(new)
-        for w, (ids, exact) in zip(listed, self._encode(listed)):
-            self.known[w] = ids
-            if not exact:
-                self.lossy.add(w)
-        found = None
-        if not self.lossy or self.lossy.isdisjoint(words):
-            found = list(chain.from_iterable(map(self.known.__getitem__, words)))
-        for w in listed:
-            if len(w) > WORD_CHARS:
-                del self.known[w]
-                self.lossy.discard(w)
-        return found
+        self.cuts = plain and not self.model.is_unknown(self.space) and not any("▁" in p.lstrip("▁") for p in names)
+
+    def ids(self, part: str) -> list[int] | None:
+        """Ids of a part that starts with the space that the model adds
+        itself; None if their bytes are not the part."""
+        ids = self.model.encode(part[1:]) if part != " " else [self.space]  # the model adds no space to an empty text
+        return ids if b"".join(map(self.token_bytes.__getitem__, ids)) == part.encode() else None
 
 
 def gallop(short: np.ndarray, long: np.ndarray, guess: np.ndarray) -> np.ndarray:
@@ -163,19 +128,27 @@ def common_ends(ends_a: np.ndarray, ends_b: np.ndarray, doc_a: np.ndarray, doc_b
     return a[order], b[order]
 
 
-def _merge(doc: np.ndarray, key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows of equal (doc, key) added up, in that order."""
-    if not len(doc):
-        return doc, key, n
-    order = np.lexsort((key, doc))
-    doc, key, n = doc[order], key[order], n[order]
-    first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])]))
-    return doc[first], key[first], np.add.reduceat(n, first)
+def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different codes in order, and how often each is there."""
+    codes = np.sort(codes)
+    first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, np.int64)
+    return codes[first], np.diff(np.append(first, len(codes)))
+
+
+def _merge(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of equal codes added up; quick where the codes are nearly in order."""
+    if not len(codes):
+        return codes, n
+    order = np.argsort(codes, kind="stable")
+    codes, n = codes[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+    return codes[first], np.add.reduceat(n, first)
 
 
-def linked_pairs(a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(doc, A id * 2^32 + B id, links) of groups that end before ``end_a`` in
-    ids ``a`` and before ``end_b`` in ``b``."""
+def linked_pairs(a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray, doc: np.ndarray, n_ids: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(code of document and pair, links) of groups that end before ``end_a``
+    in ids ``a`` and before ``end_b`` in ``b``. The code is (document * A ids +
+    A id) * B ids + B id; codes come in order."""
     start_a, start_b = np.concatenate([[0], end_a[:-1]]), np.concatenate([[0], end_b[:-1]])
     n_a, n_b = end_a - start_a, end_b - start_b
     total = np.cumsum(n_a * n_b)
@@ -183,10 +156,10 @@ def linked_pairs(a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndar
     while g < len(doc):
         if n_a[g] * n_b[g] > PAIR_ROWS:
             # a very large group: different ids with their repeats
-            ids_a, c_a = np.unique(a[start_a[g]:end_a[g]], return_counts=True)
-            ids_b, c_b = np.unique(b[start_b[g]:end_b[g]], return_counts=True)
-            key = (ids_a.astype(np.int64)[:, None] << 32 | ids_b[None, :]).ravel()
-            out.append((np.full(len(key), doc[g]), key, (c_a[:, None] * c_b[None, :]).ravel()))
+            ids_a, c_a = _counted(a[start_a[g]:end_a[g]])
+            ids_b, c_b = _counted(b[start_b[g]:end_b[g]])
+            code = (doc[g] * n_ids[0] + ids_a)[:, None] * n_ids[1] + ids_b[None, :]
+            out.append((code.ravel(), (c_a[:, None] * c_b[None, :]).ravel()))
             g += 1
             continue
         before = total[g - 1] if g else 0
@@ -194,13 +167,13 @@ def linked_pairs(a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndar
         n = (n_a * n_b)[g:stop]
         of = np.repeat(np.arange(g, stop), n)
         within = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-        key = a[start_a[of] + within // n_b[of]].astype(np.int64) << 32 | b[start_b[of] + within % n_b[of]]
-        out.append(_merge(doc[of], key, np.ones(len(of), np.int64)))
+        wide = n_b[of]
+        code = (doc[of] * n_ids[0] + a[start_a[of] + within // wide]) * n_ids[1] + b[start_b[of] + within % wide]
+        out.append(_counted(code))
         g = stop
     if not out:
-        empty = np.zeros(0, np.int64)
-        return empty, empty, empty
-    return _merge(*map(np.concatenate, zip(*out)))
+        return (np.zeros(0, np.int64),) * 2
+    return out[0] if len(out) == 1 else _merge(*map(np.concatenate, zip(*out)))
 
 
 class Aligner:
@@ -212,14 +185,16 @@ class Aligner:
         self.sizes_a = np.array([len(self.a.encoding.decode_single_token_bytes(i)) for i in range(n)])
         # what a token says in the digest's text: A's ids end in "," or "|", B's in "," or ";"
         m = len(self.b.sizes)
-        self.said = [f"{i},".encode() for i in range(n)] + [f"{i}|".encode() for i in range(n)] + [f"{i},".encode() for i in range(m)] + [f"{i};".encode() for i in range(m)]
+        said = [f"{i}{end}".encode() for ends, size in ((",|", n), (",;", m)) for end in ends for i in range(size)]
+        self.width = np.array([len(w) for w in said])
+        self.said = np.array(said).view(np.uint8).reshape(len(said), -1)
 
     def parts(self, text: str) -> list[str]:
-        return segments(" " + text, SEGMENT_CHARS) if self.b.by_word else [" " + text]
+        return segments(" " + text, SEGMENT_CHARS) if self.b.cuts else [" " + text]
 
-    def batch(self, ids_a: list[np.ndarray], ids_b: list[list[int]]) -> tuple[np.ndarray, np.ndarray, list[bytes], tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def batch(self, ids_a: list[np.ndarray], ids_b: list[list[int]]) -> tuple[np.ndarray, np.ndarray, list[bytes], tuple[np.ndarray, np.ndarray]]:
         """Per part of a batch: groups, links, the groups as text (each ended
-        by ";"); and the linked pairs by part."""
+        by ";"); and the codes of parts and linked pairs with their links."""
         parts = len(ids_a)
         doc_a = np.repeat(np.arange(parts), [len(i) for i in ids_a])
         doc_b = np.repeat(np.arange(parts), [len(i) for i in ids_b])
@@ -240,21 +215,24 @@ class Aligner:
         last_a[rank_a], last_b[rank_b] = 1, 1
         n, m = len(self.sizes_a), len(self.b.sizes)
         say[at_a], say[at_b] = a + n * last_a, 2 * n + b + m * last_b
-        words = list(map(self.said.__getitem__, say.tolist()))
+        letters = self.said[say]
+        flat = letters[letters != 0].tobytes()
         cuts = np.cumsum(np.bincount(doc_a, minlength=parts) + np.bincount(doc_b, minlength=parts))
-        texts = [b"".join(words[i:j]) for i, j in zip([0, *cuts.tolist()], cuts.tolist())]
-        return groups, links, texts, linked_pairs(a, b, end_a, end_b, doc)
+        cuts = np.append(0, np.cumsum(self.width[say]))[cuts].tolist()
+        texts = [flat[i:j] for i, j in zip([0, *cuts], cuts)]
+        return groups, links, texts, linked_pairs(a, b, end_a, end_b, doc, (n, m))
 
     def rows(self, texts: list[str | None]) -> dict[str, list]:
         """The columns of ``ALIGNED`` for some texts."""
         rows = len(texts)
         n_a, n_b, groups, links = (np.zeros(rows, np.int64) for _ in range(4))
+        n_pairs = len(self.sizes_a) * len(self.b.sizes)
         sums, lost, found = [hashlib.sha256() for _ in texts], np.zeros(rows, bool), []
         open_end = [b""] * rows
 
         def flush(held: list[tuple[int, np.ndarray, list[int]]]) -> None:
             of = np.array([r for r, _, _ in held])
-            g, k, said, (part, key, n) = self.batch([i for _, i, _ in held], [i for _, _, i in held])
+            g, k, said, (code, n) = self.batch([i for _, i, _ in held], [i for _, _, i in held])
             np.add.at(groups, of, g)
             np.add.at(links, of, k)
             for (r, i, j), text in zip(held, said):
@@ -262,7 +240,8 @@ class Aligner:
                 n_b[r] += len(j)
                 sums[r].update(open_end[r] + text[:-1])
                 open_end[r] = text[-1:]
-            found.append(_merge(of[part], key, n))
+            part, pair = np.divmod(code, n_pairs)
+            found.append(_merge(of[part] * n_pairs + pair, n))
 
         held, size = [], 0
         for r, text in enumerate(texts):
@@ -278,14 +257,16 @@ class Aligner:
                     held, size = [], 0
         if held:
             flush(held)
-        row, key, n = _merge(*map(np.concatenate, zip(*found))) if found else (np.zeros(0, np.int64),) * 3
-        kept = ~lost[row]
-        row, key, n = row[kept], key[kept], n[kept]
+        code, n = _merge(*map(np.concatenate, zip(*found))) if found else (np.zeros(0, np.int64),) * 2
+        kept = ~lost[code // n_pairs]
+        code, n = code[kept], n[kept]
+        row, pair = np.divmod(code, n_pairs)
+        pair_a, pair_b = np.divmod(pair, len(self.b.sizes))
         for counts in (n_a, n_b, groups, links):
             counts[lost] = 0
         return {"n_a": n_a, "n_b": n_b, "n_groups": groups, "n_links": links,
                 "groups_sha256": [s.hexdigest() if k else "" for s, k in zip(sums, n_a.tolist())],
-                "offsets": np.searchsorted(row, np.arange(rows + 1)), "pair_a": key >> 32, "pair_b": key & 0xFFFFFFFF, "pair_links": n}
+                "offsets": np.searchsorted(row, np.arange(rows + 1)), "pair_a": pair_a, "pair_b": pair_b, "pair_links": n}
 
 
 def default_paths() -> tuple[str, str]:
