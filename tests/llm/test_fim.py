@@ -92,6 +92,8 @@ def test_cases(spark, tricky):
     docs = docs.union(more)
     rows = docs.select("doc_id", "text").collect()
     made = fim.transform(docs).withColumn("said", fim.frames_text(fim.F.col("output"))).withColumn("back", fim.frames_text(fim.restored_frames(fim.F.col("output"), fim.F.col("form"))))
+    stored = fim.transform(fim.with_frames(docs, out_col="kept"), frames_col="kept")
+    assert stored.select("doc_id", "n", "form", "output").exceptAll(made.select("doc_id", "n", "form", "output")).count() == 0
     assert "SCORE" in made.columns and "_frames" in made.columns
     got = sorted((tuple(r) for r in made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "said", "back").collect()), key=str)
     assert got == sorted(((r["doc_id"], *plain(r["doc_id"], r["text"]), r["text"] or "") for r in rows), key=str)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +48,13 @@ def work_name(df: DataFrame, stem: str) -> str:
     return name
 
 
+def slices(batch: tuple[pa.Array, ...], rows: int = 200) -> Iterator[tuple[pa.Array, ...]]:
+    """An Arrow batch in slices of a few rows, so that a function over it holds
+    the Python objects of one slice at a time."""
+    for start in range(0, len(batch[0]), rows):
+        yield tuple(a.slice(start, rows) for a in batch)
+
+
 def put(df: DataFrame, **cols: Column) -> DataFrame:
     """Add output columns; an input column of the same name is replaced."""
     return df.withColumns(cols)

@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import put, work_name
+from zonecast.llm.common import put, slices, work_name
 
 FRAME_BYTES = 1 << 16
 LEVEL = 1
@@ -138,6 +138,17 @@ def arrange(s: Stored, form: str, first: int, second: int) -> tuple[list[bytes],
     return out, a.chars, b.chars - a.chars
 
 
+def plan(s: Stored, h1: int, h2: int, h3: int, h4: int) -> tuple[str, int, int]:
+    """(form, units before the end of the prefix, of the middle) from the
+    totals of a text and its draws; no frame is decompressed."""
+    n = s.units[-1]
+    if not n or s.marked or h3 % 100 >= 100 - PLAIN_PERCENT:
+        form = "plain"
+    else:
+        form = "spm" if h4 % 100 < SPM_PERCENT else "psm"
+    return form, *sorted((h1 % (n + 1), h2 % (n + 1)))
+
+
 def find_markers(data: list[bytes], markers: tuple[bytes, ...]) -> list[tuple[tuple[int, int], tuple[int, int]]]:
     """(start, end) of the first of each marker, in this order, as (frame,
     byte) places; also of markers that go over the edge of a frame."""
@@ -183,7 +194,6 @@ def digest(data: list[bytes]) -> str:
 # ---- Spark -----------------------------------------------------------------
 
 STORED = "struct<data:array<binary>,units:array<long>,chars:array<long>,sizes:array<long>,marked:boolean>"
-ARRANGED = "struct<data:array<binary>,prefix_chars:long,middle_chars:long>"
 
 
 def with_frames(df: DataFrame, text_col: str = "text", out_col: str = "frames") -> DataFrame:
@@ -193,9 +203,10 @@ def with_frames(df: DataFrame, text_col: str = "text", out_col: str = "frames")
 
     @F.arrow_udf(STORED)
     def stored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            made = [store(t or b"", size) for t in texts.cast(pa.binary()).to_pylist()]
-            yield pa.StructArray.from_arrays([pa.array(list(col), f.type) for col, f in zip(zip(*made) if made else [[]] * 5, kind)], fields=list(kind))
+        for batch in batches:
+            for (texts,) in slices((batch,)):
+                made = [store(t or b"", size) for t in texts.cast(pa.binary()).to_pylist()]
+                yield pa.StructArray.from_arrays([pa.array(list(col), f.type) for col, f in zip(zip(*made), kind)], fields=list(kind))
 
     return put(df, **{out_col: stored(F.col(text_col))})
 
@@ -206,64 +217,57 @@ def draws(key: Column, seed: int = 1) -> list[Column]:
     return [F.conv(F.substring(hex_, 1 + 8 * i, 8), 16, 10).cast("long") for i in range(4)]
 
 
-def with_plan(df: DataFrame, id_col: str = "doc_id", frames_col: str = "frames", seed: int = 1) -> DataFrame:
-    """Add n (units), form, and the units at which prefix and middle end, from
-    the stored totals alone: no frame is decompressed."""
-    h1, h2, h3, h4 = draws(F.col(id_col), seed)
-    n = F.coalesce(F.element_at(F.col(frames_col)["units"], -1), F.lit(0).cast("long"))
-    form = F.when((n == 0) | F.col(frames_col)["marked"] | (h3 % 100 >= 100 - PLAIN_PERCENT), "plain").when(h4 % 100 < SPM_PERCENT, "spm").otherwise("psm")
-    return put(df, n=n, form=form, prefix_end=F.least(h1 % (n + 1), h2 % (n + 1)), middle_end=F.greatest(h1 % (n + 1), h2 % (n + 1)))
-
+def transform(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", frames_col: str | None = None, seed: int = 1) -> DataFrame:
+    """Add n (units), form, prefix_end and middle_end (units), prefix_chars and
+    middle_chars (null if plain) and output: the frames of the transformed text,
+    which :func:`frames_text` reads. Texts are stored on the way, or read from
+    ``frames_col``, a column of :func:`with_frames`."""
+    size = FRAME_BYTES
+    longs = ("n", "prefix_end", "middle_end", "prefix_chars", "middle_chars")
+    kind = pa.struct([*[(c, pa.int64()) for c in longs], ("form", pa.string()), ("output", pa.list_(pa.binary()))])
 
-def with_output(df: DataFrame, frames_col: str = "frames", out_col: str = "output") -> DataFrame:
-    """Add ``out_col`` (the frames of the output), prefix_chars and
-    middle_chars to a table of :func:`with_plan`."""
-    kind = pa.struct([("data", pa.list_(pa.binary())), ("prefix_chars", pa.int64()), ("middle_chars", pa.int64())])
-
-    @F.arrow_udf(ARRANGED)
+    @F.arrow_udf(f"struct<{''.join(f'{c}:long,' for c in longs)}form:string,output:array<binary>>")
     def arranged(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        for stored, form, first, second in batches:
-            made = [arrange(Stored(**s), f, a, b) for s, f, a, b in zip(*(x.to_pylist() for x in (stored, form, first, second)))]
-            yield pa.StructArray.from_arrays([pa.array(list(col), f.type) for col, f in zip(zip(*made) if made else [[]] * 3, kind)], fields=list(kind))
+        for batch in batches:
+            for first, *h in slices(batch):
+                out = []
+                for x, *numbers in zip((first if frames_col else first.cast(pa.binary())).to_pylist(), *(a.to_pylist() for a in h)):
+                    s = Stored(**x) if frames_col else store(x or b"", size)
+                    form, a, b = plan(s, *numbers)
+                    output, prefix, middle = arrange(s, form, a, b)
+                    out.append((s.units[-1], a, b, prefix, middle, form, output))
+                yield pa.StructArray.from_arrays([pa.array(list(col), f.type) for col, f in zip(zip(*out), kind)], fields=list(kind))
 
     mark = work_name(df, "arranged")
-    made = df.withColumn(mark, arranged(frames_col, "form", "prefix_end", "middle_end"))
-    got = F.col(mark)
-    return put(made, **{out_col: got["data"], "prefix_chars": got["prefix_chars"], "middle_chars": got["middle_chars"]}).drop(mark)
-
-
-def restored_frames(frames: Column, form: Column) -> Column:
-    """The frames of the text rebuilt from those of an output and its form."""
-    @F.arrow_udf("array<binary>")
-    def rebuilt(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for data, forms in batches:
-            yield pa.array([restore(d, f) for d, f in zip(data.to_pylist(), forms.to_pylist())], pa.list_(pa.binary()))
-
-    return rebuilt(frames, form)
+    made = df.withColumn(mark, arranged(F.col(frames_col or text_col), *draws(F.col(id_col), seed)))
+    return put(made, **{f.name: F.col(mark)[f.name] for f in kind}).drop(mark)
 
 
-def frames_sha256(frames: Column) -> Column:
-    """Lowercase hex SHA-256 of the text of the frames."""
-    @F.arrow_udf("string")
-    def summed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for data in batches:
-            yield pa.array([digest(d) for d in data.to_pylist()], pa.string())
+def _over_frames(result: str, kind: pa.DataType, of: Callable, *cols: Column) -> Column:
+    """A column of ``of`` applied to the values of ``cols``, row by row."""
+    @F.arrow_udf(result)
+    def made(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for part in slices(batch):
+                yield pa.array([of(*row) for row in zip(*(a.to_pylist() for a in part))], kind)
 
-    return summed(frames)
+    # an iterator of one column would come without its tuple
+    return made(*cols, *[F.lit(0)] * (len(cols) == 1))
 
 
 def frames_text(frames: Column) -> Column:
     """The text of the frames."""
-    @F.arrow_udf("string")
-    def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for data in batches:
-            yield pa.array([joined(d).decode() for d in data.to_pylist()], pa.string())
+    return _over_frames("string", pa.string(), lambda data, _: joined(data).decode(), frames)
 
-    return text(frames)
+
+def restored_frames(frames: Column, form: Column) -> Column:
+    """The frames of the text rebuilt from those of an output and its form."""
+    return _over_frames("array<binary>", pa.list_(pa.binary()), restore, frames, form)
 
 
-def transform(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 1) -> DataFrame:
-    """Add n, form, prefix_end, middle_end, prefix_chars, middle_chars and
-    output (the frames of the transformed text; :func:`frames_text` reads them)."""
-    mark = work_name(df, "frames")
-    return with_output(with_plan(with_frames(df, text_col, mark), id_col, mark, seed), mark).drop(mark)
+def digests(frames: Column, form: Column) -> Column:
+    """output_sha256 and restored_sha256: lowercase hex SHA-256 of an output
+    and of the text rebuilt from output and form."""
+    kind = pa.struct([("output_sha256", pa.string()), ("restored_sha256", pa.string())])
+    return _over_frames("struct<output_sha256:string,restored_sha256:string>", kind,
+                        lambda data, form: {"output_sha256": digest(data), "restored_sha256": digest(restore(data, form))}, frames, form)

@@ -134,9 +134,8 @@ def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fill-in-middle outputs of each document and the texts rebuilt from
     them, as digests."""
     made = fim.transform(documents(spark, sf_dir))
-    output = F.col("output")
-    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", fim.frames_sha256(output).alias("output_sha256"),
-                       fim.frames_sha256(fim.restored_frames(output, F.col("form"))).alias("restored_sha256"))
+    sums = made.withColumn("sums", fim.digests(F.col("output"), F.col("form")))
+    return sums.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "sums.*")
 
 
 @register
