@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.llm import bytebpe
-from zonecast.llm.common import stage, work_name
+from zonecast.llm.common import slices, stage, work_name
 from zonecast.llm.token_count import segments
 
 SEGMENT_CHARS = 1 << 18      # longer texts are cut at safe places
@@ -293,11 +293,12 @@ def groups(df: DataFrame, text_col: str = "text", path_a: str | None = None, pat
     @F.arrow_udf(f"struct<{ALIGNED.replace(', ', ',')}>".replace(" ", ":").replace("struct:", "struct"))
     def aligned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         aligner = load(path_a, path_b)
-        for texts in batches:
-            got = aligner.rows(texts.to_pylist())
-            offsets = pa.array(got.pop("offsets"), pa.int32())
-            cols = [pa.ListArray.from_arrays(offsets, pa.array(got[f.name], f.type.value_type)) if pa.types.is_list(f.type) else pa.array(got[f.name], f.type) for f in kind]
-            yield pa.StructArray.from_arrays(cols, fields=list(kind))
+        for batch in batches:
+            for (texts,) in slices((batch,)):
+                got = aligner.rows(texts.to_pylist())
+                offsets = pa.array(got.pop("offsets"), pa.int32())
+                cols = [pa.ListArray.from_arrays(offsets, pa.array(got[f.name], f.type.value_type)) if pa.types.is_list(f.type) else pa.array(got[f.name], f.type) for f in kind]
+                yield pa.StructArray.from_arrays(cols, fields=list(kind))
 
     mark = work_name(df, "aligned")
     fields = [f.name for f in kind]
