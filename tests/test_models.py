@@ -17,9 +17,8 @@ def _linear(spark, n=400, seed=7):
 def test_ols_recovers_coefficients(spark):
     df, x, y = _linear(spark)
     m = md.fit_linear(md.assemble(df, ["a", "b"]))
-    lr = m.stages[-1]
-    assert np.allclose(lr.coefficients.toArray(), [2.0, -3.0], atol=0.01)
-    assert math.isclose(lr.intercept, 1.5, abs_tol=0.01)
+    assert np.allclose(m.coefficients, [2.0, -3.0], atol=0.01)
+    assert math.isclose(m.intercept, 1.5, abs_tol=0.01)
 
 
 def test_ridge_penalty_matches_closed_form(spark):
@@ -101,19 +100,69 @@ def test_fits_on_all_features_match_numpy(spark):
         assert math.isclose(md.evaluate(md.fit_linear(a, scaled), a)["mae"], mae(w), rel_tol=1e-5)
 
 
-def test_tuning_reads_the_training_plan_twice(spark):
-    """Label statistics and scaler; every fit then reads the kept vectors."""
-    from pyspark.sql import functions as F
+def test_tuning_reads_the_training_plan_once(spark):
+    """All fits come from one pass over the training rows."""
     df, _, _ = _linear(spark)
     seen = spark.sparkContext.accumulator(0)
     counted = spark.createDataFrame(df.rdd.map(lambda r: (seen.add(1), r)[1]), df.schema)
     a = md.assemble(counted, ["a", "b"])
     t = md.Tuning(a, a.limit(10))
-    t.add(md.RIDGE_ALPHAS, 0.0, "ridge")
-    t.add(md.LASSO_ALPHAS, 1.0, "lasso")
-    # the two passes of Tuning itself and the one that fills the kept vectors
-    assert seen.value == 3 * 400
-    assert len(t.results()) == 10
+    t.add_least_squares()
+    t.add_grid()
+    assert seen.value == 400
+    assert len(t.results()) == 15
+
+
+def test_fits_equal_the_gradient_solver(spark):
+    """One-pass fits against MLlib's iterative fits of the same penalties."""
+    df, x, y = _panel17(spark)
+    a = md.assemble(df)
+    n, s = len(y), float(np.std(y, ddof=1))
+    t = md.Tuning(a, a)
+    t.add([0.1, 10.0], 0.0, "ridge")
+    t.add([0.01, 0.1], 1.0, "lasso")
+    t.add([0.1], 0.5, "elastic_net")
+    for what, fit in t.variants:
+        other = md.fit_penalized(a, what["alpha"], what["l1_ratio"], n, s)
+        both = md.score(other, a).withColumn("ours", fit.model.predictor())
+        assert both.agg(F.max(F.abs(F.col("ours") - F.col("y_pred")))).first()[0] < 1e-4
+
+
+def test_every_fit_is_optimal(spark):
+    df, _, _ = _panel17(spark)
+    a = md.assemble(df)
+    t = md.Tuning(a, a)
+    t.add_least_squares()
+    t.add_grid()
+    rows = t.optimality().collect()
+    assert len(rows) == 15 * 18 and max(r["violation"] for r in rows) < 1e-9
+    # a model that is not optimal is found out
+    from dataclasses import replace
+    what, fit = t.variants[0]
+    t.variants = [(what, replace(fit, model=replace(fit.model, intercept=fit.model.intercept + 0.1)))]
+    assert max(r["violation"] for r in t.optimality().collect()) > 0.09
+
+
+def test_co_moments_do_not_depend_on_the_partitions(spark, monkeypatch):
+    from zonecast.operators import linear
+    df, x, y = _panel17(spark)
+    whole = np.column_stack([x, y])
+    monkeypatch.setattr(linear, "MERGED_TASKS", 3)
+    for parts in (1, 13):
+        m = linear.co_moments(df.repartition(parts), df.columns)
+        assert m.n == len(y) and np.allclose(m.mean, whole.mean(0)) and np.allclose(m.scatter / m.n, np.cov(whole.T, ddof=0))
+    far = df.select((F.col("lag_1h") + 1e9).alias("a"), "trip_count")
+    assert np.allclose(linear.co_moments(far, ["a"]).scatter / len(y), np.var(x[:, 8]), rtol=1e-4)
+    empty = linear.fit_all(df.limit(0), ["hour", "month"], "trip_count")
+    assert empty.least_squares().model.coefficients == (0.0, 0.0)
+
+
+def test_missing_and_constant_features(spark):
+    rows = [(1.0, 5.0, 2.0), (None, 5.0, 0.0), (float("nan"), 5.0, 0.0), (3.0, 5.0, 6.0)]
+    df = spark.createDataFrame(rows, "a double, b double, trip_count double")
+    m = md.fit_linear(md.assemble(df, ["a", "b"]))
+    assert np.allclose(m.coefficients, [2.0, 0.0]) and abs(m.intercept) < 1e-12
+    assert np.allclose([r.y_pred for r in m.transform(df).collect()], [2.0, 0.0, 0.0, 6.0])
 
 
 def test_best_of_each_family(spark):

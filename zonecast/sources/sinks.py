@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from zonecast.operators.linear import LinearModel
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
@@ -41,10 +43,19 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """Persist a fitted pipeline with MLlib's writer (K3)."""
-    model.write().overwrite().save(path)
+def save_model(model: LinearModel | PipelineModel, path: str, spark: SparkSession | None = None) -> None:
+    """Persist a fitted model (K3): a linear model as one row of parquet, a
+    pipeline with MLlib's writer."""
+    if isinstance(model, LinearModel):
+        model.save(spark or SparkSession.active(), path)
+    else:
+        model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str, spark: SparkSession | None = None) -> LinearModel | PipelineModel:
+    """A saved model of either kind; a pipeline has a metadata folder."""
+    spark = spark or SparkSession.active()
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/metadata")
+    if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return PipelineModel.load(path)
+    return LinearModel.load(spark, path)
