@@ -178,5 +178,69 @@ def test_boosted_trees_beat_the_mean(spark):
     a = md.assemble(df, ["a", "b"])
     m = md.fit_gbt(a, trees=20)
     assert md.evaluate(m, a)["rmse"] < 0.5 * float(np.std(y))
-    top = md.feature_importance(spark, m, ["a", "b"]).collect()
+    top = md.feature_importance(spark, m).collect()
     assert [r.feature for r in top] == ["b", "a"] and math.isclose(sum(r.importance for r in top), 1.0, rel_tol=1e-6)
+
+
+def _plain_tree(x, y, margin, depth, rate, columns):
+    """Leaf values of one tree, every split tried on sorted values."""
+    out = np.zeros(len(y))
+
+    def split(rows, level):
+        g = margin[rows] - y[rows]
+        best = (1e-6, None, None)
+        for f in columns if level < depth else ():
+            for v in np.unique(x[rows, f])[:-1]:
+                left = x[rows, f] <= v
+                gain = sum(g[s].sum() ** 2 / (s.sum() + 1) for s in (left, ~left)) - g.sum() ** 2 / (len(g) + 1)
+                if gain > best[0] + 1e-9 * abs(gain):
+                    best = (gain, f, v)
+        if best[1] is None:
+            out[rows] = -rate * g.sum() / (len(g) + 1)
+        else:
+            left = x[rows, best[1]] <= best[2]
+            split(rows[left], level + 1)
+            split(rows[~left], level + 1)
+
+    split(np.arange(len(y)), 0)
+    return out
+
+
+def test_trees_equal_a_plain_splitter(spark, monkeypatch):
+    """500 rows, all values as bins, several partitions and stages."""
+    from zonecast.operators import boosting
+    monkeypatch.setattr(boosting, "STAGE_TREES", 2)
+    monkeypatch.setattr(boosting, "FLAT_PARTITIONS", 2)
+    rng = np.random.default_rng(5)
+    x = np.column_stack([rng.integers(0, 24, 500), rng.normal(size=500).round(2), rng.integers(0, 3, 500), np.full(500, 7.0)])
+    y = np.round(x[:, 0] % 5 + 3 * (x[:, 1] > 0.3) - x[:, 2] + rng.normal(size=500), 3)
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], "a double, b double, c double, d double, trip_count double").repartition(5)
+    m = md.fit_gbt(md.assemble(df, ["a", "b", "c", "d"]), trees=5, depth=3, rows=1.0, cols=1.0, bins=600)
+    margin = np.full(500, y.mean())
+    for _ in range(5):
+        margin = margin + _plain_tree(x, y, margin, 3, 0.1, range(4))
+    got = {(r.a, r.b, r.c): r.y_pred for r in m.transform(df).collect()}
+    assert np.allclose([got[tuple(r[:3])] for r in x], margin, atol=1e-6)
+    assert m.importance()["d"] == 0.0
+
+
+def test_draws_are_per_tree_and_partitions_do_not_matter(spark, tmp_path):
+    df, x, y = _panel17(spark)
+    a = md.assemble(df)
+    m = md.fit_gbt(a, trees=4, depth=3)
+    assert all(len(set(t.feature[t.feature >= 0])) <= 13 for t in m.trees)
+    again = md.fit_gbt(md.assemble(df.repartition(7)), trees=4, depth=3)
+    for t, u in zip(m.trees, again.trees):
+        assert (t.feature == u.feature).all() and (t.cut == u.cut).all() and (t.value == u.value).all()
+    from zonecast.sources import sinks
+    sinks.save_model(m, str(tmp_path / "gbt"))
+    back = sinks.load_model(str(tmp_path / "gbt"))
+    assert back.transform(df).exceptAll(m.transform(df)).count() == 0
+    assert md.fit_gbt(a.limit(0)).transform(df).agg(F.max("y_pred")).first()[0] == 0.0
+
+
+def test_few_bins_are_quantiles(spark):
+    from zonecast.operators import boosting
+    df = spark.range(10_000).select((F.col("id") % 1000).cast("double").alias("a"), (F.col("id") % 5).cast("double").alias("b"))
+    wide, few = boosting.bin_edges(df, ["a", "b"], 16)
+    assert few.tolist() == [0.0, 1.0, 2.0, 3.0] and len(wide) == 15 and abs(wide[7] - 500) < 10

@@ -36,13 +36,21 @@ class Span:
     last_year: int
 
 
-_spans: dict[tuple[str, str], Span] = {}
+_spans: dict[tuple, Span] = {}
+
+
+def version(spark: SparkSession, sf_dir: str) -> tuple:
+    """What tells whether the events of a folder are the same as before:
+    application, path, and length and time of each file."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
+    files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    return (spark.sparkContext.applicationId, sf_dir, *((f.getLen(), f.getModificationTime()) for f in files))
 
 
 def span(spark: SparkSession, sf_dir: str) -> Span:
     """Range, split and forecast dates from the first and last event: one
-    small aggregate, kept for the tables of a folder within an application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    small aggregate, kept for as long as the files stay the same."""
+    key = version(spark, sf_dir)
     if key not in _spans:
         r = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
         if r["a"] is None:

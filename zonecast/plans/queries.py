@@ -587,13 +587,13 @@ def _shown(df, cols=("y_pred", "y_scaled", "prediction", "error", "abs_error")):
     return df.withColumns({c: F.round(c, 4) for c in cols if c in df.columns})
 
 
-_trees: dict[tuple[str, str], object] = {}
+_trees: dict[tuple, object] = {}
 
 
 def _gbt(spark, sf_dir, train):
-    """The boosted trees of a folder, fitted once in an application: three
-    queries report on the same model."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The boosted trees of a folder, fitted once for as long as its files
+    stay the same: three queries report on the same model."""
+    key = fx.version(spark, sf_dir)
     if key not in _trees:
         _trees[key] = md.fit_gbt(train)
     return _trees[key]
@@ -605,6 +605,15 @@ def gbt_scores(spark, sf_dir):
     return md.score(_gbt(spark, sf_dir, tr), te).select("PULocationID", "pickup_datetime", "trip_count", "y_pred")
 
 
+@register
+def gbt_stump(spark, sf_dir):
+    """M3 with one tree of one split on all rows and features, every value a
+    bin of its own: the split has a closed form."""
+    tr, te = _split_assembled(spark, sf_dir)
+    stump = md.fit_gbt(tr, trees=1, depth=1, rows=1.0, cols=1.0, bins=65536)
+    return md.score(stump, te).select("PULocationID", "pickup_datetime", "trip_count", "y_pred")
+
+
 @register
 def feature_importance(spark, sf_dir):
     tr, _ = _split_assembled(spark, sf_dir)

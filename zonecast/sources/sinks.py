@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from zonecast.operators.boosting import BoostedTrees
 from zonecast.operators.linear import LinearModel
 
 
@@ -43,19 +44,20 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 
 
-def save_model(model: LinearModel | PipelineModel, path: str, spark: SparkSession | None = None) -> None:
-    """Persist a fitted model (K3): a linear model as one row of parquet, a
+def save_model(model: LinearModel | BoostedTrees | PipelineModel, path: str, spark: SparkSession | None = None) -> None:
+    """Persist a fitted model (K3): our own as a small parquet table, a
     pipeline with MLlib's writer."""
-    if isinstance(model, LinearModel):
+    if isinstance(model, (LinearModel, BoostedTrees)):
         model.save(spark or SparkSession.active(), path)
     else:
         model.write().overwrite().save(path)
 
 
-def load_model(path: str, spark: SparkSession | None = None) -> LinearModel | PipelineModel:
-    """A saved model of either kind; a pipeline has a metadata folder."""
+def load_model(path: str, spark: SparkSession | None = None) -> LinearModel | BoostedTrees | PipelineModel:
+    """A saved model of any kind; a pipeline has a metadata folder."""
     spark = spark or SparkSession.active()
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/metadata")
     if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
         return PipelineModel.load(path)
-    return LinearModel.load(spark, path)
+    kind = LinearModel if "coefficients" in spark.read.parquet(path).columns else BoostedTrees
+    return kind.load(spark, path)
