@@ -126,3 +126,116 @@ def test_lookups_do_not_depend_on_row_order(spark):
         targets = keys.where("hour(pickup_datetime) = 1").select("PULocationID", F.col("pickup_datetime").alias("ts"))
         lag = fc.lookup_lags(targets, df, lags=[1, 2])
         assert lag.count() == 1 and tuple(lag.select("lag_1h", "lag_2h").first()) == (3.0, 0.0)
+
+
+def test_equal_targets_stay(spark):
+    """Two equal targets are two rows; gaps, odd minutes and missing zones
+    fall back to the mean of the hour of day, then to 0."""
+    from zonecast.operators import forecast as fc
+    h = [(1, "2024-01-01 00:00:00", 5), (1, "2024-01-01 03:00:00", 7), (1, "2024-01-02 01:00:00", 4), (1, "2024-01-03 01:00:00", 8), (2, None, 1)]
+    hist = spark.createDataFrame(h, "PULocationID long, t string, trip_count long").select(
+        "PULocationID", F.col("t").cast("timestamp_ntz").alias("pickup_datetime"), "trip_count")
+    t = [(1, "2024-01-01 04:00:00"), (1, "2024-01-01 04:00:00"), (1, "2024-01-01 02:00:00"), (1, "2024-01-01 04:30:00"), (3, "2024-01-01 04:00:00"), (1, None), (None, "2024-01-01 04:00:00")]
+    targets = spark.createDataFrame(t, "PULocationID long, t string").select("PULocationID", F.col("t").cast("timestamp_ntz").alias("ts"))
+    got = sorted(((r.PULocationID, str(r.ts), r.lag_1h, r.lag_2h) for r in fc.lookup_lags(targets, hist, lags=[1, 2]).collect()), key=str)
+    # 03:00 exact, 02:00 unknown; 01:00 is not there on the first day: the mean of 4 and 8
+    assert got == sorted([(1, "2024-01-01 04:00:00", 7.0, 0.0), (1, "2024-01-01 04:00:00", 7.0, 0.0), (1, "2024-01-01 02:00:00", 6.0, 5.0),
+                          (1, "2024-01-01 04:30:00", 7.0, 0.0), (3, "2024-01-01 04:00:00", 0.0, 0.0), (1, "None", 0.0, 0.0),
+                          (None, "2024-01-01 04:00:00", 0.0, 0.0)], key=str)
+    plan = fc.lookup_lags(targets, hist)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+    empty = fc.lookup_lags(targets, hist.limit(0), lags=[1]).collect()
+    assert len(empty) == len(t) and {r.lag_1h for r in empty} == {0.0}
+
+
+def test_normal_quantile_and_tail(spark):
+    from statistics import NormalDist
+    from zonecast.functions.normal import normal_quantile, normal_upper_tail
+    ps = [1e-300, 1e-20, 1e-6, 0.01, 0.07, 0.3, 0.5, 0.9, 0.99, 1 - 1e-9]
+    zs = [-9.0, -3.0, -0.5, 0.0, 0.7, 3.0, 7.0, 7.2, 12.0]
+    df = spark.createDataFrame([(float(p), float(z)) for p in ps for z in zs], "p double, z double")
+    for r in df.select("p", "z", normal_quantile(F.col("p")).alias("q"), normal_upper_tail(F.col("z")).alias("t")).collect():
+        assert math.isclose(r.q, NormalDist().inv_cdf(r.p), rel_tol=1e-13, abs_tol=1e-14)
+        assert math.isclose(r.t, math.erfc(r.z / math.sqrt(2)) / 2, rel_tol=1e-8)
+
+
+def _plain_shapiro(e):
+    """Royston's W and p, one value after the other."""
+    from statistics import NormalDist
+    e, n = sorted(e), len(e)
+    m = [NormalDist().inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)]
+    ss, u = sum(v * v for v in m), 1 / math.sqrt(n)
+
+    def poly(c, x):
+        return sum(v * x ** i for i, v in enumerate(c))
+    d = diagnostics
+    a = [0.0] * n
+    a[-1] = m[-1] / math.sqrt(ss) + poly(d.OUTERMOST, u) if n > 3 else math.sqrt(0.5)
+    k, left, rest = 1, ss - 2 * m[-1] ** 2, 1 - 2 * a[-1] ** 2
+    if n > 5:
+        a[-2] = m[-2] / math.sqrt(ss) + poly(d.SECOND, u)
+        k, left, rest = 2, left - 2 * m[-2] ** 2, rest - 2 * a[-2] ** 2
+    for i in range(k, n - k):
+        a[i] = m[i] / math.sqrt(left / rest) if n > 3 else 0.0
+    for i in range(k):
+        a[i] = -a[-1 - i]
+    mean = sum(e) / n
+    w = sum(x * y for x, y in zip(a, e)) ** 2 / sum((v - mean) ** 2 for v in e)
+    if n == 3:
+        return w, max(0.0, 6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))))
+    if n <= 11:
+        z = (-math.log(poly(d.SMALL_SHIFT, n) - math.log(1 - w)) - poly(d.SMALL_MEAN, n)) / math.exp(poly(d.SMALL_SD, n))
+    else:
+        z = (math.log(1 - w) - poly(d.LARGE_MEAN, math.log(n))) / math.exp(poly(d.LARGE_SD, math.log(n)))
+    return w, math.erfc(z / math.sqrt(2)) / 2
+
+
+def test_shapiro_wilk(spark):
+    def test(values, **kw):
+        df = spark.createDataFrame([(i, float(v), 0.0) for i, v in enumerate(values)], "k long, trip_count double, y_pred double")
+        return diagnostics.shapiro_wilk(df, ["k"], **kw).collect()
+
+    # the weights of eleven men, the worked example of the test's first paper
+    r = test([148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236])[0]
+    assert r.n == 11 and math.isclose(r.w, 0.7888147, abs_tol=1e-6) and math.isclose(r.p_value, 0.006703814, abs_tol=1e-6) and not r.normal
+    rng = np.random.default_rng(9)
+    for n in (3, 5, 6, 12, 300):
+        for x in (rng.exponential(size=n).round(2),):
+            r = test(x)[0]
+            w, p = _plain_shapiro(x)
+            assert r.n == n and math.isclose(r.w, w, rel_tol=1e-9) and math.isclose(r.p_value, p, rel_tol=1e-6, abs_tol=1e-12)
+    assert test([1.0, 2.0]) == [] and test([5.0] * 9) == []
+    assert test(rng.normal(size=300), n=50)[0].n == 50
+
+
+def test_global_lags(spark):
+    from zonecast.functions.ordered import with_global_lags
+    rng = np.random.default_rng(4)
+    rows = [(int(z), i, float(rng.integers(0, 9))) for i, z in enumerate(rng.integers(0, 3, 300))]
+    df = spark.createDataFrame(rows, "z long, t long, v double")
+    order = sorted(rows)
+    for parts in (1, 4, 40):
+        got = {(r.z, r.t): (r.row, r.v_lag1, r.v_lag24) for r in with_global_lags(df, ["z", "t"], ["v"], [1, 24], parts).collect()}
+        assert len(got) == 300
+        for g, (z, t, _) in enumerate(order):
+            assert got[(z, t)] == (g, order[g - 1][2] if g >= 1 else None, order[g - 24][2] if g >= 24 else None)
+    assert with_global_lags(df.limit(0), ["z", "t"], ["v"], [1]).count() == 0
+
+
+def test_chunked_windows_equal_those_by_zone(spark):
+    from zonecast.operators.features import with_chunked_features, with_lags, with_rolling_means
+    hours = spark.range(500).select(F.timestamp_add("HOUR", F.col("id").cast("int"), F.lit("1969-12-28 00:00:00").cast("timestamp_ntz")).alias("pickup_datetime"), "id")
+    df = hours.select(F.explode(F.array(F.lit(1), F.lit(2))).alias("PULocationID"), "pickup_datetime",
+                      (F.col("id") * 7 % 11).alias("trip_count"))
+    want = with_rolling_means(with_lags(df))
+    for size in (7, 168):
+        got = with_chunked_features(df, chunk_hours=size)
+        assert got.columns == want.columns
+        assert got.exceptAll(want).count() == 0 and got.count() == 1000
+    coalesce = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        busy = with_chunked_features(df, chunk_hours=20).groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(busy) == 4 and max(r["count"] for r in busy) < 500  # two zones, four tasks
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)

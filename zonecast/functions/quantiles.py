@@ -1,20 +1,22 @@
-"""Exact percentiles (linear interpolation, numpy's default) without one
-task holding every distinct value.
+"""Exact percentiles (linear interpolation, numpy's default) in two passes,
+without one task holding every distinct value.
 
 Spark's exact ``percentile`` merges a value->count map of the whole column in
 one final task. Here the work is split:
 
-1. an approximate sketch (``percentile_approx``, bounded state) gives about
-   ``buckets`` split points;
-2. MLlib's ``Bucketizer`` (binary search per row) assigns each value to a
-   bucket and one partial aggregate counts rows per bucket -- at most
-   ``buckets + 1`` numbers reach the driver;
-3. a bucket that holds a wanted rank but more than ``max_distinct`` distinct
-   values (HyperLogLog estimate) is split again by a sketch over its own
-   value range, until it is small -- each round divides it ``buckets`` ways;
-4. only the final ranges are re-read; their rows are collapsed to
-   (value, count) -- a value held by a third of all rows becomes one row --
-   and ranked by a window partitioned by range.
+1. one aggregate builds a mergeable KLL sketch of each column (bounded state)
+   and counts its rows; for each wanted rank the sketch gives a bracket of
+   values, wide enough for its rank error;
+2. the brackets cut the value range into segments. A second aggregate counts
+   rows by segment, and inside brackets by value: a value held by a third of
+   all rows becomes one row, everything outside a bracket one row per segment.
+
+The counts before a bracket tell which of its values has the wanted rank; a
+window over the bracket's distinct values finds it. A bracket of more than
+``max_distinct`` values is first narrowed by ranges, on the table of distinct
+values only. Should a rank fall outside its bracket (the error of the sketch
+holds with 99 %, the margin is twice that), the brackets are widened and the
+second pass runs again, so the result is exact in any case.
 
 Like ``DataFrame.approxQuantile`` the function is eager and returns numbers.
 """
@@ -24,154 +26,170 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Most distinct values one task ranks exactly; larger ranges are split again.
+# Most distinct values one task ranks; larger brackets are narrowed first.
 MAX_DISTINCT = 1_000_000
+SKETCH = 4096   # k of the KLL sketches
 
 
 def exact_percentiles(df: DataFrame, col, probs: Sequence[float], buckets: int = 1000,
-                      max_distinct: int = MAX_DISTINCT) -> list:
+                      max_distinct: int = MAX_DISTINCT, sketch: int = SKETCH) -> list:
     """Exact linear-interpolated percentiles of ``col`` (NULL/NaN ignored).
 
     Returns one float per entry of ``probs`` (``None`` for an empty column).
     """
-    return exact_percentiles_multi(df, [col], probs, buckets, max_distinct)[0]
+    return exact_percentiles_multi(df, [col], probs, buckets, max_distinct, sketch)[0]
 
 
 def exact_percentiles_multi(df: DataFrame, cols: Sequence, probs: Sequence[float], buckets: int = 1000,
-                            max_distinct: int = MAX_DISTINCT) -> list[list]:
+                            max_distinct: int = MAX_DISTINCT, sketch: int = SKETCH) -> list[list]:
     """:func:`exact_percentiles` of several columns with shared passes."""
     vals = []
     for i, c in enumerate(cols):
         x = (F.col(c) if isinstance(c, str) else c).cast("double")
-        vals.append(F.when(x.isNull() | F.isnan(x), F.lit(float("nan"))).otherwise(x).alias(f"c{i}"))
-    # The columns are read by several passes: keep them (memory, spilling to
-    # disk) rather than recompute the upstream plan each time. Lost blocks
-    # are recomputed from lineage.
+        vals.append(F.when(~F.isnan(x), x).alias(f"c{i}"))
+    # Both passes read the columns: keep them (memory, spilling to disk)
+    # rather than compute the upstream plan twice. Lost blocks are recomputed.
     base = df.select(*vals).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _exact(base, len(cols), probs, buckets, max_distinct)
+        return _exact(base, len(cols), [float(p) for p in probs], buckets, max_distinct, sketch)
     finally:
         base.unpersist()
 
 
-def _splits(edges, lo: float, hi: float) -> list[float]:
-    inner = sorted(set(float(e) for e in (edges or []) if lo < float(e) < hi))
-    return [lo] + inner + [hi]
+def rank_error(k: int) -> float:
+    """Normalised rank error of a KLL sketch of this k, with 99 % confidence."""
+    return 2.296 / k ** 0.9021
 
 
-def _in_range(v, lo, hi):
-    """``lo <= v < hi``; the last range (``hi`` = +inf) also holds +inf."""
-    return (v >= lo) & ((v < hi) | ((hi == F.lit(math.inf)) & (v == hi)))
+def _brackets(base: DataFrame, k: int, probs: list[float], sketch: int, margin: float) -> list[tuple[int, list[tuple[float, float]]]]:
+    """Per column its rows and, per probability, a bracket of values."""
+    made = base.agg(*[F.count(f"c{i}").alias(f"n{i}") for i in range(k)],
+                    *[F.kll_sketch_agg_double(F.col(f"c{i}"), F.lit(sketch)).alias(f"s{i}") for i in range(k)])
 
+    def bounds(i: int, sign: int):
+        ranks = F.array(*[F.lit(min(max(p + sign * margin, 0.0), 1.0)) for p in probs])
+        return F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(F.col(f"s{i}"), ranks))
 
-def _locate(counts: dict, splits: list[float], rank: int):
-    """The bucket holding 0-based ``rank``: (lo, hi, rows before it, stats)."""
-    acc = 0
-    for b in sorted(counts):
-        n, nd = counts[b]
-        if rank < acc + n:
-            return splits[b], splits[b + 1], acc, nd
-        acc += n
-    raise ValueError("rank outside the counted rows")
+    r = made.select(*[f"n{i}" for i in range(k)], *[bounds(i, s).alias(f"b{i}_{s}") for i in range(k) for s in (-1, 1)]).first()
+    out = []
+    for i in range(k):
+        n, low, high = r[f"n{i}"], r[f"b{i}_-1"], r[f"b{i}_1"]
+        # the two ranks beside p are within one row of it: few rows need no bracket
+        few = n * margin < 2
+        out.append((n, [(-math.inf if few or p - margin <= 0 else lo, math.inf if few or p + margin >= 1 else hi)
+                        for p, lo, hi in zip(probs, low, high)] if n else []))
+    return out
 
 
-def _exact(base: DataFrame, k: int, probs: Sequence[float], buckets: int, max_distinct: int) -> list[list]:
-    grid = [i / buckets for i in range(1, buckets)]
-    acc = 10 * buckets
-    clean = [F.when(~F.isnan(f"c{i}"), F.col(f"c{i}")) for i in range(k)]
-    long = (base.select(F.inline(F.array(*[F.struct(F.lit(i).alias("k"), F.col(f"c{i}").alias("v"))
-                                           for i in range(k)])))
-            .where(~F.isnan("v")))
-    # Pass 1: row count and split points of every column.
-    st = base.agg(*[F.count(clean[i]).alias(f"n{i}") for i in range(k)],
-                  *[F.percentile_approx(clean[i], grid, acc).alias(f"e{i}") for i in range(k)]).first()
-    plan: dict = {}
-    for i in range(k):
-        n = st[f"n{i}"]
-        for p in probs if n else ():
-            pos = float(p) * (n - 1)
-            lo_r = int(math.floor(pos))
-            plan[(i, p)] = (lo_r, min(lo_r + 1, n - 1), pos - lo_r)
-    if not plan:
-        return [[None for _ in probs] for _ in range(k)]
-    # Pass 2: rows and distinct values of each bucket.
-    splits = {i: _splits(st[f"e{i}"], -math.inf, math.inf) for i in range(k) if st[f"n{i}"]}
-    bucketed, bucket = long, None
-    for i, sp in splits.items():
-        bucketed = Bucketizer(splits=sp, inputCol="v", outputCol=f"b{i}").transform(bucketed)
-        own = F.when(F.col("k") == i, F.col(f"b{i}"))
-        bucket = own if bucket is None else F.coalesce(bucket, own)
-    counts: dict = {}
-    for r in bucketed.groupBy("k", bucket.cast("int").alias("b")).agg(
-            F.count(F.lit(1)).alias("n"), F.approx_count_distinct("v").alias("nd")).collect():
-        counts.setdefault(r["k"], {})[r["b"]] = (r["n"], r["nd"])
-    ranges: dict = {}
-    for (i, _), (lo_r, hi_r, _) in plan.items():
-        for r in (lo_r, hi_r):
-            ranges[(i, r)] = _locate(counts[i], splits[i], r)
-
-    # Refine a range while it holds too many distinct values for one task:
-    # another sketch inside [lo, hi) splits it about ``buckets`` ways.
-    for (i, r), (lo, hi, off, nd) in list(ranges.items()):
-        while nd > max_distinct:
-            sub = long.where((F.col("k") == i) & _in_range(F.col("v"), F.lit(lo), F.lit(hi)))
-            e = sub.agg(F.percentile_approx("v", grid, acc)).first()[0]
-            sp = _splits(e, lo, hi)
-            if len(sp) < 3:
-                # A value of many rows opens the range and hides the rest
-                # from the sketch: cut behind it.
-                rest = sub.where(F.col("v") > F.lit(lo)).agg(F.percentile_approx("v", grid, acc).alias("e"),
-                                                             F.min("v").alias("m")).first()
-                sp = _splits([*(rest["e"] or []), *([rest["m"]] if rest["m"] is not None else [])], lo, hi)
-            if len(sp) < 3:
-                raise ValueError(f"range [{lo}, {hi}) of about {nd} distinct values cannot be split")
-            rb = Bucketizer(splits=sp, inputCol="v", outputCol="rb")
-            cnt = {int(x["rb"]): (x["n"], x["nd"]) for x in rb.transform(sub).groupBy("rb").agg(
-                F.count(F.lit(1)).alias("n"), F.approx_count_distinct("v").alias("nd")).collect()}
-            lo2, hi2, off2, nd = _locate(cnt, sp, r - off)
-            lo, hi, off = lo2, hi2, off + off2
-        ranges[(i, r)] = (lo, hi, off, nd)
-
-    # Exact ranks inside each final range: ties collapse to (value, count),
-    # then a running count per range gives each value's global rank span.
-    uniq = sorted({(i, lo, hi, off) for (i, _), (lo, hi, off, _) in ranges.items()})
-    rid = {u: j for j, u in enumerate(uniq)}
-    arr = F.array(*[F.struct(F.lit(j).alias("rid"), F.lit(i).alias("k"), F.lit(lo).alias("lo"),
-                             F.lit(hi).alias("hi"), F.lit(off).alias("off"))
-                    for (i, lo, hi, off), j in rid.items()])
-    hits = long.select("v", F.explode(F.filter(arr, lambda s: (s["k"] == F.col("k"))
-                                                 & _in_range(F.col("v"), s["lo"], s["hi"]))).alias("s"))
-    w = Window.partitionBy("rid").orderBy("v")
-    ranked = (hits.groupBy(F.col("s.rid").alias("rid"), F.col("s.off").alias("off"), "v")
-              .agg(F.count(F.lit(1)).alias("c"))
-              .withColumn("end", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)) + F.col("off")))
-    want = F.lit(False)
-    for (i, r), (lo, hi, off, _) in ranges.items():
-        j = rid[(i, lo, hi, off)]
-        want = want | ((F.col("rid") == j) & (F.col("end") - F.col("c") <= r) & (F.col("end") > r))
-    rows = ranked.where(want).select("rid", "v", "c", "end").collect()
-    value = {}
-    for (i, r), (lo, hi, off, _) in ranges.items():
-        j = rid[(i, lo, hi, off)]
-        for row in rows:
-            if row["rid"] == j and row["end"] - row["c"] <= r < row["end"]:
-                value[(i, r)] = row["v"]
-                break
+def _merged(brackets: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Brackets in order, overlapping ones made one."""
+    out: list[tuple[float, float]] = []
+    for lo, hi in sorted(brackets):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
+def _exact(base: DataFrame, k: int, probs: list[float], buckets: int, max_distinct: int, sketch: int) -> list[list]:
+    margin = 2 * rank_error(sketch)
+    while True:
+        found = _brackets(base, k, probs, sketch, margin)
+        value = _ranked(base, found, probs, buckets, max_distinct)
+        if value is not None:
+            break
+        margin *= 4
     out = []
-    for i in range(k):
+    for i, (n, _) in enumerate(found):
         res = []
         for p in probs:
-            if (i, p) not in plan:
+            if not n:
                 res.append(None)
                 continue
-            lo_r, hi_r, frac = plan[(i, p)]
-            a, b = value[(i, lo_r)], value[(i, hi_r)]
-            res.append(a + (b - a) * frac)
+            pos = float(p) * (n - 1)
+            lo = math.floor(pos)
+            a, b = value[(i, lo)], value[(i, min(lo + 1, n - 1))]
+            res.append(a + (b - a) * (pos - lo))
         out.append(res)
     return out
 
+
+def _ranked(base: DataFrame, found: list, probs: list[float], buckets: int, max_distinct: int) -> dict | None:
+    """The value of each wanted (column, rank); None if a bracket missed."""
+    wanted, rows = {}, []
+    for i, (n, raw) in enumerate(found):
+        if not n:
+            continue
+        for p in probs:
+            lo = math.floor(float(p) * (n - 1))
+            wanted |= {(i, lo): None, (i, min(lo + 1, n - 1)): None}
+        v = F.col(f"c{i}")
+        # even segments lie between brackets, odd ones are brackets
+        seg = F.lit(0)
+        for lo, hi in _merged(raw):
+            seg = seg + F.when(v >= F.lit(lo), 1).otherwise(0) + F.when(v > F.lit(hi), 1).otherwise(0)
+        rows.append(F.struct(F.lit(i).alias("c"), F.when(v.isNotNull(), seg).alias("seg"), v.alias("v")))
+    if not wanted:
+        return {}
+    long = base.select(F.inline(F.array(*rows))).where("seg is not null")
+    held = long.groupBy("c", "seg", F.when(F.col("seg") % 2 == 1, F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    held = held.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sizes: dict = {}
+        for r in held.groupBy("c", "seg").agg(F.sum("n").alias("n"), F.count("v").alias("distinct")).collect():
+            sizes.setdefault(r["c"], {})[r["seg"]] = (r["n"], r["distinct"])
+        small, slots = F.lit(False), {}
+        for i, rank in wanted:
+            before, seg = 0, None
+            for s in sorted(sizes[i]):
+                if rank < before + sizes[i][s][0]:
+                    seg = s
+                    break
+                before += sizes[i][s][0]
+            if seg is None or seg % 2 == 0:
+                return None
+            slots[(i, rank)] = (seg, before)
+        for i, seg in {(i, seg) for (i, _), (seg, _) in slots.items()}:
+            if sizes[i][seg][1] <= max_distinct:
+                small = small | ((F.col("c") == i) & (F.col("seg") == seg))
+        w = Window.partitionBy("c", "seg").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+        placed = held.where(small).withColumn("end", F.sum("n").over(w))
+        hit = F.lit(False)
+        for (i, rank), (seg, before) in slots.items():
+            at = rank - before
+            hit = hit | ((F.col("c") == i) & (F.col("seg") == seg) & (F.col("end") > at) & (F.col("end") - F.col("n") <= at))
+        got = placed.where(hit).collect()
+        out = {}
+        for (i, rank), (seg, before) in slots.items():
+            at = rank - before
+            one = [r["v"] for r in got if r["c"] == i and r["seg"] == seg and r["end"] - r["n"] <= at < r["end"]]
+            out[(i, rank)] = one[0] if one else _narrowed(held.where((F.col("c") == i) & (F.col("seg") == seg)), at, buckets, max_distinct)
+        return out
+    finally:
+        held.unpersist()
+
+
+def _narrowed(values: DataFrame, rank: int, buckets: int, max_distinct: int) -> float:
+    """The value of a 0-based rank in a table of many distinct values with
+    their rows: ranges of about equal numbers of values, then the range that
+    holds the rank, until one task can rank it."""
+    while True:
+        edges = values.agg(F.percentile_approx("v", [b / buckets for b in range(1, buckets)], 10 * buckets)).first()[0]
+        edges = sorted(set(edges))
+        array = F.array(*[F.lit(float(e)) for e in edges])
+        part = F.size(F.filter(array, lambda e: e < F.col("v")))
+        before = 0
+        for r in sorted(values.groupBy(part.alias("b")).agg(F.sum("n").alias("n"), F.count("v").alias("distinct")).collect(), key=lambda r: r["b"]):
+            if rank < before + r["n"]:
+                break
+            before += r["n"]
+        values, rank = values.where(part == r["b"]), rank - before
+        if r["distinct"] <= max(1, max_distinct):
+            w = Window.partitionBy("c").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+            placed = values.withColumn("end", F.sum("n").over(w))
+            return placed.where((F.col("end") > rank) & (F.col("end") - F.col("n") <= rank)).first()["v"]

@@ -71,6 +71,11 @@ def seconds_between(start, end) -> Column:
     return F.timestamp_diff("MICROSECOND", col_(start), col_(end)) / 1_000_000.0
 
 
+def hour_number(c) -> Column:
+    """Whole hours since 1970-01-01 00:00 of a naive timestamp."""
+    return F.timestamp_diff("HOUR", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col_(c))
+
+
 def add_hours(c, hours) -> Column:
     """``t + hours`` on a naive timestamp; ``hours`` may be a column."""
     h = hours if isinstance(hours, Column) else F.lit(int(hours))

@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonecast.functions import metrics as M
+from zonecast.functions.normal import normal_quantile, normal_upper_tail, polynomial
+from zonecast.functions.ordered import with_global_lags
 from zonecast.functions.quantiles import exact_percentiles
 from zonecast.functions.time import iso_week, iso_year, weekday0
 
 
+# Royston's polynomials of the Shapiro-Wilk test, lowest power first.
+OUTERMOST = [0.0, 0.221157, -0.147981, -2.07119, 4.434685, -2.706056]
+SECOND = [0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633]
+SMALL_SHIFT = [-2.273, 0.459]
+SMALL_MEAN = [0.544, -0.39978, 0.025054, -0.0006714]
+SMALL_SD = [1.3822, -0.77857, 0.062767, -0.0020322]
+LARGE_MEAN = [-1.5861, -0.31082, -0.083751, 0.0038915]
+LARGE_SD = [-0.4803, -0.082676, 0.0030302]
+
+
 def _abs_err(y, p):
     return F.abs(F.col(y) - F.col(p))
 
@@ -131,6 +144,58 @@ def residual_autocorr(df: DataFrame, lags: Sequence[int] = (1, 24), zone: str =
                                         for k in lags])))
 
 
+def global_autocorr(df: DataFrame, lags: Sequence[int] = (1, 24), zone: str = "PULocationID",
+                    time: str = "pickup_datetime", y: str = "trip_count", p: str = "y_pred") -> DataFrame:
+    """Pearson correlation of residuals with their value ``k`` rows earlier in
+    the series of all zones laid end to end, zone by zone (W3 as the reference
+    has it; pairs cross zone borders, trap T11)."""
+    d = with_global_lags(df.select(zone, time, (F.col(y) - F.col(p)).alias("e")), [zone, time], ["e"], lags)
+    a = d.agg(*[F.corr("e", f"e_lag{k}").alias(f"r{k}") for k in lags])
+    return a.select(F.inline(F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"r{k}").alias("autocorr_global"))
+                                        for k in lags])))
+
+
+def shapiro_wilk(df: DataFrame, keys: Sequence[str], y: str = "trip_count", p: str = "y_pred", n: int = 5000,
+                 seed: int = 42, alpha: float = 0.05) -> DataFrame:
+    """Shapiro-Wilk test of the residuals of a seeded sample of up to ``n``
+    rows (E16, O5): n, w, p_value and the verdict.
+
+    Royston's approximation (AS R94, 3 to 5000 values): the weights of the
+    ordered residuals come from normal scores, the two outermost at each end
+    from polynomials in 1 / sqrt(n); W is turned into a normal deviate by
+    polynomials in log(n) (or n, up to 11). The window over the sample is one
+    task of at most 5000 rows. Fewer than 3 values, or equal ones, give NULL.
+    """
+    if n > 5000:
+        raise ValueError("the approximation holds up to 5000 values")
+    e = sample_n(df.select(*keys, (F.col(y) - F.col(p)).alias("e")).where(F.col("e").isNotNull()), n, keys, seed)
+    every = Window.partitionBy(F.lit(1))
+    d = e.select("e", F.row_number().over(every.orderBy("e", *keys)).alias("i"), F.count(F.lit(1)).over(every).alias("n"))
+    d = d.withColumn("m", normal_quantile((F.col("i") - 0.375) / (F.col("n") + 0.25)))
+    i, n_, m, e_ = (F.col(c) for c in ("i", "n", "m", "e"))
+    of = lambda at, c: F.max(F.when(i == at, c))
+    two = n_ > 5  # up to 5 values only the outermost weights are corrected
+    inner = F.when(two, (i > 2) & (i < n_ - 1)).otherwise((i > 1) & (i < n_))
+    one = d.agg(F.max("n").alias("n"), F.sum(m * m).alias("ss"), of(n_, m).alias("last"), of(n_ - 1, m).alias("before"),
+                (of(n_, e_) - of(1, e_)).alias("range"), (of(n_ - 1, e_) - of(2, e_)).alias("inside"),
+                F.sum(F.when(inner, m * e_)).alias("middle"), (F.var_pop("e") * F.count("e")).alias("spread"))
+    last, before, ss, u = F.col("last"), F.col("before"), F.col("ss"), 1 / F.sqrt("n")
+    one = one.withColumns({"a_last": F.when(n_ == 3, math.sqrt(0.5)).otherwise(last / F.sqrt(ss) + polynomial(OUTERMOST, u)),
+                           "a_before": F.when(two, before / F.sqrt(ss) + polynomial(SECOND, u)).otherwise(0.0)})
+    left = ss - 2 * last * last - F.when(two, 2 * before * before).otherwise(0.0)
+    rest = 1 - 2 * F.pow("a_last", 2) - 2 * F.pow("a_before", 2)
+    # three values have none between the outermost
+    total = F.col("a_last") * F.col("range") + F.col("a_before") * F.col("inside") + F.when(n_ == 3, 0.0).otherwise(F.try_divide("middle", F.sqrt(F.try_divide(left, rest))))
+    s = one.select("n", F.try_divide(total * total, F.col("spread")).alias("w"))
+    ln, size = F.log(F.col("n").cast("double")), F.col("n").cast("double")
+    left = F.log(1 - F.col("w"))  # of the value 1 NULL
+    small = (-F.log(polynomial(SMALL_SHIFT, size) - left) - polynomial(SMALL_MEAN, size)) / F.exp(polynomial(SMALL_SD, size))
+    large = (left - polynomial(LARGE_MEAN, ln)) / F.exp(polynomial(LARGE_SD, ln))
+    three = F.greatest(6 / math.pi * (F.asin(F.sqrt("w")) - math.asin(math.sqrt(0.75))), F.lit(0.0))
+    p_value = F.when(F.col("n") == 3, three).when(F.col("n") <= 11, normal_upper_tail(small)).otherwise(normal_upper_tail(large))
+    return s.where("n >= 3 and w is not null").select("n", "w", p_value.alias("p_value")).withColumn("normal", F.col("p_value") > alpha)
+
+
 def residual_normality(df: DataFrame, y: str = "trip_count", p: str = "y_pred",
                        alpha: float = 0.05) -> DataFrame:
     """Jarque-Bera test on all residuals.

@@ -9,14 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zonecast.functions.calendar import holiday_calendar, temporal_features, with_holidays
+from zonecast.functions.time import hour_number
 from zonecast.operators.grid import complete_grid, filter_range
 from zonecast.operators.zonehour import consolidate
 from zonecast.schema import FEATURES, LAGS, ROLLING
 from zonecast.session import materialize
 
+#: Hours of a chunk where the window stage is cut in time: a quarter of a year.
+CHUNK_HOURS = 2190
 
-def _zone_window(zone: str, time: str):
-    return Window.partitionBy(zone).orderBy(time)
+
+def _zone_window(zone: str | Sequence[str], time: str):
+    return Window.partitionBy(*([zone] if isinstance(zone, str) else zone)).orderBy(time)
 
 
 def with_lags(df: DataFrame, lags: Sequence[int] = LAGS, zone: str = "PULocationID",
@@ -88,6 +92,26 @@ def with_rolling_means(df: DataFrame, windows: Sequence[int] = ROLLING, zone: st
     return base.select(*df.columns, *cols)
 
 
+def with_chunked_features(df: DataFrame, lags: Sequence[int] = LAGS, windows: Sequence[int] = ROLLING,
+                          chunk_hours: int = CHUNK_HOURS, zone: str = "PULocationID", time: str = "pickup_datetime",
+                          y: str = "trip_count", include_current: bool = True) -> DataFrame:
+    """Lags and rolling means (W1, W2) of a complete grid, cut in time.
+
+    Windows are partitioned by zone and chunk of ``chunk_hours``, so their
+    number does not end at the number of zones. Each chunk also gets the last
+    hours of the ones before that its lags and windows reach back to; these
+    ghost rows are dropped afterwards. The result is that of the windows by
+    zone. A row must be an hour, as on a complete grid.
+    """
+    halo = max(*lags, *windows, 0)
+    h = hour_number(time)
+    chunk = lambda hour: F.floor(hour / chunk_hours)
+    copied = df.withColumns({"__own": chunk(h), "__chunk": F.explode(F.sequence(chunk(h), chunk(h + halo)))})
+    parts = [zone, "__chunk"]
+    out = with_rolling_means(with_lags(copied, lags, parts, time, y), windows, parts, time, y, include_current)
+    return out.where(F.col("__own") == F.col("__chunk")).drop("__own", "__chunk")
+
+
 def fill_features(df: DataFrame, cols: Sequence[str] = FEATURES, value=0) -> DataFrame:
     """Missing feature values -> 0."""
     return df.fillna(value, subset=list(cols))
@@ -98,7 +122,8 @@ def build_features(zone_hour: DataFrame, start, end, calendar: DataFrame | None
                    y: str = "trip_count", lags: Sequence[int] = LAGS,
                    windows: Sequence[int] = ROLLING, include_current: bool = True,
                    mean_cols: Sequence[str] | None = None,
-                   end_inclusive: str = "instant", consolidated: bool = False) -> DataFrame:
+                   end_inclusive: str = "instant", consolidated: bool = False,
+                   chunk_hours: int | None = None) -> DataFrame:
     """Zone-hour table -> complete panel with the 17 features.
 
     Range filter (F4) -> consolidate duplicates (A4) -> grid completion
@@ -110,7 +135,8 @@ def build_features(zone_hour: DataFrame, start, end, calendar: DataFrame | None
     parquet -- is materialised in the shared checkpoint folder: the grid's
     zone list and the data side then read it instead of scanning the raw
     trips twice, and a lost executor restarts from it. ``consolidated`` says
-    that ``zone_hour`` is such a table already.
+    that ``zone_hour`` is such a table already; ``chunk_hours`` cuts the window
+    stage in time as well (:func:`with_chunked_features`).
     """
     spark = zone_hour.sparkSession
     df = filter_range(zone_hour, start, end, time, end_inclusive)
@@ -122,5 +148,7 @@ def build_features(zone_hour: DataFrame, start, end, calendar: DataFrame | None
         y0, y1 = int(str(start)[:4]), int(str(end)[:4])
         calendar = holiday_calendar(spark, y0 - 1, y1 + 1)
     df = with_holidays(df, calendar, time)
+    if chunk_hours:
+        return with_chunked_features(df, lags, windows, chunk_hours, zone, time, y, include_current)
     df = with_lags(df, lags, zone, time, y)
     return with_rolling_means(df, windows, zone, time, y, include_current)

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonecast.functions.calendar import temporal_features, with_holidays
-from zonecast.functions.time import add_hours, ntz
+from zonecast.functions.time import add_hours, floor_to, hour_number, ntz
 from zonecast.operators.features import rolling_mean
 from zonecast.schema import LAGS, ROLLING
 
@@ -55,33 +55,59 @@ def forecast_targets(zones: DataFrame, start, horizon: int = 24, zone: str = "PU
              .withColumn("ts", add_hours(ntz(start), F.col("step"))))
 
 
+def series_arrays(history: DataFrame, zone: str = "PULocationID", time: str = "pickup_datetime",
+                  y: str = "trip_count") -> DataFrame:
+    """One row per zone: ``first`` (its first hour, in hours since 1970),
+    ``series`` (the value of every hour from there on, NULL where there is
+    none; of several values of an hour the smallest), ``by_hour`` (the mean
+    of each hour of day) and ``mean`` (of all rows). One grouping by zone; an
+    array is as long as the history in hours."""
+    at, v = hour_number(F.col(time)), F.col(y).cast("double")
+    whole = F.col(time) == floor_to(time)
+    one = history.where(F.col(zone).isNotNull()).groupBy(F.col(zone).alias("zone")).agg(
+        F.sort_array(F.collect_list(F.when(whole & v.isNotNull(), F.struct(at.alias("h"), v.alias("v"))))).alias("held"),
+        F.array(*[F.avg(F.when(F.hour(time) == h, v)) for h in range(24)]).alias("by_hour"), F.avg(v).alias("mean"))
+    # the first entry of each hour has its smallest value
+    held = F.filter("held", lambda e, i: (i == 0) | (F.try_element_at(F.col("held"), F.greatest(i, F.lit(1)))["h"] != e["h"]))
+    one = one.withColumn("held", held)
+    # between two entries as many NULLs as hours are missing
+    gap = lambda e, i: F.when(i == 0, 0).otherwise(e["h"] - F.try_element_at(F.col("held"), F.greatest(i, F.lit(1)))["h"] - 1).cast("int")
+    parts = F.transform("held", lambda e, i: F.concat(F.array_repeat(F.lit(None).cast("double"), gap(e, i)), F.array(e["v"])))
+    return one.select("zone", F.try_element_at("held", F.lit(1))["h"].alias("first"), F.flatten(parts).alias("series"), "by_hour", "mean")
+
+
+def _lags_from(arrays: str, lags: Sequence[int], time: str) -> list[Column]:
+    """The lag columns of a row joined to its zone's :func:`series_arrays`."""
+    out, own = [], F.col(arrays)
+    whole = F.col(time) == floor_to(time)
+    for k in lags:
+        at = (hour_number(F.col(time)) - k - own["first"] + 1).cast("int")
+        exact = F.when(whole & (at >= 1), F.try_element_at(own["series"], at))
+        usual = F.try_element_at(own["by_hour"], F.hour(add_hours(F.col(time), -k)) + 1)
+        out.append(F.coalesce(exact, usual, F.lit(0.0)).alias(f"lag_{k}h"))
+    return out
+
+
+def _with_arrays(targets: DataFrame, history: DataFrame, zone: str, h_time: str, y: str) -> DataFrame:
+    arrays = series_arrays(history, zone, h_time, y).select(F.col("zone").alias("__z"), F.struct("first", "series", "by_hour", "mean").alias("__arrays"))
+    return targets.join(arrays, F.col(zone) == F.col("__z"), "left")
+
+
 def lookup_lags(targets: DataFrame, history: DataFrame, lags: Sequence[int] = LAGS,
                 zone: str = "PULocationID", time: str = "ts", h_time: str = "pickup_datetime",
                 y: str = "trip_count") -> DataFrame:
     """Lag values of targets from a history table.
 
     Exact value at ``t - k hours``, else the mean of the zone's history at
-    that hour of day, else 0.0. The history holds one row per zone and hour,
-    as the panel does; of duplicates the smallest value counts, so the result
-    does not depend on row order.
+    that hour of day, else 0.0. The history holds hours, one row per zone and
+    hour, as the panel does; of duplicates the smallest value counts, so the
+    result does not depend on row order. Equal targets stay as they are.
 
-    One grouping of the targets' lag rows with the history answers all lags:
-    every target is expanded to one row per lag that carries its own columns,
-    joined to the exact values and the hour-of-day means, and folded back.
+    One join by zone with the history's :func:`series_arrays` answers all
+    lags; every lag is an element of the zone's array.
     """
-    hist = history.select(F.col(zone).alias("__z"), F.col(h_time).alias("__t"), F.col(y).cast("double").alias("__y"))
-    hod = hist.groupBy("__z", F.hour("__t").alias("__hod")).agg(F.avg("__y").alias("__m"))
-    cols = targets.columns
-    x = targets.select(F.struct(*cols).alias("__row"), F.col(zone).alias("__tz"),
-                       F.explode(F.array(*[F.lit(k) for k in lags])).alias("__k"), F.col(time).alias("__at")) \
-        .withColumn("__lt", F.timestamp_add("HOUR", -F.col("__k"), F.col("__at")))
-    x = (x.join(hist, (F.col("__tz") == F.col("__z")) & (F.col("__lt") == F.col("__t")), "left")
-          .drop("__z", "__t")
-          .join(hod, (F.col("__tz") == F.col("__z")) & (F.hour("__lt") == F.col("__hod")), "left")
-          .withColumn("__val", F.coalesce("__y", "__m", F.lit(0.0))))
-    folded = x.groupBy("__row").agg(*[F.min(F.when(F.col("__k") == k, F.col("__val"))).alias(f"lag_{k}h")
-                                      for k in lags])
-    return folded.select(*[F.col("__row")[c].alias(c) for c in cols], *[f"lag_{k}h" for k in lags])
+    joined = _with_arrays(targets, history, zone, h_time, y)
+    return joined.select(*[F.col(c) for c in targets.columns], *_lags_from("__arrays", lags, time))
 
 
 def future_features(targets: DataFrame, history: DataFrame, calendar: DataFrame,
@@ -96,13 +122,11 @@ def future_features(targets: DataFrame, history: DataFrame, calendar: DataFrame,
     """
     t = temporal_features(targets, time)
     t = with_holidays(t, calendar, time)
-    t = lookup_lags(t, history, zone=zone, time=time, h_time=h_time, y=y)
-    zmean = history.groupBy(F.col(zone).alias("__z")).agg(F.avg(F.col(y).cast("double")).alias("__zm"))
-    t = t.join(zmean, F.col(zone) == F.col("__z"), "left")
-    out = t.select(*[c for c in t.columns if not c.startswith("__")],
-                   *[F.coalesce("__zm", F.lit(0.0)).alias(f"rolling_mean_{k}h") for k in windows],
-                   F.col("__zm").isNotNull().cast("int").alias("has_history"))
-    return out
+    own = [F.col(c) for c in t.columns if not c.startswith("__")]
+    t = _with_arrays(t, history, zone, h_time, y)
+    mean = F.col("__arrays")["mean"]
+    return t.select(*own, *_lags_from("__arrays", LAGS, time), *[F.coalesce(mean, F.lit(0.0)).alias(f"rolling_mean_{k}h") for k in windows],
+                    mean.isNotNull().cast("int").alias("has_history"))
 
 
 def naive_from_features(df: DataFrame, col: str = "prediction") -> DataFrame:

@@ -90,12 +90,13 @@ def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(consolidate(zone_hour(spark, sf_dir).drop("dataset")), "zone-hour")
 
 
-def features(spark: SparkSession, sf_dir: str, include_current: bool = True, zh: DataFrame | None = None) -> DataFrame:
+def features(spark: SparkSession, sf_dir: str, include_current: bool = True, zh: DataFrame | None = None,
+             chunk_hours: int | None = None) -> DataFrame:
     """The flagship panel: complete zone x hour grid with the 17 features,
     from the zone-hour stage."""
     s = span(spark, sf_dir)
     return build_features(zh if zh is not None else stage(spark, sf_dir), s.start, s.end, calendar(spark, sf_dir),
-                          include_current=include_current, consolidated=True)
+                          include_current=include_current, consolidated=True, chunk_hours=chunk_hours)
 
 
 def panel(spark: SparkSession, sf_dir: str, zh: DataFrame | None = None) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import re
 
+from zonecast.functions import normal
+from zonecast.operators.diagnostics import LARGE_MEAN, LARGE_SD, OUTERMOST, SECOND
 from zonecast.schema import FEATURES
 
 # The time range and the dates derived from it, by the data.
@@ -157,6 +159,7 @@ SELECT PULocationID, pickup_datetime, trip_count,
   {r6('lag_1h', 'lag_2h', 'lag_3h', 'lag_24h', 'lag_168h',
       'rolling_mean_3h', 'rolling_mean_12h', 'rolling_mean_24h', 'rolling_mean_168h')}
 FROM feat""")
+ORACLE["chunked_features"] = ORACLE["zone_hour_features"]
 
 ORACLE["clean_trips"] = q(f"""
 SELECT trip_id, pu_zone, do_zone, pickup_ts, dropoff_ts, {r6('fare', 'distance', 'passengers')},
@@ -544,6 +547,45 @@ UNION ALL
 SELECT 24, round(corr(e, e24), 6) FROM
   (SELECT error AS e, lag(error, 24) OVER (PARTITION BY PULocationID ORDER BY pickup_datetime) AS e24 FROM test)""")
 
+ORACLE["global_autocorr"] = q("""
+SELECT CAST(unnest([1, 24]) AS BIGINT) AS lag, unnest([round(corr(e, e1), 6), round(corr(e, e24), 6)]) AS autocorr_global
+FROM (SELECT error AS e, lag(error, 1) OVER w AS e1, lag(error, 24) OVER w AS e24 FROM test
+      WINDOW w AS (ORDER BY PULocationID, pickup_datetime))""")
+
+
+def _poly(c: list[float], x: str) -> str:
+    out = repr(float(c[-1]))
+    for v in reversed(c[:-1]):
+        out = f"({out} * {x} + {float(v)!r})"
+    return out
+
+
+def _quantile(p: str) -> str:
+    """The normal quantile in SQL, by the same fixed values."""
+    ratio = lambda parts, x: f"{_poly(parts[0], x)} / {_poly(parts[1], x)}"
+    r = f"sqrt(-ln(least({p}, 1 - {p})))"
+    return (f"CASE WHEN abs({p} - 0.5) <= 0.425 THEN ({p} - 0.5) * {ratio(normal.MIDDLE, f'(0.180625 - ({p} - 0.5) * ({p} - 0.5))')} "
+            f"ELSE sign({p} - 0.5) * CASE WHEN {r} <= 5 THEN {ratio(normal.TAIL, f'({r} - 1.6)')} ELSE {ratio(normal.FAR, f'({r} - 5)')} END END")
+
+
+# Shapiro-Wilk for more than 11 values, as arrays of the sorted sample
+ORACLE["residual_shapiro"] = q(f"""
+SELECT n, round(w, 6) AS w, round(p, 6) AS p_value, CAST(p > 0.05 AS BIGINT) AS normal FROM (
+  SELECT n, w, CASE WHEN z >= 0 THEN tail ELSE 1 - tail END AS p FROM (
+    SELECT n, w, z, exp(-z * z / 2) * CASE WHEN abs(z) < 7.07106781186547
+      THEN {_poly(normal.TAIL_OVER[::-1], 'abs(z)')} / {_poly(normal.TAIL_UNDER[::-1], 'abs(z)')}
+      ELSE 1 / (abs(z) + 1 / (abs(z) + 2 / (abs(z) + 3 / (abs(z) + 4 / (abs(z) + 0.65))))) / 2.506628274631 END AS tail
+    FROM (SELECT n, w, (ln(1 - w) - {_poly(LARGE_MEAN, 'ln(n)')}) / exp({_poly(LARGE_SD, 'ln(n)')}) AS z FROM (
+      SELECT n, pow(list_dot_product(a, e), 2) / list_sum(list_transform(e, lambda v: pow(v - list_avg(e), 2))) AS w FROM (
+        SELECT n, e, list_transform(m, lambda v, i: CASE WHEN i = 1 THEN -last WHEN i = n THEN last WHEN i = 2 THEN -second
+            WHEN i = n - 1 THEN second ELSE v / sqrt((ss - 2 * pow(m[n], 2) - 2 * pow(m[n - 1], 2)) / (1 - 2 * pow(last, 2) - 2 * pow(second, 2))) END) AS a
+        FROM (SELECT *, m[n] / sqrt(ss) + {_poly(OUTERMOST, '(1 / sqrt(n))')} AS last, m[n - 1] / sqrt(ss) + {_poly(SECOND, '(1 / sqrt(n))')} AS second
+              FROM (SELECT n, e, m, list_dot_product(m, m) AS ss FROM (
+                SELECT len(e) AS n, e, list_transform(range(1, len(e) + 1), lambda i: {_quantile('((i - 0.375) / (len(e) + 0.25))')}) AS m
+                FROM (SELECT list(error ORDER BY error) AS e FROM (
+                  SELECT error FROM test ORDER BY md5(concat_ws('|', CAST(PULocationID AS VARCHAR), CAST(pickup_datetime AS VARCHAR), '42')),
+                    PULocationID, pickup_datetime LIMIT 5000))))))))))""")
+
 ORACLE["residual_normality"] = q("""
 SELECT n, round(s, 6) AS skewness, round(k, 6) AS kurtosis, round(n / 6.0 * (s * s + k * k / 4.0), 3) AS jb,
        round(exp(-(n / 6.0 * (s * s + k * k / 4.0)) / 2.0), 6) AS p_value,

@@ -40,6 +40,12 @@ def zone_hour_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.features(spark, sf_dir)
 
 
+@register
+def chunked_features(spark, sf_dir):
+    """W1, W2 in windows by zone and ten days: the flagship panel again."""
+    return fx.features(spark, sf_dir, chunk_hours=240)
+
+
 @register
 def clean_trips(spark, sf_dir):
     return fx.clean(spark, sf_dir)
@@ -387,6 +393,18 @@ def residual_autocorr(spark, sf_dir):
     return dg.residual_autocorr(fx.test_rows(spark, sf_dir))
 
 
+@register
+def global_autocorr(spark, sf_dir):
+    """W3 over the zones laid end to end."""
+    return dg.global_autocorr(fx.test_rows(spark, sf_dir))
+
+
+@register
+def residual_shapiro(spark, sf_dir):
+    """E16 on the seeded sample of O5."""
+    return dg.shapiro_wilk(fx.test_rows(spark, sf_dir), ["PULocationID", "pickup_datetime"])
+
+
 @register
 def residual_normality(spark, sf_dir):
     # JB grows with n; 3 decimals keep the comparison inside double precision.
