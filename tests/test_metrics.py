@@ -239,3 +239,19 @@ def test_chunked_windows_equal_those_by_zone(spark):
         assert len(busy) == 4 and max(r["count"] for r in busy) < 500  # two zones, four tasks
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+
+
+def test_merged_profiles_equal_the_direct_ones(spark):
+    from zonecast.operators import profile, zonehour
+    rng = np.random.default_rng(8)
+    rows = [(f"2024-{m:02d}", int(z), f"2024-{m:02d}-01 00:00:00", int(c)) for m, z, c in zip(rng.integers(1, 7, 4000), rng.integers(0, 900, 4000), rng.integers(0, 5000, 4000))]
+    df = spark.createDataFrame(rows, "year_month string, PULocationID long, t string, trip_count long").withColumn("pickup_datetime", F.col("t").cast("timestamp_ntz"))
+    months = profile.monthly_profiles(df)
+    for some in (None, ["2024-02", "2024-05"], ["2024-03"]):
+        part = df if some is None else df.where(F.col("year_month").isin(some))
+        got, direct, stats = profile.merged_profile(months, some).first(), zonehour.profile_zone_hour(part).first(), profile.demand_stats(part).first()
+        assert (got.n_rows, got.first_ts, got.last_ts) == (direct.n_rows, direct.first_ts, direct.last_ts)
+        assert (got.total_trips, got.mean_trips, got.max_trips) == (stats.total_trips, stats.mean_trips, stats.max_trips)
+        assert abs(got.n_zones / direct.n_zones - 1) < 0.05
+        assert abs(sum(c <= got.median_trips for m, _, _, c in rows if some is None or m in some) / got.n_rows - 0.5) < 0.02
+    assert profile.merged_profile(months, ["2030-01"]).count() == 0

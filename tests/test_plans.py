@@ -61,3 +61,55 @@ def test_unbroadcast_grid_join_shares_zone_partitioning(spark):
     assert head.count("Exchange (") - head.count("BroadcastExchange (") == 2
     above_join = head.split("SortMergeJoin")[0]
     assert "Exchange" not in above_join.replace("BroadcastExchange", "") and "Sort (" not in above_join
+
+
+def test_bucketed_table_needs_no_exchange(spark, tmp_path):
+    """Windows and joins by zone read the buckets as they lie."""
+    from zonecast.operators.features import with_lags, with_rolling_means
+    from zonecast.sources import sinks
+    df = spark.range(4000).select((F.col("id") % 40).alias("PULocationID"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("pickup_datetime"),
+                                  (F.col("id") % 9).alias("trip_count"))
+    table = sinks.write_bucketed(df, "bucketed_panel", str(tmp_path / "b"), ["PULocationID"], ["PULocationID", "pickup_datetime"], 6)
+    made = with_rolling_means(with_lags(table))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "Exchange" not in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = table.join(table.groupBy("PULocationID").agg(F.sum("trip_count").alias("total")), "PULocationID")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert made.exceptAll(with_rolling_means(with_lags(df))).count() == 0
+
+
+def _scanned(df):
+    """Rows that the file scan of a finished query gave."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaf = plan.collectLeaves().head()
+    return leaf.metrics().apply("numOutputRows").value()
+
+
+def test_lookup_skips_row_groups(spark, tmp_path):
+    """Of a table for lookups the scan reads few rows; the filter list is pushed."""
+    from zonecast.operators import forecast as fc
+    from zonecast.sources import sinks
+    rows = 200_000
+    df = spark.range(rows).select((F.col("id") % 500 * 2).alias("PULocationID"), F.timestamp_seconds(F.expr("id div 500")).cast("timestamp_ntz").alias("pickup_datetime"),
+                                  F.xxhash64("id").alias("trip_count"))
+    path = str(tmp_path / "lookup")
+    sinks.write_lookup_table(df, path, "PULocationID", row_group_bytes=64 << 10)
+    back = spark.read.parquet(path)
+    keys = spark.createDataFrame([(z,) for z in (4, 100, 500, 700, 998)], "PULocationID long")
+    pruned = fc.prune_to_keys(back, keys)
+    assert "In(PULocationID" in pruned._jdf.queryExecution().executedPlan().toString()
+    assert pruned.count() == 5 * 400
+    assert _scanned(fc.prune_to_keys(back, keys)) < rows / 5
+    # keys that no row has lie between the others: only the Bloom filters know
+    absent = spark.createDataFrame([(z,) for z in (5, 101, 501)], "PULocationID long")
+    assert _scanned(fc.prune_to_keys(back, absent)) == 0
+    # more keys than the limit are joined instead
+    assert fc.prune_to_keys(back, keys, limit=3) is back
+    at = keys.select("PULocationID", F.lit("1970-01-01 00:00:07").cast("timestamp_ntz").alias("pickup_datetime"))
+    few, all_ = (fc.lookup_actual(back, at, pushed=n) for n in (1000, 0))
+    assert few.exceptAll(all_).count() == 0 and few.count() == 5

@@ -19,6 +19,7 @@ holds with 99 %, the margin is twice that), the brackets are widened and the
 second pass runs again, so the result is exact in any case.
 
 Like ``DataFrame.approxQuantile`` the function is eager and returns numbers.
+The table is read by both passes: give a written table, not an expensive plan.
 """
 
 from __future__ import annotations
@@ -51,13 +52,7 @@ def exact_percentiles_multi(df: DataFrame, cols: Sequence, probs: Sequence[float
     for i, c in enumerate(cols):
         x = (F.col(c) if isinstance(c, str) else c).cast("double")
         vals.append(F.when(~F.isnan(x), x).alias(f"c{i}"))
-    # Both passes read the columns: keep them (memory, spilling to disk)
-    # rather than compute the upstream plan twice. Lost blocks are recomputed.
-    base = df.select(*vals).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _exact(base, len(cols), [float(p) for p in probs], buckets, max_distinct, sketch)
-    finally:
-        base.unpersist()
+    return _exact(df.select(*vals), len(cols), [float(p) for p in probs], buckets, max_distinct, sketch)
 
 
 def rank_error(k: int) -> float:

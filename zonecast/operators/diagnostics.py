@@ -13,6 +13,7 @@ from zonecast.functions.normal import normal_quantile, normal_upper_tail, polyno
 from zonecast.functions.ordered import with_global_lags
 from zonecast.functions.quantiles import exact_percentiles
 from zonecast.functions.time import iso_week, iso_year, weekday0
+from zonecast.session import materialize
 
 
 # Royston's polynomials of the Shapiro-Wilk test, lowest power first.
@@ -31,7 +32,7 @@ def _abs_err(y, p):
 
 def error_distribution(df: DataFrame, y: str = "trip_count", p: str = "y_pred") -> DataFrame:
     """Absolute-error mean, median, std (ddof 0, trap T22), min, max, P25, P75."""
-    ae = df.select(_abs_err(y, p).alias("ae"))
+    ae = materialize(df.select(_abs_err(y, p).alias("ae")), "errors")  # read by each pass
     q25, med, q75 = exact_percentiles(ae, "ae", [0.25, 0.5, 0.75])
     return ae.agg(F.avg("ae").alias("mean"), F.stddev_pop("ae").alias("std"),
                   F.min("ae").alias("min"), F.max("ae").alias("max")) \
@@ -51,7 +52,7 @@ def _percentiles(df: DataFrame, col: str, probs: Sequence[float], accuracy: int
 def error_percentiles(df: DataFrame, y: str = "trip_count", p: str = "y_pred",
                       pcts: Sequence[int] = (50, 75, 90, 95, 99), accuracy: int | None = None) -> DataFrame:
     """Absolute-error percentiles and the share of rows at or below each."""
-    ae = df.select(_abs_err(y, p).alias("ae"))
+    ae = materialize(df.select(_abs_err(y, p).alias("ae")), "errors")  # read by each pass
     th = _percentiles(ae, "ae", [q / 100 for q in pcts], accuracy)
     aggs = [(100.0 * F.count_if(F.col("ae") <= F.lit(t)) / F.count(F.lit(1))).alias(f"w{q}")
             for q, t in zip(pcts, th)]
@@ -89,6 +90,7 @@ def with_decile(df: DataFrame, edges: Sequence[float], y: str = "trip_count",
 def metrics_by_decile(df: DataFrame, y: str = "trip_count", p: str = "y_pred", q: int = 10,
                       accuracy: int | None = None) -> DataFrame:
     """Min, max, MAE and MAPE per demand decile."""
+    df = materialize(df.select(y, p), "scored")  # read by each pass
     edges = decile_edges(df, y, q, accuracy)
     d = with_decile(df, edges, y)
     return d.groupBy("decile").agg(F.min(y).alias("min_demand"), F.max(y).alias("max_demand"),

@@ -201,12 +201,26 @@ def history_and_forecast(df: DataFrame, fc: DataFrame, target, days: int = 7, zo
     return hist.unionByName(f)
 
 
+#: Zones of a lookup that are pushed into the scan as a list.
+PUSHED_ZONES = 1000
+
+
+def prune_to_keys(df: DataFrame, keys: DataFrame, zone: str = "PULocationID", limit: int = PUSHED_ZONES) -> DataFrame:
+    """``df`` filtered to the zones of ``keys`` if these are at most ``limit``
+    (so many reach the driver): the list reaches the Parquet scan, where row
+    groups without the zones are skipped. Otherwise ``df`` as it is; the join
+    that follows has Spark's run-time filter."""
+    few = [r[0] for r in keys.select(zone).where(F.col(zone).isNotNull()).distinct().limit(limit + 1).collect()]
+    return df.where(F.col(zone).isin(few)) if len(few) <= limit else df
+
+
 def lookup_actual(df: DataFrame, keys: DataFrame, zone: str = "PULocationID",
-                  time: str = "pickup_datetime", y: str = "trip_count") -> DataFrame:
+                  time: str = "pickup_datetime", y: str = "trip_count", pushed: int = 0) -> DataFrame:
     """Actual value for many (zone, time) keys at once (F8). A key that
     ``df`` holds more than once gets its smallest value, whatever the row
-    order; only the rows that match a key are grouped."""
-    actual = df.select(zone, time, y)
+    order; only the rows that match a key are grouped. With ``pushed`` up to
+    as many zones are pushed into the scan (:func:`prune_to_keys`)."""
+    actual = (prune_to_keys(df, keys, zone, pushed) if pushed else df).select(zone, time, y)
     return keys.select(zone, time).distinct().join(actual, [zone, time], "left") \
         .groupBy(zone, time).agg(F.min(y).alias(y))
 

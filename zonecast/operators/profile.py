@@ -15,16 +15,46 @@ from zonecast.functions.numeric import clip
 from zonecast.functions.quantiles import exact_percentiles, exact_percentiles_multi
 from zonecast.functions.time import day_name, weekday0
 from zonecast.operators.cleaning import nan_to_null
+from zonecast.session import materialize
 
 
 def demand_stats(df: DataFrame, y: str = "trip_count") -> DataFrame:
     """Rows, total, mean, median and max of the count."""
+    df = materialize(df.select(y), "counts")  # read by each pass
     med = exact_percentiles(df, y, [0.5])[0]
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(y).alias("total_trips"),
                   F.avg(y).alias("mean_trips"), F.max(y).alias("max_trips")) \
         .withColumn("median_trips", F.lit(med).cast("double"))
 
 
+def monthly_profiles(df: DataFrame, month: str = "year_month", zone: str = "PULocationID",
+                     time: str = "pickup_datetime", y: str = "trip_count", hll: int = 12, kll: int = 800) -> DataFrame:
+    """One mergeable row per month (A6, A7): rows, time range, total and
+    maximum, and sketches of the zones (HLL, relative error about
+    ``1.04 / 2^(hll/2)``) and of the counts (KLL of this k). Written once a
+    month, they answer :func:`merged_profile` for any months without another
+    look at the rows."""
+    return df.groupBy(month).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min(time).alias("first_ts"), F.max(time).alias("last_ts"),
+        F.sum(y).alias("total_trips"), F.count(y).alias("n_counts"), F.max(y).alias("max_trips"),
+        F.hll_sketch_agg(F.col(zone).cast("long"), F.lit(hll)).alias("zones"),
+        F.kll_sketch_agg_bigint(F.col(y).cast("long"), F.lit(kll)).alias("counts"))
+
+
+def merged_profile(profiles: DataFrame, months: Sequence[str] | None = None, month: str = "year_month") -> DataFrame:
+    """The profile of some months (all by default) from their rows: exact
+    figures, ``n_zones`` and ``median_trips`` from the merged sketches. No
+    month gives no row."""
+    p = profiles if months is None else profiles.where(F.col(month).isin(list(months)))
+    one = p.agg(F.sum("n_rows").alias("n_rows"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
+                F.sum("total_trips").alias("total_trips"), F.sum("n_counts").alias("n"), F.max("max_trips").alias("max_trips"),
+                F.hll_union_agg("zones").alias("zones"), F.kll_merge_agg_bigint("counts").alias("counts"))
+    return one.where("n_rows is not null").select(
+        "n_rows", "first_ts", "last_ts", "total_trips", F.try_divide(F.col("total_trips"), F.col("n")).alias("mean_trips"), "max_trips",
+        F.hll_sketch_estimate("zones").alias("n_zones"),
+        F.when(F.col("n") > 0, F.kll_sketch_get_quantile_bigint("counts", F.lit(0.5))).alias("median_trips"))
+
+
 def _present(df: DataFrame, col: str):
     """Neither NULL nor, in a floating column, NaN."""
     known = F.col(col).isNotNull()
@@ -72,9 +102,10 @@ def hourly_counts(df: DataFrame, time: str) -> DataFrame:
 def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """count, mean, std (ddof 1, trap T22), min, quartiles, max per column,
     long form: one row per column (A14). NaN is missing, as NULL is (T1)."""
+    df = materialize(df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols]), "numbers")  # read by each pass
     aggs = []
     for c in cols:
-        x = nan_to_null(F.col(c).cast("double"))
+        x = F.col(c)
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
     one = df.agg(*aggs)

@@ -680,6 +680,19 @@ SELECT DISTINCT year_month, CAST(year_month[6:7] IN ('01', '02', '03')
                                               (SELECT unnest(range(1, 13)) AS m))
 WHERE year_month IS NOT NULL""")
 
+ORACLE["bucketed_lags"] = q(f"""
+SELECT PULocationID, pickup_datetime, trip_count, {r6('lag_1h', 'lag_2h', 'lag_3h', 'lag_24h', 'lag_168h')} FROM feat""")
+
+ORACLE["pruned_lookup"] = q(f"""
+SELECT b.PULocationID, h.pickup_datetime, p.trip_count
+FROM busy b CROSS JOIN (SELECT unnest(generate_series(fs, fs + INTERVAL 23 HOUR, INTERVAL 1 HOUR)) AS pickup_datetime FROM rng) h
+LEFT JOIN panel p ON p.PULocationID = b.PULocationID AND p.pickup_datetime = h.pickup_datetime""")
+
+ORACLE["merged_profiles"] = q("""
+SELECT count(*) AS n_rows, min(pickup_datetime) AS first_ts, max(pickup_datetime) AS last_ts,
+       CAST(sum(trip_count) AS BIGINT) AS total_trips, round(avg(trip_count), 6) AS mean_trips,
+       CAST(max(trip_count) AS BIGINT) AS max_trips, count(DISTINCT PULocationID) AS n_zones FROM zh""")
+
 ORACLE["panel_write_order"] = q("SELECT * FROM panel")
 
 ORACLE["source_roundtrip"] = q("""

@@ -11,7 +11,7 @@ from zonecast.operators import cleaning, grid, zonehour
 from zonecast.operators.features import with_lags, with_rolling_means
 from zonecast.plans import fixture as fx
 from zonecast.plans.present import present
-from zonecast.schema import FEATURES, FIXTURE_TRIPS, TARGET
+from zonecast.schema import FEATURES, FIXTURE_TRIPS, LAGS, TARGET
 from zonecast.session import materialize, own_session, scratch_path
 from zonecast.operators import profile, labels, metrics as mt, diagnostics as dg, forecast as fcst
 from zonecast.operators.cleaning import with_duration
@@ -792,6 +792,37 @@ def source_roundtrip(spark, sf_dir):
     return y.unionByName(h, allowMissingColumns=True)
 
 
+@register
+def bucketed_lags(spark, sf_dir):
+    """The panel as a bucketed table, its lags taken from there
+    without an exchange."""
+    path = scratch_path(spark, "bucketed")
+    table = sinks.write_bucketed(_panel(spark, sf_dir), "panel_" + path[-12:], path, ["PULocationID"],
+                                 ["PULocationID", "pickup_datetime"], buckets=8)
+    return with_lags(table).select("PULocationID", "pickup_datetime", "trip_count", *[f"lag_{k}h" for k in LAGS])
+
+
+@register
+def pruned_lookup(spark, sf_dir):
+    """F8 on a table written for point lookups: the busiest zones' values of
+    the last day, their list pushed into the scan."""
+    path, zh = scratch_path(spark, "lookup"), fx.stage(spark, sf_dir)
+    sinks.write_lookup_table(_panel(spark, sf_dir, zh), path, "PULocationID")
+    panel = src.read_table(spark, path)
+    keys = fcst.forecast_targets(fx.busiest_zones(zh), fx.span(spark, sf_dir).forecast_start).withColumnRenamed("ts", "pickup_datetime")
+    return fcst.lookup_actual(panel, keys, pushed=fcst.PUSHED_ZONES)
+
+
+@register
+def merged_profiles(spark, sf_dir):
+    """Profiles by day, written once and merged; the sketched median
+    is left to a test."""
+    path = scratch_path(spark, "profiles")
+    by_day = fx.stage(spark, sf_dir).withColumn("day", F.date_format("pickup_datetime", "yyyy-MM-dd"))
+    sinks.write_table(profile.monthly_profiles(by_day, month="day"), path)
+    return profile.merged_profile(src.read_table(spark, path), month="day").drop("median_trips")
+
+
 @register
 def report_roundtrip(spark, sf_dir):
     """K2: a metrics report written as CSV and read back."""

@@ -31,6 +31,28 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
     w.parquet(path)
 
 
+def write_lookup_table(df: DataFrame, path: str, key: str, row_group_bytes: int = 8 << 20, mode: str = "overwrite") -> None:
+    """Parquet for point lookups on ``key`` (K1, F8-F10): rows of a key lie
+    together in sorted files of small row groups, each with a Bloom filter of
+    its keys, so that a scan for a few keys skips the groups without them --
+    by their statistics, and by the filter where ranges overlap."""
+    (df.repartition(key).sortWithinPartitions(key).write.mode(mode)
+       .option(f"parquet.bloom.filter.enabled#{key}", "true").option("parquet.block.size", str(row_group_bytes))
+       .parquet(path))
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, bucket_by: Sequence[str], sort_by: Sequence[str], buckets: int) -> DataFrame:
+    """A table in the catalog, its files under ``path`` bucketed and sorted
+    (K1, S8); gives the table back as it reads.
+
+    One shuffle here, one file a bucket; joins, windows and groupings by the
+    bucket columns of whatever reads the table later need no exchange.
+    """
+    (df.repartition(buckets, *bucket_by).write.mode("overwrite").option("path", path)
+       .bucketBy(buckets, *bucket_by).sortBy(*sort_by).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """CSV with header as a single file (K2). Reports are aggregates: the
     plan runs once with its own partitions, and only its result rows cross
