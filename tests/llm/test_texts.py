@@ -192,6 +192,41 @@ def test_op7_query(spark, tricky):
     assert html_extract.extract(tricky.limit(0), "text").count() == 0
 
 
+def test_blocks_decide_without_the_article_tag(spark):
+    """Block rules alone: the same pages with the article renamed."""
+    import re
+    df = common.table(spark, "/root/testdata/sf0.01", "pages")
+    stops = html_extract.learn_stops(df)
+    assert len(stops - html_extract.STOPS) <= html_extract.STOP_WORDS and {"de", "the"} <= stops
+    scores = []
+    for (page,) in df.select("html").collect():
+        want = html_extract.main_text(page, stops).split("\n")
+        got = html_extract.main_text(re.sub(r"(</?)(article|main)\b", r"\1div", page), stops).split("\n")
+        scores.append(2 * len(set(want) & set(got)) / (len(set(want)) + len(set(got))))
+    assert np.mean(scores) >= 0.95
+
+
+def test_stop_words_are_learnt_from_the_pages(spark):
+    rows = [(f"<p>qux zul{chr(97 + i)} the <b>qux</b></p><script>var hidden</script><!-- note --><i class=cls>",) for i in range(10)] + [(None,), ("",)]
+    learnt = html_extract.learn_stops(spark.createDataFrame(rows, "html string"))
+    assert learnt - html_extract.STOPS == {"qux"}
+    assert html_extract.learn_stops(spark.createDataFrame([], "html string")) == html_extract.STOPS
+
+
+@pytest.mark.parametrize("tag", ["button", "select", "object", "canvas", "video", "audio", "noscript", "svg", "template"])
+def test_elements_left_open_hide_nothing(tag):
+    assert html_extract.main_text(f"<article><p>{LONG}</p><{tag} x=1><p>{LONG}</p>") == f"{LONG.strip()}\n{LONG.strip()}"
+    assert html_extract.main_text(f"<article><p>{LONG}</p><{tag} x=1><p>Hidden</p></{tag}><p>{LONG}</p>") == f"{LONG.strip()}\n{LONG.strip()}"
+
+
+def test_long_pages_take_linear_time():
+    import time
+    start = time.process_time()
+    assert html_extract.main_text("".join(f"<p>short {i}</p>" for i in range(50_000))).count("\n") == 49_999
+    html_extract.main_text("<nav><button><form>x" * 20_000 + "</p>")
+    assert time.process_time() - start < 10
+
+
 # ---- chats -----------------------------------------------------------------
 
 def test_snapshots_collapse(spark):

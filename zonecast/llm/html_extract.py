@@ -1,31 +1,40 @@
 """Main text of HTML pages (operator 7).
 
-Method: two passes over the blocks of a page. The first decides each block by
-its own features: link density, length, density of stop words, and the
-elements it lies in. The second lets the ambiguous short blocks inherit the
-label of their nearest decided neighbours; a heading goes with what follows.
-
-Blocks in navigation, page headers, footers, asides, forms, hidden elements
-and those whose class, id or role names them as menus, adverts, notices or
-reader comments are boilerplate. Where the page marks its article (or else
-its main element), blocks outside are too, and inside it only links decide
-against a block of some length.
+Method: two passes over the blocks of a page. The first gives each block a
+score from its own features: its length, its density of stop words, its share
+of linked characters, and where it lies. Scores high or low enough decide; the
+blocks between, short ones above all, are ambiguous. The second pass lets those
+inherit the label of their nearest decided neighbours, by two sweeps over the
+page; a heading goes with what follows. Stop words are learnt from the pages
+themselves: the words that the largest number of pages hold
+(:func:`learn_stops`), beside a fixed list of common words of four languages.
+
+Where a block lies is one feature among these. Navigation, page headers,
+footers, asides, forms, hidden elements and those whose class, id or role names
+them as menus, adverts, notices or reader comments speak strongly against it. A
+marked article (or else main element) speaks for the blocks inside, and where a
+page has one, against those outside.
 
 Text: character references are decoded, white space inside a block (line
 breaks and cell borders included) becomes one space, and blocks are joined in
 page order by one line feed. Nothing else is dropped or cut. Scripts, styles,
 comments and markup never are text; an unfinished tag at the end is dropped.
+Of elements that hide their content (buttons, selects, objects ...) only those
+with an end tag do so.
 
 Cases: null and empty pages, and pages without text, give the empty text;
-repeated rows are kept; output columns replace input columns of the same name.
+repeated rows are kept; an empty table gives an empty table; output columns
+replace input columns of the same name.
 """
 
 from __future__ import annotations
 
 import html as entities
+import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,12 +44,17 @@ from zonecast.llm.spotsigs import ANCHORS
 
 # Thresholds of the first pass.
 SHORT, LONG = 70, 200               # characters
-FEW_STOPS, MANY_STOPS = 0.2, 0.3    # share of stop words
+FEW_STOPS, MANY_STOPS = 0.05, 0.3   # share of stop words
 MAX_LINKS, MAX_LINKS_INSIDE = 0.33, 0.6   # share of linked characters, outside and inside the article
+GOOD, BAD = 2, -1                   # scores that decide
+PLACE = 2                           # what an article says for what is inside, against what is outside
+# Of the stop words.
+STOP_WORDS, STOP_PAGES = 600, 0.01  # at most so many, each on this share of the pages at least
 
 STOPS = frozenset(ANCHORS)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea iframe object svg math canvas select button title audio video datalist".split())
+RAW = frozenset("script style textarea title iframe".split())   # text up to the end tag, or to the end of the page
+SKIPPED = frozenset("noscript template object svg math canvas select button audio video datalist".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img input output picture source".split())
 SPACING = frozenset("br td th dt dd wbr col".split()) - {"wbr"}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -60,6 +74,7 @@ _token = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(
 _attr = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _name_parts = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _word = re.compile(r"\w+")
+_end_tag = re.compile(r"</([a-zA-Z][^\s/>]*)")
 
 
 @dataclass
@@ -108,6 +123,7 @@ def blocks(page: str) -> list[Block]:
     """The blocks of a page with text, in page order."""
     root = Open("", False, "")
     stack, out, links = [root], [], 0
+    last_end = {m[1].lower(): m.start() for m in _end_tag.finditer(page)}
     current: Block | None = None
 
     def flush() -> None:
@@ -134,10 +150,13 @@ def blocks(page: str) -> list[Block]:
                 current.linked += len("".join(piece.split()))
             continue
         tag = tag.lower()
-        if tag in RAW and not m["end"]:
+        if (tag in RAW or tag in SKIPPED) and not m["end"]:
             if not m["attrs"].rstrip().endswith("/"):
-                closed = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-                at = closed.end() if closed else len(page)
+                if last_end.get(tag, -1) >= at:
+                    closed = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+                    at = closed.end() if closed else at
+                elif tag in RAW:
+                    at = len(page)
             if current is not None:
                 current.parts.append(" " if tag in ("select", "button") else "")
             continue
@@ -172,69 +191,94 @@ def blocks(page: str) -> list[Block]:
                 stack.pop()
             above = stack[-1]
         here = _open(tag, _attributes(m["attrs"]), above)
-        if tag in CLOSED and here.boiler and not above.boiler and page.lower().find(f"</{tag}", at) < 0:
+        if tag in CLOSED and here.boiler and not above.boiler and last_end.get(tag, -1) < at:
             here.boiler = False   # never closed: it cannot hold the rest of the page
         stack.append(here)
     flush()
     return out
 
 
-def _decide(b: Block, article: str) -> str:
-    """First pass: good, bad, or one of the ambiguous short and near."""
-    if b.boiler or article and b.inside != article:
-        return "bad"
+def _score(b: Block, article: str, stops: Set[str]) -> int:
+    """What the features of a block say for it (first pass)."""
+    score = 0
+    if article:
+        score += PLACE if b.inside == article else -PLACE
     size = len(b.text)
-    share = b.linked / max(1, len(b.text.replace(" ", "")))
-    if share > (MAX_LINKS_INSIDE if article else MAX_LINKS):
+    if size >= SHORT:
+        words = _word.findall(b.text.lower())
+        share = sum(w in stops for w in words) / max(1, len(words))
+        score += 1 if share >= MANY_STOPS else -1 if share < FEW_STOPS else 0
+    return score + (size > LONG)
+
+
+def _decide(b: Block, article: str, stops: Set[str]) -> str:
+    """First pass: good, bad, or ambiguous (short, near)."""
+    linked = b.linked / max(1, len(b.text.replace(" ", "")))
+    if b.boiler or linked > (MAX_LINKS_INSIDE if article and b.inside == article else MAX_LINKS):
         return "bad"
-    if size < SHORT:
-        return "short"
-    if article:
-        return "good"
-    words = _word.findall(b.text.lower())
-    stops = sum(w in STOPS for w in words) / max(1, len(words))
-    if stops >= MANY_STOPS:
-        return "good" if size > LONG else "near"
-    return "near" if stops >= FEW_STOPS else "bad"
+    score = _score(b, article, stops)
+    if len(b.text) < SHORT:
+        return "bad" if score <= BAD else "short"
+    return "good" if score >= GOOD else "bad" if score <= BAD else "near"
 
 
-def classify(page: str) -> list[Block]:
+def classify(page: str, stops: Set[str] = STOPS) -> list[Block]:
     """The blocks of a page, each labelled good or bad."""
     found = blocks(page)
     kinds = {b.inside for b in found if not b.boiler}
     article = "article" if "article" in kinds else "main" if "main" in kinds else ""
-    first = [_decide(b, article) for b in found]
+    first = [_decide(b, article, stops) for b in found]
+    # decided neighbours before and behind: not those that lie in boilerplate elements,
+    # which say nothing of what is beside them; in a marked article those of the article
+    heard = [label in ("good", "bad") and not b.boiler and (not article or b.inside == article) for b, label in zip(found, first)]
+    before, behind, last = [-1] * len(found), [-1] * len(found), -1
+    for i in range(len(found)):
+        before[i], last = last, i if heard[i] else last
+    last = -1
+    for i in reversed(range(len(found))):
+        behind[i], last = last, i if heard[i] else last
+    upto = [0, *accumulate(len(b.text) for b in found)]
     for i, (b, label) in enumerate(zip(found, first)):
         b.label = label
         if label in ("good", "bad"):
             continue
-        # nearest decided neighbours; in a marked article those of the article
-        scope = [j for j in range(len(found)) if not article or found[j].inside == article and not found[j].boiler] if article else range(len(found))
-        before = next((j for j in reversed(scope) if j < i and first[j] in ("good", "bad")), None)
-        after = next((j for j in scope if j > i and first[j] in ("good", "bad")), None)
-        near = [j for j in (before, after) if j is not None]
-        if b.heading and after is not None:
-            b.label = first[after]
+        near = [j for j in (before[i], behind[i]) if j >= 0]
+        if b.heading and behind[i] >= 0:
+            b.label = first[behind[i]]
         elif not near:
             b.label = "good"   # nothing on the page speaks against it
         elif len({first[j] for j in near}) == 1:
             b.label = first[near[0]]
         else:
-            gap = [sum(len(found[k].text) for k in range(min(i, j) + 1, max(i, j))) for j in near]
-            b.label = first[near[0]] if gap[0] < gap[1] else first[near[1]] if gap[1] < gap[0] else "good" if article or label == "near" else "bad"
+            ahead, after = upto[i] - upto[near[0] + 1], upto[near[1]] - upto[i + 1]
+            b.label = first[near[0]] if ahead < after else first[near[1]] if after < ahead else "good" if article or label == "near" else "bad"
     return found
 
 
-def main_text(page: str | None) -> str:
-    return "\n".join(b.text for b in classify(page or "") if b.label == "good")
+def learn_stops(df: DataFrame, html_col: str = "html", words: int = STOP_WORDS, pages: float = STOP_PAGES) -> frozenset[str]:
+    """Stop words of a table of pages: of the words that at least the share
+    ``pages`` of them hold the ``words`` most widespread (so many reach the
+    driver), and the fixed list. Pages are counted whole, markup aside."""
+    text = F.regexp_replace(F.coalesce(F.col(html_col), F.lit("")), r"(?is)<(script|style)\b.*?(</\1[^>]*>|\z)|<!--.*?(-->|\z)|<[^>]*>|&#?\w+;", " ")
+    held = F.array_distinct(F.split(F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " ")), " "))
+    n = df.count()
+    counts = df.select(F.explode(held).alias("word")).where("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    top = counts.where(F.col("n") >= max(2, math.ceil(pages * n))).orderBy(F.col("n").desc(), "word").limit(words)
+    return STOPS | {r["word"] for r in top.collect()}
+
+
+def main_text(page: str | None, stops: Set[str] = STOPS) -> str:
+    return "\n".join(b.text for b in classify(page or "", stops) if b.label == "good")
 
 
-def extract(df: DataFrame, html_col: str = "html", text_col: str = "text") -> DataFrame:
-    """Add ``text_col``: the main text of the whole page."""
+def extract(df: DataFrame, html_col: str = "html", text_col: str = "text", stops: Set[str] | None = None) -> DataFrame:
+    """Add ``text_col``: the main text of the whole page. ``stops`` are learnt
+    from ``df`` if not given."""
+    stops = learn_stops(df, html_col) if stops is None else stops
 
     @F.arrow_udf("string")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for pages in batches:
-            yield pa.array([main_text(p.as_py()) for p in pages], pa.string())
+            yield pa.array([main_text(p.as_py(), stops) for p in pages], pa.string())
 
     return df.withColumn(text_col, text(F.col(html_col)))
