@@ -142,6 +142,19 @@ def test_next_document_across_buckets(spark, monkeypatch):
         assert got[k] == a[:len(a) - f] + b[:f]
 
 
+@pytest.mark.parametrize("ids", [[*range(0, 50, 3)], [], [4]])
+@pytest.mark.parametrize("nulls", [1, 9])
+def test_next_document_around_null_ids(spark, monkeypatch, ids, nulls):
+    """Null ids come last, by their text's hash, and the first follows them."""
+    monkeypatch.setattr(spotsigs, "BUCKET_ROWS", 3)
+    rows = [*((i, f"the text{i} word") for i in ids), *((None, f"a null{i} id") for i in range(nulls))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    placed = df.select("doc_id", "text", spotsigs.F.xxhash64("text").alias("h")).collect()
+    order = [r.text for r in sorted(placed, key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.h))]
+    got = sorted(r.edited for r in spotsigs.edited_fingerprints(df).collect())
+    assert got == sorted(a[:len(a) - len(a) // 3] + b[:len(a) // 3] for a, b in zip(order, [*order[1:], order[0]]))
+
+
 def test_spotsigs_tricky(spark, tricky):
     got = spotsigs.edited_fingerprints(tricky).collect()
     assert len(got) == 10 and all(r.signatures and r.edited_signatures and r.next_signatures for r in got)

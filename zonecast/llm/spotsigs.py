@@ -103,7 +103,8 @@ def _bucket(key: Column, bounds: list[int]) -> Column:
         mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
         return F.when(s["lo"] >= s["hi"], s).when(key <= F.get(held, mid), F.struct(s["lo"].alias("lo"), mid.alias("hi"))).otherwise(F.struct((mid + 1).alias("lo"), s["hi"].alias("hi")))
 
-    return F.coalesce(F.aggregate(steps, state, half)["lo"], F.lit(0))
+    # null keys come behind the smallest
+    return F.when(key.isNull(), F.lit(0)).otherwise(F.aggregate(steps, state, half)["lo"])
 
 
 def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -118,8 +119,9 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     to the lowest), so no window spans more than a bucket.
     """
     bounds = _bounds(df, id_col)
-    top = F.array_position(F.lit(bounds), F.col("id")) > 0 if bounds else F.lit(False)
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # without any id the first text by its hash follows the last
+    top = F.array_position(F.lit(bounds), F.col("id")) > 0 if bounds else F.xxhash64("text") == rows.agg(F.min(F.xxhash64("text"))).scalar()
     rows = rows.withColumn("bucket", _bucket(F.col("id"), bounds))
     above = F.pmod(F.col("bucket") + 1, F.lit(max(1, len(bounds))))
     copies = F.when(F.coalesce(top, F.lit(False)), F.array(F.struct(F.col("bucket").alias("at"), F.lit(False).alias("ghost")), F.struct(above.alias("at"), F.lit(True).alias("ghost")))) \
