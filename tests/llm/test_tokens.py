@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql.functions import lit as spark_lit
 from tokenizers import Tokenizer
 
 from zonecast.llm import bpe, bytebpe, packing, token_count
@@ -191,3 +192,54 @@ def test_groups_keep_all_pieces(spark, monkeypatch):
     assert len(got) == 3_000 and len({r.sequence_id >> 32 for r in got}) > 3
     assert max(r.offset + r.length for r in got) <= 1024
     assert len({(r.sequence_id, r.offset) for r in got}) == 3_000
+
+
+# ---- very long runs ----------------------------------------------------------
+
+def _library(text):
+    return byte.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("run", [" ", "\t", "\n", "  \n\x85"])
+@pytest.mark.parametrize("n", [1_000, bytebpe.LONG_RUN - 1, bytebpe.LONG_RUN, bytebpe.LONG_RUN + 1, 1_000_000])
+def test_long_white_space_equals_library(run, n):
+    r = (run * n)[:n]
+    for text in (r, r + "ab", "ab" + r, "ab" + r + "cd" + r + "!", r + "<|endoftext|>" + r, "x" + r + "\x1c" + r):
+        want = _library(text)
+        assert bytebpe.load().ids(text).tolist() == want
+        assert sum(bytebpe.load().counts(token_count.segments(text))) == len(want)
+
+
+def test_three_million_spaces():
+    text = "a" + " " * 3_000_000 + "b"
+    assert bytebpe.load().ids(text).tolist() == _library(text)
+
+
+def test_long_runs_in_counts_and_packing(spark):
+    texts = [" " * 1_000_000, "x" + "\n" * 200_000 + " y", "word " * 3, None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    want = {i: len(_library(t or "")) for i, t in enumerate(texts)}
+    assert {r.doc_id: r.n_tokens for r in token_count.with_budget(df).collect()} == want
+    total = {}
+    for r in packing.pack_documents(df).collect():
+        total[r.doc_id] = total.get(r.doc_id, 0) + r.length
+    assert total == {i: n + 1 for i, n in want.items()}
+
+
+def test_batches_of_about_equal_bytes(monkeypatch):
+    monkeypatch.setattr(token_count, "BATCH_BYTES", 100)
+    texts = ["é" * 30 + " a", "b" * 10, None, "", "c d " * 60]
+    batches = list(token_count._batches(texts))
+    assert [s for _, parts in batches for s in parts] == [s for t in texts if t for s in token_count.segments(t)]
+    assert all(sum(len(s.encode()) for s in parts[:-1]) < 100 for _, parts in batches)
+
+
+def test_equal_rows_spread_over_groups(spark, tmp_path):
+    """Equal pieces, in a table with a column of the work column's name."""
+    spark.range(40).select(spark_lit(1).alias("doc_id"), spark_lit(300).cast("long").alias("length"), spark_lit(0).alias("_group")) \
+        .coalesce(1).write.parquet(str(tmp_path / "p"))
+    got = packing.pack(spark.read.parquet(str(tmp_path / "p")), group=4).collect()
+    groups = {}
+    for r in got:
+        groups[r.sequence_id >> 32] = groups.get(r.sequence_id >> 32, 0) + 1
+    assert len(got) == 40 and len(groups) > 4 and max(groups.values()) < 20 and "_group" in got[0].asDict()

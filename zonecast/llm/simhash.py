@@ -246,7 +246,9 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """One row of each component: that of the smallest id (a null id comes
     last), then of the smallest hash of its columns; of equal rows one."""
     mark, rank = work_name(df, "row"), work_name(df, "rank")
-    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    # a row is known by its id and 128 bits of its columns
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    hashed = F.concat_ws("-", F.xxhash64(*cols), F.xxhash64(F.lit("row"), *cols), F.col(id_col))
     own = stage(df.select(F.col(id_col).alias("id"), hashed.alias("row"), fingerprint(F.col(text_col), shingle).alias("fp")), "simhash")
     chosen = own.join(_classes(own, "id", radius), "fp").groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("w"))
     rows = df.withColumn(mark, hashed).join(chosen.select(F.col("w.row").alias(mark)).distinct(), mark, "left_semi")
