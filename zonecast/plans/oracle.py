@@ -863,18 +863,22 @@ FROM (SELECT DISTINCT model, alpha FROM variants) v,
   (SELECT '' AS feature, NULL::DOUBLE AS deviation, count(*) AS n FROM xs WHERE period = 'train' UNION ALL """ + " UNION ALL ".join(f"SELECT '{c}', stddev_pop({x}), count(*) FROM xs WHERE period = 'train'" for c, x in zip(FEATURES, X)) + ") f")
 
 # one tree of depth 1: of all splits "feature <= value" that with the largest gain
-ORACLE["gbt_stump"] = q("""
-SELECT PULocationID, pickup_datetime, trip_count,
-       round(base + 0.1 * CASE WHEN [""" + ", ".join(X) + """][s.f + 1] <= s.v THEN s.l / (s.nl + 1) ELSE s.r / (s.nr + 1) END, 6) AS y_pred
-FROM xs, (SELECT avg(y) AS base FROM xs WHERE period = 'train'), (
-  SELECT * FROM (
-    SELECT f, v, l, nl, g - l AS r, n - nl AS nr, l * l / (nl + 1) + (g - l) * (g - l) / (n - nl + 1) AS gain
-    FROM (SELECT f, v, sum(e) OVER w AS l, sum(k) OVER w AS nl, sum(e) OVER (PARTITION BY f) AS g, sum(k) OVER (PARTITION BY f) AS n
-          FROM (SELECT f, v, sum(y - m) AS e, count(*) AS k
-                FROM (SELECT unnest(range(""" + str(N) + """)) AS f, unnest([""" + ", ".join(X) + """]) AS v, y FROM xs WHERE period = 'train'),
-                     (SELECT avg(y) AS m FROM xs WHERE period = 'train') GROUP BY f, v)
-          WINDOW w AS (PARTITION BY f ORDER BY v)) WHERE nl < n)
-  ORDER BY round(gain, 6) DESC, f, v LIMIT 1) s WHERE period = 'test'""")
+CTES += [
+    ("base AS MATERIALIZED", "SELECT avg(y) AS m FROM xs WHERE period = 'train'"),
+    ("sides AS MATERIALIZED", f"""
+SELECT f, v, sum(y - m) AS e, count(*) AS k
+FROM (SELECT unnest(range({N})) AS f, unnest([{", ".join(X)}]) AS v, y FROM xs WHERE period = 'train'), base GROUP BY f, v"""),
+    ("split AS MATERIALIZED", """
+SELECT * FROM (
+  SELECT f, v, l, nl, g - l AS r, n - nl AS nr, l * l / (nl + 1) + (g - l) * (g - l) / (n - nl + 1) AS gain
+  FROM (SELECT f, v, sum(e) OVER w AS l, sum(k) OVER w AS nl, sum(e) OVER (PARTITION BY f) AS g, sum(k) OVER (PARTITION BY f) AS n
+        FROM sides WINDOW w AS (PARTITION BY f ORDER BY v)) WHERE nl < n)
+ORDER BY round(gain, 6) DESC, f, v LIMIT 1"""),
+]
+CTES.append(("stumped AS MATERIALIZED", f"""
+SELECT xs.*, m + 0.1 * CASE WHEN [{", ".join(X)}][f + 1] <= v THEN l / (nl + 1) ELSE r / (nr + 1) END AS p
+FROM xs, base, split WHERE period = 'test'"""))
+ORACLE["gbt_stump"] = q("SELECT PULocationID, pickup_datetime, trip_count, round(p, 6) AS y_pred FROM stumped")
 
 ORACLE["forecast_24h"] = q("""
 SELECT PULocationID, step, ts, round(prediction, 4) AS prediction, has_history FROM future17""")
