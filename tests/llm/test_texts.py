@@ -248,6 +248,22 @@ def test_snapshots_collapse(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def test_snapshots_rows_without_id_and_hot_prefixes(spark):
+    # a first turn that all share, a third of the rows copies of one
+    # conversation, equal and other rows without an id
+    turns = {c: [("user", "hi"), ("assistant", f"answer {c % 7}"), ("user", f"bye {c}")] for c in range(40)}
+    turns |= {c: [("user", "hi"), ("assistant", "the same")] for c in range(100, 140)}
+    turns |= {200: [("user", "hi")], 201: [("user", "hi"), ("assistant", "answer 3")], 202: [("user", "alone")]}
+    rows = [(c, t, r, x) for c, said in turns.items() for t, (r, x) in enumerate(said)]
+    rows += [(None, t, "user", "hi") for t in range(5)] + [(None, 1, "user", "lost")] * 3 + [(None, 1, None, None), (None, 2, "user", "alone")]
+    held = chat.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).cache()
+    want = {(c, f"bye {c}"): (1, 1 + 6 + (c % 7 == 3)) for c in range(40)}
+    want |= {(100, "the same"): (40, 40 + 6), (202, "alone"): (2, 2), (None, "lost"): (3, 3), (None, None): (1, 1)}
+    for hot in (chat.HOT, 0.05, 2.0):
+        got = {(r["conv_id"], r["turns"][-1]["text"]): (r["n_copies"], r["n_snapshots"]) for r in chat.maximal(held, hot).collect()}
+        assert got == want
+
+
 def test_op6_equals_sql(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{SF}/conversations.parquet'")
