@@ -1,5 +1,6 @@
 """BPE, token counts and packing against the tokenizers library."""
 import hashlib
+import time
 import zlib
 from itertools import combinations
 
@@ -36,11 +37,22 @@ def test_word_bpe_long_words_and_specials():
         assert np.frombuffer(got, "<i4").tolist() == word.encode(t, add_special_tokens=False).ids
 
 
+def test_long_words_cost_near_their_length():
+    start = time.process_time()
+    text = "".join(chr(97 + i * i % 26) for i in range(300_000))
+    assert np.frombuffer(ours.encode_batch([text])[0], "<i4").tolist() == word.encode(text, add_special_tokens=False).ids
+    assert time.process_time() - start < 20  # of both
+
+
 def test_cache_that_overflows_changes_nothing(monkeypatch):
-    monkeypatch.setattr(bpe, "CACHE_CHUNKS", 5)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 5 * 256)
     small = bpe.WordBpe(bpe.default_path())
-    texts = ["one two three four five six seven eight", "nine ten one two", "three <|endoftext|> four"]
+    texts = ["one two three four five six seven eight", "nine ten one two", "three <|endoftext|> four", "x" * 5_000 + " one"]
     for _ in range(2):
+        for t in texts:
+            assert np.frombuffer(small.encode_batch([t])[0], "<i4").tolist() == word.encode(t, add_special_tokens=False).ids
+            assert max(small._chunks.held, small._words.held) <= bpe.CACHE_BYTES
+            assert all(len(c) <= bpe.CACHED for c in [*small._chunks, *small._words])
         for t, got in zip(texts, small.encode_batch(texts)):
             assert np.frombuffer(got, "<i4").tolist() == word.encode(t, add_special_tokens=False).ids
 

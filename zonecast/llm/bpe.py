@@ -10,7 +10,8 @@ quadratic in the word length.
 
 Text is cut at white space first: in this family of tokenizers white space is
 dropped and no token spans it, so the ids of a text are the ids of its chunks
-in order. A bounded per-worker cache answers the chunks seen before.
+in order. A per-worker cache, bounded in bytes, answers the short chunks seen
+before; longer ones (scripts without spaces) are encoded anew.
 
 Cases: null text is encoded as the empty text (no ids, empty decoded text);
 null ids decode to null; ids outside the vocabulary are left out of the
@@ -35,7 +36,9 @@ from pyspark.sql import functions as F
 from zonecast.llm.common import work_name
 
 SHORT_WORD = 32          # bytes; longer words merge through a heap
-CACHE_CHUNKS = 300_000   # chunks, and words, a worker remembers before it starts afresh
+CACHE_BYTES = 80 << 20   # of chunks, and of words, a worker remembers before it starts afresh
+CACHED = 64              # characters; longer chunks and words are not remembered
+ENTRY = 200              # bytes that an entry takes besides its characters and ids
 ROWS = 1 << 15           # words merged together
 NO_RANK = np.int32(1 << 30)
 
@@ -49,6 +52,23 @@ def _byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+class Cache(dict[str, bytes]):
+    """Ids by chunk or word, of at most ``CACHE_BYTES``; it starts afresh
+    when the next entries would not fit."""
+
+    held = 0
+
+    def remember(self, found: dict[str, bytes]) -> None:
+        short = {c: ids for c, ids in found.items() if len(c) <= CACHED}
+        size = sum(ENTRY + 4 * len(c) + len(ids) for c, ids in short.items())
+        if self.held + size > CACHE_BYTES:
+            self.clear()
+            self.held = 0
+        if size <= CACHE_BYTES:
+            self.update(short)
+            self.held += size
+
+
 class WordBpe:
     """Encoder and decoder for a tokenizers file with word-end BPE: NFC,
     white space folded, lower case, words split by the file's pattern."""
@@ -76,8 +96,10 @@ class WordBpe:
         self.merged = np.array([vocab[a + b] for a, b in pairs], np.int32)
         self.keys, self.ranks = np.unique(keys, return_index=True)  # the first rank of a pair counts
         self.ranks = self.ranks.astype(np.int32)
-        self._words: dict[str, bytes] = {}
-        self._chunks: dict[str, bytes] = {}
+        self._pairs: dict[int, int] = {}
+        self._special_ids = {s: np.array([i], "<i4").tobytes() for s, i in self.special.items()}
+        self._words = Cache()
+        self._chunks = Cache()
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left.astype(np.int64) << 20 | right
@@ -148,10 +170,12 @@ class WordBpe:
         first = self._rank(np.array(parts[:-1]), np.array(parts[1:])).tolist()
         heap = [(r, i, parts[i], parts[i + 1]) for i, r in enumerate(first) if r < NO_RANK]
         heapq.heapify(heap)
+        if not self._pairs:
+            self._pairs.update(zip(self.keys.tolist(), self.ranks.tolist()))
 
         def push(i: int) -> None:
             j = after[i]
-            if j < n and (r := int(self._rank(np.array([parts[i]]), np.array([parts[j]]))[0])) < NO_RANK:
+            if j < n and (r := self._pairs.get(parts[i] << 20 | parts[j])) is not None:
                 heapq.heappush(heap, (r, i, parts[i], parts[j]))
 
         while heap:
@@ -177,37 +201,39 @@ class WordBpe:
         masked = _doubtful.sub(lambda m: _SYMBOL if unicodedata.category(m[0]) == "Cn" else m[0], text)
         return [text[m.start():m.end()] for m in self.pattern.finditer(masked)]
 
-    def learn(self, chunks: Iterable[str]) -> None:
-        """Put the ids of runs without white space into the cache."""
+    def learn(self, chunks: Iterable[str]) -> dict[str, bytes]:
+        """Ids of each run without white space; the short ones are remembered."""
         chunks = list(chunks)
         words = self._split(chunks)
-        new = list({w for w in words if w not in self._words and w != "\n"})
-        if len(self._words) + len(new) > CACHE_CHUNKS:
-            self._words.clear()
-            new = list({*words} - {"\n"})
-        self._words.update(zip(new, self.words(new)))
-        self._words["\n"] = b"\n"
+        need = {*words} - {"\n"}
+        # known words that this call needs are held before any is forgotten
+        ids_of = {w: known for w in need if (known := self._words.get(w)) is not None}
+        new = list(need - ids_of.keys())
+        fresh = dict(zip(new, self.words(new)))
+        self._words.remember(fresh)
+        ids_of.update(fresh)
+        ids_of["\n"] = b"\n"
+        out: dict[str, bytes] = {}
         ids: list[bytes] = []
         at = 0
-        for w in map(self._words.__getitem__, words):
+        for w in map(ids_of.__getitem__, words):
             if w == b"\n":
-                self._chunks[chunks[at]] = ids[0] if len(ids) == 1 else b"".join(ids)
+                out[chunks[at]] = ids[0] if len(ids) == 1 else b"".join(ids)
                 ids, at = [], at + 1
             else:
                 ids.append(w)
+        self._chunks.remember(out)
+        return out
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian int32."""
         cut = [self._cut(t) for t in texts]
-        known = self._chunks
-        new = {c for chunks in cut for c in chunks if c not in known}
-        if len(known) + len(new) > CACHE_CHUNKS:
-            known.clear()
-            new = {c for chunks in cut for c in chunks}
-        if new:
-            self.learn(new)
-        known.update((s, np.array([i], "<i4").tobytes()) for s, i in self.special.items())
-        return [b"".join(map(known.__getitem__, chunks)) for chunks in cut]
+        need = {c for chunks in cut for c in chunks} - self._special_ids.keys()
+        own = {c: known for c in need if (known := self._chunks.get(c)) is not None}
+        if new := need - own.keys():
+            own.update(self.learn(new))
+        own.update(self._special_ids)
+        return [b"".join(map(own.__getitem__, chunks)) for chunks in cut]
 
     def _cut(self, text: str) -> list[str]:
         # str.split also cuts at four control characters that are not white
