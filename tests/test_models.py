@@ -244,3 +244,48 @@ def test_few_bins_are_quantiles(spark):
     df = spark.range(10_000).select((F.col("id") % 1000).cast("double").alias("a"), (F.col("id") % 5).cast("double").alias("b"))
     wide, few = boosting.bin_edges(df, ["a", "b"], 16)
     assert few.tolist() == [0.0, 1.0, 2.0, 3.0] and len(wide) == 15 and abs(wide[7] - 500) < 10
+
+
+def test_the_driver_gets_splits_not_histograms(spark, monkeypatch):
+    """What a level sends is bounded by nodes x features, not by bins or partitions."""
+    import pickle
+    from pyspark import RDD
+    sent, collect = [], RDD.collect
+
+    def counted(self):
+        got = collect(self)
+        sent.append(len(pickle.dumps(got)))
+        return got
+
+    monkeypatch.setattr(RDD, "collect", counted)
+    df, _, _ = _panel17(spark, 2000)
+    md.fit_gbt(md.assemble(df.repartition(4)), trees=2, depth=4, bins=256)
+    assert len(sent) == 8 and max(sent) < 8 * 13 * 100
+
+
+def test_best_splits_equal_those_of_whole_histograms():
+    """Ties between columns and bins, gains equal up to rounding, nodes without a split."""
+    from zonecast.operators import boosting
+    rng = np.random.default_rng(11)
+    one = rng.integers(0, 3, 12)
+    rows = np.stack([one, one[::-1], rng.permutation(one), np.where(np.arange(12) == 4, one.sum(), 0)])
+    sums = np.zeros((3, 5, 12, 2), np.int64)   # nodes, columns, bins
+    for node, spread in ((0, 0), (1, 1)):
+        flat = rows * 2**20 * (1 if node else -1)
+        sums[node, :4, :, 0], sums[node, :4, :, 1] = flat + spread * rng.integers(-1, 2, flat.shape), rows
+        sums[node, :4, -1, 0] += flat[0].sum() - sums[node, :4, :, 0].sum(1)
+        sums[node, 4] = sums[node, 0]
+    sums[0, :4, 2, 0] += 2**23
+    sums[0, :4, 9, 0] -= 2**23
+    sums[0, 4] = sums[0, 0]
+    found = [(c, boosting.column_splits(sums[:, c], 2.0**10)) for c in (3, 1, 4, 0, 2)]
+    for node, (gain, c, b, left, whole) in zip(sums, boosting.best_splits(found, 3)):
+        lg, lh = node[..., 0].cumsum(1) / 2.0**10, node[..., 1].cumsum(1)
+        rg, rh = lg[:, -1:] - lg, lh[:, -1:] - lh
+        with np.errstate(invalid="ignore"):
+            gains = np.where((lh >= 1) & (rh >= 1), lg**2 / (lh + 1) + rg**2 / (rh + 1) - lg[:, -1:]**2 / (lh[:, -1:] + 1), -np.inf)
+        assert gain == gains.max() or abs(gain - gains.max()) <= 1e-9 * abs(gains.max())
+        assert whole == (lg[0, -1], lh[0, -1])
+        if np.isfinite(gain):
+            assert (c, b) == np.unravel_index(int(np.argmax(gains >= gains.max() - 1e-9 * abs(gains.max()))), gains.shape)
+            assert left == (lg[c, b], lh[c, b])

@@ -2,10 +2,11 @@
 
 Squared loss, second-order gain. The features are cut into bins once and the
 rows kept as packed blocks of bins. Every level of a tree is one job: each
-partition adds up gradients and rows by (node, feature, bin), the arrays are
-summed in a tree of tasks, and the driver reads off the best split of every
-node; what it gets is bounded by nodes x features x bins, whatever the number of
-rows. Rows and features are drawn per tree. Gradients are summed as integers
+partition adds up gradients and rows by (node, feature, bin), the arrays of a
+feature are shuffled to one task, which sums them and reads off the feature's
+best split of every node, and the driver picks among these; what it gets is
+bounded by nodes x features, whatever the number of rows, partitions and bins.
+Rows and features are drawn per tree. Gradients are summed as integers
 of a fixed scale, so the trees do not depend on the order of the partitions or
 on a task that runs twice. The running predictions are written to the shared
 folder every ``STAGE_TREES`` trees, which also cuts the lineage.
@@ -32,8 +33,10 @@ from zonecast.session import materialize
 
 MIN_GAIN = 1e-6
 REG_LAMBDA = 1.0     # of the leaf weights
+EQUAL = 1e-9         # gains that differ by less, relative to the larger, are equal
 STAGE_TREES = 10
-FLAT_PARTITIONS = 16  # up to as many partial sums go straight to the driver
+FLAT_PARTITIONS = 16   # up to as many tasks add up the features of a level,
+MERGED_PARTITIONS = 4  # one for so many partitions
 
 
 # ---- trees -----------------------------------------------------------------
@@ -166,16 +169,16 @@ def _add_trees(x: np.ndarray, margin: np.ndarray, trees: Sequence[Tree]) -> np.n
 
 # ---- growing ---------------------------------------------------------------
 
-def histograms(blocks: RDD, k: int, tree: Tree, active: Sequence[int], columns: Sequence[int], bins: int, scale: float,
-               pending: Sequence[Tree], number: int, seed: int, share: float) -> np.ndarray:
-    """Sums by (node, feature, bin) of gradients (as integers) and rows: one
-    job over the blocks."""
+def histograms(blocks: RDD, k: int, tree: Tree, active: Sequence[int], columns: Sequence[int], edges: list[np.ndarray], scale: float,
+               pending: Sequence[Tree], number: int, seed: int, share: float) -> RDD:
+    """Of each column (its place in ``columns``) the sums by (node, bin) of
+    gradients (as integers) and rows; they stay with the tasks."""
     slot = np.full(len(tree.feature), -1)
     slot[list(active)] = range(len(active))
-    shape = (len(active), len(columns), bins, 2)
+    bins = [len(edges[f]) + 1 for f in columns]
 
-    def partial(part: Iterator) -> Iterator[np.ndarray]:
-        total = np.zeros(shape, np.int64)
+    def partial(part: Iterator) -> Iterator[tuple[int, np.ndarray]]:
+        total = [np.zeros((len(active), b, 2), np.int64) for b in bins]
         for block in part:
             x, y, h, margin = _arrays(block, k)
             keep = np.flatnonzero(_drawn(h, number, seed, share)) if share < 1 else np.arange(len(x))
@@ -184,52 +187,69 @@ def histograms(blocks: RDD, k: int, tree: Tree, active: Sequence[int], columns:
             on = np.flatnonzero(at >= 0)
             x, at = x[on], at[on]
             g = np.rint((_add_trees(x, margin[on], pending) - y[on]) * scale)
-            for c, f in enumerate(columns):
-                key = at * bins + x[:, f]
-                total[:, c, :, 0] += np.bincount(key, g, len(active) * bins).astype(np.int64).reshape(-1, bins)
-                total[:, c, :, 1] += np.bincount(key, minlength=len(active) * bins).reshape(-1, bins)
-        yield total
+            for f, b, sums in zip(columns, bins, total):
+                key = at * b + x[:, f]
+                sums[:, :, 0] += np.bincount(key, g, len(active) * b).astype(np.int64).reshape(-1, b)
+                sums[:, :, 1] += np.bincount(key, minlength=len(active) * b).reshape(-1, b)
+        yield from enumerate(total)
 
-    parts = blocks.mapPartitions(partial)
-    zero = np.zeros(shape, np.int64)
-    return parts.treeAggregate(zero, np.add, np.add, depth=1 if parts.getNumPartitions() <= FLAT_PARTITIONS else 2)
+    tasks = min(len(columns), FLAT_PARTITIONS, 1 + blocks.getNumPartitions() // MERGED_PARTITIONS)
+    return blocks.mapPartitions(partial).reduceByKey(np.add, tasks)
 
 
-def best_splits(sums: np.ndarray, scale: float, reg: float = REG_LAMBDA) -> list[tuple[float, int, int, tuple[float, float], tuple[float, float]]]:
-    """Of each node (gain, column, last left bin, (G, H) of the left, of the
-    right side); the gain is -inf where no split has rows on both sides."""
+def column_splits(sums: np.ndarray, scale: float, reg: float = REG_LAMBDA) -> np.ndarray:
+    """The best splits of one column, rows of (node, gain, last left bin, G
+    and H of the left side, of the node): per node the best one after those of
+    lower bins that are equal to it. A node without a split that has rows on
+    both sides has one row of gain -inf."""
     out = []
-    for node in sums:
-        left = np.cumsum(node, axis=1).astype(float)
-        left[..., 0] /= scale
-        whole = left[0, -1]
+    for at, node in enumerate(sums):
+        left = np.cumsum(node, axis=0).astype(float)
+        left[:, 0] /= scale
+        whole = left[-1]
         right = whole - left
         with np.errstate(invalid="ignore", divide="ignore"):
-            gain = left[..., 0] ** 2 / (left[..., 1] + reg) + right[..., 0] ** 2 / (right[..., 1] + reg) - whole[0] ** 2 / (whole[1] + reg)
-        gain = np.where((left[..., 1] >= 1) & (right[..., 1] >= 1), gain, -np.inf)
+            gain = left[:, 0] ** 2 / (left[:, 1] + reg) + right[:, 0] ** 2 / (right[:, 1] + reg) - whole[0] ** 2 / (whole[1] + reg)
+        gain = np.where((left[:, 1] >= 1) & (right[:, 1] >= 1), gain, -np.inf)
+        # one of a lower gain than another before it is first under no bound
+        before = np.maximum.accumulate(np.append(-np.inf, gain[:-1]))
+        found = np.flatnonzero((gain >= gain.max() - EQUAL * abs(gain.max())) & (gain > before))
+        out += [(at, gain[b], b, *left[b], *whole) for b in (found if len(found) else [len(gain) - 1])]
+    return np.array(out)
+
+
+def best_splits(found: Sequence[tuple[int, np.ndarray]], nodes: int) -> list[tuple[float, int, int, tuple[float, float], tuple[float, float]]]:
+    """Of each node (gain, column, last left bin, (G, H) of the left side, of
+    the node), from the rows of all columns; the gain is -inf where no split
+    has rows on both sides."""
+    rows = np.concatenate([np.column_stack([np.full(len(r), c), r]) for c, r in sorted(found, key=lambda cr: cr[0])])
+    out = []
+    for node in range(nodes):
+        own = rows[rows[:, 1] == node]
         # equal up to rounding: the first
-        c, b = np.unravel_index(int(np.argmax(gain >= gain.max() - 1e-9 * abs(gain.max()))), gain.shape) if np.isfinite(gain.max()) else (0, 0)
-        out.append((float(gain[c, b]), int(c), int(b), tuple(left[c, b]), tuple(right[c, b])))
+        c, _, gain, b, *sides = own[int(np.argmax(own[:, 2] >= own[:, 2].max() - EQUAL * abs(own[:, 2].max())))].tolist()
+        out.append((gain, int(c), int(b), tuple(sides[:2]), tuple(sides[2:])))
     return out
 
 
 def grow(blocks: RDD, k: int, edges: list[np.ndarray], depth: int, rate: float, columns: Sequence[int], scale: float,
          pending: Sequence[Tree], number: int, seed: int, share: float) -> Tree:
     """One tree, level by level."""
-    size, bins = 2 ** (depth + 1) - 1, max(map(len, edges), default=0) + 1
+    size = 2 ** (depth + 1) - 1
     tree = Tree(np.full(size, -1), np.zeros(size, np.int64), np.zeros(size), np.zeros(size), np.zeros(size))
     active = [0]
     for level in range(depth):
-        sums = histograms(blocks, k, tree, active, columns, bins, scale, pending, number, seed, share)
+        sums = histograms(blocks, k, tree, active, columns, edges, scale, pending, number, seed, share)
+        found = sums.mapValues(lambda s: column_splits(s, scale)).collect()  # a row or so for each node and column
         nodes, active = active, []
-        for node, (gain, c, b, left, right) in zip(nodes, best_splits(sums, scale)):
+        for node, (gain, c, b, left, whole) in zip(nodes, best_splits(found, len(nodes))):
             if gain <= MIN_GAIN:
                 if level == 0:  # a tree of one leaf
-                    g, h = sums[0, 0].sum(0)
-                    tree.value[0] = -rate * (g / scale) / (h + REG_LAMBDA)
+                    tree.value[0] = -rate * whole[0] / (whole[1] + REG_LAMBDA)
                 continue
             f = columns[c]
             tree.feature[node], tree.cut[node], tree.threshold[node], tree.gain[node] = f, b, edges[f][b], gain
+            right = (whole[0] - left[0], whole[1] - left[1])
             for child, (g, h) in ((2 * node + 1, left), (2 * node + 2, right)):
                 tree.value[child] = -rate * g / (h + REG_LAMBDA)
                 active.append(child)
